@@ -4,19 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .neardup import near_duplicates
+from .packing import pack
+from .tokenfile import read_documents, write_tokens
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_documents(write_tokens(_table(spark, sf_dir, "documents"), TOKENIZER, end_id=1), with_ids=False)
+
+
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), k=4, percent=80)
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = pack(_table(spark, sf_dir, "documents"), TOKENIZER, end_id=2)
+    digests = packed.pieces.select("part", "pos", F.crc32("ids").alias("ids_crc32"))
+    return packed.placements.join(digests, ["part", "pos"]).drop("part", "pos")
+
+
 #: Words are parts between the six white-space characters; shingles are joined by a blank, which no word holds.
 OP4_SQL = r"""
 WITH RECURSIVE d AS (
@@ -26,9 +42,9 @@ WITH RECURSIVE d AS (
   FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 3))) AS i FROM d WHERE len(w) > 0)
 ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 p AS (
-  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS m FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2
 ), e AS (
-  SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * both >= 80 * (na.n + nb.n - both)
+  SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * m >= 80 * (na.n + nb.n - m)
 ), e2 AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
 r AS (SELECT doc_id AS id, doc_id AS c FROM d UNION SELECT r.id, e2.b FROM r JOIN e2 ON e2.a = r.c)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.c AS component_id, d.doc_id = m.c AS kept
@@ -36,7 +52,9 @@ FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT id, min(c) AS c FROM r GROUP BY i
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_token_file": op2_token_file,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
+    "op7_packing": op7_packing,
 }
 
 SQL: dict[str, str] = {
