@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontaminate import benchmark_hits, n_hit
 from .neardup import near_duplicates
 from .packing import pack
 from .tokenfile import read_documents, write_tokens
@@ -33,10 +34,17 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.placements.join(digests, ["part", "pos"]).drop("part", "pos")
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = benchmark_hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    ids = F.array_join(F.array_sort(F.col("items").cast("array<string>")), ",")
+    n = n_hit()
+    return hits.select("doc_id", "n_words", n.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(ids, 256).alias("items_sha256"), (n > 0).alias("contaminated"))
+
+
 #: Words are parts between the six white-space characters; shingles are joined by a blank, which no word holds.
 OP4_SQL = r"""
 WITH RECURSIVE d AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
 ), s AS (
   SELECT DISTINCT doc_id, CASE WHEN len(w) < 4 THEN array_to_string(w, ' ') ELSE array_to_string(w[i : i + 3], ' ') END AS g
   FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 3))) AS i FROM d WHERE len(w) > 0)
@@ -51,12 +59,35 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.c AS component_id, d.
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT id, min(c) AS c FROM r GROUP BY id) m ON m.id = d.doc_id
 """
 
+#: Windows are joined by blanks, which no word holds; a document word is hit if a window that covers it occurs.
+OP8_SQL = r"""
+WITH low AS (
+  SELECT doc_id, 'd' AS kind, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+  UNION ALL SELECT item_id, 'b', translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FROM benchmark
+), w AS (
+  SELECT doc_id AS id, kind, list_filter(regexp_split_to_array(t, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM low
+), g AS (
+  SELECT DISTINCT id AS item_id, least(10, len(w)) AS k, array_to_string(w[i : i + least(10, len(w)) - 1], ' ') AS g
+  FROM (SELECT id, w, unnest(generate_series(1, greatest(1, len(w) - 9))) AS i FROM w WHERE kind = 'b' AND len(w) > 0)
+), dw AS (
+  SELECT id, k, i, array_to_string(w[i : i + k - 1], ' ') AS g
+  FROM (SELECT id, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i FROM w, (SELECT DISTINCT k FROM g) WHERE kind = 'd' AND len(w) >= k)
+), hit AS (SELECT dw.id, dw.i, dw.k, g.item_id FROM dw JOIN g ON g.g = dw.g AND g.k = dw.k),
+n AS (SELECT id, count(DISTINCT p) AS n_hit FROM (SELECT id, unnest(generate_series(i, i + k - 1)) AS p FROM hit) GROUP BY id),
+items AS (SELECT id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS l FROM (SELECT DISTINCT id, item_id FROM hit) GROUP BY id)
+SELECT w.id AS doc_id, len(w.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(l, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM w LEFT JOIN n ON n.id = w.id LEFT JOIN items ON items.id = w.id WHERE kind = 'd'
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_file": op2_token_file,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op7_packing": op7_packing,
+    "op8_decontamination": op8_decontamination,
 }
 
 SQL: dict[str, str] = {
     "op4_minhash_near_dedup": OP4_SQL,
+    "op8_decontamination": OP8_SQL,
 }
