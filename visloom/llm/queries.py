@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .decontaminate import benchmark_hits, n_hit
 from .neardup import near_duplicates
 from .packing import pack
+from .quality import judge, train
 from .tokenfile import read_documents, write_tokens
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -28,6 +29,11 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), k=4, percent=80)
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return judge(docs, train(docs, _table(spark, sf_dir, "labels"))).drop("row")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = pack(_table(spark, sf_dir, "documents"), TOKENIZER, end_id=2)
     digests = packed.pieces.select("part", "pos", F.crc32("ids").alias("ids_crc32"))
@@ -83,6 +89,7 @@ FROM w LEFT JOIN n ON n.id = w.id LEFT JOIN items ON items.id = w.id WHERE kind
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_file": op2_token_file,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
+    "op5_quality_rules": op5_quality_rules,
     "op7_packing": op7_packing,
     "op8_decontamination": op8_decontamination,
 }
