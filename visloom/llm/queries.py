@@ -8,10 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .chat import format_chats
 from .decontaminate import benchmark_hits, n_hit
+from .licenses import scan_licenses
 from .neardup import near_duplicates
 from .packing import pack
 from .quality import judge, train
+from .rollup import Rollup, deletes, inserts, revisions
+from .shared import new_dir
 from .tokenfile import read_documents, write_tokens
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -21,6 +25,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(_table(spark, sf_dir, "conversations"))
+
+
 def op2_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(write_tokens(_table(spark, sf_dir, "documents"), TOKENIZER, end_id=1), with_ids=False)
 
@@ -34,6 +42,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(docs, train(docs, _table(spark, sf_dir, "labels"))).drop("row")
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = pack(_table(spark, sf_dir, "documents"), TOKENIZER, end_id=2)
     digests = packed.pieces.select("part", "pos", F.crc32("ids").alias("ids_crc32"))
@@ -47,6 +59,25 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.select("doc_id", "n_words", n.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(ids, 256).alias("items_sha256"), (n > 0).alias("contaminated"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ledger's life: all documents come in; those of bad label go; the hot source is counted anew by another rule.
+
+    Each batch is committed twice, as after a retry.
+    """
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    text = F.coalesce("text", F.lit(""))
+    spaced = F.size(F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")).cast("long")
+    plain = F.size(F.filter(F.split(text, r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"), lambda w: w != "")).cast("long")
+    rows = docs.select("doc_id", "source", "lang", F.lit("spaced-1").alias("tokenizer"), spaced.alias("n_tokens"), plain.alias("plain"))
+    bad = labels.where("quality = 0").select("doc_id").distinct()
+    anew = rows.where("source = 'src0'").join(bad, "doc_id", "left_anti").select("source", "lang", F.col("tokenizer").alias("old_tokenizer"), F.col("n_tokens").alias("old_n_tokens"), F.lit("plain-2").alias("new_tokenizer"), F.col("plain").alias("new_n_tokens"))
+    rollup = Rollup(spark, new_dir(spark, "rollup"))
+    for batch, changes in (("1", inserts(rows)), ("2", deletes(rows.join(bad, "doc_id", "left_semi"))), ("3", revisions(anew))):
+        rollup.commit(batch, changes)
+        rollup.commit(batch, changes)
+    return rollup.totals()
+
+
 #: Words are parts between the six white-space characters; shingles are joined by a blank, which no word holds.
 OP4_SQL = r"""
 WITH RECURSIVE d AS (
@@ -86,15 +117,45 @@ SELECT w.id AS doc_id, len(w.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT A
 FROM w LEFT JOIN n ON n.id = w.id LEFT JOIN items ON items.id = w.id WHERE kind = 'd'
 """
 
+OP1_SQL = r"""
+WITH c AS (
+  SELECT conv_id, list({'r': role, 't': text} ORDER BY turn, role NULLS FIRST, text NULLS FIRST) AS l,
+    string_agg('<|turn|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|end|>' || chr(10), '' ORDER BY turn, role NULLS FIRST, text NULLS FIRST) AS chat
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+)
+SELECT conv_id, len(l)::BIGINT AS n_turns, chat, length(chat)::BIGINT AS n_chars FROM c
+WHERE NOT EXISTS (
+  SELECT 1 FROM c AS o WHERE o.conv_id <> c.conv_id AND o.l[1] IS NOT DISTINCT FROM c.l[1] AND len(o.l) >= len(c.l) AND o.l[1 : len(c.l)] = c.l
+    AND (len(o.l) > len(c.l) OR o.conv_id < c.conv_id)
+)
+"""
+
+OP9_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, lang,
+    len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS spaced,
+    len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')) AS plain
+  FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 0)
+)
+SELECT source, lang, CASE WHEN source = 'src0' THEN 'plain-2' ELSE 'spaced-1' END AS tokenizer, count(*)::BIGINT AS n_docs,
+  sum(CASE WHEN source = 'src0' THEN plain ELSE spaced END)::BIGINT AS n_tokens
+FROM d GROUP BY 1, 2, 3
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_format": op1_chat_format,
     "op2_token_file": op2_token_file,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op6_license_scan": op6_license_scan,
     "op7_packing": op7_packing,
     "op8_decontamination": op8_decontamination,
+    "op9_token_counts": op9_token_counts,
 }
 
 SQL: dict[str, str] = {
+    "op1_chat_format": OP1_SQL,
     "op4_minhash_near_dedup": OP4_SQL,
     "op8_decontamination": OP8_SQL,
+    "op9_token_counts": OP9_SQL,
 }
