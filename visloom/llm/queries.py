@@ -12,6 +12,7 @@ from .chat import format_chats
 from .decontaminate import benchmark_hits, n_hit
 from .licenses import scan_licenses
 from .neardup import near_duplicates
+from .ngram_lm import score_documents
 from .packing import pack
 from .quality import judge, train
 from .rollup import Rollup, deletes, inserts, revisions
@@ -33,6 +34,10 @@ def op2_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(write_tokens(_table(spark, sf_dir, "documents"), TOKENIZER, end_id=1), with_ids=False)
 
 
+def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), k=4, percent=80)
 
@@ -145,6 +150,7 @@ FROM d GROUP BY 1, 2, 3
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_token_file": op2_token_file,
+    "op3_lm_scores": op3_lm_scores,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_license_scan": op6_license_scan,
