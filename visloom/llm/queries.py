@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .chat import format_chats
 from .decontaminate import benchmark_hits, n_hit
+from .htmltext import extract
 from .licenses import scan_licenses
 from .neardup import near_duplicates
 from .ngram_lm import score_documents
@@ -83,6 +84,10 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.totals()
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(_table(spark, sf_dir, "pages"))
+
+
 #: Words are parts between the six white-space characters; shingles are joined by a blank, which no word holds.
 OP4_SQL = r"""
 WITH RECURSIVE d AS (
@@ -157,6 +162,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_packing": op7_packing,
     "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
+    "op10_html_text": op10_html_text,
 }
 
 SQL: dict[str, str] = {
