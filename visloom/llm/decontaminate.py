@@ -10,14 +10,16 @@ case, documents are read once and nothing is shuffled.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import Broadcast
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import new_dir, store
-from .wordscan import PLAIN, run_at, runs, scan, texts_of
+from .wordscan import PLAIN, Words, run_at, runs, scan, texts_of
 
 WINDOW = 10
 #: Windows of one broadcast: with its words about 200 bytes each.
@@ -56,43 +58,57 @@ class _Set:
             self.by[k] = h, seen, [(r[2], r[3]) for r in some]
 
 
-def _find(value) -> object:
+def _hits_in(known: _Set, w: Words) -> tuple[list[list[tuple[int, int]]], list[set[int]]]:
+    """For each text of a chunk: word ranges of verified windows, in order of window length, and the items."""
+    spans: list[list[tuple[int, int]]] = [[] for _ in range(w.n_texts)]
+    items: list[set[int]] = [set() for _ in range(w.n_texts)]
+    for k, (h, seen, what) in known.by.items():
+        at = run_at(w, k)
+        mine = runs(w.hashes, k)[at]
+        maybe = np.flatnonzero(seen[mine >> np.uint64(44)])
+        lo = np.searchsorted(h, mine[maybe], "left")
+        hit = (lo < len(h)) & (h[np.minimum(lo, len(h) - 1)] == mine[maybe])
+        places, lo = at[maybe[hit]], lo[hit]
+        own = np.searchsorted(w.offsets, places, "right") - 1
+        for p, i, t in zip(places.tolist(), lo.tolist(), own.tolist(), strict=True):
+            words, first = b" ".join(w.word(j) for j in range(p, p + k)), h[i]
+            while i < len(h) and h[i] == first:
+                if what[i][0] == words:
+                    items[t].update(what[i][1])
+                    a = p - int(w.offsets[t])
+                    if spans[t] and spans[t][-1][1] >= a >= spans[t][-1][0]:
+                        spans[t][-1] = (spans[t][-1][0], max(a + k, spans[t][-1][1]))
+                    else:
+                        spans[t].append((a, a + k))
+                    break
+                i += 1
+    return spans, items
+
+
+def _find(value: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: _Set = value.value
         for batch in batches:
-            rows, ids = batch.column(0), batch.column(1)
             for w in scan(texts_of(batch.column(2)), PLAIN):
-                spans: list[list[tuple[int, int]]] = [[] for _ in range(w.n_texts)]
-                items: list[set[int]] = [set() for _ in range(w.n_texts)]
-                for k, (h, seen, what) in known.by.items():
-                    at = run_at(w, k)
-                    mine = runs(w.hashes, k)[at]
-                    maybe = np.flatnonzero(seen[mine >> np.uint64(44)])
-                    lo = np.searchsorted(h, mine[maybe], "left")
-                    hit = (lo < len(h)) & (h[np.minimum(lo, len(h) - 1)] == mine[maybe])
-                    places, lo = at[maybe[hit]], lo[hit]
-                    own = np.searchsorted(w.offsets, places, "right") - 1
-                    for p, i, t in zip(places.tolist(), lo.tolist(), own.tolist(), strict=True):
-                        words = b" ".join(w.word(j) for j in range(p, p + k))
-                        first = h[i]
-                        while i < len(h) and h[i] == first:
-                            if what[i][0] == words:
-                                items[t].update(what[i][1])
-                                a = p - int(w.offsets[t])
-                                if spans[t] and spans[t][-1][1] >= a >= spans[t][-1][0]:
-                                    spans[t][-1] = (spans[t][-1][0], max(a + k, spans[t][-1][1]))
-                                else:
-                                    spans[t].append((a, a + k))
-                                break
-                            i += 1
+                spans, items = _hits_in(value.value, w)
                 yield pa.RecordBatch.from_arrays(
-                    [rows.slice(w.lo, w.n_texts), ids.slice(w.lo, w.n_texts).cast(pa.int64()), pa.array(np.diff(w.offsets)), pa.array([[{"a": a, "b": b} for a, b in _union(s)] for s in spans], pa.list_(_SPAN)), pa.array([sorted(s) for s in items], pa.list_(pa.int64()))],
+                    [batch.column(0).slice(w.lo, w.n_texts), batch.column(1).slice(w.lo, w.n_texts), pa.array(np.diff(w.offsets)), pa.array([[{"a": a, "b": b} for a, b in _union(s)] for s in spans], pa.list_(_SPAN)), pa.array([sorted(s) for s in items], pa.list_(pa.int64()))],
                     names=["row", "doc_id", "n_words", "spans", "items"],
                 )
 
     return run
 
 
+def _drop(value: Broadcast, text: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            clean = np.zeros(batch.num_rows, bool)
+            for w in scan(texts_of(batch.column(text)), PLAIN):
+                clean[w.lo : w.lo + w.n_texts] = [not s for s in _hits_in(value.value, w)[0]]
+            yield batch.filter(pa.array(clean))
+
+    return run
+
+
 def _union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for a, b in sorted(spans):
@@ -103,27 +119,28 @@ def _union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def benchmark_parts(benchmark: DataFrame) -> list[Broadcast]:
+    """The windows of benchmark (item_id, text) in broadcasts of at most about PART windows."""
+    spark = benchmark.sparkSession
+    items = benchmark.select(F.col("item_id").cast("long"), "text").where("item_id IS NOT NULL")
+    rows = items.mapInArrow(_windows, "item_id long, hash long, k int, words binary")
+    grams = rows.groupBy("hash", "k", "words").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+    grams = store(grams, new_dir(spark, "benchmark"), "windows")
+    n = max(1, -(-grams.count() // PART))
+    some = lambda i: grams.where(F.pmod("hash", F.lit(n)) == i).toLocalIterator()
+    return [spark.sparkContext.broadcast(_Set([(r["hash"], r["k"], bytes(r["words"]), r["items"]) for r in some(i)])) for i in range(n)]
+
+
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, n_words, spans (merged word ranges a..b that occur in the benchmark), items (sorted item ids).
 
     One row per row of docs (doc_id, text). Null and empty texts have no words; items without words or with
     a null id are never found; an empty benchmark finds nothing. Other columns are ignored.
     """
-    spark = docs.sparkSession
     # Every scan of the same files numbers the rows alike.
     docs = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text")
-    items = benchmark.select(F.col("item_id").cast("long"), "text").where("item_id IS NOT NULL")
-    rows = items.mapInArrow(_windows, "item_id long, hash long, k int, words binary")
-    grams = rows.groupBy("hash", "k", "words").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
-    grams = store(grams, new_dir(spark, "benchmark"), "windows")
-    parts = max(1, -(-grams.count() // PART))
-    found = None
-    for i in range(parts):
-        some = grams.where(F.pmod("hash", F.lit(parts)) == i) if parts > 1 else grams
-        value = spark.sparkContext.broadcast(_Set([(r["hash"], r["k"], bytes(r["words"]), r["items"]) for r in some.toLocalIterator()]))
-        hits = docs.mapInArrow(_find(value), HITS)
-        found = hits if found is None else found.union(hits)
-    return (found if parts == 1 else _together(found)).drop("row")
+    found = [docs.mapInArrow(_find(part), HITS) for part in benchmark_parts(benchmark)]
+    return (found[0] if len(found) == 1 else _together(reduce(DataFrame.union, found))).drop("row")
 
 
 def _together(found: DataFrame) -> DataFrame:
@@ -143,12 +160,10 @@ def n_hit() -> F.Column:
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs, all columns, that hold no benchmark window; rows with a null doc_id are judged too."""
-    keep = docs.columns
-    marked = docs.withColumn("_row", F.monotonically_increasing_id())
-    hits = benchmark_hits(marked.select(F.col("_row").alias("doc_id"), "text"), benchmark)
-    bad = hits.where(F.size("spans") > 0).select(F.col("doc_id").alias("_row"))
-    return marked.join(bad, "_row", "left_anti").select(*keep)
+    """The rows of docs, all columns, that hold no benchmark window: one pass, nothing is shuffled."""
+    for part in benchmark_parts(benchmark):
+        docs = docs.mapInArrow(_drop(part, docs.columns.index("text")), docs.schema)
+    return docs
 
 
 def without_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -52,12 +52,16 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(_table(spark, sf_dir, "documents")).drop("spans")
 
 
-def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = pack(_table(spark, sf_dir, "documents"), TOKENIZER, end_id=2)
+def packed_pieces(docs: DataFrame) -> DataFrame:
+    packed = pack(docs, TOKENIZER, end_id=2)
     digests = packed.pieces.select("part", "pos", F.crc32("ids").alias("ids_crc32"))
     return packed.placements.join(digests, ["part", "pos"]).drop("part", "pos")
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_pieces(_table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = benchmark_hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     ids = F.array_join(F.array_sort(F.col("items").cast("array<string>")), ",")
