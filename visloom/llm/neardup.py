@@ -4,12 +4,14 @@
    `BITS` bits are packed into a signature, and `BANDS` band keys of `ROWS` minima each.
 2. Texts with equal sets (a 128-bit digest of the set and its size) collapse to the one of smallest id,
    so copies are never expanded into pairs.
-3. In each band bucket all members are paired with one pivot (two rounds, two pivots). A pair whose
-   packed signatures, corrected for chance agreement of b bits, are out of reach of the threshold is
-   left out; the others are confirmed on full sets.
-4. Buckets whose members are still in several components pair the members outside the bucket's largest
-   component with all its other members: no pair of a bucket stays unlooked-at unless both are in one
-   component already. There is no cap on buckets, partners or candidates.
+3. In each band bucket all members are paired with the bucket's pivot. A pair whose packed signatures,
+   corrected for chance agreement of b bits, are out of reach of the threshold is left out; the others
+   are confirmed on full sets.
+4. Buckets whose members are still in several components are joined to clusters (texts that share
+   buckets, however indirectly). In each cluster every text outside its largest component is compared
+   with every other one, on full sets, block against block: blocks hold at most `BLOCK` texts, and a pair
+   of blocks gives back only links that join two components, so neither the rows of a group nor its
+   pairs ever meet in one task. There is no cap on buckets, partners or candidates.
 5. Components of the confirmed links; copies take the component of their representative.
 
 With 32 bands of 4 rows a pair of similarity 0.8 shares no band with probability 5e-8.
@@ -21,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +35,11 @@ from .wordscan import SPACED, mixed, run_at, runs, scan, texts_of
 PERMS, BITS, BANDS, ROWS = 128, 4, 32, 4
 #: Six standard deviations of the estimate from `PERMS` four-bit minima at similarity 0.8.
 MARGIN = 0.22
+#: Texts of a block, on average.
+BLOCK = 512
+#: Bits of the filter by which tasks pass over texts whose sets aren't wanted, at most (16 MB); a fuller
+#: filter lets more texts through and changes no result.
+FILTER_BITS = 1 << 27
 _rng = np.random.default_rng(8171)
 _MULTIPLIERS = _rng.integers(0, 2**31, PERMS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _OFFSETS = _rng.integers(0, 2**32, PERMS, dtype=np.uint32)
@@ -112,17 +120,39 @@ def _sign(k: int):
     return run
 
 
-def _sets(k: int):
+def _sets(k: int, value):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(value.value, np.uint8)
         for batch in batches:
+            slot = batch.column(2).to_numpy()
+            batch = batch.filter(pa.array((bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0))
             ids = batch.column(0)
             for lo, h, bounds in shingle_sets(texts_of(batch.column(1)), k):
                 lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(h.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([ids.slice(lo, len(bounds) - 1).cast(pa.int64()), lists], names=["doc_id", "shingles"])
+                yield pa.RecordBatch.from_arrays([ids.slice(lo, len(bounds) - 1), lists], names=["doc_id", "shingles"])
 
     return run
 
 
+def _bit_filter(ids: DataFrame) -> tuple[Broadcast, Column]:
+    """Broadcast bits of which those of all ids (doc_id) are set, and the bit of a row's doc_id."""
+    m = min(FILTER_BITS, max(1 << 16, 1 << (16 * ids.count()).bit_length()))
+    slot = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(m))
+    bits = np.zeros(m // 8, np.uint8)
+    words = ids.select(slot.alias("s")).groupBy(F.shiftright("s", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(s % 64 AS INT))")).alias("v"))
+    for r in words.toLocalIterator(prefetchPartitions=True):
+        bits[r["w"] * 8 : r["w"] * 8 + 8] = np.frombuffer(np.int64(r["v"]).tobytes(), np.uint8)
+    return ids.sparkSession.sparkContext.broadcast(bits.tobytes()), slot
+
+
+def _wanted_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """doc_id, shingles of the texts in wanted (doc_id), without shuffling texts: a bit filter of bounded size
+    passes over the others where they are read, and a join drops the few that slip through it."""
+    value, slot = _bit_filter(wanted)
+    found = docs.where("doc_id IS NOT NULL").select("doc_id", "text", slot.alias("s")).mapInArrow(_sets(k, value), SETS)
+    return found.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+
+
 def estimate(a: Column, b: Column) -> Column:
     """Similarity from packed signatures: the share of equal b-bit groups, less the agreement by chance."""
     words = PERMS * BITS // 64
@@ -138,18 +168,75 @@ def estimate(a: Column, b: Column) -> Column:
     return (1 - differ / F.lit(float(PERMS)) - chance) / (1 - chance)
 
 
-def _confirm(pairs: DataFrame, signed: DataFrame, docs: DataFrame, k: int, percent: int, folder: str, name: str) -> DataFrame:
+def _confirm(pairs: DataFrame, signed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of pairs (a, b) whose full sets reach the threshold."""
     side = lambda x: signed.select(F.col("doc_id").alias(x), F.col("sig").alias(f"s{x}"), F.col("n_shingles").alias(f"n{x}"))
     near = pairs.join(side("b"), "b").join(side("a"), "a")
     near = near.where((F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent) & (estimate(F.col("sa"), F.col("sb")) >= percent / 100 - MARGIN))
-    near = store(near.select("a", "b", "na", "nb"), folder, f"{name}-pairs")
-    wanted = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
-    sets = docs.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(k), SETS)
-    sets = store(sets.dropDuplicates(["doc_id"]), folder, f"{name}-sets", "lz4")
-    joined = near.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("xb")), "b").join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("xa")), "a")
+    near = near.select("a", "b", "na", "nb").join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("xb")), "b")
+    joined = near.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("xa")), "a")
     shared = joined.select("a", "b", "na", "nb", F.size(F.array_intersect("xa", "xb")).alias("both"))
-    return store(shared.where(F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * percent).select("a", "b"), folder, f"{name}-links")
+    return shared.where(F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * percent).select("a", "b")
+
+
+def _block_links(percent: int):
+    """Links of the first block's texts with those of the second, only such as join two components."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        ids, comps = table.column("doc_id").to_numpy(), table.column("c").to_numpy()
+        first = table.column("first").to_numpy()
+        lists = table.column("shingles").chunk(0)
+        at, h = np.asarray(lists.offsets), lists.values.to_numpy()
+        n = np.diff(at)
+        second = np.flatnonzero(~first)
+        own = np.repeat(np.arange(len(second)), n[second])
+        posted = np.concatenate([h[at[i] : at[i + 1]] for i in second]) if len(second) else h[:0]
+        order = np.argsort(posted, kind="stable")
+        posted, own = posted[order], own[order]
+        parent = {int(c): int(c) for c in comps}
+
+        def top(c: int) -> int:
+            while parent[c] != c:
+                parent[c] = c = parent[parent[c]]
+            return c
+
+        a, b = [], []
+        for i in np.flatnonzero(first):
+            mine = h[at[i] : at[i + 1]]
+            lo, hi = np.searchsorted(posted, mine, "left"), np.searchsorted(posted, mine, "right")
+            size = hi - lo
+            where = np.repeat(lo - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            both = np.bincount(own[where], minlength=len(second))
+            for j in second[100 * both >= percent * (n[i] + n[second] - both)]:
+                x, y = top(int(comps[i])), top(int(comps[j]))
+                if x != y:
+                    parent[max(x, y)] = min(x, y)
+                    a.append(int(ids[i]))
+                    b.append(int(ids[j]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
+def _rest(members: DataFrame, links: DataFrame, sets: DataFrame, percent: int, folder: str) -> DataFrame:
+    """Links that the pivots didn't show, between texts that share buckets."""
+    comp = store(components(links, folder, "first"), folder, "first")
+    at = members.join(comp.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("key", "doc_id", "pivot", F.coalesce("component_id", "doc_id").alias("c"))
+    several = at.groupBy("key").agg((F.min("c") < F.max("c")).alias("open")).where("open").select("key")
+    at = store(at.join(several, "key", "left_semi"), folder, "open")
+    joined = components(at.select(F.col("doc_id").alias("a"), F.col("pivot").alias("b")), folder, "clusters")
+    texts = at.select("doc_id", "c").distinct().join(joined.withColumnRenamed("id", "doc_id"), "doc_id").withColumnRenamed("component_id", "cluster")
+    sizes = texts.groupBy("cluster", "c").agg(F.count("*").alias("n"))
+    sizes = sizes.groupBy("cluster").agg(F.sum("n").alias("n"), F.max(F.struct("n", "c")).alias("m")).where("m.n < n")
+    blocks = sizes.select("cluster", F.col("m.c").alias("main"), F.ceil((F.col("n") - F.col("m.n")) / BLOCK).alias("nu"), F.ceil(F.col("n") / BLOCK).alias("nv"))
+    texts = texts.join(blocks, "cluster").join(sets, "doc_id")
+    block = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    cols = ["cluster", "doc_id", "c", "shingles"]
+    left = texts.where("c <> main").select(*cols, F.lit(True).alias("first"), block("nu").alias("i"), every("nv").alias("j"))
+    right = texts.select(*cols, F.lit(False).alias("first"), block("nv").alias("j"), every("nu").alias("i"))
+    return left.unionByName(right).groupBy("cluster", "i", "j").applyInArrow(_block_links(percent), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -167,25 +254,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     reps = signed.join(copies.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     reps = store(reps, folder, "reps")
     banded = reps.select("doc_id", F.explode("bands").alias("key"))
-    shared = banded.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("p0"), F.min_by("doc_id", F.xxhash64("doc_id")).alias("p1")).where("n > 1")
+    shared = banded.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("pivot")).where("n > 1")
     members = store(banded.join(shared.drop("n"), "key"), folder, "members")
-    links = None
-    for i, pivot in enumerate(("p0", "p1")):
-        pairs = members.select(F.least("doc_id", pivot).alias("a"), F.greatest("doc_id", pivot).alias("b")).where("a < b").distinct()
-        if links is not None:
-            pairs = pairs.join(members.select(F.least("doc_id", "p0").alias("a"), F.greatest("doc_id", "p0").alias("b")).distinct(), ["a", "b"], "left_anti")
-            pairs = _apart(pairs, components(links, folder, "first"))
-        found = _confirm(pairs, reps, docs, k, percent, folder, f"pivot{i}")
-        links = found if links is None else links.union(found)
-    comp = store(components(links, folder, "second"), folder, "second")
-    at = members.join(comp.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("key", "doc_id", "p0", "p1", F.coalesce("component_id", "doc_id").alias("c"))
-    sizes = at.groupBy("key", "c").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("key").agg(F.max(F.struct("n", "c")).alias("m"), F.count("*").alias("parts")).where("parts > 1").select("key", F.col("m.c").alias("main"))
-    at = store(at.join(main, "key"), folder, "open")
-    left = at.where("c <> main AND doc_id <> p0 AND doc_id <> p1").select("key", F.col("doc_id").alias("u"), F.col("c").alias("cu"))
-    right = at.where("doc_id <> p0 AND doc_id <> p1").select("key", F.col("doc_id").alias("v"), F.col("c").alias("cv"), (F.col("c") == F.col("main")).alias("in_main"))
-    rest = left.join(right, "key").where("cu <> cv AND (in_main OR u < v)").select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
-    links = links.union(_confirm(rest, reps, docs, k, percent, folder, "rest"))
+    sets = store(_wanted_sets(docs, members.select("doc_id").distinct(), k), folder, "sets", "lz4")
+    pairs = members.select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).where("a < b").distinct()
+    links = store(_confirm(pairs, reps, sets, percent), folder, "links")
+    links = links.union(_rest(members, links, sets, percent, folder))
     comp = components(links, folder, "last")
     of = copies.join(comp.withColumnRenamed("id", "rep"), "rep", "left").select("d1", "d2", "n_shingles", F.coalesce("component_id", "rep").alias("component_id"))
     # Rows that repeat a doc_id with other texts could lead to two components: the smallest holds for the id.
@@ -194,8 +268,31 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def _apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
-    """Pairs whose ends aren't in one component yet."""
-    of = lambda x: comp.select(F.col("id").alias(x), F.col("component_id").alias(f"c{x}"))
-    both = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
-    return both.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+
+def _by_bit(value, wanted: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(value.value, np.uint8)
+        for batch in batches:
+            last = batch.num_columns - 1
+            slot = batch.column(last).to_numpy()
+            there = (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0
+            yield batch.filter(pa.array(there == wanted)).select(range(last))
+
+    return run
+
+
+def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs, all columns, that are the first of their group of near duplicates.
+
+    Rows that repeat a doc_id count as one, whichever comes first. Texts aren't shuffled, but for those
+    that a bit filter takes for dropped or repeated ones; a join then says which of these stay.
+    """
+    found = near_duplicates(docs, k, percent).where("doc_id IS NOT NULL")
+    ids = found.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("n")).where("NOT kept OR n > 1")
+    ids = store(ids.select("doc_id", "kept"), new_dir(docs.sparkSession, "dropped"), "ids")
+    value, slot = _bit_filter(ids)
+    marked = docs.select("*", F.when(F.col("doc_id").isNotNull(), slot).alias("_slot"))
+    named = marked.where("_slot IS NOT NULL")
+    sure = named.mapInArrow(_by_bit(value, False), docs.schema)
+    maybe = named.mapInArrow(_by_bit(value, True), docs.schema).join(ids.where("NOT kept"), "doc_id", "left_anti").dropDuplicates(["doc_id"])
+    return sure.union(maybe.select(*docs.columns)).union(marked.where("_slot IS NULL").select(*docs.columns))
