@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from visloom.plans import joins, scalars, tools  # noqa: F401
+from visloom.plans import joins, products, scalars, tools  # noqa: F401
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
