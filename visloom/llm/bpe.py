@@ -18,7 +18,9 @@ import numpy as np
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
-KEEP = 400_000
+from .wordscan import SPACED, scan
+
+KEEP = 500_000
 #: Letters up to here have one-letter lower cases and no special composition.
 LATIN = "\u024f"
 
@@ -75,24 +77,39 @@ class Encoder:
             self.known[p] = self.known[core] + mark
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        """Ids of each text."""
-        split = [t.lower().split() for t in texts]
-        parts = [p for some in split for p in some]
-        if len(self.known) > KEEP:
-            self.before, self.known = self.known, {}
-        found = list(map(self.known.get, parts))
-        lost = [i for i, ids in enumerate(found) if ids is None]
-        if lost:
-            met = {parts[i] for i in lost}
-            old = met & self.before.keys()
-            self.known.update((p, self.before[p]) for p in old)
-            self._learn(met - old)
-            for i in lost:
-                found[i] = self.known[parts[i]]
-        ids = np.frombuffer(b"".join(found), self.dtype)
-        ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found))) // self.dtype.itemsize
-        at = np.append(0, ends)[np.cumsum([0, *map(len, split)])]
-        return [ids[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+        """Ids of each text. Parts are found and told apart in numpy; only distinct ones are looked up."""
+        out: list[np.ndarray] = []
+        for w in scan(texts, SPACED, chunk=2 << 20, marks=b".,"):
+            raw = w.data.tobytes()
+            _, first, back = np.unique(w.hashes, return_index=True, return_inverse=True)
+            parts = [raw[a:b] for a, b in zip(w.starts[first].tolist(), w.ends[first].tolist(), strict=True)]
+            if len(self.known) > KEEP:
+                self.before, self.known = self.known, {}
+            found = list(map(self.known.get, parts))
+            lost = [i for i, ids in enumerate(found) if ids is None]
+            if lost:
+                met = {parts[i] for i in lost}
+                old = met & self.before.keys()
+                self.known.update((p, self.before[p]) for p in old)
+                self._learn(met - old)
+                for i in lost:
+                    found[i] = self.known[parts[i]]
+            ids = np.frombuffer(b"".join([*found, *self.marks.values()]), self.dtype)
+            size = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
+            at = (np.cumsum(size) - size)[back]
+            # Words and the marks behind them, as runs of ids: where each is found, and where it goes.
+            marked = w.marks > 0
+            place = np.arange(len(back)) + np.cumsum(marked) - marked
+            runs = np.zeros(len(back) + int(marked.sum()), np.int64)
+            source = runs.copy()
+            runs[place], source[place] = size[back], at
+            runs[place[marked] + 1] = 1
+            source[place[marked] + 1] = len(ids) - 2 + (w.marks[marked] == 44)
+            ends = np.cumsum(runs)
+            every = ids[np.repeat(source - (ends - runs), runs) + np.arange(ends[-1] if len(ends) else 0)]
+            cut = np.append(0, ends)[np.append(place, len(runs))[w.offsets]]
+            out += [every[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
+        return out
 
 
 _encoders: dict[str, Encoder] = {}
@@ -105,7 +122,7 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def in_chunks(texts: list[bytes], limit: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
+def in_chunks(texts: list[bytes], limit: int = 2 << 20) -> Iterator[tuple[int, list[bytes]]]:
     """(first, texts) of about `limit` bytes; whole texts only."""
     lo = 0
     while lo < len(texts):

@@ -38,7 +38,8 @@ BLOCKS = "part int, first_token long, n_docs int, n_tokens long, doc_ids binary,
 def widths_for(ids: np.ndarray) -> list[int]:
     """Level widths with the fewest stored bits: an entry costs its chunk and, but for the last level, a bit."""
     top = max(1, int(ids.max()).bit_length()) if len(ids) else 1
-    beyond = [int((ids >> np.uint32(k)).astype(bool).sum()) if k else len(ids) for k in range(top)]
+    upto = np.append(0, np.cumsum(np.bincount(ids, minlength=1 << top)))
+    beyond = [len(ids)] + [len(ids) - int(upto[1 << k]) for k in range(1, top)]
     best: list[tuple[int, list[int]]] = [(0, [])] * (top + 1)
     for a in range(top - 1, -1, -1):
         best[a] = min((beyond[a] * (b - a + (b < top)) + best[b][0], [b - a, *best[b][1]]) for b in range(a + 1, top + 1))
@@ -60,7 +61,7 @@ class Dac:
         sizes, chunks, bitmaps, ranks = [], [], [], []
         for i, w in enumerate(widths):
             sizes.append(len(rest))
-            bits = (rest[:, None] >> np.arange(w, dtype=np.uint32)).astype(np.uint8) & np.uint8(1)
+            bits = np.unpackbits(rest.astype("<u4").view(np.uint8).reshape(-1, 4)[:, : (w + 7) // 8], axis=1, bitorder="little")[:, :w]
             chunks.append(np.packbits(bits.reshape(-1), bitorder="little").tobytes())
             if i < len(widths) - 1:
                 rest = rest >> np.uint32(w)
@@ -114,10 +115,10 @@ class Dac:
             n = len(where)
             lo = a * w
             bits = np.unpackbits(self.chunks[level][lo >> 3 : (lo + n * w + 7) >> 3], bitorder="little")[lo & 7 : (lo & 7) + n * w].reshape(n, w)
-            value = np.zeros(n, np.uint32)
-            for k in range(w):
-                value |= bits[:, k].astype(np.uint32) << np.uint32(k)
-            out[where] |= value << np.uint32(shift)
+            wide = np.zeros((n, 4), np.uint8)
+            packed = np.packbits(bits, axis=1, bitorder="little")
+            wide[:, : packed.shape[1]] = packed
+            out[where] |= wide.reshape(-1).view("<u4") << np.uint32(shift)
             if level == len(self.widths) - 1 or not n:
                 break
             on = np.unpackbits(self.bitmaps[level][a >> 3 : (a + n + 7) >> 3], bitorder="little")[a & 7 : (a & 7) + n] > 0

@@ -71,6 +71,7 @@ class Words:
     ends: np.ndarray
     offsets: np.ndarray  # words of text i: offsets[i]..offsets[i + 1]
     hashes: np.ndarray
+    marks: np.ndarray  # the mark taken off each word's end, 0 where none was
 
     @property
     def n_texts(self) -> int:
@@ -89,19 +90,19 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def scan(texts: list[bytes], words: np.ndarray, lower: bool = True, chunk: int = CHUNK) -> Iterator[Words]:
-    """All words of whole texts, chunk by chunk."""
+def scan(texts: list[bytes], words: np.ndarray, lower: bool = True, chunk: int = CHUNK, marks: bytes = b"") -> Iterator[Words]:
+    """All words of whole texts, chunk by chunk; a mark of `marks` right behind a letter a-z is taken off a word's end."""
     lo = 0
     while lo < len(texts):
         hi, size = lo, 0
         while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= chunk):
             size += len(texts[hi]) + 1
             hi += 1
-        yield _scan(lo, texts[lo:hi], words, lower)
+        yield _scan(lo, texts[lo:hi], words, lower, marks)
         lo = hi
 
 
-def _scan(lo: int, texts: list[bytes], words: np.ndarray, lower: bool) -> Words:
+def _scan(lo: int, texts: list[bytes], words: np.ndarray, lower: bool, marks: bytes) -> Words:
     data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
     if lower:
         data = LOWER[data]
@@ -112,11 +113,16 @@ def _scan(lo: int, texts: list[bytes], words: np.ndarray, lower: bool) -> Words:
     if inside[0]:
         edge = np.concatenate([[0], edge])
     starts, ends = edge[0::2], edge[1::2]  # the closing space ends the last word
+    off = np.zeros(len(ends), np.uint8)
+    if marks and len(ends):
+        last, before = data[ends - 1], data[np.maximum(ends - 2, 0)]
+        found = np.isin(last, np.frombuffer(marks, np.uint8)) & (ends - starts > 1) & (before >= 97) & (before <= 122)
+        off, ends = np.where(found, last, 0).astype(np.uint8), ends - found
     up, down = _powers.upto(len(data))
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_CODES[data] * up)])
     hashes = mixed((total[ends] - total[starts]) * down[starts])
     offsets = np.searchsorted(starts, np.append(text_at, len(data)))
-    return Words(lo, data, text_at, starts, ends, offsets, hashes)
+    return Words(lo, data, text_at, starts, ends, offsets, hashes, off)
 
 
 def runs(hashes: np.ndarray, k: int) -> np.ndarray:
