@@ -1,0 +1,32 @@
+"""Every registered query of the library against its SQL on the smallest tables."""
+
+import pytest
+
+import __spark_entry__ as entry
+from compare import assert_same, duck
+from visloom import registry
+
+QUERIES, SQL = registry.all_queries(), registry.all_sql()
+
+
+@pytest.fixture(scope="module")
+def con(sf):
+    return duck(sf)
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_matches_sql(spark, sf, con, name):
+    assert_same(QUERIES[name](spark, sf), con, SQL[name])
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
+def test_runs(spark, sf, name):
+    assert QUERIES[name](spark, sf).count() > 0
+
+
+def test_entry(spark):
+    assert entry.entry(spark).count() > 0
+
+
+def test_all_names_are_callable():
+    assert set(entry.oracle_sql()) <= set(entry.queries())
