@@ -15,21 +15,25 @@ from visloom.llm.queries import packed_pieces
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules, fitted on the labelled ones among them."""
+    shared.small_batches(spark)
     return quality.good_documents(docs, quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group of near duplicates (five words, similarity 0.8)."""
+    shared.small_batches(spark)
     return neardup.one_of_each(docs, k=5, percent=80)
 
 
 def untested(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark passages."""
+    shared.small_batches(spark)
     return decontaminate.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents' token ids and their places in sequences."""
+    shared.small_batches(spark)
     return packed_pieces(docs)
 
 

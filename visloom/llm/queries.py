@@ -17,14 +17,14 @@ from .ngram_lm import score_documents
 from .packing import pack
 from .quality import judge, train
 from .rollup import Rollup, deletes, inserts, revisions
-from .shared import new_dir
+from .shared import new_dir, small_batches
 from .tokenfile import read_documents, write_tokens
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return small_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

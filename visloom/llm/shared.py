@@ -10,6 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 _own: list[str] = []
 
 
+#: Rows of one Arrow batch: texts are long, and a batch exists several times over on its way to Python and back.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Bound the rows of Arrow batches, and with them the memory of tasks on texts; results don't depend on it."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "10000")) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+    return spark
+
+
 def base_dir(spark: SparkSession) -> str:
     """The folder named in spark.checkpoint.dir; a temporary one where it is unset (local tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None)
