@@ -276,7 +276,7 @@ def w11(spark: SparkSession, sf: str) -> DataFrame:
     return bins.select("sub_band", "bin", n.cast("long").alias("n"), r6(-0.1 + 0.02 * n).alias("dec_offset"))
 
 
-register("w11_pointing_drift", w11, fx.with_views("SELECT sub_band, bin, n, round(-0.1 + 0.02 * n, 6) + 0.0 AS dec_offset FROM (SELECT *, dense_rank() OVER (PARTITION BY sub_band ORDER BY bin) AS n FROM (SELECT DISTINCT sub_band, floor(t_us / 1000000)::BIGINT AS bin FROM frames))", "frames"))
+register("w11_pointing_drift", w11, fx.with_views("SELECT sub_band, bin, n, (round(-0.1 + 0.02 * n, 6) + 0.0)::DOUBLE AS dec_offset FROM (SELECT *, dense_rank() OVER (PARTITION BY sub_band ORDER BY bin) AS n FROM (SELECT DISTINCT sub_band, floor(t_us / 1000000)::BIGINT AS bin FROM frames))", "frames"))
 
 
 def u01(spark: SparkSession, sf: str) -> DataFrame:

@@ -117,7 +117,7 @@ def p10(spark: SparkSession, sf: str) -> DataFrame:
     return o.select("o_orderkey", jd.cast("double").alias("jd")).select("o_orderkey", "jd", (F.col("jd") - 2400000.5).alias("mjd"), y.cast("int").alias("y"), m.cast("int").alias("m"), F.round(d, 6).alias("d"))
 
 
-register("p10_julian_dates", p10, "SELECT o_orderkey, julian(date_trunc('day', o_orderdate)::TIMESTAMP) - 0.5 AS jd, julian(date_trunc('day', o_orderdate)::TIMESTAMP) - 0.5 - 2400000.5 AS mjd, year(o_orderdate)::INT AS y, month(o_orderdate)::INT AS m, day(o_orderdate) + 0.25 AS d FROM orders")
+register("p10_julian_dates", p10, "SELECT o_orderkey, julian(date_trunc('day', o_orderdate)::TIMESTAMP) - 0.5 AS jd, julian(date_trunc('day', o_orderdate)::TIMESTAMP) - 0.5 - 2400000.5 AS mjd, year(o_orderdate)::INT AS y, month(o_orderdate)::INT AS m, (day(o_orderdate) + 0.25)::DOUBLE AS d FROM orders")
 
 _JD = "(epoch_us(ts) / 86400e6 + 2440587.5)"
 _PMOD = lambda x, y: f"((({x}) % {y} + {y}) % {y})"
