@@ -262,3 +262,32 @@ def test_wrapper_has_optional_and_repeated_parts():
     body = htmltext.merge(a, b)["c"][0]
     assert [(n["k"], n["o"], n["r"]) for n in body["c"]] == [("h2", True, False), ("ul", False, False), ("p", False, False)]
     assert body["c"][1]["c"][0]["r"] and body["c"][2]["t"] is None
+
+
+def texts(spark, pages):
+    df = spark.createDataFrame([(i, "http://host.example/", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    return [r["text"].split("\n") for r in htmltext.extract(df).orderBy("page_id").collect()]
+
+
+def test_html_region_holds_title_and_lead(spark):
+    """No article: the region is around all slots, however small their share; also if texts differ only at their ends."""
+    same = "the same words on every page " * 20
+    page = "<body><div class='top'>Shop</div><div class='page'><h1>Title {i}</h1><div class='lead'>Lead {i} of the page</div><div class='body'>" + same + "{i}</div></div><nav>Menu {i}</nav></body>"
+    got = texts(spark, [page.replace("{i}", str(i)) for i in range(3)])
+    assert got == [[f"Title {i}", f"Lead {i} of the page", f"{same}{i}"] for i in range(3)]
+
+
+def test_html_repeated_and_single_pages_are_whole(spark):
+    page = "<body><div class='head'><h1>Title</h1></div><div class='body'><p>One</p><p>Two</p></div></body>"
+    assert texts(spark, [page]) == [["Title", "One", "Two"]]
+    assert texts(spark, [page, page]) == [["Title", "One", "Two"]] * 2
+
+
+def test_html_takes_every_article_and_main(spark):
+    both = "<body><p>Top {i}</p><article class='lead'><p>Lead</p></article><article class='story'><p>Story {i}</p></article></body>"
+    got = texts(spark, [both.replace("{i}", str(i)) for i in range(3)] + ["<body><article class='sport'>Sport</article></body>"])
+    assert got == [[f"Top {i}", "Lead", f"Story {i}"] for i in range(3)] + [["Sport"]]
+    main = "<body><p>Top {i}</p><main><h1>Head {i}</h1><article class='a{i}x'>Story</article></main></body>"
+    assert texts(spark, [main.replace("{i}", str(i)) for i in range(3)]) == [[f"Head {i}", "Story"] for i in range(3)]
+    cards = "<body><div class='story'><h1>Head {i}</h1>Long story {i}</div><section><article class='card'>Card</article></section></body>"
+    assert texts(spark, [cards.replace("{i}", str(i)) for i in range(3)]) == [[f"Head {i}", f"Long story {i}", "Card"] for i in range(3)]

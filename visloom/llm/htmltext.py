@@ -7,9 +7,10 @@ child sequences: what aligns is merged in turn, what does not becomes optional,
 fold into one repeated node, and texts that differ become slots. Tasks merge what they read, host by host,
 and then the tasks' wrappers are merged, so a host of any number of pages gives one small row a task.
 
-The wrapper names the host's content element: an article or main element, or else the smallest element that
-holds most of the text in slots. Pages are then read token by token: text inside the content element counts,
-but for menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments in it.
+The wrapper names the host's content element: the smallest element around all text in slots that is not in an
+article or main element. Pages are then read token by token: text inside every article and main element and the
+content element counts, but for menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
+comments in it. On a page with a main element, text outside its main and article elements does not count.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ import json
 import re
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,8 +30,8 @@ from .shared import new_dir, store
 
 #: Deeper elements count as children of the element at this depth, in wrappers only.
 DEPTH = 48
-#: Share of the slots' text that the content element holds.
-SHARE = 0.6
+#: Longer constant texts are known by their digests.
+TEXT = 40
 
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z](?:[^>"']|"[^"]*"|'[^']*')*+(?:>|\Z)|</?[a-zA-Z][^>]*(?:>|\Z)""",
@@ -39,6 +41,8 @@ NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+))?""")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noframes".split())
+#: Elements of text, too small for a content element.
+SMALL = frozenset("p li ul ol dl dt dd h1 h2 h3 h4 h5 h6 pre blockquote tr td th tbody thead tfoot".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 #: Elements that never hold main text, and words of classes, ids and roles that tell the same of any element.
 APART = frozenset("nav header footer aside form script style noscript template iframe object svg math button select textarea dialog menu title head".split())
@@ -85,9 +89,9 @@ def events(page: str) -> Iterator[tuple[str, str, dict[str, str]]]:
                     raw = name
 
 
-def apart(name: str, attrs: dict[str, str], inside: bool) -> bool:
-    """Whether the element and all in it is no main text; inside: in the content element, where header holds the title."""
-    if name in APART and not (inside and name == "header"):
+def apart(name: str, attrs: dict[str, str], header: bool) -> bool:
+    """Whether the element and all in it is no main text; header: whether a header may be, as the one with an article's title."""
+    if name in APART and not (header and name == "header"):
         return True
     if not attrs:
         return False
@@ -97,52 +101,92 @@ def apart(name: str, attrs: dict[str, str], inside: bool) -> bool:
     return any(w in MARKS or any(p in MARKS for p in re.split("[-_]", w)) for w in words.split())
 
 
+def place(name: str, attrs: dict[str, str]) -> int:
+    """3 for a main element, 2 for an article, by name or role; else 0."""
+    if name in ("html", "body"):
+        return 0
+    return 3 if name == "main" or attrs.get("role", "").strip().lower() == "main" else 2 if name == "article" else 0
+
+
 def key(name: str, attrs: dict[str, str]) -> str:
-    """An element as wrappers know it: its name, role and classes, digits left out."""
+    """An element as wrappers know it: its name, role and classes, digits left out; html and body by name alone."""
+    if name in ("html", "body"):
+        return name
     extra = sorted(re.sub(r"\d+", "", attrs.get("class", "")).lower().split())
     return ".".join([name, *(["=" + attrs["role"]] if attrs.get("role") else []), *extra])
 
 
+def _node(k: str, page: int, what: int) -> dict:
+    return {"k": k, "w": what, "o": False, "r": False, "t": "", "n": 0, "p": page, "c": []}
+
+
 def tree(page: str) -> dict:
-    """A page's own wrapper: k element, o optional, r repeated, t constant text or None for a slot, n length of text, c children."""
-    root = {"k": "", "o": False, "r": False, "t": "", "n": 0, "c": []}
-    stack = [root]
+    """A page's own wrapper.
+
+    k element, w what it is (-1 apart, else its place), o optional, r repeated, t constant text or its digest or
+    None for a slot, n length of text, p digest of the page or None if several pages have the node, c children.
+    """
+    own = int.from_bytes(blake2b(page.encode(errors="replace"), digest_size=6).digest())
+    root = _node("", own, 0)
+    stack, named = [root], [0]
+    texts: dict[int, tuple[dict, list[str]]] = {}
+    in_main = 0
     for kind, value, attrs in events(page):
         if kind == "text":
             text = " ".join(value.split())
             if text:
-                stack[-1]["t"] = f"{stack[-1]['t']} {text}".strip() if len(stack[-1]["t"] or "") < 200 else stack[-1]["t"]
+                texts.setdefault(id(stack[-1]), (stack[-1], []))[1].append(text)
                 stack[-1]["n"] += len(text)
+                in_main += named[-1] == 3
         elif kind == "open":
             while len(stack) > 1 and value in ENDS.get(stack[-1]["k"].split(".")[0], ()):
-                stack.pop()
-            node = {"k": key(value, attrs), "o": False, "r": False, "t": "", "n": 0, "c": []}
+                stack.pop(), named.pop()
+            what = place(value, attrs)
+            node = _node(key(value, attrs), own, -1 if apart(value, attrs, True) else what)
             stack[-1]["c"].append(node)
             if value not in VOID and len(stack) < DEPTH:
                 stack.append(node)
+                named.append(-1 if named[-1] < 0 or node["w"] < 0 else max(named[-1], what))
         else:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i]["k"].split(".")[0] == value:
-                    del stack[i:]
+                    del stack[i:], named[i:]
                     break
+    for node, found in texts.values():
+        text = " ".join(found)
+        node["t"] = text if len(text) <= TEXT else blake2b(text.encode(errors="replace"), digest_size=16).hexdigest()
+    if in_main:
+        _only_named(root)
     return fold(root)
 
 
+def _only_named(node: dict) -> None:
+    """Forgets text outside main and article elements."""
+    node["t"], node["n"] = "", 0
+    for c in node["c"]:
+        if c["w"] < 2:
+            _only_named(c)
+
+
 def fold(node: dict) -> dict:
     """Neighbours of equal element become one repeated node."""
     out: list[dict] = []
     for child in node["c"]:
         child = fold(child)
-        if out and out[-1]["k"] == child["k"]:
+        if out and _same(out[-1]) == _same(child):
             out[-1] = merge(out[-1], child) | {"r": True, "n": out[-1]["n"] + child["n"]}
         else:
             out.append(child)
     return node | {"c": out}
 
 
+def _same(node: dict) -> tuple[str, int]:
+    return node["k"], node["w"]
+
+
 def merge(a: dict, b: dict) -> dict:
     """The wrapper of what either of two nodes of equal element matches."""
-    x, y = [c["k"] for c in a["c"]], [c["k"] for c in b["c"]]
+    x, y = [_same(c) for c in a["c"]], [_same(c) for c in b["c"]]
     kids: list[dict] = []
     if x == y:
         kids = [merge(p, q) for p, q in zip(a["c"], b["c"], strict=True)]
@@ -154,70 +198,72 @@ def merge(a: dict, b: dict) -> dict:
                 kids += [c | {"o": True} for c in (*a["c"][i:j], *b["c"][m:n])]
         folded: list[dict] = []
         for c in kids:
-            if folded and folded[-1]["k"] == c["k"]:
+            if folded and _same(folded[-1]) == _same(c):
                 folded[-1] = merge(folded[-1], c) | {"r": True}
             else:
                 folded.append(c)
         kids = folded
-    return {"k": a["k"], "o": a["o"] or b["o"], "r": a["r"] or b["r"], "t": a["t"] if a["t"] == b["t"] else None, "n": a["n"] + b["n"], "c": kids}
+    one = a["p"] if a["p"] == b["p"] else None
+    return {"k": a["k"], "w": a["w"], "p": one, "o": a["o"] or b["o"], "r": a["r"] or b["r"], "t": a["t"] if a["t"] == b["t"] else None, "n": a["n"] + b["n"], "c": kids}
 
 
-def slot_text(node: dict) -> int:
-    return (node["n"] if node["t"] is None else 0) + sum(map(slot_text, node["c"]))
+def slot(node: dict) -> bool:
+    """Whether the node's own text is none of the template: it differs, or a single page has it."""
+    return node["n"] > 0 and (node["t"] is None or node["p"] is not None)
 
 
-def _main(k: str) -> bool:
-    parts = k.split(".")
-    return parts[0] in ("article", "main") or "=main" in parts
+def slots(node: dict) -> bool:
+    """Whether a node holds slots that are neither apart nor in an article or main element."""
+    return not node["w"] and (slot(node) or any(map(slots, node["c"])))
 
 
 def content(wrapper: dict) -> str:
-    """The content element of a wrapper; '' if it is the whole page."""
-    todo = [wrapper]
-    while todo:
-        node = todo.pop(0)
-        if _main(node["k"]) and not set(node["k"].split(".")[1:]) & MARKS:
-            return node["k"]
-        todo += [c for c in node["c"] if c["k"].split(".")[0] not in APART]
-    node, whole = wrapper, slot_text(wrapper)
-    while whole:
-        kids = [c for c in node["c"] if c["k"].split(".")[0] not in APART and not set(c["k"].split(".")[1:]) & MARKS]
-        best = max(kids, key=slot_text, default=None)
-        if best is None or slot_text(best) < SHARE * whole or best["k"].split(".")[0] in INLINE | {"p", "li", "ul"} or best["r"]:
+    """The smallest element around all slots that are neither apart nor in an article or main element; 'body' if it is the whole page, '' without such slots."""
+    if not slots(wrapper):
+        return ""
+    node = wrapper
+    while not slot(node):
+        kids = [c for c in node["c"] if slots(c)]
+        if len(kids) > 1 or kids[0]["r"] or kids[0]["k"].split(".")[0] in INLINE | SMALL:
             break
-        node = best
-    return node["k"] if node["k"].split(".")[0] not in ("html", "body") else ""
+        node = kids[0]
+    return "body" if node["k"] in ("", "html", "body") else node["k"]
 
 
-def blocks(page: str, region: str) -> list[str]:
-    """Blocks of text inside elements `region` (all of the body if it is '') in page order."""
-    out: list[str] = []
+def blocks(page: str, region: str) -> list[tuple[int, str]]:
+    """Blocks of text that are not apart, in page order, each with its place: 3 in a main element, 2 in an article, 1 in elements `region`, else 0."""
+    out: list[tuple[int, str]] = []
     held: list[str] = []
+    least = int(region == "body")
+    at = least
 
     def close() -> None:
         text = " ".join("".join(held).split())
         held.clear()
         if text:
-            out.append(text)
+            out.append((at, text))
 
-    stack: list[tuple[str, bool, bool]] = []
+    stack: list[tuple[str, int, bool]] = []
     for kind, value, attrs in events(page):
-        inside, out_of = (stack[-1][1], stack[-1][2]) if stack else (not region, False)
+        inside, out_of = (stack[-1][1], stack[-1][2]) if stack else (least, False)
         if kind == "text":
-            if inside and not out_of:
+            if not out_of:
+                if inside != at:
+                    close()
+                    at = inside
                 held.append(html.unescape(value))
         elif kind == "open":
             while stack and value in ENDS.get(stack[-1][0], ()):
                 stack.pop()
-            inside, out_of = (stack[-1][1], stack[-1][2]) if stack else (not region, False)
+            inside, out_of = (stack[-1][1], stack[-1][2]) if stack else (least, False)
             if value not in INLINE:
                 if value == "br":
                     held.append(" ")
                 else:
                     close()
             if value not in VOID:
-                inside = inside or key(value, attrs) == region
-                stack.append((value, inside, out_of or apart(value, attrs, bool(region) and inside)))
+                inside = max(inside, place(value, attrs), int(key(value, attrs) == region))
+                stack.append((value, inside, out_of or apart(value, attrs, inside > 0)))
         else:
             if value not in INLINE:
                 close()
@@ -230,11 +276,10 @@ def blocks(page: str, region: str) -> list[str]:
 
 
 def main_text(page: str, region: str | None) -> str:
-    """Main text of a page of a host whose content element is `region`; pages that lack it give their own article, else their body."""
-    for place in dict.fromkeys((region or "", "article", "main")):
-        if place and (found := blocks(page, place)):
-            return "\n".join(found)
-    return "\n".join(blocks(page, ""))
+    """Main text of a page of a host whose content element is `region`; a page without any such element gives its body."""
+    found = blocks(page, region or "")
+    best = max((p for p, _ in found), default=0)
+    return "\n".join(text for p, text in found if p >= (2 if best == 3 else min(best, 1)))
 
 
 def host(url: F.Column) -> F.Column:
