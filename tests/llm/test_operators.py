@@ -291,3 +291,19 @@ def test_html_takes_every_article_and_main(spark):
     assert texts(spark, [main.replace("{i}", str(i)) for i in range(3)]) == [[f"Head {i}", "Story"] for i in range(3)]
     cards = "<body><div class='story'><h1>Head {i}</h1>Long story {i}</div><section><article class='card'>Card</article></section></body>"
     assert texts(spark, [cards.replace("{i}", str(i)) for i in range(3)]) == [[f"Head {i}", f"Long story {i}", "Card"] for i in range(3)]
+
+
+def test_html_marks_are_whole_words(spark):
+    """Modifiers of a layout, headings and sections named like marks, and headers inside an article are main text."""
+    text = "<h2 id='related-work'>Related</h2><p>One {i}</p><h2 id='search'>Search</h2><section id='notice-period'>Period</section>"
+    shapes = [
+        "<body class='no-sidebar'><article><header class='entry-header header'><h1>Head {i}</h1></header>" + text + "</article></body>",
+        "<body class='sidebar'><main class='content with-sidebar widget'><h1>Head {i}</h1>" + text + "</main></body>",
+        "<body><article class='has-comments related'><h1>Head {i}</h1>" + text + "</article></body>",
+        "<body><div class='post no-ads'><header class='header'><h1>Head {i}</h1></header><div>" + text + "</div></div></body>",
+    ]
+    dropped = "<div class='comment-list'>no</div><div id='site_footer'>no</div><ul class='related-posts'><li>no</ul><div class='cookie-banner'>no</div><div class='ad-slot'>no</div>"
+    for shape in shapes:
+        for page in (shape, shape.replace("</h2><p>", "</h2>" + dropped + "<p>")):
+            got = texts(spark, [page.replace("{i}", str(i)) for i in range(2)])
+            assert got == [[f"Head {i}", "Related", f"One {i}", "Search", "Period"] for i in range(2)]

@@ -41,15 +41,25 @@ NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+))?""")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noframes".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements of text, too small for a content element.
 SMALL = frozenset("p li ul ol dl dt dd h1 h2 h3 h4 h5 h6 pre blockquote tr td th tbody thead tfoot".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
-#: Elements that never hold main text, and words of classes, ids and roles that tell the same of any element.
+#: Elements that never hold main text, and classes, ids and roles that tell the same of others.
 APART = frozenset("nav header footer aside form script style noscript template iframe object svg math button select textarea dialog menu title head".split())
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo banner cookie cookies consent notice notification alert popup modal nav navbar navigation menu breadcrumb breadcrumbs header masthead footer "
     "sidebar aside widget related recommended share sharing social newsletter subscribe signup login search comment comments comment-list disqus respond replies reply contentinfo complementary".split()
 )
+#: With these before or after it, one of MARKS tells the same still; other compounds (no-sidebar, notice-period) tell nothing.
+BEFORE = frozenset("site global top bottom left right primary secondary main page sub mobile sticky floating google footer header sidebar nav social cookie newsletter comment comments share".split())
+AFTER = frozenset("container wrapper wrap box list bar area block inner outer slot unit links link buttons button items item form toggle overlay posts articles stories content icons signup consent notice banner menu top bottom left right".split())
+#: Marks that are words of texts too, or name a part of an article: alone they tell, in compounds they don't.
+ALONE = frozenset("notice notification alert search header widget banner replies reply respond share sharing login contentinfo complementary".split())
+COMPOUNDS = frozenset(
+    "site-header global-header top-header search-form search-box search-bar share-buttons share-links share-bar share-box sharing-buttons social-share cookie-banner cookie-notice cookie-consent cookie-alert "
+    "consent-banner site-banner ad-banner banner-ad widget-area sidebar-widget footer-widget login-form login-box login-link login-links reply-form reply-link".split()
+)
 #: An element that the start of another one ends.
 ENDS = {"p": frozenset("p div ul ol dl table h1 h2 h3 h4 h5 h6 article section footer header nav aside form pre blockquote hr main figure address details fieldset".split()), "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr"]), "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]), "option": frozenset(["option"])}
 
@@ -89,16 +99,33 @@ def events(page: str) -> Iterator[tuple[str, str, dict[str, str]]]:
                     raw = name
 
 
-def apart(name: str, attrs: dict[str, str], header: bool) -> bool:
-    """Whether the element and all in it is no main text; header: whether a header may be, as the one with an article's title."""
-    if name in APART and not (header and name == "header"):
+def marked(word: str) -> bool:
+    """Whether a class, id or role names no main text: as a whole, or as a known compound."""
+    word = re.sub("[-_]+", "-", word)
+    if word in MARKS or word in COMPOUNDS:
+        return True
+    first, _, last = word.partition("-")
+    return (first in MARKS - ALONE and last in AFTER) or (last in MARKS - ALONE and first in BEFORE)
+
+
+def apart(name: str, attrs: dict[str, str], inside: int, own: bool = False) -> bool:
+    """Whether the element and all in it is no main text.
+
+    inside: 0 where a header is none, 1 where it is one unless it is marked so, 2 in an article or a host's content
+    element, where it holds the title. own: whether the element is such a place itself; marks don't hold for it.
+    """
+    if name in ("html", "body"):
+        return False
+    if name in APART and not (inside and name == "header"):
         return True
     if not attrs:
         return False
     if "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in attrs.get("style", "").replace(" ", ""):
         return True
-    words = f"{attrs.get('class', '')} {attrs.get('id', '')} {attrs.get('role', '')}".lower()
-    return any(w in MARKS or any(p in MARKS for p in re.split("[-_]", w)) for w in words.split())
+    if own or (inside == 2 and name == "header"):
+        return False
+    names = "" if name in HEADINGS else attrs.get("id", "")
+    return any(map(marked, f"{attrs.get('class', '')} {names} {attrs.get('role', '')}".lower().split()))
 
 
 def place(name: str, attrs: dict[str, str]) -> int:
@@ -142,7 +169,7 @@ def tree(page: str) -> dict:
             while len(stack) > 1 and value in ENDS.get(stack[-1]["k"].split(".")[0], ()):
                 stack.pop(), named.pop()
             what = place(value, attrs)
-            node = _node(key(value, attrs), own, -1 if apart(value, attrs, True) else what)
+            node = _node(key(value, attrs), own, -1 if apart(value, attrs, 1 if stack[-1]["k"] in ("", "html", "body") else 2, what > 0) else what)
             stack[-1]["c"].append(node)
             if value not in VOID and len(stack) < DEPTH:
                 stack.append(node)
@@ -262,8 +289,10 @@ def blocks(page: str, region: str) -> list[tuple[int, str]]:
                 else:
                     close()
             if value not in VOID:
-                inside = max(inside, place(value, attrs), int(key(value, attrs) == region))
-                stack.append((value, inside, out_of or apart(value, attrs, inside > 0)))
+                own = max(place(value, attrs), int(key(value, attrs) == region))
+                inside = max(inside, own)
+                header = 0 if not inside else 1 if inside == least else 2
+                stack.append((value, inside, out_of or apart(value, attrs, header, own > 0)))
         else:
             if value not in INLINE:
                 close()
