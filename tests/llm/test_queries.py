@@ -175,3 +175,19 @@ def _components(sets, percent):
                 x, y = sorted((top(a), top(b)))
                 parent[y] = x
     return {k: top(k) for k in keys}
+
+
+def test_decontamination_finds_items_without_an_id(spark, tmp_path, monkeypatch):
+    """As the SQL does: their windows hit words, and count as one item that has no id."""
+    bench = [(1, "one two three"), (None, "four five six"), (None, "one two three"), (None, "seven eight")]
+    rows = [(1, "x One two three four five six y"), (2, "seven EIGHT"), (3, "nothing of it"), (4, "one two three seven eight")]
+    spark.createDataFrame(bench, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    read = spark.createDataFrame(rows, "doc_id long, text string")
+    read.write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    for name in ("benchmark", "documents"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    for part in (corpus_pipeline.decontaminate.PART, 1):
+        monkeypatch.setattr(corpus_pipeline.decontaminate, "PART", part)
+        assert_same(q.op8_decontamination(spark, str(tmp_path)), con, q.SQL["op8_decontamination"])
+        assert [r["doc_id"] for r in corpus_pipeline.untested(spark, read, str(tmp_path)).collect()] == [3]

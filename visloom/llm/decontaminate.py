@@ -24,7 +24,7 @@ from .wordscan import PLAIN, Words, run_at, runs, scan, texts_of
 WINDOW = 10
 #: Windows of one broadcast: with its words about 200 bytes each.
 PART = 1 << 18
-HITS = "row long, doc_id long, n_words long, spans array<struct<a:long,b:long>>, items array<long>"
+HITS = "row long, doc_id long, n_words long, spans array<struct<a:long,b:long>>, items array<long>, unnamed boolean"
 _SPAN = pa.struct([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -48,8 +48,8 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class _Set:
     """Windows by number of words: sorted hashes, and for each the words and their items."""
 
-    def __init__(self, rows: list[tuple[int, int, bytes, list[int]]]) -> None:
-        self.by: dict[int, tuple[np.ndarray, np.ndarray, list[tuple[bytes, list[int]]]]] = {}
+    def __init__(self, rows: list[tuple[int, int, bytes, list[int | None]]]) -> None:
+        self.by: dict[int, tuple[np.ndarray, np.ndarray, list[tuple[bytes, list[int | None]]]]] = {}
         for k in {r[1] for r in rows}:
             some = sorted((r for r in rows if r[1] == k), key=lambda r: np.int64(r[0]).view(np.uint64))
             h = np.array([r[0] for r in some], np.int64).view(np.uint64)
@@ -58,10 +58,10 @@ class _Set:
             self.by[k] = h, seen, [(r[2], r[3]) for r in some]
 
 
-def _hits_in(known: _Set, w: Words) -> tuple[list[list[tuple[int, int]]], list[set[int]]]:
-    """For each text of a chunk: word ranges of verified windows, in order of window length, and the items."""
+def _hits_in(known: _Set, w: Words) -> tuple[list[list[tuple[int, int]]], list[set[int | None]]]:
+    """For each text of a chunk: word ranges of verified windows, in order of window length, and the items (None: such without an id)."""
     spans: list[list[tuple[int, int]]] = [[] for _ in range(w.n_texts)]
-    items: list[set[int]] = [set() for _ in range(w.n_texts)]
+    items: list[set[int | None]] = [set() for _ in range(w.n_texts)]
     for k, (h, seen, what) in known.by.items():
         at = run_at(w, k)
         mine = runs(w.hashes, k)[at]
@@ -91,8 +91,8 @@ def _find(value: Broadcast):
             for w in scan(texts_of(batch.column(2)), PLAIN):
                 spans, items = _hits_in(value.value, w)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(w.lo, w.n_texts), batch.column(1).slice(w.lo, w.n_texts), pa.array(np.diff(w.offsets)), pa.array([[{"a": a, "b": b} for a, b in _union(s)] for s in spans], pa.list_(_SPAN)), pa.array([sorted(s) for s in items], pa.list_(pa.int64()))],
-                    names=["row", "doc_id", "n_words", "spans", "items"],
+                    [batch.column(0).slice(w.lo, w.n_texts), batch.column(1).slice(w.lo, w.n_texts), pa.array(np.diff(w.offsets)), pa.array([[{"a": a, "b": b} for a, b in _union(s)] for s in spans], pa.list_(_SPAN)), pa.array([sorted(s - {None}) for s in items], pa.list_(pa.int64())), pa.array([None in s for s in items])],
+                    names=["row", "doc_id", "n_words", "spans", "items", "unnamed"],
                 )
 
     return run
@@ -120,22 +120,23 @@ def _union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def benchmark_parts(benchmark: DataFrame) -> list[Broadcast]:
-    """The windows of benchmark (item_id, text) in broadcasts of at most about PART windows."""
+    """The windows of benchmark (item_id, text), items without an id among them, in broadcasts of at most about PART windows."""
     spark = benchmark.sparkSession
-    items = benchmark.select(F.col("item_id").cast("long"), "text").where("item_id IS NOT NULL")
+    items = benchmark.select(F.col("item_id").cast("long"), "text")
     rows = items.mapInArrow(_windows, "item_id long, hash long, k int, words binary")
-    grams = rows.groupBy("hash", "k", "words").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+    grams = rows.groupBy("hash", "k", "words").agg(F.sort_array(F.collect_set("item_id")).alias("items"), F.bool_or(F.isnull("item_id")).alias("unnamed"))
     grams = store(grams, new_dir(spark, "benchmark"), "windows")
     n = max(1, -(-grams.count() // PART))
     some = lambda i: grams.where(F.pmod("hash", F.lit(n)) == i).toLocalIterator()
-    return [spark.sparkContext.broadcast(_Set([(r["hash"], r["k"], bytes(r["words"]), r["items"]) for r in some(i)])) for i in range(n)]
+    return [spark.sparkContext.broadcast(_Set([(r["hash"], r["k"], bytes(r["words"]), r["items"] + [None] * r["unnamed"]) for r in some(i)])) for i in range(n)]
 
 
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, n_words, spans (merged word ranges a..b that occur in the benchmark), items (sorted item ids).
+    """doc_id, n_words, spans (merged word ranges a..b that occur in the benchmark), items (sorted item ids), unnamed.
 
-    One row per row of docs (doc_id, text). Null and empty texts have no words; items without words or with
-    a null id are never found; an empty benchmark finds nothing. Other columns are ignored.
+    One row per row of docs (doc_id, text). Null and empty texts have no words; items without words are never
+    found; those with a null id are found as others, and unnamed says so in place of an id in items; an empty
+    benchmark finds nothing. Other columns are ignored.
     """
     # Every scan of the same files numbers the rows alike.
     docs = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text")
@@ -145,14 +146,14 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def _together(found: DataFrame) -> DataFrame:
     """Results of several parts of the benchmark, by row."""
-    g = found.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.sort_array(F.flatten(F.collect_list("spans"))).alias("s"), F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    g = found.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.sort_array(F.flatten(F.collect_list("spans"))).alias("s"), F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.bool_or("unnamed").alias("unnamed"))
     start = F.expr("CAST(array() AS array<struct<a:bigint,b:bigint>>)")
     last = lambda acc: F.element_at(acc, -1)
     merge = lambda acc, x: F.when(
         (F.size(acc) > 0) & (x["a"] <= F.coalesce(F.get(acc, F.size(acc) - 1)["b"], F.lit(-1))),
         F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(last(acc)["a"].alias("a"), F.greatest(last(acc)["b"], x["b"]).alias("b")))),
     ).otherwise(F.concat(acc, F.array(x)))
-    return g.select("row", "doc_id", "n_words", F.aggregate("s", start, merge).alias("spans"), "items")
+    return g.select("row", "doc_id", "n_words", F.aggregate("s", start, merge).alias("spans"), "items", "unnamed")
 
 
 def n_hit() -> F.Column:

@@ -66,7 +66,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = benchmark_hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     ids = F.array_join(F.array_sort(F.col("items").cast("array<string>")), ",")
     n = n_hit()
-    return hits.select("doc_id", "n_words", n.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(ids, 256).alias("items_sha256"), (n > 0).alias("contaminated"))
+    return hits.select("doc_id", "n_words", n.alias("n_hit"), (F.size("items") + F.col("unnamed").cast("int")).cast("long").alias("n_items"), F.sha2(ids, 256).alias("items_sha256"), (n > 0).alias("contaminated"))
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
