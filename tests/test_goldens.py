@@ -144,3 +144,24 @@ def test_disk_offset():
 def test_refined_peak():
     x = np.arange(60)
     assert imaging.refine_peaks(np.exp(-((x - 30.3) ** 2) / 18), [30]) == [pytest.approx(30.3, abs=1e-6)]
+
+
+def test_batch_clean_has_the_bands_images_and_all_steps(spark, sf, monkeypatch):
+    """Images of 256 x 256 in the lowest band, with its cell, cleaned for 200 steps."""
+    from visloom.plans import fixtures as fx
+    from visloom.plans import tools
+
+    some = tools._banded(spark, sf).where("sub_band = 0 AND chan = 3").cache()
+    monkeypatch.setattr(tools, "_banded", lambda *_: some)
+    got = {r["image_key"]: r for r in tools.i14(spark, sf).collect()}
+    b = fx.baselines(spark, sf).select("bl", "be", "bn")
+    samples = some.groupBy("pol", "bl").agg(F.avg("re").alias("re"), F.avg("im").alias("im")).join(b, "bl").toPandas()
+    assert len(got) == samples["pol"].nunique() > 0
+    for pol, s in samples.groupby("pol"):
+        wave = 299792458.0 / 475e6
+        image, beam = imaging.dirty_image(s["be"].to_numpy() / wave, s["bn"].to_numpy() / wave, s["re"].to_numpy(), s["im"].to_numpy(), 256, wave / 9000)
+        rest, parts = imaging.hogbom(image, beam, steps=200)
+        clean = imaging.restore(rest, parts, imaging.fit_beam(beam))
+        r = got[f"0-{pol}-3"]
+        assert r["high"] == pytest.approx(clean.max(), rel=1e-4) and r["low"] == pytest.approx(clean.min(), rel=1e-4)
+        assert clean[r["y"], r["x"]] == pytest.approx(clean.max(), rel=1e-4)

@@ -454,12 +454,19 @@ def i12(spark: SparkSession, sf: str) -> DataFrame:
 
 register("i12_box_smooth", i12, fx.with_views("WITH r AS (SELECT image_key, x, y, sum(value) OVER (PARTITION BY image_key, y ORDER BY x ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) / 4.0 AS v FROM pixels) SELECT image_key, x, y, round(sum(v) OVER (PARTITION BY image_key, x ORDER BY y ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) / 4.0, 4) + 0.0 AS value FROM r", "pixels"))
 
-CELL, SIZE = 2e-4, 64
+#: Radius of the disk that is looked for, in radians.
+DISK = 2e-3
+
+
+def _geometry(pdf) -> tuple[int, float]:
+    """Image size and cell in radians of the first array at the samples' frequency, as p09 has them; image_key is the channel where it isn't given."""
+    hz = float(pdf["hz"].iloc[0] if "hz" in pdf else pdf["image_key"].iloc[0] * 25e6 + 4e8)
+    return 256 if hz < 800e6 else 512 if hz < 1200e6 else 1024, SPEED / hz / 3000.0 / 3
 
 
 def _image(pdf) -> tuple:
     a = pdf[["u", "v", "re", "im"]].to_numpy()
-    return im.dirty_image(a[:, 0], a[:, 1], a[:, 2], a[:, 3], SIZE, CELL)
+    return im.dirty_image(a[:, 0], a[:, 1], a[:, 2], a[:, 3], *_geometry(pdf))
 
 
 def i01(spark: SparkSession, sf: str) -> DataFrame:
@@ -495,7 +502,7 @@ def i07(spark: SparkSession, sf: str) -> DataFrame:
 def _offset(pdf):
     import numpy as np
 
-    return np.array(im.disk_offset(_image(pdf)[0], 10.0), float)
+    return np.array(im.disk_offset(_image(pdf)[0], DISK / _geometry(pdf)[1]), float)
 
 
 def i13(spark: SparkSession, sf: str) -> DataFrame:
@@ -513,15 +520,22 @@ def i14(spark: SparkSession, sf: str) -> DataFrame:
     """CLEAN images of every band, polarization and channel of the first integration, and their peaks."""
     b = fx.baselines(spark, sf).select("bl", "be", "bn")
     v = _banded(spark, sf).groupBy("sub_band", "pol", "chan", "bl").agg(F.avg("re").alias("re"), F.avg("im").alias("im")).join(F.broadcast(b), "bl")
-    scale = ((F.col("sub_band") + 1) * 4e8 + F.col("chan") * 25e6) / SPEED
+    hz = (F.col("sub_band") + 1) * 4e8 + F.col("chan") * 25e6
+    scale = hz / SPEED
     key = F.concat_ws("-", "sub_band", "pol", "chan").alias("image_key")
-    uv = v.select(key, (F.col("be") * scale).alias("u"), (F.col("bn") * scale).alias("v"), "re", "im")
+    uv = v.select(key, (F.col("be") * scale).alias("u"), (F.col("bn") * scale).alias("v"), "re", "im", hz.alias("hz"))
+
+    def peaks(pdf):
+        """As im.extrema has them, of pixels as per_image would give them: 128 images of up to 1024 x 1024 stay in their tasks."""
+        import numpy as np
 
-    def clean(pdf):
         image, beam = _image(pdf)
-        return im.restore(*im.hogbom(image, beam, steps=60), im.fit_beam(beam))
+        pixels = im.restore(*im.hogbom(image, beam), im.fit_beam(beam)).astype(np.float32)
+        y, x = np.unravel_index(int(pixels.argmax()), pixels.shape)
+        return np.array([pixels[y, x], pixels.min(), x, y], np.float32)
 
-    return im.extrema(im.as_pixels(im.per_image(uv, clean)))
+    d = [F.get("data", F.lit(k)) for k in range(4)]
+    return im.per_image(uv, peaks).select("image_key", d[0].cast("double").alias("high"), d[1].cast("double").alias("low"), d[2].cast("int").alias("x"), d[3].cast("int").alias("y"))
 
 
 for _name, _run in {"i01_dirty_image": i01, "i03_clean_beam": i03, "i04_hogbom": i04, "i05_steer": i05, "i07_disk_offset": i07, "i13_refine_peaks": i13, "i14_batch_clean": i14}.items():
