@@ -1,25 +1,28 @@
 """Main text of web pages by wrappers inferred from pages of one host.
 
-A wrapper is a union-free regular expression over elements: every node is an element with its classes, may
-be optional (some pages lack it) or repeated (pages hold several in a row), and its text is either a
-constant of the template or a slot. A page alone is a wrapper; two wrappers are merged by aligning their
-child sequences: what aligns is merged in turn, what does not becomes optional, neighbours of equal element
-fold into one repeated node, and texts that differ become slots. Tasks merge what they read, host by host,
-and then the tasks' wrappers are merged, so a host of any number of pages gives one small row a task.
-
-The wrapper names the host's content element: the smallest element around all text in slots that is not in an
-article or main element. Pages are then read token by token: text inside every article and main element and the
-content element counts, but for menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
-comments in it. On a page with a main element, text outside its main and article elements does not count.
+Every page is read once, into nodes (block elements) and blocks of text. A node is known by its path: the
+elements from the root down, each with its role, classes and id (digits left out); an element without these
+is told from its like by the elements in it. Pages of a host are aligned path by path, and what is found
+makes the host's wrapper, a union-free regular expression over elements: a node that some pages lack is
+optional, one that stands several times in a page is repeated, and its text is a constant of the template
+where all pages agree, else a slot. The alignment is a grouped aggregation over (host, path) that no order of
+pages changes and that Spark sums before it shuffles; only nodes of two different pages at least are kept, so
+a wrapper is as large as its host's template, whatever the number of pages.
+
+The wrapper decides what is main text: the region is the smallest element around all slots that are in no
+article or main element; article and main elements are places of their own; constants in either are none (headings
+are, and articles that are the same on all pages), as long as slots hold `SLOTS` of the text. Elements of menus, footers, forms and the like are
+out by name. Classes that say the same count unless the wrapper shows that hardly any text stands outside of
+them (`REST`), and never on html, body, main, article or the region. On a page with a main element, text
+outside its main and article elements does not count.
 """
 
 from __future__ import annotations
 
 import html
-import json
 import re
+from collections import defaultdict
 from collections.abc import Iterator
-from difflib import SequenceMatcher
 from hashlib import blake2b
 
 import pyarrow as pa
@@ -28,10 +31,12 @@ from pyspark.sql import functions as F
 
 from .shared import new_dir, store
 
-#: Deeper elements count as children of the element at this depth, in wrappers only.
-DEPTH = 48
-#: Longer constant texts are known by their digests.
-TEXT = 40
+#: Pages (at least two different ones) that a constant of the template stands on.
+AGREE = 3
+#: Share of a host's text that slots hold, where constants are furniture; below it pages are copies of each other.
+SLOTS = 0.2
+#: Share of a host's text that stands outside marked elements, below which the marks mean something else.
+REST = 0.1
 
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z](?:[^>"']|"[^"]*"|'[^']*')*+(?:>|\Z)|</?[a-zA-Z][^>]*(?:>|\Z)""",
@@ -45,8 +50,8 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements of text, too small for a content element.
 SMALL = frozenset("p li ul ol dl dt dd h1 h2 h3 h4 h5 h6 pre blockquote tr td th tbody thead tfoot".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
-#: Elements that never hold main text, and classes, ids and roles that tell the same of others.
-APART = frozenset("nav header footer aside form script style noscript template iframe object svg math button select textarea dialog menu title head".split())
+#: Elements that never hold main text (a header may), and classes, ids and roles that tell the same of others.
+APART = frozenset("nav footer aside form script style noscript template iframe object svg math button select textarea dialog menu title head".split())
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo banner cookie cookies consent notice notification alert popup modal nav navbar navigation menu breadcrumb breadcrumbs header masthead footer "
     "sidebar aside widget related recommended share sharing social newsletter subscribe signup login search comment comments comment-list disqus respond replies reply contentinfo complementary".split()
@@ -108,26 +113,21 @@ def marked(word: str) -> bool:
     return (first in MARKS - ALONE and last in AFTER) or (last in MARKS - ALONE and first in BEFORE)
 
 
-def apart(name: str, attrs: dict[str, str], inside: int, own: bool = False) -> bool:
-    """Whether the element and all in it is no main text.
-
-    inside: 0 where a header is none, 1 where it is one unless it is marked so, 2 in an article or a host's content
-    element, where it holds the title. own: whether the element is such a place itself; marks don't hold for it.
-    """
-    if name in ("html", "body"):
-        return False
-    if name in APART and not (inside and name == "header"):
-        return True
-    if not attrs:
-        return False
-    if "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in attrs.get("style", "").replace(" ", ""):
-        return True
-    if own or (inside == 2 and name == "header"):
+def mark(name: str, attrs: dict[str, str]) -> bool:
+    """Whether class, id or role say that the element is no main text; asked of no page, place or heading's id."""
+    if not attrs or name in ("html", "body") or place(name, attrs):
         return False
     names = "" if name in HEADINGS else attrs.get("id", "")
     return any(map(marked, f"{attrs.get('class', '')} {names} {attrs.get('role', '')}".lower().split()))
 
 
+def gone(name: str, attrs: dict[str, str]) -> bool:
+    """Whether the element is out, whatever the wrapper says: by its name, or as it isn't shown."""
+    if name in ("html", "body"):
+        return False
+    return name in APART or (bool(attrs) and ("hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in attrs.get("style", "").replace(" ", "")))
+
+
 def place(name: str, attrs: dict[str, str]) -> int:
     """3 for a main element, 2 for an article, by name or role; else 0."""
     if name in ("html", "body"):
@@ -136,232 +136,252 @@ def place(name: str, attrs: dict[str, str]) -> int:
 
 
 def key(name: str, attrs: dict[str, str]) -> str:
-    """An element as wrappers know it: its name, role and classes, digits left out; html and body by name alone."""
-    if name in ("html", "body"):
+    """An element as wrappers know it: its name, role, classes and id, digits left out; html and body by name alone."""
+    if name in ("html", "body") or not attrs:
         return name
     extra = sorted(re.sub(r"\d+", "", attrs.get("class", "")).lower().split())
-    return ".".join([name, *(["=" + attrs["role"]] if attrs.get("role") else []), *extra])
+    names = "".join(f"#{re.sub(r'[0-9]+', '', attrs[x])}" for x in ("id",) if attrs.get(x))
+    return ".".join([name, *(["=" + attrs["role"]] if attrs.get("role") else []), *extra]) + names
 
 
-def _node(k: str, page: int, what: int) -> dict:
-    return {"k": k, "w": what, "o": False, "r": False, "t": "", "n": 0, "p": page, "c": []}
+def _hash(*parts: object) -> int:
+    return int.from_bytes(blake2b("\0".join(map(str, parts)).encode(errors="replace"), digest_size=8).digest(), signed=True)
 
 
-def tree(page: str) -> dict:
-    """A page's own wrapper.
-
-    k element, w what it is (-1 apart, else its place), o optional, r repeated, t constant text or its digest or
-    None for a slot, n length of text, p digest of the page or None if several pages have the node, c children.
-    """
-    own = int.from_bytes(blake2b(page.encode(errors="replace"), digest_size=6).digest())
-    root = _node("", own, 0)
-    stack, named = [root], [0]
-    texts: dict[int, tuple[dict, list[str]]] = {}
-    in_main = 0
-    for kind, value, attrs in events(page):
-        if kind == "text":
-            text = " ".join(value.split())
-            if text:
-                texts.setdefault(id(stack[-1]), (stack[-1], []))[1].append(text)
-                stack[-1]["n"] += len(text)
-                in_main += named[-1] == 3
-        elif kind == "open":
-            while len(stack) > 1 and value in ENDS.get(stack[-1]["k"].split(".")[0], ()):
-                stack.pop(), named.pop()
-            what = place(value, attrs)
-            node = _node(key(value, attrs), own, -1 if apart(value, attrs, 1 if stack[-1]["k"] in ("", "html", "body") else 2, what > 0) else what)
-            stack[-1]["c"].append(node)
-            if value not in VOID and len(stack) < DEPTH:
-                stack.append(node)
-                named.append(-1 if named[-1] < 0 or node["w"] < 0 else max(named[-1], what))
-        else:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i]["k"].split(".")[0] == value:
-                    del stack[i:], named[i:]
-                    break
-    for node, found in texts.values():
-        text = " ".join(found)
-        node["t"] = text if len(text) <= TEXT else blake2b(text.encode(errors="replace"), digest_size=16).hexdigest()
-    if in_main:
-        _only_named(root)
-    return fold(root)
-
-
-def _only_named(node: dict) -> None:
-    """Forgets text outside main and article elements."""
-    node["t"], node["n"] = "", 0
-    for c in node["c"]:
-        if c["w"] < 2:
-            _only_named(c)
-
-
-def fold(node: dict) -> dict:
-    """Neighbours of equal element become one repeated node."""
-    out: list[dict] = []
-    for child in node["c"]:
-        child = fold(child)
-        if out and _same(out[-1]) == _same(child):
-            out[-1] = merge(out[-1], child) | {"r": True, "n": out[-1]["n"] + child["n"]}
-        else:
-            out.append(child)
-    return node | {"c": out}
+MARKED, HEADER, HEADING, INNER, PAGE = 1, 2, 4, 8, 16
+_NODE = pa.struct([(x, pa.int64()) for x in ("path", "up", "parent", "place", "bits", "times", "n", "text", "n_all", "all")] + [("k", pa.string())])
+_BLOCK = pa.struct([("node", pa.int32()), ("text", pa.string())])
+NODE = "struct<path:long,up:long,parent:long,place:long,bits:long,times:long,n:long,text:long,n_all:long,all:long,k:string>"
 
 
-def _same(node: dict) -> tuple[str, int]:
-    return node["k"], node["w"]
+def read(page: str) -> tuple[list[dict], list[dict]]:
+    """Nodes and blocks of a page.
 
-
-def merge(a: dict, b: dict) -> dict:
-    """The wrapper of what either of two nodes of equal element matches."""
-    x, y = [_same(c) for c in a["c"]], [_same(c) for c in b["c"]]
-    kids: list[dict] = []
-    if x == y:
-        kids = [merge(p, q) for p, q in zip(a["c"], b["c"], strict=True)]
-    else:
-        for what, i, j, m, n in SequenceMatcher(None, x, y, autojunk=False).get_opcodes():
-            if what == "equal":
-                kids += [merge(p, q) for p, q in zip(a["c"][i:j], b["c"][m:n], strict=True)]
-            else:
-                kids += [c | {"o": True} for c in (*a["c"][i:j], *b["c"][m:n])]
-        folded: list[dict] = []
-        for c in kids:
-            if folded and _same(folded[-1]) == _same(c):
-                folded[-1] = merge(folded[-1], c) | {"r": True}
-            else:
-                folded.append(c)
-        kids = folded
-    one = a["p"] if a["p"] == b["p"] else None
-    return {"k": a["k"], "w": a["w"], "p": one, "o": a["o"] or b["o"], "r": a["r"] or b["r"], "t": a["t"] if a["t"] == b["t"] else None, "n": a["n"] + b["n"], "c": kids}
-
-
-def slot(node: dict) -> bool:
-    """Whether the node's own text is none of the template: it differs, or a single page has it."""
-    return node["n"] > 0 and (node["t"] is None or node["p"] is not None)
-
-
-def slots(node: dict) -> bool:
-    """Whether a node holds slots that are neither apart nor in an article or main element."""
-    return not node["w"] and (slot(node) or any(map(slots, node["c"])))
-
-
-def content(wrapper: dict) -> str:
-    """The smallest element around all slots that are neither apart nor in an article or main element; 'body' if it is the whole page, '' without such slots."""
-    if not slots(wrapper):
-        return ""
-    node = wrapper
-    while not slot(node):
-        kids = [c for c in node["c"] if slots(c)]
-        if len(kids) > 1 or kids[0]["r"] or kids[0]["k"].split(".")[0] in INLINE | SMALL:
-            break
-        node = kids[0]
-    return "body" if node["k"] in ("", "html", "body") else node["k"]
-
-
-def blocks(page: str, region: str) -> list[tuple[int, str]]:
-    """Blocks of text that are not apart, in page order, each with its place: 3 in a main element, 2 in an article, 1 in elements `region`, else 0."""
-    out: list[tuple[int, str]] = []
+    Nodes, each behind its parent: path, parent's path, parent (its place in the list), place, bits, times (in this
+    page), n characters of its own text and their digest, the same of all text below it that is in no article,
+    main or marked element, k (its key). Blocks in page order: node, text. What is `gone` is in neither.
+    """
+    names, ups, keys, kinds = [""], [-1], [""], [(0, PAGE)]
+    inner: defaultdict[int, set[str]] = defaultdict(set)
+    raw: list[tuple[int, str]] = []
     held: list[str] = []
-    least = int(region == "body")
-    at = least
+    stack: list[tuple[str, int, bool]] = [("", 0, False)]
 
     def close() -> None:
         text = " ".join("".join(held).split())
         held.clear()
         if text:
-            out.append((at, text))
+            raw.append((at, text))
 
-    stack: list[tuple[str, int, bool]] = []
+    at = 0
     for kind, value, attrs in events(page):
-        inside, out_of = (stack[-1][1], stack[-1][2]) if stack else (least, False)
         if kind == "text":
-            if not out_of:
-                if inside != at:
+            _, node, out = stack[-1]
+            if not out:
+                if node != at:
                     close()
-                    at = inside
+                    at = node
                 held.append(html.unescape(value))
         elif kind == "open":
-            while stack and value in ENDS.get(stack[-1][0], ()):
+            while len(stack) > 1 and value in ENDS.get(stack[-1][0], ()):
                 stack.pop()
-            inside, out_of = (stack[-1][1], stack[-1][2]) if stack else (least, False)
-            if value not in INLINE:
-                if value == "br":
-                    held.append(" ")
-                else:
-                    close()
-            if value not in VOID:
-                own = max(place(value, attrs), int(key(value, attrs) == region))
-                inside = max(inside, own)
-                header = 0 if not inside else 1 if inside == least else 2
-                stack.append((value, inside, out_of or apart(value, attrs, header, own > 0)))
+            _, node, out = stack[-1]
+            if value in INLINE:
+                if value not in VOID:
+                    stack.append((value, node, out or gone(value, attrs) or mark(value, attrs)))
+                continue
+            if value == "br":
+                held.append(" ")
+                continue
+            close()
+            if value in VOID:
+                continue
+            out = out or gone(value, attrs)
+            if not out:
+                inner[node].add(value)
+                names.append(value)
+                ups.append(node)
+                keys.append(key(value, attrs))
+                bits = MARKED * mark(value, attrs) | HEADER * (value == "header") | HEADING * (value in HEADINGS) | INNER * (value in SMALL) | PAGE * (value in ("html", "body"))
+                kinds.append((place(value, attrs), bits))
+                node = len(names) - 1
+            stack.append((value, node, out))
         else:
             if value not in INLINE:
                 close()
-            for i in range(len(stack) - 1, -1, -1):
+            for i in range(len(stack) - 1, 0, -1):
                 if stack[i][0] == value:
                     del stack[i:]
                     break
     close()
-    return out
 
-
-def main_text(page: str, region: str | None) -> str:
-    """Main text of a page of a host whose content element is `region`; a page without any such element gives its body."""
-    found = blocks(page, region or "")
+    # Equal elements of one parent are one node, found several times.
+    known: dict[tuple[int, str], int] = {}
+    nodes: list[dict] = []
+    to = [0] * len(names)
+    for i, k in enumerate(keys):
+        if k == names[i] and k not in SMALL and not kinds[i][1] & PAGE and not kinds[i][0]:
+            k += "{" + ",".join(sorted(inner[i])) + "}"
+        up = to[ups[i]] if i else -1
+        j = known.setdefault((up, k), len(nodes))
+        if j == len(nodes):
+            above = nodes[up]["path"] if i else 0
+            nodes.append({"path": _hash(above, k), "up": above, "parent": up, "place": kinds[i][0], "bits": kinds[i][1], "times": 0, "n": 0, "text": 0, "n_all": 0, "all": 0, "k": k})
+        nodes[j]["times"] += 1
+        to[i] = j
+    texts: defaultdict[int, list[str]] = defaultdict(list)
+    blocks = [{"node": to[i], "text": text} for i, text in raw]
+    for b in blocks:
+        texts[b["node"]].append(b["text"])
+    for j, some in texts.items():
+        nodes[j]["n"], nodes[j]["text"] = sum(map(len, some)), _hash(*some)
+    in_main = any(_above(nodes, j, lambda x: x["place"] == 3) for j in texts)
+    for j in range(len(nodes) - 1, -1, -1):
+        x = nodes[j]
+        if not in_main or _above(nodes, j, lambda x: x["place"] > 0):
+            x["n_all"], x["all"] = x["n_all"] + x["n"], _hash(x["all"], x["text"])
+        if j and not x["place"] and not (x["bits"] & MARKED and not _title(nodes, j)):
+            up = nodes[x["parent"]]
+            up["n_all"], up["all"] = up["n_all"] + x["n_all"], _hash(up["all"], x["path"], x["all"]) if x["n_all"] else up["all"]
+    return nodes, blocks
+
+
+def _title(nodes: list[dict], j: int) -> bool:
+    """Whether a node is a header of a part of the page, not of the page."""
+    return bool(nodes[j]["bits"] & HEADER) and not nodes[nodes[j]["parent"]]["bits"] & PAGE
+
+
+def _above(nodes: list[dict], j: int, what) -> bool:
+    """Whether a node or one it is in is such."""
+    while j >= 0:
+        if what(nodes[j]):
+            return True
+        j = nodes[j]["parent"]
+    return False
+
+
+def main_text(nodes: list[dict], blocks: list[dict], region: int | None, constant: set[int], trusted: set[int]) -> str:
+    """Main text of a page of a host with this content element, constants of the template, and marks that don't hold."""
+    inside, out = [0] * len(nodes), [False] * len(nodes)
+    for j, x in enumerate(nodes):
+        up = x["parent"]
+        own = max(x["place"], int(x["path"] == region))
+        inside[j] = max(inside[up] if j else 0, own)
+        title = x["bits"] & HEADER and (inside[j] == 2 or inside[j] == 3 or (inside[j] == 1 and not _page(nodes, j, region)))
+        lost = (x["bits"] & HEADER and not inside[j]) or (x["bits"] & MARKED and not own and not title and x["path"] not in trusted)
+        out[j] = (out[up] if j else False) or bool(lost)
+    found = [(inside[b["node"]], b["text"]) for b in blocks if not out[b["node"]] and not (inside[b["node"]] and nodes[b["node"]]["path"] in constant)]
+    marks = {x["path"] for x in nodes if x["bits"] & MARKED} - trusted
+    if not found and marks:  # the page has no other text
+        return main_text(nodes, blocks, region, constant, trusted | marks)
     best = max((p for p, _ in found), default=0)
     return "\n".join(text for p, text in found if p >= (2 if best == 3 else min(best, 1)))
 
 
-def host(url: F.Column) -> F.Column:
-    return F.lower(F.coalesce(F.regexp_extract(url, r"^\s*[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
+def _page(nodes: list[dict], j: int, region: int | None) -> bool:
+    """Whether the content element around a node is the whole page, so that headers are the site's too."""
+    return _above(nodes, j, lambda x: x["path"] == region and x["bits"] & PAGE)
 
 
-def _together(found: dict[str, dict], name: str, wrapper: dict) -> None:
-    found[name] = merge(found[name], wrapper) if name in found else wrapper
+def host(url: F.Column) -> F.Column:
+    return F.lower(F.coalesce(F.regexp_extract(url, r"^\s*[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
 
 
-def _infer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    found: dict[str, dict] = {}
-    for batch in batches:
-        for name, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            if page:
-                _together(found, name, tree(page))
-        if len(found) > 2000:  # hosts by the thousand: what is merged so far goes on, to be merged after the shuffle
-            yield _rows(found)
-            found = {}
-    yield _rows(found)
+WRAPPER = "host string, region long, constant array<long>, trusted array<long>, wrapper string"
+
+
+def _wrap(table: pa.Table) -> pa.Table:
+    """One host's wrapper and what it decides, from its nodes that several pages have."""
+    rows = {r["path"]: r for r in table.to_pylist()}
+    kids: defaultdict[int, list[dict]] = defaultdict(list)
+    for r in sorted(rows.values(), key=lambda r: (r["pos"], r["k"])):
+        kids[r["up"]].append(r)
+    top = kids[0][0]
+    total = top["shown"] or 1
+    # Marked text that nothing else stands beside.
+    trusted = [p for p, r in rows.items() if r["bits"] & MARKED] if top["plain"] < REST * total else []
+    region, node = None, top
+    if node["n_all"] and not node["all_same"]:
+        while node["same"] or not node["n"]:
+            below = [r for r in kids[node["path"]] if r["n_all"] and not r["place"] and not (r["bits"] & MARKED and not (r["bits"] & HEADER and not node["bits"] & PAGE))]
+            several = [r for r in below if not r["all_same"]]
+            alone = node["n_all"] > (node["n"] + sum(r["n_all"] for r in below))
+            if alone or len(several) != 1 or several[0]["times"] > several[0]["pages"] or several[0]["bits"] & INNER:
+                break
+            node = several[0]
+        region = top["path"] if node["bits"] & PAGE else node["path"]
+
+    def whole(r: dict) -> bool:
+        """Whether a node lies in an article or main element that is the same on all pages."""
+        while r["up"] in rows and not r["place"]:
+            r = rows[r["up"]]
+        return r["place"] > 0 and r["all_same"]
+
+    fixed = [r for r in rows.values() if r["n"] and r["same"] and r["pages"] >= AGREE and not r["bits"] & HEADING]
+    constant = [r["path"] for r in fixed if not whole(r)] if total - sum(r["n"] for r in fixed) >= SLOTS * total else []
+
+    parts: list[str] = []
+    todo: list = [top]
+    while todo:
+        r = todo.pop()
+        if isinstance(r, str):
+            parts.append(r)
+            continue
+        pages = rows[r["up"]]["pages"] if r["up"] in rows else r["pages"]
+        tail = ("+" if r["times"] > r["pages"] else "") + ("?" if r["pages"] < pages else "")
+        parts.append(f"{r['k']}(" + ("#" if r["n"] and not r["same"] else "'" if r["n"] else ""))
+        todo += [")" + tail, *reversed(kids[r["path"]])]
+    return pa.table({"host": [table.column("host")[0].as_py()], "region": pa.array([region], pa.int64()), "constant": pa.array([constant], pa.list_(pa.int64())), "trusted": pa.array([trusted], pa.list_(pa.int64())), "wrapper": ["".join(parts)]})
 
 
-def _rows(found: dict[str, dict]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array([json.dumps(w) for w in found.values()], pa.string())], names=["host", "wrapper"])
+def read_pages(pages: DataFrame) -> DataFrame:
+    """page_id, url, host, page (digest), nodes, blocks, shown and plain (characters, and such in no marked element) of each row of pages."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got = [(x or "", *read(x or "")) for x in batch.column(3).to_pylist()]
+            plain = [sum(len(b["text"]) for b in blocks if not _above(nodes, b["node"], lambda x: x["bits"] & MARKED)) for _, nodes, blocks in got]
+            cols = [pa.array([_hash(x) for x, _, _ in got], pa.int64()), pa.array([n for _, n, _ in got], pa.list_(_NODE)), pa.array([b for _, _, b in got], pa.list_(_BLOCK))]
+            cols += [pa.array([sum(x["n"] for x in n) for _, n, _ in got], pa.int64()), pa.array(plain, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *cols], names=["page_id", "url", "host", "page", "nodes", "blocks", "shown", "plain"])
+
+    rows = pages.select("page_id", F.col("url").cast("string"), host(F.col("url")).alias("host"), F.col("html").cast("string"))
+    schema = f"page_id {dict(pages.dtypes)['page_id']}, url string, host string, page long, nodes array<{NODE}>, blocks array<struct<node:int,text:string>>, shown long, plain long"
+    return rows.mapInArrow(run, schema)
 
-def _join_wrappers(table: pa.Table) -> pa.Table:
-    found: dict[str, dict] = {}
-    for name, wrapper in zip(table.column("host").to_pylist(), table.column("wrapper").to_pylist(), strict=True):
-        _together(found, name, json.loads(wrapper))
-    return pa.table({"host": list(found), "wrapper": [json.dumps(w) for w in found.values()], "region": [content(w) for w in found.values()]})
 
+def infer_wrappers(parsed: DataFrame) -> DataFrame:
+    """host, region, constant, trusted, wrapper (as text: `#` slot, `'` constant, `+` repeated, `?` optional) of each host with two different pages at least.
 
-def infer_wrappers(pages: DataFrame) -> DataFrame:
-    """host, wrapper (JSON), region of each host of pages (url, html); a page without url belongs to host ''."""
-    parts = pages.select(host(F.col("url")).alias("host"), "html").mapInArrow(_infer, "host string, wrapper string")
-    return parts.groupBy("host").applyInArrow(_join_wrappers, "host string, wrapper string, region string")
+    A page without url belongs to host ''. Sums over (host, path) are formed before the shuffle, so a host of any
+    number of pages is a small row for each of its paths and task.
+    """
+    nodes = parsed.where("shown > 0").select("host", "page", "shown", "plain", F.posexplode("nodes").alias("pos", "x")).select("host", "page", "shown", "plain", "pos", "x.*")
+    same = lambda x: F.min(x).eqNullSafe(F.max(x))
+    found = nodes.groupBy("host", "path").agg(
+        *(F.first(x).alias(x) for x in ("up", "k", "place")), F.bit_or("bits").alias("bits"), F.count("*").alias("pages"), *(F.sum(x).alias(x) for x in ("times", "n", "n_all", "shown", "plain")),
+        F.min("pos").alias("pos"), same("text").alias("same"), same("all").alias("all_same"), same("page").alias("one"),
+    )
+    return found.where("NOT one").drop("one").groupBy("host").applyInArrow(_wrap, WRAPPER)
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars: one row per row of pages (page_id, url, html).
 
-    Null and empty pages give an empty text. Repeated rows are kept; null ids and urls stay null. The wrappers
-    joined to the pages are a short row a host; Spark broadcasts them while they are small and else joins by
-    host, splitting a host that holds too many pages.
+    Null and empty pages give an empty text. Repeated rows are kept; null ids and urls stay null; other columns are
+    ignored. The wrappers joined to the pages are a short row a host; Spark broadcasts them while they are small and
+    else joins by host, splitting a host that holds too many pages.
     """
-    regions = store(infer_wrappers(pages), new_dir(pages.sparkSession, "wrappers"), "hosts").select("host", "region")
-    rows = pages.select("page_id", "url", "html", host(F.col("url")).alias("host")).join(regions, "host", "left").select("page_id", "url", "html", "region")
+    folder = new_dir(pages.sparkSession, "pages")
+    parsed = store(read_pages(pages), folder, "parsed")
+    wrappers = store(infer_wrappers(parsed), folder, "wrappers").drop("wrapper")
+    slim = F.transform("nodes", lambda x: F.struct(*(x[c].alias(c) for c in ("path", "parent", "place", "bits"))))
+    rows = parsed.select("page_id", "url", "host", slim.alias("nodes"), "blocks").join(wrappers, "host", "left").drop("host")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(p or "", r) for p, r in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            cols = [batch.column(i).to_pylist() for i in range(2, 7)]
+            texts = [main_text(n, b, r, set(c or ()), set(t or ())) for n, b, r, c, t in zip(*cols, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    schema = f"page_id {dict(pages.dtypes)['page_id']}, url string, text string, n_chars long"
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, f"page_id {dict(pages.dtypes)['page_id']}, url string, text string, n_chars long")
