@@ -2,19 +2,22 @@
 
 1. Each text becomes its set of word shingles (64-bit hashes), `PERMS` minima of it, of which the low
    `BITS` bits are packed into a signature, and `BANDS` band keys of `ROWS` minima each.
-2. Texts with equal sets (a 128-bit digest of the set and its size) collapse to the one of smallest id,
-   so copies are never expanded into pairs.
-3. In each band bucket all members are paired with the bucket's pivot. A pair whose packed signatures,
+2. Texts with equal sets (a 128-bit digest of the set and its size) are one node, so copies are never
+   expanded into pairs.
+3. In each band bucket all nodes are paired with the bucket's pivot. A pair whose packed signatures,
    corrected for chance agreement of b bits, are out of reach of the threshold is left out; the others
    are confirmed on full sets.
-4. Buckets whose members are still in several components are joined to clusters (texts that share
-   buckets, however indirectly). In each cluster every text outside its largest component is compared
-   with every other one, on full sets, block against block: blocks hold at most `BLOCK` texts, and a pair
-   of blocks gives back only links that join two components, so neither the rows of a group nor its
-   pairs ever meet in one task. There is no cap on buckets, partners or candidates.
-5. Components of the confirmed links; copies take the component of their representative.
-
-With 32 bands of 4 rows a pair of similarity 0.8 shares no band with probability 5e-8.
+4. In buckets whose nodes are then still in several components, every node outside the largest one is
+   compared with all others of the bucket by signature alone, tile by tile of at most `TILE` nodes a side.
+   A tile gives back, for each node, its most similar partners in other components: `FIRST` of them at
+   first, which are confirmed on full sets, and `GROW` times as many in each further round, for as long as
+   some were left out. So what a large group joins early is never compared again, every candidate of
+   what stays apart is confirmed in the end, and neither a bucket nor its pairs ever meet in one task.
+   There is no cap on buckets, partners or candidates.
+5. Components of the confirmed links; copies take the component of their node.
+
+With 48 bands of 6 rows a pair of similarity 0.8 shares no band with probability 5e-7, one of similarity 0.3
+(a common block of text) does with probability 0.03, so buckets hold little else than near duplicates.
 """
 
 from __future__ import annotations
@@ -32,11 +35,13 @@ from .components import components
 from .shared import new_dir, store
 from .wordscan import SPACED, mixed, run_at, runs, scan, texts_of
 
-PERMS, BITS, BANDS, ROWS = 128, 4, 32, 4
+PERMS, BITS, BANDS, ROWS = 288, 4, 48, 6
 #: Six standard deviations of the estimate from `PERMS` four-bit minima at similarity 0.8.
-MARGIN = 0.22
-#: Texts of a block, on average.
-BLOCK = 512
+MARGIN = 0.15
+#: Nodes of a tile's side, and rows of a task's tiles, on average.
+TILE, TASK = 1024, 8192
+#: Partners of a node that a first round confirms, and the factor of further rounds.
+FIRST, GROW = 4, 16
 #: Bits of the filter by which tasks pass over texts whose sets aren't wanted, at most (16 MB); a fuller
 #: filter lets more texts through and changes no result.
 FILTER_BITS = 1 << 27
@@ -55,7 +60,7 @@ SIGNED = T.StructType(
         T.StructField("sig", T.ArrayType(T.LongType())),
     ]
 )
-SETS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("shingles", T.ArrayType(T.LongType()))])
+SETS = T.StructType([T.StructField("node", T.LongType()), T.StructField("shingles", T.ArrayType(T.LongType()))])
 
 
 def shingle_sets(texts: list[bytes], k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -88,6 +93,12 @@ def _minima(h: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
+def _digests(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """A digest of each set, 0 of an empty one."""
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(h))])
+    return total[bounds[1:]] - total[bounds[:-1]]
+
+
 def _sign(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -95,12 +106,10 @@ def _sign(k: int):
             for lo, h, bounds in shingle_sets(texts_of(batch.column(1)), k):
                 n = np.diff(bounds)
                 full = np.flatnonzero(n)
-                d = np.zeros((2, len(n)), np.uint64)
+                d = np.stack([_digests(h, bounds), _digests(h ^ np.uint64(0x5851F42D4C957F2D), bounds)])
                 bands, sig = np.zeros((len(full), BANDS), np.uint64), np.zeros((len(full), PERMS * BITS // 64), np.uint64)
                 if len(full):
                     at = bounds[:-1][full]
-                    d[0, full] = np.add.reduceat(mixed(h), at)
-                    d[1, full] = np.add.reduceat(mixed(h ^ np.uint64(0x5851F42D4C957F2D)), at)
                     m = _minima(h, at)
                     for b in range(BANDS):
                         rows = m[:, b * ROWS : (b + 1) * ROWS].astype(np.uint64)
@@ -126,10 +135,9 @@ def _sets(k: int, value):
         for batch in batches:
             slot = batch.column(2).to_numpy()
             batch = batch.filter(pa.array((bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0))
-            ids = batch.column(0)
-            for lo, h, bounds in shingle_sets(texts_of(batch.column(1)), k):
+            for _, h, bounds in shingle_sets(texts_of(batch.column(1)), k):
                 lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(h.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([ids.slice(lo, len(bounds) - 1), lists], names=["doc_id", "shingles"])
+                yield pa.RecordBatch.from_arrays([pa.array(_digests(h, bounds).view(np.int64)), lists], names=["node", "shingles"])
 
     return run
 
@@ -146,11 +154,11 @@ def _bit_filter(ids: DataFrame) -> tuple[Broadcast, Column]:
 
 
 def _wanted_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """doc_id, shingles of the texts in wanted (doc_id), without shuffling texts: a bit filter of bounded size
-    passes over the others where they are read, and a join drops the few that slip through it."""
-    value, slot = _bit_filter(wanted)
+    """node, shingles of wanted (node, doc_id), without shuffling texts: a bit filter of bounded size passes over
+    the other texts where they are read, and a join drops the few that slip through it."""
+    value, slot = _bit_filter(wanted.select("doc_id"))
     found = docs.where("doc_id IS NOT NULL").select("doc_id", "text", slot.alias("s")).mapInArrow(_sets(k, value), SETS)
-    return found.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return found.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
 def estimate(a: Column, b: Column) -> Column:
@@ -168,82 +176,90 @@ def estimate(a: Column, b: Column) -> Column:
     return (1 - differ / F.lit(float(PERMS)) - chance) / (1 - chance)
 
 
-def _confirm(pairs: DataFrame, signed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _confirm(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of pairs (a, b) whose full sets reach the threshold."""
-    side = lambda x: signed.select(F.col("doc_id").alias(x), F.col("sig").alias(f"s{x}"), F.col("n_shingles").alias(f"n{x}"))
+    side = lambda x: nodes.select(F.col("node").alias(x), F.col("sig").alias(f"s{x}"), F.col("n_shingles").alias(f"n{x}"))
     near = pairs.join(side("b"), "b").join(side("a"), "a")
     near = near.where((F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent) & (estimate(F.col("sa"), F.col("sb")) >= percent / 100 - MARGIN))
-    near = near.select("a", "b", "na", "nb").join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("xb")), "b")
-    joined = near.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("xa")), "a")
+    near = near.select("a", "b", "na", "nb").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("xb")), "b")
+    joined = near.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("xa")), "a")
     shared = joined.select("a", "b", "na", "nb", F.size(F.array_intersect("xa", "xb")).alias("both"))
     return shared.where(F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * percent).select("a", "b")
 
 
-def _block_links(percent: int):
-    """Links of the first block's texts with those of the second, only such as join two components."""
+_ONES = np.uint64(int("1" * 16, 16))
+
+
+def _tiles(percent: int, most: int):
+    """For each node of the first side, its `most` likeliest partners of other components on the other side, and whether it has more."""
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        ids, comps = table.column("doc_id").to_numpy(), table.column("c").to_numpy()
-        first = table.column("first").to_numpy()
-        lists = table.column("shingles").chunk(0)
-        at, h = np.asarray(lists.offsets), lists.values.to_numpy()
-        n = np.diff(at)
-        second = np.flatnonzero(~first)
-        own = np.repeat(np.arange(len(second)), n[second])
-        posted = np.concatenate([h[at[i] : at[i + 1]] for i in second]) if len(second) else h[:0]
-        order = np.argsort(posted, kind="stable")
-        posted, own = posted[order], own[order]
-        parent = {int(c): int(c) for c in comps}
-
-        def top(c: int) -> int:
-            while parent[c] != c:
-                parent[c] = c = parent[parent[c]]
-            return c
-
-        a, b = [], []
-        for i in np.flatnonzero(first):
-            mine = h[at[i] : at[i + 1]]
-            lo, hi = np.searchsorted(posted, mine, "left"), np.searchsorted(posted, mine, "right")
-            size = hi - lo
-            where = np.repeat(lo - (np.cumsum(size) - size), size) + np.arange(size.sum())
-            both = np.bincount(own[where], minlength=len(second))
-            for j in second[100 * both >= percent * (n[i] + n[second] - both)]:
-                x, y = top(int(comps[i])), top(int(comps[j]))
-                if x != y:
-                    parent[max(x, y)] = min(x, y)
-                    a.append(int(ids[i]))
-                    b.append(int(ids[j]))
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        col = {x: table.column(x).to_numpy() for x in ("key", "i", "j", "node", "c", "n_shingles", "first")}
+        sigs = np.stack(table.column("sig").to_numpy()).view(np.uint64)
+        order = np.lexsort((col["j"], col["i"], col["key"]))
+        tile = np.stack([col[x][order] for x in ("key", "i", "j")])
+        cuts = np.flatnonzero((tile[:, 1:] != tile[:, :-1]).any(0)) + 1
+        a, b, more = [], [], False
+        for rows in np.split(order, cuts):
+            first = col["first"][rows]
+            left, right = rows[first], rows[~first]
+            n, c, other = col["n_shingles"][right], col["c"][right], sigs[right]
+            for x in left:
+                mine = col["n_shingles"][x]
+                may = np.flatnonzero((c != col["c"][x]) & (np.minimum(n, mine) * 100 >= np.maximum(n, mine) * percent))
+                y = other[may] ^ sigs[x]
+                y |= y >> np.uint64(2)
+                y |= y >> np.uint64(1)
+                differ = np.bitwise_count(y & _ONES).sum(1)
+                near = 1 - differ / PERMS - 2.0**-BITS >= (percent / 100 - MARGIN) * (1 - 2.0**-BITS)
+                may, differ = may[near], differ[near]
+                if len(may) > most:
+                    more = True
+                    may = may[np.lexsort((col["node"][right[may]], differ))[:most]]
+                a.append(np.full(len(may), col["node"][x]))
+                b.append(col["node"][right[may]])
+        a, b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (a, b))
+        ends = np.append(np.stack([np.minimum(a, b), np.maximum(a, b)]), [[0], [0]], axis=1) if more else np.stack([np.minimum(a, b), np.maximum(a, b)])
+        return pa.table({"a": ends[0], "b": ends[1], "more": np.arange(ends.shape[1]) >= len(a)})
 
     return run
 
 
-def _rest(members: DataFrame, links: DataFrame, sets: DataFrame, percent: int, folder: str) -> DataFrame:
-    """Links that the pivots didn't show, between texts that share buckets."""
-    comp = store(components(links, folder, "first"), folder, "first")
-    at = members.join(comp.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("key", "doc_id", "pivot", F.coalesce("component_id", "doc_id").alias("c"))
-    several = at.groupBy("key").agg((F.min("c") < F.max("c")).alias("open")).where("open").select("key")
-    at = store(at.join(several, "key", "left_semi"), folder, "open")
-    joined = components(at.select(F.col("doc_id").alias("a"), F.col("pivot").alias("b")), folder, "clusters")
-    texts = at.select("doc_id", "c").distinct().join(joined.withColumnRenamed("id", "doc_id"), "doc_id").withColumnRenamed("component_id", "cluster")
-    sizes = texts.groupBy("cluster", "c").agg(F.count("*").alias("n"))
-    sizes = sizes.groupBy("cluster").agg(F.sum("n").alias("n"), F.max(F.struct("n", "c")).alias("m")).where("m.n < n")
-    blocks = sizes.select("cluster", F.col("m.c").alias("main"), F.ceil((F.col("n") - F.col("m.n")) / BLOCK).alias("nu"), F.ceil(F.col("n") / BLOCK).alias("nv"))
-    texts = texts.join(blocks, "cluster").join(sets, "doc_id")
-    block = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n))
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    cols = ["cluster", "doc_id", "c", "shingles"]
-    left = texts.where("c <> main").select(*cols, F.lit(True).alias("first"), block("nu").alias("i"), every("nv").alias("j"))
-    right = texts.select(*cols, F.lit(False).alias("first"), block("nv").alias("j"), every("nu").alias("i"))
-    return left.unionByName(right).groupBy("cluster", "i", "j").applyInArrow(_block_links(percent), "a long, b long")
+def _rest(members: DataFrame, links: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, folder: str) -> DataFrame:
+    """links and those that the pivots didn't show, between nodes that share buckets."""
+    most, turn = FIRST, 0
+    while True:
+        comp = store(components(links, folder, f"comp{turn}"), folder, f"comp{turn}")
+        at = members.join(comp.withColumnRenamed("id", "node"), "node", "left").select("key", "node", F.coalesce("component_id", "node").alias("c"))
+        sizes = at.groupBy("key", "c").agg(F.count("*").alias("m"))
+        sizes = sizes.groupBy("key").agg(F.sum("m").alias("n"), F.max(F.struct("m", "c")).alias("x")).where("x.m < n")
+        sizes = sizes.select("key", F.col("x.c").alias("main"), F.ceil((F.col("n") - F.col("x.m")) / TILE).alias("nu"), F.ceil(F.col("n") / TILE).alias("nv"))
+        at = at.join(sizes, "key").join(nodes.select("node", "n_shingles", "sig"), "node")
+        block = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        cols = ["key", "node", "c", "n_shingles", "sig"]
+        left = at.where("c <> main").select(*cols, F.lit(True).alias("first"), block("nu").alias("i"), every("nv").alias("j"))
+        right = at.select(*cols, F.lit(False).alias("first"), block("nv").alias("j"), every("nu").alias("i"))
+        tiles = store(left.unionByName(right), folder, f"tiles{turn}", "lz4")
+        rows = tiles.count()
+        if not rows:
+            return links
+        task = F.pmod(F.xxhash64("key", "i", "j"), F.lit(-(-rows // TASK)))
+        found = store(tiles.groupBy(task.alias("task")).applyInArrow(_tiles(percent, most), "a long, b long, more boolean"), folder, f"found{turn}")
+        pairs = found.where("NOT more").select("a", "b").distinct()
+        links = store(links.union(_confirm(pairs, nodes, sets, percent)), folder, f"links{turn}")
+        if not found.where("more").limit(1).count():
+            return links
+        most, turn = most * GROW, turn + 1
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per row of docs (doc_id, text).
 
-    Null and empty texts have no shingles and are linked with nothing. Rows that repeat a doc_id share its
-    component; a null doc_id stays alone with a null component and is kept. Other columns are ignored.
+    Null and empty texts have no shingles and are linked with nothing. Rows that repeat a doc_id are one document,
+    linked by each of its texts; a null doc_id stays alone with a null component and is kept. Other columns are
+    ignored; an empty table gives no rows.
     """
     spark = docs.sparkSession
     folder = new_dir(spark, "neardup")
@@ -251,24 +267,27 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     signed = store(docs.mapInArrow(_sign(k), SIGNED), folder, "signed")
     with_set = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     copies = store(with_set.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep")), folder, "copies")
-    reps = signed.join(copies.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    reps = store(reps, folder, "reps")
-    banded = reps.select("doc_id", F.explode("bands").alias("key"))
-    shared = banded.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("pivot")).where("n > 1")
+    reps = with_set.join(copies.select("d1", F.col("rep").alias("doc_id")).distinct(), ["d1", "doc_id"], "left_semi").dropDuplicates(["d1"])
+    reps = store(reps.withColumnRenamed("d1", "node"), folder, "nodes")
+    banded = reps.select("node", F.explode("bands").alias("key"))
+    shared = banded.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("pivot")).where("n > 1")
     members = store(banded.join(shared.drop("n"), "key"), folder, "members")
-    sets = store(_wanted_sets(docs, members.select("doc_id").distinct(), k), folder, "sets", "lz4")
-    pairs = members.select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).where("a < b").distinct()
+    wanted = reps.select("node", "doc_id").join(members.select("node").distinct(), "node", "left_semi")
+    sets = store(_wanted_sets(docs, wanted, k), folder, "sets", "lz4")
+    pairs = members.select(F.col("pivot").alias("a"), F.col("node").alias("b")).where("a < b").distinct()
     links = store(_confirm(pairs, reps, sets, percent), folder, "links")
-    links = links.union(_rest(members, links, sets, percent, folder))
+    links = _rest(members, links, reps, sets, percent, folder)
+    # One document may have several texts under its id: they are linked, too.
+    twice = with_set.groupBy("doc_id").agg(F.min("d1").alias("a"), F.max("d1").alias("b")).where("a < b").drop("b")
+    links = links.union(with_set.join(twice, "doc_id").select("a", F.col("d1").alias("b")))
     comp = components(links, folder, "last")
-    of = copies.join(comp.withColumnRenamed("id", "rep"), "rep", "left").select("d1", "d2", "n_shingles", F.coalesce("component_id", "rep").alias("component_id"))
-    # Rows that repeat a doc_id with other texts could lead to two components: the smallest holds for the id.
+    named = copies.join(comp.withColumnRenamed("id", "d1"), "d1", "left").withColumn("c", F.coalesce("component_id", "d1")).drop("component_id")
+    of = named.join(named.groupBy("c").agg(F.min("rep").alias("component_id")), "c").select("d1", "d2", "n_shingles", "component_id")
     out = signed.select("doc_id", "n_shingles", "d1", "d2").join(of, ["d1", "d2", "n_shingles"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-
 def _by_bit(value, wanted: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(value.value, np.uint8)
@@ -284,15 +303,21 @@ def _by_bit(value, wanted: bool):
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """The rows of docs, all columns, that are the first of their group of near duplicates.
 
-    Rows that repeat a doc_id count as one, whichever comes first. Texts aren't shuffled, but for those
-    that a bit filter takes for dropped or repeated ones; a join then says which of these stay.
+    Rows that repeat a doc_id count as one document, of which the row whose text sorts first stays; rows without a
+    doc_id stay. Texts aren't shuffled, but for those that a bit filter takes for dropped or repeated ones; a join
+    then says which of these stay.
     """
     found = near_duplicates(docs, k, percent).where("doc_id IS NOT NULL")
-    ids = found.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("n")).where("NOT kept OR n > 1")
+    ids = found.groupBy("doc_id").agg(F.min("kept").alias("kept"), F.count("*").alias("n")).where("NOT kept OR n > 1")
     ids = store(ids.select("doc_id", "kept"), new_dir(docs.sparkSession, "dropped"), "ids")
     value, slot = _bit_filter(ids)
-    marked = docs.select("*", F.when(F.col("doc_id").isNotNull(), slot).alias("_slot"))
-    named = marked.where("_slot IS NOT NULL")
+    mark = "slot"
+    while mark in docs.columns:
+        mark += "_"
+    marked = docs.select("*", F.when(F.col("doc_id").isNotNull(), slot).alias(mark))
+    named = marked.where(F.col(mark).isNotNull())
     sure = named.mapInArrow(_by_bit(value, False), docs.schema)
-    maybe = named.mapInArrow(_by_bit(value, True), docs.schema).join(ids.where("NOT kept"), "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return sure.union(maybe.select(*docs.columns)).union(marked.where("_slot IS NULL").select(*docs.columns))
+    maybe = named.mapInArrow(_by_bit(value, True), docs.schema).join(ids.where("NOT kept").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    row = F.min_by(F.struct(*docs.columns), F.coalesce("text", F.lit(""))).alias("row")
+    maybe = maybe.groupBy("doc_id").agg(row).select("row.*")
+    return sure.union(maybe).union(marked.where(F.col(mark).isNull()).select(*docs.columns))
