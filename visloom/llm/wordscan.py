@@ -3,7 +3,8 @@
 Every text of a chunk is laid into one byte array; a table says which bytes belong to words, so
 one pass finds all words, and prefix sums of `byte code * P**position` give each word's polynomial
 hash without a loop over words. Chunks hold whole texts and about `CHUNK` bytes, which bounds the
-memory of a task; only a single longer text makes a longer chunk.
+memory of a task; only a single longer text makes a longer chunk. Hashing goes block by block, so beside
+a text itself only its words' bounds and hashes are held.
 """
 
 from __future__ import annotations
@@ -33,22 +34,11 @@ PLAIN = np.zeros(256, bool)
 PLAIN[0x30:0x3A] = PLAIN[0x61:0x7B] = PLAIN[0x80:] = True
 
 
-class _Powers:
-    def __init__(self) -> None:
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = 1 << (n - 1).bit_length()
-            ones = np.ones(size, np.uint64)
-            ones[1:] = _BASE
-            self.up = np.cumprod(ones)
-            ones[1:] = _INVERSE
-            self.down = np.cumprod(ones)
-        return self.up[:n], self.down[:n]
-
-
-_powers = _Powers()
+#: Bytes of a block: powers are kept for so many places only, however long a text is.
+BLOCK = 1 << 16
+_UP, _DOWN = np.full(BLOCK + 1, _BASE, np.uint64), np.full(BLOCK + 1, _INVERSE, np.uint64)
+_UP[0] = _DOWN[0] = 1
+_UP, _DOWN = np.cumprod(_UP), np.cumprod(_DOWN)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -118,13 +108,29 @@ def _scan(lo: int, texts: list[bytes], words: np.ndarray, lower: bool, marks: by
         last, before = data[ends - 1], data[np.maximum(ends - 2, 0)]
         found = np.isin(last, np.frombuffer(marks, np.uint8)) & (ends - starts > 1) & (before >= 97) & (before <= 122)
         off, ends = np.where(found, last, 0).astype(np.uint8), ends - found
-    up, down = _powers.upto(len(data))
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_CODES[data] * up)])
-    hashes = mixed((total[ends] - total[starts]) * down[starts])
+    hashes = mixed(_polynomials(data, starts, ends))
     offsets = np.searchsorted(starts, np.append(text_at, len(data)))
     return Words(lo, data, text_at, starts, ends, offsets, hashes, off)
 
 
+def _polynomials(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """For each word the sum of its bytes' codes times the base to the power of their places in the word."""
+    out = np.zeros(len(starts), np.uint64)
+    at = np.arange(0, len(data), BLOCK)
+    first, last = np.searchsorted(ends, at, "right"), np.searchsorted(starts, at + BLOCK, "left")
+    for begin, i, j in zip(at.tolist(), first.tolist(), last.tolist(), strict=True):
+        if i == j:
+            continue
+        part = data[begin : begin + BLOCK]
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_CODES[part] * _UP[: len(part)])])
+        a, b = np.maximum(starts[i:j] - begin, 0), np.minimum(ends[i:j] - begin, len(part))
+        sums = (total[b] - total[a]) * _DOWN[a]
+        if starts[i] < begin:  # the word that the block before began
+            sums[0] *= _U(pow(_BASE, int(begin - starts[i]), 1 << 64))
+        out[i:j] += sums
+    return out
+
+
 def runs(hashes: np.ndarray, k: int) -> np.ndarray:
     """Hashes of all runs of k words, also of those that pass a text's end."""
     n = len(hashes) - k + 1
