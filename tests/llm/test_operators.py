@@ -95,15 +95,40 @@ def test_lm_in_slices_scores_alike(spark, odd, monkeypatch):
     assert sorted((r["doc_id"] or 0, r["score"]) for r in ngram_lm.score_documents(odd).collect()) == whole
 
 
-def test_filter_has_no_false_negative():
+def _ask(field, keys):
+    return ngram_lm.find_level(field, np.zeros(len(keys), np.uint64), np.full(len(keys), len(field) * 8, np.uint64), keys)
+
+
+@pytest.mark.parametrize("kind", [ngram_lm.PAIRS, ngram_lm.WORDS])
+def test_filter_has_no_false_negative(kind):
     keys = np.arange(1, 20_000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     counts = np.arange(1, 20_000) % 70 + 1
-    field = ngram_lm.build_filter(keys, counts)
-    ask = lambda k: ngram_lm.find_level(field, np.zeros(len(k), np.uint64), np.full(len(k), len(field) * 8, np.uint64), k)
-    levels = ask(keys)
-    assert (levels >= ngram_lm.level_of(counts)).all()
-    assert (levels > ngram_lm.level_of(counts)).mean() < 0.05
-    assert (ask(keys + np.uint64(1)) > 0).mean() < 0.05
+    field = ngram_lm.build_filter(keys, counts, kind)
+    levels, right = _ask(field, keys), ngram_lm.level_of(counts, kind)
+    assert (levels >= right).all()
+    assert (levels > right).mean() < 0.01
+    assert (_ask(field, keys + np.uint64(1)) > 0).mean() < 0.001
+    assert (ngram_lm.read_as(right, kind) <= counts).all() and (counts < ngram_lm.read_as(right + 1, kind)).all()
+
+
+def test_probabilities_after_any_context_add_up_to_one_at_most(sf):
+    """Over the whole vocabulary and the unknown word, with all false positives; a context is any word, or a text's start."""
+    import duckdb
+
+    texts = [(t or "").encode() for (t,) in duckdb.connect().execute(f"SELECT text FROM '{sf}/documents.parquet'").fetchall()]
+    token, before = (np.concatenate(x) for x in zip(*(ngram_lm.events(w)[:2] for w in scan(texts, SPACED)), strict=True))
+    words, counts = ngram_lm._tally(ngram_lm._cut(token))
+    pairs, many = ngram_lm._tally(ngram_lm._cut(ngram_lm.pair(before, token)))
+    n, v = len(token), len(words)
+    word = _ask(ngram_lm.build_filter(words, counts, ngram_lm.WORDS), words)
+    field = ngram_lm.build_filter(pairs, many, ngram_lm.PAIRS)
+    whole = np.unique(token)
+    assert (ngram_lm._cut(whole) == words).all()
+    end = np.searchsorted(words, ngram_lm._cut(np.array([ngram_lm._END])))[0]
+    for context, c in [(ngram_lm._START, word[end]), *zip(whole, word, strict=True)]:
+        level = _ask(field, ngram_lm._cut(ngram_lm.pair(np.full(v, context), whole)))
+        q = ngram_lm.conditional(np.append(level, 0), np.full(v + 1, c), np.append(word, 0), n, v)
+        assert q.sum() <= 1
 
 
 def test_neardup_of_odd_rows(spark, odd, none):
@@ -251,17 +276,47 @@ def test_html_without_article(spark):
     got = {r["page_id"]: r["text"] for r in htmltext.extract(df).collect()}
     assert got[2] == "Title & more\nFirst para goes on.\nSecond <one> number 2 of the pages with words enough."
     assert (got[9], got[10], got[11], got[12]) == ("", "", "just text & bold", "Cut here&am")
-    regions = {r["host"]: r["region"] for r in htmltext.infer_wrappers(df).collect()}
-    assert regions["host.example"] == "article" or regions["host.example"] == "div.post"
+    assert {r["host"] for r in htmltext.infer_wrappers(htmltext.read_pages(df)).collect()} == {"host.example"}
     assert htmltext.extract(df.limit(0)).count() == 0
 
 
-def test_wrapper_has_optional_and_repeated_parts():
-    a = htmltext.tree("<body><ul><li>x</li><li>y</li></ul><p>one</p></body>")
-    b = htmltext.tree("<body><h2>new</h2><ul><li>z</li></ul><p>two</p></body>")
-    body = htmltext.merge(a, b)["c"][0]
-    assert [(n["k"], n["o"], n["r"]) for n in body["c"]] == [("h2", True, False), ("ul", False, False), ("p", False, False)]
-    assert body["c"][1]["c"][0]["r"] and body["c"][2]["t"] is None
+def test_wrapper_has_optional_and_repeated_parts(spark):
+    pages = ["<body><ul><li>x</li><li>y</li></ul><p>one</p><i>Same</i></body>", "<body><h2>new</h2><ul><li>z</li></ul><p>two</p></body>", "<body><h2>old</h2><ul><li>z</li></ul><p>two</p></body>"]
+    df = spark.createDataFrame([(i, "http://h.example/", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    (w,) = htmltext.infer_wrappers(htmltext.read_pages(df)).collect()
+    assert w["wrapper"] == "(body(#h2(#)?ul(li(#)+)p(#)))"
+    (again,) = htmltext.infer_wrappers(htmltext.read_pages(df.orderBy(F.desc("page_id")).repartition(3))).collect()
+    assert again == w
+
+
+def test_html_constants_of_the_template_are_none(spark):
+    """No article and no telling class: only what pages have in common tells furniture from text."""
+    page = "<body><div><b>The Daily Shop</b></div><section><ul><li>Home</li><li>Wares</li></ul></section><div><h1>Head {i}</h1><p>Story {i} in some words</p><p>more</p></div><div><table><tr><td>Imprint of the shop</td></tr></table></div></body>"
+    got = texts(spark, [page.replace("{i}", str(i)) for i in range(4)])
+    assert got == [[f"Head {i}", f"Story {i} in some words", "more"] for i in range(4)]
+    alone = htmltext.main_text(*htmltext.read(page), None, set(), set())
+    assert "The Daily Shop" in alone and "Imprint of the shop" in alone
+    article = "<body><article><h1>Same</h1><div class='tell'>Tell your friends</div><p>Story {i} in some words, so that it is long enough</p></article></body>"
+    assert texts(spark, [article.replace("{i}", str(i)) for i in range(3)]) == [["Same", f"Story {i} in some words, so that it is long enough"] for i in range(3)]
+
+
+def test_html_copies_of_one_page_stay_whole(spark):
+    page = "<body><p>{i}</p><article><h1>Title</h1><p>The whole story in words, told again and again</p></article></body>"
+    assert texts(spark, [page.replace("{i}", str(i)) for i in range(5)]) == [[str(i), "Title", "The whole story in words, told again and again"] for i in range(5)]
+
+
+def test_html_marks_do_not_hold_where_nothing_else_is(spark):
+    page = "<body><div class='sidebar'><p>Text {i} of the page</p></div></body>"
+    assert texts(spark, [page.replace("{i}", str(i)) for i in range(3)]) == [[f"Text {i} of the page"] for i in range(3)]
+    assert texts(spark, [page]) == [["Text {i} of the page"]]
+
+
+def test_html_of_odd_shapes(spark):
+    deep = "<div>" * 3000 + "<p>Deep {i}</p>" + "</div>" * 3000
+    long = "<p>" + "words of a long text {i} " * 20_000 + "</p>"
+    got = texts(spark, [f"<body>{x}</body>".replace("{i}", str(i)) for x in (deep, long) for i in range(2)])
+    assert got[:2] == [["Deep 0"], ["Deep 1"]]
+    assert [len(x[0]) for x in got[2:]] == [23 * 20_000 - 1] * 2
 
 
 def texts(spark, pages):
