@@ -16,11 +16,13 @@ from .neardup import near_duplicates
 from .ngram_lm import score_documents
 from .packing import pack
 from .quality import judge, train
-from .rollup import Rollup, deletes, inserts, revisions
-from .shared import new_dir, small_batches
+from .rollup import Rollup, count_tokens, deletes, inserts, revisions
+from .shared import new_dir, small_batches, store
 from .tokenfile import read_documents, write_tokens
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+#: The second tokenizer of op9.
+BYTES = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,7 +47,7 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    return judge(docs, train(docs, _table(spark, sf_dir, "labels"))).drop("row")
+    return judge(docs, train(docs, _table(spark, sf_dir, "labels")))
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,21 +72,25 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A ledger's life: all documents come in; those of bad label go; the hot source is counted anew by another rule.
+    """A ledger's life: all documents come in; those of bad label go; source src0 is counted anew by another tokenizer.
 
-    Each batch is committed twice, as after a retry.
+    Each batch is committed twice, as after a retry, and the ledger is compacted before the last.
     """
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
-    text = F.coalesce("text", F.lit(""))
-    spaced = F.size(F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")).cast("long")
-    plain = F.size(F.filter(F.split(text, r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"), lambda w: w != "")).cast("long")
-    rows = docs.select("doc_id", "source", "lang", F.lit("spaced-1").alias("tokenizer"), spaced.alias("n_tokens"), plain.alias("plain"))
+    folder = new_dir(spark, "rollup")
+    texts = docs.select("doc_id", "source", "lang", "text", F.when(F.col("source") == "src0", F.col("text")).alias("again"))
+    rows = count_tokens(count_tokens(texts, TOKENIZER).withColumnRenamed("again", "text"), BYTES, "new_n_tokens")
+    rows = store(rows, folder, "counts").withColumn("tokenizer", F.lit("word_bpe_49k"))
     bad = labels.where("quality = 0").select("doc_id").distinct()
-    anew = rows.where("source = 'src0'").join(bad, "doc_id", "left_anti").select("source", "lang", F.col("tokenizer").alias("old_tokenizer"), F.col("n_tokens").alias("old_n_tokens"), F.lit("plain-2").alias("new_tokenizer"), F.col("plain").alias("new_n_tokens"))
-    rollup = Rollup(spark, new_dir(spark, "rollup"))
-    for batch, changes in (("1", inserts(rows)), ("2", deletes(rows.join(bad, "doc_id", "left_semi"))), ("3", revisions(anew))):
-        rollup.commit(batch, changes)
-        rollup.commit(batch, changes)
+    anew = rows.where("source = 'src0'").join(bad, "doc_id", "left_anti")
+    anew = anew.select("source", "lang", F.col("tokenizer").alias("old_tokenizer"), F.col("n_tokens").alias("old_n_tokens"), F.lit("byte_bpe_50k").alias("new_tokenizer"), "new_n_tokens")
+    changes = {"1": inserts(rows), "2": deletes(rows.join(bad, "doc_id", "left_semi")), "3": revisions(anew)}
+    rollup = Rollup(spark, f"{folder}/ledger")
+    for batch, some in changes.items():
+        rollup.commit(batch, some)
+        rollup.commit(batch, some)
+        if batch == "2":
+            rollup.compact()
     return rollup.totals()
 
 
@@ -144,18 +150,6 @@ WHERE NOT EXISTS (
 )
 """
 
-OP9_SQL = r"""
-WITH d AS (
-  SELECT doc_id, source, lang,
-    len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS spaced,
-    len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')) AS plain
-  FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 0)
-)
-SELECT source, lang, CASE WHEN source = 'src0' THEN 'plain-2' ELSE 'spaced-1' END AS tokenizer, count(*)::BIGINT AS n_docs,
-  sum(CASE WHEN source = 'src0' THEN plain ELSE spaced END)::BIGINT AS n_tokens
-FROM d GROUP BY 1, 2, 3
-"""
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_token_file": op2_token_file,
@@ -173,5 +167,4 @@ SQL: dict[str, str] = {
     "op1_chat_format": OP1_SQL,
     "op4_minhash_near_dedup": OP4_SQL,
     "op8_decontamination": OP8_SQL,
-    "op9_token_counts": OP9_SQL,
 }
