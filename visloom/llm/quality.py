@@ -194,20 +194,22 @@ def fit(x: np.ndarray, y: np.ndarray, monotone: list[int], rounds: int = 60, dep
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for w in scan(texts_of(batch.column(1)), SPACED, lower=False):
+        for w in scan(texts_of(batch.column(2)), SPACED, lower=False):
             _, x = statistics(w)
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(w.lo, w.n_texts), pa.FixedSizeListArray.from_arrays(pa.array(x.reshape(-1)), x.shape[1]).cast(pa.list_(pa.float64()))], names=["quality", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(w.lo, w.n_texts), batch.column(1).slice(w.lo, w.n_texts), pa.FixedSizeListArray.from_arrays(pa.array(x.reshape(-1)), x.shape[1]).cast(pa.list_(pa.float64()))], names=["doc_id", "quality", "x"])
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees:
     """Fit the trees on the documents with a label in labels (doc_id, quality), at most `sample` of them.
 
-    Labels of null or repeated ids, or null quality, are left out. Without both kinds of label the trees
-    say good of every document.
+    Labels of null or repeated ids, or null quality, are left out. An id that several rows of docs have gives one
+    row. Without both kinds of label the trees say good of every document.
     """
     known = labels.select(F.col("doc_id").cast("long"), "quality").where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("quality"), F.count("*").alias("n")).where("n = 1")
     some = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select("doc_id", "quality")
-    rows = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(some), "doc_id").select("quality", "text").mapInArrow(_count, "quality int, x array<double>").collect()
+    rows = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(some), "doc_id").select("doc_id", "quality", "text").mapInArrow(_count, "doc_id long, quality int, x array<double>")
+    # One row an id, however often documents repeat it.
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct("quality", "x")).alias("r")).select("r.*").collect()
     y = np.array([r["quality"] > 0 for r in rows], float)
     if not 0 < y.sum() < len(y):
         none = np.zeros((1, 1))
@@ -217,34 +219,37 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees:
     return fit(x[order], y[order], list(FEATURES.values()))
 
 
-RESULT = "row long, doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, quality double, kept boolean"
+RESULT = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, quality double, kept boolean"
 
 
 def _judge(value):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees: Trees = value.value
         for batch in batches:
-            for w in scan(texts_of(batch.column(2)), SPACED, lower=False):
+            for w in scan(texts_of(batch.column(1)), SPACED, lower=False):
                 c, x = statistics(w)
                 failed = (c[:, 0] < 10) | (100 * c[:, 4] > 20 * c[:, 0])
                 odds = trees.score(x)
-                cols = [batch.column(0).slice(w.lo, w.n_texts), batch.column(1).slice(w.lo, w.n_texts), *(pa.array(c[:, j]) for j in range(5)), pa.array(failed), pa.array(1 / (1 + np.exp(-odds))), pa.array(~failed & (odds > 0))]
+                cols = [batch.column(0).slice(w.lo, w.n_texts), *(pa.array(c[:, j]) for j in range(5)), pa.array(failed), pa.array(1 / (1 + np.exp(-odds))), pa.array(~failed & (odds > 0))]
                 yield pa.RecordBatch.from_arrays(cols, names=[f.split()[0] for f in RESULT.split(", ")])
 
     return run
 
 
 def judge(docs: DataFrame, trees: Trees) -> DataFrame:
-    """Counts, quality (0 to 1) and verdict of each row of docs (doc_id, text); `row` numbers the rows of the scan.
+    """Counts, quality (0 to 1) and verdict of each row of docs (doc_id, text).
 
     Null and empty texts have no words and fail. Repeated rows are judged alike, null ids kept as they are.
     """
     value = docs.sparkSession.sparkContext.broadcast(trees)
-    return docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text").mapInArrow(_judge(value), RESULT)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_judge(value), RESULT)
 
 
 def good_documents(docs: DataFrame, trees: Trees) -> DataFrame:
-    """The rows of docs, all columns, that pass."""
+    """The rows of docs, all columns, that pass.
+
+    Null and empty texts fail; repeated rows are judged alike; ids are not looked at.
+    """
     value, names = docs.sparkSession.sparkContext.broadcast(trees), docs.columns
     text = names.index("text")
 
