@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from visloom.llm import chat, decontaminate, htmltext, licenses, neardup, ngram_lm, packing, quality, tokenfile
 from visloom.llm.bpe import encoder
 from visloom.llm.queries import TOKENIZER
-from visloom.llm.rollup import Rollup, deletes, inserts, revisions
+from visloom.llm.rollup import Rollup, count_tokens, deletes, inserts, revisions
 from visloom.llm.shared import new_dir
 from visloom.llm.wordscan import PLAIN, SPACED, scan
 
@@ -36,6 +36,20 @@ def test_words():
     assert [s.word(i) for i in range(4)] == [b"ab", b"ab", b"ab", b"4."]
 
 
+def test_words_of_a_text_of_many_blocks_in_bounded_memory():
+    import tracemalloc
+
+    text = b"ab cde " * 7_000_000 + b"x" * 200_000 + b" ab"
+    tracemalloc.start()
+    (w,) = scan([text], SPACED)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(w.hashes) == 14_000_002 and len(np.unique(w.hashes)) == 3 and w.hashes[0] == w.hashes[-1]
+    (one,) = scan([b"x" * 200_000], SPACED)
+    assert one.hashes[0] == w.hashes[-2]
+    assert peak < 16 * len(text)
+
+
 def test_encoder_equals_the_whole_text():
     from tokenizers import Tokenizer
 
@@ -140,6 +154,8 @@ def test_neardup_of_odd_rows(spark, odd, none):
     out = neardup.one_of_each(odd, 5, 80)
     assert out.columns == odd.columns
     assert sorted(r["doc_id"] or 0 for r in out.collect()) == [0, 1, 2, 3, 4, 5, 6, 7]
+    clash = odd.withColumnsRenamed({"row": "slot", "kept": "n", "spans": "node"})
+    assert neardup.one_of_each(clash, 5, 80).columns == clash.columns
     assert neardup.one_of_each(none).count() == 0
 
 
@@ -172,6 +188,38 @@ def test_neardup_links_a_star_whose_hub_comes_last(spark):
     assert got == {i: top(i) for i in sets}
 
 
+def test_neardup_of_ids_with_several_texts(spark):
+    """A document is linked by each of its texts."""
+    words = lambda tag: " ".join(f"{tag}{i}" for i in range(40))
+    df = spark.createDataFrame([(1, words("a")), (2, words("a")), (2, words("b")), (3, words("b")), (4, words("c"))], "doc_id long, text string")
+    assert {(r["doc_id"], r["component_id"]) for r in neardup.near_duplicates(df).collect()} == {(1, 1), (2, 1), (3, 1), (4, 4)}
+    assert sorted(r["doc_id"] for r in neardup.one_of_each(df).collect()) == [1, 4]
+
+
+@pytest.mark.parametrize("n", [250, 1000])
+def test_neardup_of_a_common_block_compares_little(spark, n, monkeypatch):
+    """Texts that share a block (similarity 0.3) and no link: what tiles hold grows with the texts, not with their pairs."""
+    rng = np.random.default_rng(n)
+    block = " ".join(f"b{i}" for i in range(46))
+    df = spark.createDataFrame([(i, block + " " + " ".join(map(str, rng.integers(0, 10**9, 54)))) for i in range(n)], "doc_id long, text string")
+    held = []
+    run = neardup.store
+    monkeypatch.setattr(neardup, "store", lambda d, folder, name, *x: held.append((name, out := run(d, folder, name, *x))) or out)
+    rows = neardup.near_duplicates(df).collect()
+    assert all(r["kept"] for r in rows) and len(rows) == n
+    (tiles,) = [d for name, d in held if name == "tiles0"]
+    assert tiles.count() <= 3 * n
+    assert not [d.count() for name, d in held if name.startswith("found") and d.count()]
+
+
+def test_neardup_confirms_every_candidate_in_further_rounds(spark, monkeypatch):
+    """With a single partner a round, links that the first partner doesn't give are still found."""
+    monkeypatch.setattr(neardup, "FIRST", 1)
+    monkeypatch.setattr(neardup, "GROW", 2)
+    monkeypatch.setattr(neardup, "TILE", 8)
+    test_neardup_links_a_star_whose_hub_comes_last(spark)
+
+
 def test_quality_of_odd_rows(spark, odd, none):
     labels = spark.createDataFrame([(4, 0), (6, 1), (5, 1), (None, 1), (7, None)], "doc_id long, quality int")
     trees = quality.train(odd, labels)
@@ -182,6 +230,27 @@ def test_quality_of_odd_rows(spark, odd, none):
     assert quality.judge(none, quality.train(none, labels)).count() == 0
 
 
+def test_quality_of_documents_it_was_not_fitted_on(spark, sf):
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    trees = quality.train(docs, labels.where("doc_id % 2 = 0"))
+    other = quality.judge(docs, trees).join(labels.where("doc_id % 2 = 1").select("doc_id", F.col("quality").alias("label")), "doc_id").where("NOT base_failed").collect()
+    assert len(other) > 20
+    assert np.mean([r["kept"] == (r["label"] == 1) for r in other]) > 0.85
+
+
+def test_quality_of_repeated_ids_is_bounded(spark):
+    docs = spark.range(3000).selectExpr("id % 2 AS doc_id", "concat(repeat('some words ', 20), id) AS text")
+    labels = spark.createDataFrame([(0, 0), (1, 1)], "doc_id long, quality int")
+    seen = []
+    fit = quality.fit
+    quality.fit = lambda x, *a: seen.append(len(x)) or fit(x, *a)
+    try:
+        quality.train(docs, labels)
+    finally:
+        quality.fit = fit
+    assert seen == [2]
+
+
 def test_trees_keep_their_constraints():
     rng = np.random.default_rng(0)
     x = rng.uniform(0, 1, (4000, 3))
@@ -197,12 +266,82 @@ def test_trees_keep_their_constraints():
 def test_licenses_of_odd_rows(spark, odd, none):
     rows = licenses.scan_licenses(odd).collect()
     assert len(rows) == len(ODD) and all(r["labels"] == "" for r in rows)
-    text = "Intro. " + licenses.TEMPLATES["mit"].replace("any person", "any one natural person") + " Also the Apache License; under the GNU General Public License."
+    text = "Intro. " + licenses.TEMPLATES["mit"].split("\n\n")[1].replace("any person", "any one natural person") + " Also the Apache License; under the GNU General Public License."
     (r,) = licenses.scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
     assert (r["base_labels"], r["labels"], r["n_base"]) == ("apache,gpl", "apache,gpl,mit", 2)
     assert licenses.scan_licenses(none).count() == 0
 
 
+def _parts():
+    from visloom.llm.licenses import SHORTEST, TEMPLATES
+
+    for label, body in TEMPLATES.items():
+        for part in body.split("\n\n"):
+            w = _plain(part)
+            if len(w) >= SHORTEST:
+                yield label, w
+
+
+def _plain(text):
+    import re
+
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
+
+
+def brute_force_labels(text):
+    """Labels and best cover of a text, match by match."""
+    from visloom.llm.licenses import COVER, DRIFT, K
+
+    w, found, best = _plain(text), set(), 0.0
+    at = {}
+    for p in range(len(w) - K + 1):
+        at.setdefault(tuple(w[p : p + K]), []).append(p)
+    for label, body in _parts():
+        runs = len(body) - K + 1
+        matches = sorted((p - t, p, t) for t in range(runs) for p in at.get(tuple(body[t : t + K]), []))
+        spans, last = [], None
+        for d, p, t in matches:
+            if last is None or d - last > DRIFT:
+                spans.append([])
+            spans[-1].append((p, t))
+            last = d
+        for span in spans:
+            n = most = 0
+            lp = lt = -1
+            for p, t in sorted(span):
+                if n and p == lp:
+                    continue
+                n = n + 1 if n and t > lt and abs((p - lp) - (t - lt)) <= DRIFT else 1
+                lp, lt = p, t
+                most = max(most, n)
+            if most / runs >= COVER:
+                found.add(label)
+                best = max(best, most / runs)
+    return found, best
+
+
+def test_licenses_are_found_by_order_and_gaps(spark):
+    """Whole texts, edited ones, shuffled words of one, its sentences far apart: as a count match by match says."""
+    rng = np.random.default_rng(2)
+    texts = []
+    for label, body in licenses.TEMPLATES.items():
+        w = body.split()
+        texts += [body, " ".join(x for x in w if rng.random() > 0.08), "x " * 700 + body + " y" * 900 + body]
+        texts += [" ".join(rng.permutation(w)), " ".join(y for i in range(0, len(w), 3) for y in (*w[i : i + 3], "and", "some", "other", "words", "here", "too")), " ".join(w[: len(w) // 2]), label]
+    rows = {r["doc_id"]: r for r in licenses.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, text in enumerate(texts):
+        labels, cover = brute_force_labels(text)
+        base = set(rows[i]["base_labels"].split(",")) - {""}
+        assert set(rows[i]["labels"].split(",")) - {""} == labels | base
+        assert rows[i]["score"] == (1.0 if base else pytest.approx(cover))
+    for i, label in enumerate(licenses.TEMPLATES):
+        assert label in rows[7 * i]["labels"].split(",") and label in rows[7 * i + 2]["labels"].split(",")
+        assert rows[7 * i + 3]["spans"] is None
+    assert {s["label"] for s in rows[2]["spans"]} == {"mit"} and len(rows[2]["spans"]) >= 8
+    (r,) = licenses.scan_licenses(spark.createDataFrame([(1, "all rights reserved by me")], "doc_id long, text string")).collect()
+    assert r["labels"] == "" and r["score"] == 0.0
+
+
 def test_packing_of_odd_rows(spark, odd, none):
     packed = packing.pack(odd, TOKENIZER, 2)
     assert packed.placements.agg(F.sum("length")).first()[0] == sum(len(x) + 1 for x in encoder(TOKENIZER).encode([(t or "").encode() for _, t in ODD]))
@@ -233,7 +372,7 @@ def test_decontamination(spark, odd, none):
     rows = [(1, "x One two-three four five, six seven eight nine ten ELEVEN y"), (2, "a short item b"), (3, "one two three"), (4, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r["doc_id"]: r for r in decontaminate.benchmark_hits(df, bench(spark)).collect()}
-    assert [(s["a"], s["b"]) for s in got[1]["spans"]] == [(1, 12)] and got[1]["items"] == [1]
+    assert [(s["a"], s["b"]) for s in got[1]["spans"]] == [(1, 12)] and got[1]["items"] == ["1"]
     assert [(s["a"], s["b"]) for s in got[2]["spans"]] == [(1, 3)] and not got[3]["spans"] and got[4]["n_words"] == 0
     assert sorted(r["doc_id"] for r in decontaminate.clean_documents(df, bench(spark)).collect()) == [3, 4]
     cut = {r["doc_id"]: r["text"] for r in decontaminate.without_spans(df, bench(spark)).collect()}
@@ -241,6 +380,10 @@ def test_decontamination(spark, odd, none):
     assert decontaminate.benchmark_hits(odd, bench(spark)).count() == len(ODD)
     assert decontaminate.benchmark_hits(none, bench(spark)).count() == 0
     assert decontaminate.clean_documents(odd, bench(spark).limit(0)).count() == len(ODD)
+    assert decontaminate.benchmark_hits(odd, bench(spark).limit(0)).where("size(spans) = 0").count() == len(ODD)
+    assert [(r["doc_id"], r["text"], r["spans"]) for r in decontaminate.without_spans(odd, bench(spark)).collect()] == [(i, t, "s") for i, t in ODD]
+    named = spark.createDataFrame([("x1", "Short item"), ("x0", "an item")], "item_id string, text string")
+    assert [r["items"] for r in decontaminate.benchmark_hits(df, named).orderBy("doc_id").collect()] == [[], ["x1"], [], []]
 
 
 def test_decontamination_in_parts_gives_the_same(spark, monkeypatch):
@@ -254,14 +397,53 @@ def test_decontamination_in_parts_gives_the_same(spark, monkeypatch):
 
 def test_rollup(spark):
     new = lambda rows: spark.createDataFrame(rows, "source string, lang string, tokenizer string, n_tokens long")
+    state = lambda r: sorted((x["source"] or "", x["tokenizer"], x["n_docs"], x["n_tokens"]) for x in r.totals().collect())
     r = Rollup(spark, new_dir(spark, "rollup"))
+    assert state(r) == [] and r.compact() is None
     first = new([("a", "en", "v1", 10), ("a", "en", "v1", 5), (None, None, "v1", None)])
     assert r.commit("1", inserts(first)) and not r.commit("1", inserts(first))
     assert r.commit("2", deletes(new([("a", "en", "v1", 5)])))
     moved = spark.createDataFrame([("a", "en", "v1", 10, "v2", 7)], "source string, lang string, old_tokenizer string, old_n_tokens long, new_tokenizer string, new_n_tokens long")
     assert r.commit("3", revisions(moved))
     assert r.commit("4", inserts(first.limit(0)))
-    assert sorted((x["source"] or "", x["tokenizer"], x["n_docs"], x["n_tokens"]) for x in r.totals().collect()) == [("", "v1", 1, 0), ("a", "v2", 1, 7)]
+    want = [("", "v1", 1, 0), ("a", "v2", 1, 7)]
+    assert state(r) == want
+    # An attempt that broke off: its files are there, its end is not.
+    broken = Rollup(spark, r.folder)
+    broken._write("5", inserts(first))
+    fs, path = r._in(f"{r.folder}/batch=5/_SUCCESS")
+    fs.delete(path, False)
+    assert state(r) == want and not r.committed("5")
+    assert r.commit("5", inserts(new([("b", "de", "v1", 3)])))
+    want = [*want, ("b", "v1", 1, 3)]
+    assert state(r) == want
+    # A compaction that broke off leaves all as it was; one that ends changes no total, and folded batches stay committed.
+    spark.createDataFrame([("1",)], "id string").write.parquet(f"{r.folder}/folded=cbroken")
+    assert state(r) == want
+    one = r.compact()
+    assert r.batches() == [one] and state(r) == want
+    assert not r.commit("1", inserts(first)) and r.commit("6", inserts(new([("b", "de", "v1", 4)])))
+    again = r.compact()
+    assert r.batches() == [again] and not r.commit("3", revisions(moved)) and not r.commit("6", inserts(first))
+    assert state(r) == [*want[:2], ("b", "v1", 2, 7)]
+
+
+def test_token_counts(spark, odd, none):
+    import base64
+
+    import public_tokenizers
+    import tiktoken
+    from tokenizers import Tokenizer
+    from visloom.llm.queries import BYTES
+
+    rows = count_tokens(odd, TOKENIZER).collect()
+    whole = Tokenizer.from_file(TOKENIZER).encode_batch([t or "" for _, t in ODD], add_special_tokens=False)
+    assert [r["n_tokens"] for r in rows] == [len(x.ids) for x in whole]
+    assert rows[0]["row"] == "r" and rows[0]["spans"] == "s"
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(BYTES, "rb"))}
+    own = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    assert [r["n"] for r in count_tokens(odd, BYTES, "n").collect()] == [len(own.encode_ordinary(t or "")) for _, t in ODD]
+    assert count_tokens(none, TOKENIZER).count() == 0
 
 
 PAGE = """<html><head><title>t</title><script>if (a < b) "<p>no</p>"</script></head><body><header>Top</header><nav><a href="/">Home</a></nav>

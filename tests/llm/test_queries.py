@@ -12,6 +12,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from compare import assert_same, duck
+from test_operators import brute_force_labels
 from visloom.llm import queries as q
 from visloom.llm.licenses import PHRASES
 from visloom.llm.ngram_lm import M, PAIRS, STEPS, WORDS, level_of, read_as, reserve
@@ -124,8 +125,28 @@ def test_license_base(spark, sf, docs):
         places = sorted(k for k, _ in at)
         assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"]) == (len(w), len(at), places[0] if at else None, places[-1] if at else None)
         assert r["base_labels"] == ",".join(sorted({x for _, x in at}))
-        assert set(r["base_labels"].split(",")) - {""} <= set(r["labels"].split(","))
-        assert 0 <= r["score"] <= 1
+        labels, cover = brute_force_labels(docs[r["doc_id"]])
+        assert r["labels"] == ",".join(sorted({x for _, x in at} | labels))
+        assert r["score"] == (1.0 if at else pytest.approx(cover))
+
+
+def test_token_counts(spark, sf, ids):
+    import base64
+
+    import public_tokenizers
+    import tiktoken
+
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(q.BYTES, "rb"))}
+    own = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    con = duckdb.connect()
+    bad = {k for (k,) in con.execute(f"SELECT doc_id FROM '{sf}/labels.parquet' WHERE quality = 0").fetchall()}
+    want = {}
+    for k, source, lang, text in con.execute(f"SELECT doc_id, source, lang, text FROM '{sf}/documents.parquet'").fetchall():
+        if k not in bad:
+            key = (source, lang, "byte_bpe_50k" if source == "src0" else "word_bpe_49k")
+            n, tokens = want.get(key, (0, 0))
+            want[key] = n + 1, tokens + (len(own.encode_ordinary(text or "")) if source == "src0" else len(ids[k]))
+    assert {(r["source"], r["lang"], r["tokenizer"]): (r["n_docs"], r["n_tokens"]) for r in q.op9_token_counts(spark, sf).collect()} == want
 
 
 def test_html(spark, sf):
@@ -139,7 +160,7 @@ def test_html(spark, sf):
         assert r["n_chars"] == len(r["text"])
 
 
-def test_pipeline_stages_agree_with_brute_force(spark, sf, docs):
+def test_pipeline_stages_agree_with_brute_force(spark, sf, docs, ids):
     """Each stage on its own input: what it keeps, and that columns stay."""
     read = spark.read.parquet(f"{sf}/documents.parquet")
     good = corpus_pipeline.good(spark, read, sf).cache()
@@ -150,10 +171,19 @@ def test_pipeline_stages_agree_with_brute_force(spark, sf, docs):
     left = {r["doc_id"] for r in good.collect()}
     sets = {k: _shingles(docs[k], 5) for k in left}
     assert sorted(r["doc_id"] for r in one.collect()) == sorted(k for k, c in _components(sets, 80).items() if k == c)
-    clean = corpus_pipeline.untested(spark, one, sf)
+    clean = corpus_pipeline.untested(spark, one, sf).cache()
     bad = {r["doc_id"] for r in q.op8_decontamination(spark, sf).where("contaminated").collect()}
     assert sorted(r["doc_id"] for r in clean.collect()) == sorted({r["doc_id"] for r in one.collect()} - bad)
     assert clean.columns == read.columns
+    rows = sorted((r["doc_id"], r["start"], r["length"], r["ids_crc32"]) for r in corpus_pipeline.packed(spark, clean, sf).collect())
+    covered = Counter()
+    for k, start, length, crc in rows:
+        part = np.append(ids[k], np.uint32(2)).astype("<u4")[start : start + length]
+        assert (len(part), zlib.crc32(part.tobytes())) == (length, crc)
+        covered[k] += length
+    assert covered == {r["doc_id"]: len(ids[r["doc_id"]]) + 1 for r in clean.collect()}
+    whole = corpus_pipeline.run(spark, sf)
+    assert Counter({r["doc_id"]: r["n"] for r in whole.groupBy("doc_id").agg({"length": "sum"}).toDF("doc_id", "n").collect()}) == covered
 
 
 def _shingles(text, k):
