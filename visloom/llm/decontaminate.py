@@ -179,7 +179,8 @@ def without_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Null texts stay null, texts without a span as they are, also repeated ones.
     """
-    parts, text = benchmark_parts(benchmark), docs.columns.index("text")
+    parts, names = benchmark_parts(benchmark), docs.columns
+    text = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -193,6 +194,6 @@ def without_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                             kept.append(raw[at : w.starts[first + a] - w.text_at[i]])
                             at = int(w.ends[first + b - 1] - w.text_at[i])
                         texts[w.lo + i] = b" ".join([*kept, raw[at:]]).decode()
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if j == text else batch.column(j) for j in range(batch.num_columns)], names=docs.columns)
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if j == text else batch.column(j) for j in range(batch.num_columns)], names=names)
 
     return docs.mapInArrow(run, docs.schema)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .wordscan import SPACED, Words, run_at, runs, scan, texts_of
+from .wordscan import SPACED, Words, mixed, polynomials, run_at, runs, scan, texts_of
 
 #: Labelled rows that the trees are fitted on, at most.
 SAMPLE = 20_000
@@ -104,11 +104,7 @@ def statistics(w: Words) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _line_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    from .wordscan import _CODES, _powers, mixed
-
-    up, down = _powers.upto(len(raw) + 1)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_CODES[raw] * up[: len(raw)])])
-    return mixed((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    return mixed(polynomials(raw, starts, ends) + (ends - starts).astype(np.uint64))
 
 
 @dataclass

@@ -108,13 +108,13 @@ def _scan(lo: int, texts: list[bytes], words: np.ndarray, lower: bool, marks: by
         last, before = data[ends - 1], data[np.maximum(ends - 2, 0)]
         found = np.isin(last, np.frombuffer(marks, np.uint8)) & (ends - starts > 1) & (before >= 97) & (before <= 122)
         off, ends = np.where(found, last, 0).astype(np.uint8), ends - found
-    hashes = mixed(_polynomials(data, starts, ends))
+    hashes = mixed(polynomials(data, starts, ends))
     offsets = np.searchsorted(starts, np.append(text_at, len(data)))
     return Words(lo, data, text_at, starts, ends, offsets, hashes, off)
 
 
-def _polynomials(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """For each word the sum of its bytes' codes times the base to the power of their places in the word."""
+def polynomials(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """For each word, or other range of bytes in order, the sum of its bytes' codes times the base to the power of their places in it."""
     out = np.zeros(len(starts), np.uint64)
     at = np.arange(0, len(data), BLOCK)
     first, last = np.searchsorted(ends, at, "right"), np.searchsorted(starts, at + BLOCK, "left")
@@ -126,7 +126,7 @@ def _polynomials(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
         a, b = np.maximum(starts[i:j] - begin, 0), np.minimum(ends[i:j] - begin, len(part))
         sums = (total[b] - total[a]) * _DOWN[a]
         if starts[i] < begin:  # the word that the block before began
-            sums[0] *= _U(pow(_BASE, int(begin - starts[i]), 1 << 64))
+            sums[:1] *= _U(pow(_BASE, int(begin - starts[i]), 1 << 64))
         out[i:j] += sums
     return out
 
