@@ -2,7 +2,11 @@
 
 Records are 100000 bytes (first array: 16 channels, 44 receiver outputs of which 40 antennas) or 204800 bytes
 (second array: 16 channels, 64 outputs of which 60 antennas). A file of them is split at record bounds, so
-partitions hold whole records; nothing is searched for.
+partitions hold whole records; nothing is searched for. Only what a table needs is read and decoded, and goes to
+Spark as Arrow batches.
+
+Frames before 2015 (universal time) have another header: the first array's loop code is two bytes at 99264, polarizations
+alternate, target and array aren't told, and the second array's body begins four bytes earlier.
 """
 
 from __future__ import annotations
@@ -10,12 +14,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from visloom.functions.timescale import PACKED
+from visloom.functions.timescale import PACKED, unpack_time
 
 # Layout of the two kinds of records, in bytes.
 LENGTH = {1: 100_000, 2: 204_800}
@@ -25,7 +29,18 @@ ANTENNAS = {1: 40, 2: 60}
 CHANNELS = 16
 TIME, SWITCHES, LOOP_CODE, TARGET = 32, 172, {1: 208, 2: 196}, 192
 
-HEADER = "frame_no long, packed_time long, frequency_switch long, bandwidth long, quantization long, delay_switch long, strip_switch long, sub_band_switch long, target int, array_tag int, loop_code int"
+OLD_LOOP_CODE, OLD_BODY = 99_264, 1_884
+#: Bytes from a record's start that hold its header.
+HEAD = 212
+#: Codes of the first array's four bands: outside of loop mode, and in it before 2015.
+FIXED_LOW, OLD_LOOP_LOW = (0x3333, 0x7777, 0xBBBB, 0xCCCC), (0x0000, 0x5555, 0xAAAA, 0xFFFF)
+TARGETS = {0: "sun", 0x0101: "satellite", 0x0202: "swan"}
+IF_BANDWIDTH = {0x33333333: 25_000_000, 0x77777777: 12_500_000, 0x88888888: 6_250_000, 0xBBBBBBBB: 3_125_000, 0xCCCCCCCC: 1_562_500}
+
+HEADER = (
+    "frame_no long, packed_time long, frequency_switch long, bandwidth long, quantization long, delay_switch long, strip_switch long, sub_band_switch long, target int, array_tag int, loop_code int, "
+    "recent boolean, loop boolean, pol int, channel_group int, sub_band int, freq_hz long, freqid int, if_bandwidth long, obs_target string, real_sub_array int"
+)
 VIS = "frame_no long, bl int, ant1 int, ant2 int, chan int, re double, im double"
 AUTO = "frame_no long, ant int, chan int, power double"
 DELAY = "frame_no long, ant int, delay_ns double"
@@ -43,84 +58,172 @@ def pairs(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.triu_indices(n, 1)
 
 
-def headers(records: np.ndarray, array: int) -> dict[str, np.ndarray]:
-    """Header fields of records (frames x bytes)."""
-    u32 = lambda at: records[:, at : at + 4].copy().view("<u4")[:, 0].astype(np.int64)
-    u16 = lambda at: records[:, at : at + 2].copy().view("<u2")[:, 0].astype(np.int32)
-    names = ("bandwidth", "quantization", "delay_switch", "strip_switch", "sub_band_switch")
-    code = records[:, LOOP_CODE[array]].astype(np.int32) if array == 1 else u16(LOOP_CODE[array])
-    out = {"packed_time": records[:, TIME : TIME + 8].copy().view("<i8")[:, 0], "frequency_switch": u32(40)}
-    return out | {n: u32(SWITCHES + 4 * i) for i, n in enumerate(names)} | {"target": u16(TARGET), "array_tag": u16(TARGET + 2), "loop_code": code}
+def _field(packed: np.ndarray, name: str) -> np.ndarray:
+    at = 0
+    for n, bits in PACKED:
+        if n == name:
+            return packed >> at & (1 << bits) - 1
+        at += bits
+    raise KeyError(name)
+
+
+def is_recent(packed: np.ndarray) -> np.ndarray:
+    """Whether frames are of 2015 or later in universal time, eight hours behind their clock."""
+    night = (_field(packed, "month") == 1) & (_field(packed, "day") == 1) & (_field(packed, "hour") < 8)
+    return 2000 + _field(packed, "year") - night >= 2015
+
 
+def headers(head: np.ndarray, old_code: np.ndarray | None, numbers: np.ndarray, array: int) -> dict[str, pa.Array]:
+    """Header fields and resolved modes of frames: their first `HEAD` bytes and, of the first array, the two bytes of the old loop code.
 
-def _body(records: np.ndarray, array: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Visibilities (frames, baselines of receiver outputs, channels), autocorrelations (frames, outputs, channels), delays."""
+    A code that no table knows leaves band, frequency and, in loop mode, polarization null.
+    """
+    u32 = lambda at: head[:, at : at + 4].copy().view("<u4")[:, 0].astype(np.int64)
+    u16 = lambda at: head[:, at : at + 2].copy().view("<u2")[:, 0].astype(np.int32)
+    names = ("bandwidth", "quantization", "delay_switch", "strip_switch", "sub_band_switch")
+    code = head[:, LOOP_CODE[array]].astype(np.int32) if array == 1 else u16(LOOP_CODE[array])
+    f = {"packed_time": head[:, TIME : TIME + 8].copy().view("<i8")[:, 0], "frequency_switch": u32(40)} | {n: u32(SWITCHES + 4 * i) for i, n in enumerate(names)}
+    recent = is_recent(f["packed_time"])
+    switch = f["sub_band_switch"]
+    pol = np.where(recent, (switch & 0xFFFF) != 0x3333, numbers % 2 == 1).astype(np.int32)
+    place = lambda codes, x: np.select([x == c for c in codes], range(len(codes)), -1)
+    if array == 1:
+        band = place(FIXED_LOW, switch >> 16)
+        loop = band < 0
+        now = loop & recent
+        pol = np.where(now, np.where(code < 8, code % 2, -1), pol)
+        old = place(OLD_LOOP_LOW, old_code if old_code is not None else np.full(len(head), -1))
+        band = np.where(now, np.where(code < 8, code // 2, -1), np.where(loop, old, band))
+        hz = 400_000_000 * (band.astype(np.int64) + 1)
+        freqid = band + 1
+    else:
+        fixed = switch >> 16
+        band = np.where((fixed % 0x101 == 0) & (fixed // 0x101 < 33), fixed // 0x101, -1)
+        loop = band < 0
+        pol = np.where(loop, np.where(code < 66, code % 2, -1), pol)
+        band = np.where(loop, np.where(code < 66, code // 2, -1), band)
+        hz = np.minimum(2_000_000_000 + 400_000_000 * band.astype(np.int64), 14_600_000_000)
+        # The second array's loop mode has one frequency id for all bands.
+        freqid = np.where(loop, 1, band + 1)
+    lost = band < 0
+    some = lambda x, kind, none=lost: pa.array(x, kind, mask=none)
+    tag = u16(TARGET + 2)
+    width = np.array([IF_BANDWIDTH.get(int(x), -1) for x in f["bandwidth"]], np.int64)
+    out = {"frame_no": pa.array(numbers, pa.int64())} | {k: pa.array(v, pa.int64()) for k, v in f.items()}
+    out |= {"target": pa.array(u16(TARGET)), "array_tag": pa.array(tag), "loop_code": pa.array(code), "recent": pa.array(recent), "loop": pa.array(loop)}
+    out |= {"pol": some(pol, pa.int32(), pol < 0), "channel_group": some(band * 16, pa.int32()), "sub_band": some(band, pa.int32()), "freq_hz": some(hz, pa.int64()), "freqid": some(freqid, pa.int32()), "if_bandwidth": some(width, pa.int64(), width < 0)}
+    target = [TARGETS.get(int(t), "other") if r else "sun" for t, r in zip(u16(TARGET), recent, strict=True)]
+    real = np.where(recent, np.select([tag == 0, tag == 0x4E4E], [1, 2], -1), array)
+    return out | {"obs_target": pa.array(target), "real_sub_array": some(real, pa.int32(), real < 0)}
+
+
+def _blocks(records: np.ndarray, array: int) -> tuple[np.ndarray, int]:
+    """The blocks of records (frames, blocks, bytes), and the bytes of visibilities in each."""
     n, outs = len(records), OUTPUTS[array]
     count = outs * (outs - 1) // 2
     if array == 1:
         size = count * 12 + 40 + outs // 4 * 64 + 32
-        blocks = records[:, BODY[1] : BODY[1] + 8 * size].reshape(n, 8, size)
-        first, second = _words(blocks[:, :, : count * 12].reshape(n, 8, count, 12))
-        vis = np.stack([first, second], axis=-1).transpose(0, 2, 1, 3).reshape(n, count, CHANNELS)
-        tail = blocks[:, :, count * 12 + 40 : count * 12 + 40 + outs // 4 * 64].reshape(n, 8, outs // 4, 64)
-        auto = tail[..., :32].copy().view("<u4").reshape(n, 8, outs, 2).transpose(0, 2, 1, 3).reshape(n, outs, CHANNELS)
-        d = tail[:, 7, :, 40:56].copy().view("<u2").reshape(n, outs, 2).astype(float)
-        return vis, auto.astype(float), d[..., 0] + d[..., 1] * 1e-4
+        return records[:, BODY[1] : BODY[1] + 8 * size].reshape(n, 8, size), count * 12
     size = count * 6 + outs // 8 * 64 + 72
-    blocks = records[:, BODY[2] : BODY[2] + CHANNELS * size].reshape(n, CHANNELS, size)
-    first, second = _words(blocks[:, :, : count * 6].reshape(n, CHANNELS, count // 2, 12))
-    vis = np.stack([second, first], axis=-1).reshape(n, CHANNELS, count).transpose(0, 2, 1)
-    tail = blocks[:, :, count * 6 : count * 6 + outs // 8 * 64].reshape(n, CHANNELS, outs // 8, 64)
-    auto = tail[..., :32].copy().view("<u4").reshape(n, CHANNELS, outs).transpose(0, 2, 1)
-    d = tail[:, 14:16, :, 32:48].copy().view("<u4").reshape(n, 2, outs // 8, 4).transpose(0, 2, 1, 3).reshape(n, outs)
-    return vis, auto.astype(float), (d >> 17) + (d & 0x1FFFF) * 1e-5
+    recent = is_recent(records[:, TIME : TIME + 8].copy().view("<i8")[:, 0])
+    if recent.all() or not recent.any():
+        at = BODY[2] if recent.all() else OLD_BODY
+        return records[:, at : at + CHANNELS * size].reshape(n, CHANNELS, size), count * 6
+    rows = [r[a : a + CHANNELS * size] for r, a in zip(records, np.where(recent, BODY[2], OLD_BODY), strict=True)]
+    return np.stack(rows).reshape(n, CHANNELS, size), count * 6
+
+
+def visibilities(records: np.ndarray, array: int) -> np.ndarray:
+    """Complex values (frames, baselines of receiver outputs, channels)."""
+    blocks, size = _blocks(records, array)
+    n = len(records)
+    if array == 1:
+        first, second = _words(blocks[:, :, :size].reshape(n, 8, -1, 12))
+        return np.stack([first, second], axis=-1).transpose(0, 2, 1, 3).reshape(n, -1, CHANNELS)
+    first, second = _words(blocks[:, :, :size].reshape(n, CHANNELS, -1, 12))
+    return np.stack([second, first], axis=-1).reshape(n, CHANNELS, -1).transpose(0, 2, 1)
 
 
-def decode(records: np.ndarray, numbers: np.ndarray, array: int) -> dict[str, pd.DataFrame]:
-    """Tables `headers`, `vis`, `autocorr` and `delays` of records; outputs beyond the antennas are left out."""
-    n, ants = len(records), ANTENNAS[array]
-    vis, auto, delays = _body(records, array)
-    a1, a2 = pairs(OUTPUTS[array])
-    use = np.flatnonzero((a1 < ants) & (a2 < ants))
-    vis, chans, ids = vis[:, use], np.arange(CHANNELS), np.arange(len(use))
-    frame = lambda k: np.repeat(numbers, k)
-    return {
-        "headers": pd.DataFrame({"frame_no": numbers} | headers(records, array)),
-        "vis": pd.DataFrame({"frame_no": frame(len(use) * CHANNELS), "bl": np.tile(np.repeat(ids, CHANNELS), n), "ant1": np.tile(np.repeat(a1[use], CHANNELS), n), "ant2": np.tile(np.repeat(a2[use], CHANNELS), n), "chan": np.tile(chans, n * len(use)), "re": vis.real.reshape(-1), "im": vis.imag.reshape(-1)}),
-        "autocorr": pd.DataFrame({"frame_no": frame(ants * CHANNELS), "ant": np.tile(np.repeat(np.arange(ants), CHANNELS), n), "chan": np.tile(chans, n * ants), "power": auto[:, :ants].reshape(-1)}),
-        "delays": pd.DataFrame({"frame_no": frame(ants), "ant": np.tile(np.arange(ants), n), "delay_ns": delays[:, :ants].reshape(-1)}),
-    }
+def autocorrelations(records: np.ndarray, array: int) -> np.ndarray:
+    """Powers (frames, outputs, channels)."""
+    blocks, size = _blocks(records, array)
+    n, outs = len(records), OUTPUTS[array]
+    if array == 1:
+        tail = blocks[:, :, size + 40 : size + 40 + outs // 4 * 64].reshape(n, 8, outs // 4, 64)
+        return tail[..., :32].copy().view("<u4").reshape(n, 8, outs, 2).transpose(0, 2, 1, 3).reshape(n, outs, CHANNELS).astype(float)
+    tail = blocks[:, :, size : size + outs // 8 * 64].reshape(n, CHANNELS, outs // 8, 64)
+    return tail[..., :32].copy().view("<u4").reshape(n, CHANNELS, outs).transpose(0, 2, 1).astype(float)
+
+
+def delays(records: np.ndarray, array: int) -> np.ndarray:
+    """Nanoseconds (frames, outputs)."""
+    blocks, size = _blocks(records, array)
+    n, outs = len(records), OUTPUTS[array]
+    if array == 1:
+        tail = blocks[:, 7, size + 40 : size + 40 + outs // 4 * 64].reshape(n, outs // 4, 64)
+        d = tail[..., 40:56].copy().view("<u2").reshape(n, outs, 2).astype(float)
+        return d[..., 0] + d[..., 1] * 1e-4
+    tail = blocks[:, 14:16, size : size + outs // 8 * 64].reshape(n, 2, outs // 8, 64)
+    d = tail[..., 32:48].copy().view("<u4").reshape(n, 2, outs // 8, 4).transpose(0, 2, 1, 3).reshape(n, outs)
+    return (d >> 17) + (d & 0x1FFFF) * 1e-5
 
 
 SCHEMAS = {"headers": HEADER, "vis": VIS, "autocorr": AUTO, "delays": DELAY}
 
 
+def decode(records: np.ndarray, numbers: np.ndarray, array: int, what: str) -> pa.RecordBatch:
+    """One table (`headers`, `vis`, `autocorr`, `delays`) of records (frames x bytes); outputs beyond the antennas are left out."""
+    n, ants = len(records), ANTENNAS[array]
+    frame = lambda k: np.repeat(numbers.astype(np.int64), k)
+    small = lambda x: pa.array(np.asarray(x, np.int32))
+    if what == "headers":
+        old = records[:, OLD_LOOP_CODE : OLD_LOOP_CODE + 2].copy().view("<u2")[:, 0].astype(np.int64) if array == 1 else None
+        cols = headers(records[:, :HEAD], old, numbers.astype(np.int64), array)
+    elif what == "vis":
+        a1, a2 = pairs(OUTPUTS[array])
+        use = np.flatnonzero((a1 < ants) & (a2 < ants))
+        vis = visibilities(records, array)[:, use]
+        each = lambda x: small(np.tile(np.repeat(x, CHANNELS), n))
+        cols = {"frame_no": pa.array(frame(len(use) * CHANNELS)), "bl": each(np.arange(len(use))), "ant1": each(a1[use]), "ant2": each(a2[use]), "chan": small(np.tile(np.arange(CHANNELS), n * len(use))), "re": pa.array(vis.real.reshape(-1)), "im": pa.array(vis.imag.reshape(-1))}
+    elif what == "autocorr":
+        power = autocorrelations(records, array)[:, :ants]
+        cols = {"frame_no": pa.array(frame(ants * CHANNELS)), "ant": small(np.tile(np.repeat(np.arange(ants), CHANNELS), n)), "chan": small(np.tile(np.arange(CHANNELS), n * ants)), "power": pa.array(power.reshape(-1))}
+    else:
+        cols = {"frame_no": pa.array(frame(ants)), "ant": small(np.tile(np.arange(ants), n)), "delay_ns": pa.array(delays(records, array)[:, :ants].reshape(-1))}
+    names = [c.split()[0] for c in SCHEMAS[what].split(", ")]
+    return pa.RecordBatch.from_arrays([cols[c] for c in names], names=names)
+
+
 def decode_table(records: DataFrame, array: int, what: str) -> DataFrame:
     """One of the tables of a DataFrame of records (frame_no, record binary); records of another length are left out."""
-    names = [c.split()[0] for c in SCHEMAS[what].split(", ")]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, len(batch), 8):
-                some = batch.iloc[lo : lo + 8]
-                raw = np.frombuffer(b"".join(some["record"]), np.uint8).reshape(len(some), LENGTH[array])
-                if what == "headers":
-                    yield pd.DataFrame({"frame_no": some["frame_no"].to_numpy()} | headers(raw, array))[names]
-                else:
-                    yield decode(raw, some["frame_no"].to_numpy(), array)[what][names]
+            for lo in range(0, batch.num_rows, 8):
+                some = batch.slice(lo, 8)
+                raw = np.frombuffer(b"".join(some.column(1).to_pylist()), np.uint8).reshape(some.num_rows, LENGTH[array])
+                yield decode(raw, some.column(0).to_numpy(), array, what)
 
-    return records.where(F.length("record") == LENGTH[array]).mapInPandas(run, SCHEMAS[what])
+    return records.select("frame_no", "record").where(F.length("record") == LENGTH[array]).mapInArrow(run, SCHEMAS[what])
 
 
 def read_records(spark: SparkSession, path: str, array: int) -> DataFrame:
-    """frame_no, record of files of records, through Hadoop's fixed-length reader: splittable, any file system."""
-    rdd = spark.sparkContext.binaryRecords(path, LENGTH[array])
-    return rdd.zipWithIndex().map(lambda x: (x[1], bytearray(x[0]))).toDF("frame_no long, record binary")
+    """frame_no, record of files of records, through Hadoop's fixed-length reader: splittable, any file system.
+
+    frame_no is the frame's slot of 3.125 ms in its day, from the record's own time, so files are read once and in
+    any order.
+    """
+    records = spark.sparkContext.binaryRecords(path, LENGTH[array]).map(lambda r: (bytearray(r),)).toDF("record binary")
+    octets = F.reverse(F.transform(F.sequence(F.lit(TIME + 1), F.lit(TIME + 8)), lambda i: F.hex(F.substring("record", i, F.lit(1)))))
+    f = unpack_time(F.conv(F.array_join(octets, ""), 16, -10).cast("long"))
+    us = ((f["hour"] * 60 + f["minute"]) * 60 + f["second"]) * 1_000_000 + f["ms"] * 1000 + f["us"]
+    return records.select(F.floor(us / 3125).alias("frame_no"), "record")
 
 
 def encode(numbers: np.ndarray, array: int, header: dict[str, np.ndarray], vis: np.ndarray, auto: np.ndarray, delay: np.ndarray) -> np.ndarray:
     """Records of given contents, for derived views and tests: vis (frames, receiver baselines, channels) of whole
-    numbers, auto (frames, outputs, channels), delay (frames, outputs) of whole nanoseconds."""
+    numbers, auto (frames, outputs, channels), delay (frames, outputs) of whole nanoseconds. All are of 2015 and later,
+    or all before. old_loop_code in the header is put where it lay before 2015."""
     n, outs = len(numbers), OUTPUTS[array]
     count, out = outs * (outs - 1) // 2, np.zeros((len(numbers), LENGTH[array]), np.uint8)
     out[:, :28] = 0x55
@@ -140,10 +243,11 @@ def encode(numbers: np.ndarray, array: int, header: dict[str, np.ndarray], vis:
     put(TARGET, header["target"], "<u2")
     put(TARGET + 2, header["array_tag"], "<u2")
     put(LOOP_CODE[array], header["loop_code"], "<u1" if array == 1 else "<u2")
+    body = BODY[array] if is_recent(header["packed_time"].astype(np.int64)).all() else OLD_BODY if array == 2 else BODY[1]
     if array == 1:
         size = count * 12 + 40 + outs // 4 * 64 + 32
         for k in range(8):
-            at = BODY[1] + k * size
+            at = body + k * size
             out[:, at : at + count * 12] = words(vis[:, :, 2 * k], vis[:, :, 2 * k + 1]).reshape(n, -1)
             tail = np.zeros((n, outs // 4, 64), np.uint8)
             tail[..., :32] = np.ascontiguousarray(auto[:, :, 2 * k : 2 * k + 2].astype("<u4")).view(np.uint8).reshape(n, outs // 4, 32)
@@ -151,10 +255,12 @@ def encode(numbers: np.ndarray, array: int, header: dict[str, np.ndarray], vis:
                 both = np.stack([delay, np.zeros_like(delay)], axis=-1).astype("<u2")
                 tail[..., 40:56] = both.reshape(n, outs // 4, 8).view(np.uint8).reshape(n, outs // 4, 16)
             out[:, at + count * 12 + 40 : at + count * 12 + 40 + tail[0].size] = tail.reshape(n, -1)
+        if "old_loop_code" in header:
+            put(OLD_LOOP_CODE, header["old_loop_code"], "<u2")
         return out
     size = count * 6 + outs // 8 * 64 + 72
     for k in range(CHANNELS):
-        at = BODY[2] + k * size
+        at = body + k * size
         out[:, at : at + count * 6] = words(vis[:, 1::2, k], vis[:, 0::2, k]).reshape(n, -1)
         tail = np.zeros((n, outs // 8, 64), np.uint8)
         tail[..., :32] = np.ascontiguousarray(auto[:, :, k].astype("<u4")).view(np.uint8).reshape(n, outs // 8, 32)
@@ -172,10 +278,11 @@ class _Range(InputPartition):
 
 
 class RawFrameSource(DataSource):
-    """spark.read.format("rawframes").option("path", file).option("array", 1).option("table", "vis").load()
+    """spark.read.format("rawframes").option("path", files).option("array", 1).option("table", "vis").load()
 
-    For files that every executor can open as files; partitions are runs of whole records. Use `read_records`
-    for stores that only Hadoop reads.
+    For files (several: with commas, or a folder) that every executor can open as files; partitions are runs of whole
+    records of one file, and frame_no counts the frames of a file. The table `headers` reads headers only. Use
+    `read_records` for stores that only Hadoop reads.
     """
 
     @classmethod
@@ -191,31 +298,44 @@ class RawFrameSource(DataSource):
 
 class _Reader(DataSourceReader):
     def __init__(self, options: dict[str, str]) -> None:
-        self.path, self.array, self.table = options["path"], int(options.get("array", 1)), options.get("table", "headers")
+        self.paths, self.array, self.table = options["path"].split(","), int(options.get("array", 1)), options.get("table", "headers")
         self.per = int(options.get("frames", 320))
 
     def partitions(self) -> list[_Range]:
         import os
 
-        frames = os.path.getsize(self.path) // LENGTH[self.array]
-        return [_Range(self.path, i, min(self.per, frames - i)) for i in range(0, frames, self.per)]
+        files = [f for p in self.paths for f in (sorted(os.path.join(p, x) for x in os.listdir(p)) if os.path.isdir(p) else [p])]
+        counts = [(f, os.path.getsize(f) // LENGTH[self.array]) for f in files]
+        return [_Range(f, i, min(self.per, n - i)) for f, n in counts for i in range(0, n, self.per)]
 
-    def read(self, partition: _Range) -> Iterator[tuple]:
+    def read(self, partition: _Range) -> Iterator[pa.RecordBatch]:
         size = LENGTH[self.array]
-        names = [c.split()[0] for c in SCHEMAS[self.table].split(", ")]
         with open(partition.path, "rb") as f:
+            if self.table == "headers":
+                numbers = np.arange(partition.first, partition.first + partition.count)
+                head, old = [], []
+                for k in numbers.tolist():
+                    f.seek(k * size)
+                    head.append(f.read(HEAD))
+                    if self.array == 1:
+                        f.seek(k * size + OLD_LOOP_CODE)
+                        old.append(f.read(2))
+                codes = np.frombuffer(b"".join(old), "<u2").astype(np.int64) if self.array == 1 else None
+                cols = headers(np.frombuffer(b"".join(head), np.uint8).reshape(-1, HEAD), codes, numbers, self.array)
+                names = [c.split()[0] for c in HEADER.split(", ")]
+                yield pa.RecordBatch.from_arrays([cols[c] for c in names], names=names)
+                return
             f.seek(partition.first * size)
             for i in range(0, partition.count, 8):
                 k = min(8, partition.count - i)
                 raw = np.frombuffer(f.read(k * size), np.uint8).reshape(k, size)
-                table = decode(raw, np.arange(partition.first + i, partition.first + i + k), self.array)[self.table]
-                yield from table[names].itertuples(index=False, name=None)
+                yield decode(raw, np.arange(partition.first + i, partition.first + i + k), self.array, self.table)
 
 
-def packed_times(frame_no: np.ndarray) -> np.ndarray:
-    """Packed times of a clock that starts a frame's number of 3.125 ms steps after a fixed day's start."""
+def packed_times(frame_no: np.ndarray, year: int = 2015) -> np.ndarray:
+    """Packed times of a clock that starts a frame's number of 3.125 ms steps after the start of the first of November."""
     us = frame_no.astype(np.int64) * 3125
-    parts = {"tick": us * 0, "us": us % 1000, "ms": us // 1000 % 1000, "second": us // 10**6 % 60, "minute": us // (60 * 10**6) % 60, "hour": us // (3600 * 10**6) % 24, "day": us * 0 + 1, "month": us * 0 + 11, "year": us * 0 + 15}
+    parts = {"tick": us * 0, "us": us % 1000, "ms": us // 1000 % 1000, "second": us // 10**6 % 60, "minute": us // (60 * 10**6) % 60, "hour": us // (3600 * 10**6) % 24, "day": us * 0 + 1, "month": us * 0 + 11, "year": us * 0 + year - 2000}
     out, at = us * 0, 0
     for name, bits in PACKED:
         out |= parts[name] << at

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from visloom.operators.geometry import C, baseline_id
 from visloom.operators.params import numbers
 
 # Sizes of a minute's file of each array.
@@ -26,6 +31,36 @@ def earth_orientation(lines: DataFrame) -> DataFrame:
     return p.select(*(F.get("p", F.lit(i)).alias(c) for i, c in enumerate(("mjd", "x", "y", "ut1_utc"))))
 
 
+ORIENTATION = np.dtype([("y", "<u2"), ("m", "u1"), ("day", "u1"), ("mjd", "<u4"), ("x", "<f8"), ("y_pole", "<f8"), ("ut1_utc", "<f8")])
+ORIENTATION_SCHEMA = "y int, m int, day int, mjd int, x double, y_pole double, ut1_utc double"
+
+
+def orientation_records(rows: DataFrame) -> DataFrame:
+    """y, m, day, mjd, x, y_pole, ut1_utc of binary records of 32 bytes (record), one or several to a row; a last part of a record is left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = b"".join((r or b"")[: len(r or b"") // 32 * 32] for r in batch.column(0).to_pylist())
+            found = np.frombuffer(raw, ORIENTATION)
+            cols = [pa.array(found[n].astype("f8" if found[n].dtype.kind == "f" else "i4")) for n in ORIENTATION.names]
+            yield pa.RecordBatch.from_arrays(cols, names=list(ORIENTATION.names))
+
+    return rows.select("record").mapInArrow(run, ORIENTATION_SCHEMA)
+
+
+def orientation_bytes(rows: DataFrame) -> DataFrame:
+    """record: the same rows as binary records."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = np.zeros(batch.num_rows, ORIENTATION)
+            for i, n in enumerate(ORIENTATION.names):
+                out[n] = batch.column(i).to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in out], pa.binary())], names=["record"])
+
+    return rows.select(*ORIENTATION.names).mapInArrow(run, "record binary")
+
+
 def dated_parameters(rows: DataFrame) -> DataFrame:
     """freq, ref_time, value array<double> of rows whose value is a comma-separated cell."""
     return rows.select("freq", "ref_time", numbers(F.col("value")).alias("value"))
@@ -65,17 +100,47 @@ def read_calibration(spark: SparkSession, path: str, day: str, sub_array: int, p
     return spark.read.parquet(path).where((F.col("obs_day") == day) & (F.col("sub_array") == sub_array) & (F.col("priority") == priority))
 
 
+def antenna_table(antennas: DataFrame) -> DataFrame:
+    """The AN table of antennas (ant from 0, e, n, u): names, places, numbers from 1, mounts and feeds."""
+    zero = F.lit(0.0)
+    return antennas.select(
+        F.concat(F.lit("A"), (F.col("ant") + 1).cast("string")).alias("anname"), F.array("e", "n", "u").alias("stabxyz"), (F.col("ant") + 1).cast("int").alias("nosta"), F.lit(0).alias("mntsta"), zero.alias("staxof"),
+        F.lit("L").alias("poltya"), zero.alias("polaa"), F.array(zero, zero).alias("polcala"), F.lit("R").alias("poltyb"), zero.alias("polab"), F.array(zero, zero).alias("polcalb"),
+    )
+
+
+def frequency_table(bands: DataFrame, width: float = 25e6, channels: int = 16) -> DataFrame:
+    """The FQ table of bands (freqsel from 0, hz)."""
+    return bands.select((F.col("freqsel") + 1).cast("int").alias("frqsel"), F.array("hz").alias("if_freq"), F.array(F.lit(width)).alias("ch_width"), F.array(F.lit(width * channels)).alias("total_bandwidth"), F.array(F.lit(1)).alias("sideband"))
+
+
+def source_table(sources: DataFrame) -> DataFrame:
+    """The SU table of sources (source_id, source, ra, dec in degrees)."""
+    zero = F.lit(0.0)
+    flux = [F.array(zero).alias(f"{x}flux") for x in "iquv"]
+    return sources.select(
+        F.col("source_id").cast("int").alias("id"), "source", F.lit(1).alias("qual"), F.lit("").alias("calcode"), *flux, F.array(zero).alias("freqoff"), zero.alias("bandwidth"), F.col("ra").alias("raepo"), F.col("dec").alias("decepo"), F.lit(2000.0).alias("epoch"),
+        F.col("ra").alias("raapp"), F.col("dec").alias("decapp"), F.array(zero).alias("lsrvel"), F.array(zero).alias("restfreq"), zero.alias("pmra"), zero.alias("pmdec"),
+    )
+
+
 def export_tables(vis: DataFrame, antennas: DataFrame, bands: DataFrame, sources: DataFrame) -> dict[str, DataFrame]:
     """The logical tables of a visibility export: groups with channels as arrays, antennas, frequencies, sources.
 
-    Channels absent from a group have value 0 and weight 0.
+    vis has frame_id, bl, ant1, ant2, chan, re, im, u and v (metres), pol, freqsel, source_id. Channels absent from a
+    group have value 0 and weight 0. uu and vv are light seconds, stokes is -1 for RR and -2 for LL.
     """
     chan = F.sequence(F.lit(0), F.lit(15))
-    cells = vis.groupBy("frame_id", "bl", "freqsel", "source_id").agg(F.map_from_entries(F.collect_list(F.struct("chan", F.struct("re", "im")))).alias("m"))
+    keys = ["frame_id", "bl", "freqsel", "source_id", "pol"]
+    one = [F.max("u").alias("u"), F.max("v").alias("v"), F.max("ant1").alias("ant1"), F.max("ant2").alias("ant2")]
+    cells = vis.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("chan", F.struct("re", "im")))).alias("m"), *one)
     at = lambda f: F.transform(chan, lambda c: F.coalesce(F.try_element_at("m", c)[f], F.lit(0.0)))
     weight = F.transform(chan, lambda c: F.try_element_at("m", c).isNotNull().cast("double"))
-    groups = cells.select("frame_id", "bl", "freqsel", "source_id", at("re").alias("re"), at("im").alias("im"), weight.alias("weight"))
-    return {"vis_groups": groups, "antenna": antennas, "frequency": bands, "source": sources}
+    groups = cells.select(
+        *keys[:4], (F.col("u") / C).alias("uu"), (F.col("v") / C).alias("vv"), F.lit(0.0).alias("ww"), baseline_id(F.col("ant1") + 1, F.col("ant2") + 1).alias("baseline"), F.when(F.col("pol") == 0, -2).otherwise(-1).alias("stokes"),
+        F.lit(1).alias("inttim"), at("re").alias("re"), at("im").alias("im"), weight.alias("weight"),
+    )
+    return {"vis_groups": groups, "antenna": antenna_table(antennas), "frequency": frequency_table(bands), "source": source_table(sources)}
 
 
 def write_tables(tables: dict[str, DataFrame], path: str) -> None:
@@ -84,8 +149,10 @@ def write_tables(tables: dict[str, DataFrame], path: str) -> None:
 
 
 def exported_products(groups: DataFrame, frequency: DataFrame) -> DataFrame:
-    """Frequency (GHz) and size of each exported band."""
-    return groups.groupBy("freqsel").agg(F.count("*").alias("groups"), F.count_distinct("frame_id").alias("frames")).join(frequency, "freqsel").select("freqsel", "groups", "frames", (F.col("hz") / 1e9).alias("ghz"))
+    """Polarization, frequency (GHz) and size of each exported band."""
+    pol = F.when(F.col("stokes") == -1, "RR").when(F.col("stokes") == -2, "LL").alias("pol")
+    bands = frequency.select((F.col("frqsel") - 1).alias("freqsel"), (F.get("if_freq", F.lit(0)) / 1e9).alias("ghz"))
+    return groups.groupBy("freqsel", pol).agg(F.count("*").alias("groups"), F.count_distinct("frame_id").alias("frames")).join(bands, "freqsel").select("freqsel", "pol", "groups", "frames", "ghz")
 
 
 def training_lines(vis: DataFrame, bad: DataFrame) -> DataFrame:
