@@ -37,6 +37,7 @@ def precess(v: Vector, jd_tdb: Column) -> Vector:
 def gmst82(jd_ut1: Column) -> Column:
     """Sidereal angle of 1982 in radians."""
     t = (jd_ut1 - 2451545.0) / 36525.0
+    # The polynomial of 1982, in seconds.
     g = 67310.54841 + (8640184.812866 + (0.093104 - 6.2e-6 * t) * t) * t
     return F.pmod(F.pmod(jd_ut1, F.lit(1.0)) + F.pmod(g / 86400.0, F.lit(1.0)), F.lit(1.0)) * 2 * F.pi()
 
@@ -47,10 +48,21 @@ def teme_to_earth(v: Vector, jd_ut1: Column, xp: Column | float = 0.0, yp: Colum
     return turn(0, -lit(yp), turn(1, -lit(xp), turn(2, gmst82(jd_ut1), v)))
 
 
+def teme_velocity_to_earth(r: Vector, v: Vector, jd_ut1: Column, xp: Column | float = 0.0, yp: Column | float = 0.0) -> Vector:
+    """A velocity (length a day) in Earth-fixed axes, which turn under the place r."""
+    lit = lambda x: x if isinstance(x, Column) else F.lit(x)
+    t = (jd_ut1 - 2451545.0) / 36525.0
+    # The rate of the sidereal angle of 1982, in radians a day.
+    rate = (1 + (8640184.812866 + (0.093104 * 2 - 6.2e-6 * 3 * t) * t) / 86400.0 / 36525.0) * 2 * F.pi()
+    x, y, _ = turn(2, gmst82(jd_ut1), r)
+    p, q, w = turn(2, gmst82(jd_ut1), v)
+    return turn(0, -lit(yp), turn(1, -lit(xp), (p + rate * y, q - rate * x, w)))
+
+
 @F.pandas_udf(T.DoubleType())
 def eccentric_anomaly(mean: pd.Series, ecc: pd.Series) -> pd.Series:
-    """Root E of E - e sin E = M (radians), by at most 30 Newton steps on the whole column."""
-    m, e = mean.to_numpy(float), ecc.to_numpy(float)
+    """Root E of E - e sin E = M (radians, taken within one turn), by at most 30 Newton steps on the whole column."""
+    m, e = np.mod(mean.to_numpy(float), 2 * np.pi), ecc.to_numpy(float)
     x = np.where(e < 0.8, m, np.pi)
     for _ in range(30):
         step = (x - e * np.sin(x) - m) / (1 - e * np.cos(x))
@@ -71,7 +83,7 @@ def chebyshev(coefficients: Column, s: Column) -> Column:
     """Sum of c_k T_k(s), by the recurrence from the highest coefficient down."""
     start = F.struct(F.lit(0.0).alias("b1"), F.lit(0.0).alias("b2"))
     step = lambda acc, c: F.struct((2 * s * acc["b1"] - acc["b2"] + c).alias("b1"), acc["b1"].alias("b2"))
-    b = F.aggregate(F.reverse(F.slice(coefficients, 2, 1000)), start, step)
+    b = F.aggregate(F.reverse(F.slice(coefficients, 2, F.greatest(F.size(coefficients) - 1, F.lit(0)))), start, step)
     return F.get(coefficients, F.lit(0)) + s * b["b1"] - b["b2"]
 
 

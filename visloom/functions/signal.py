@@ -74,6 +74,13 @@ def target_label(code: Column) -> Column:
     return F.when(code == 0, "sun").when(code == 0x0101, "satellite").when(code == 0x0202, "swan").otherwise("other")
 
 
+def drifting_phase(u: Column, v: Column, hz: Column, n: Column) -> Column:
+    """Phase that the n-th integration of a drifting pointing is turned forward by; u and v in light seconds."""
+    # Degrees of right ascension, of declination at the start, and of its change with each integration.
+    ra, dec = F.radians(F.lit(0.14)), F.radians(F.lit(-0.1) + F.lit(0.02) * n)
+    return 2 * F.pi() * hz * (u * ra + v * dec)
+
+
 def offset_phase(u: Column, v: Column, x: Column, y: Column) -> Column:
     """Phase of a source off the centre, for u, v in wavelengths and x, y in radians."""
     return 2 * F.pi() * (u * x + v * y)

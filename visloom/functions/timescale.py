@@ -95,6 +95,26 @@ def sidereal_hours(jd_ut1: Column, jd_tdb: Column, lon_deg: float = 0.0) -> Colu
     return F.pmod(p / 54000.0 + earth_rotation(jd_ut1) * 24.0 + lon_deg / 15.0, F.lit(24.0))
 
 
+# Days from which TAI - UTC is FIRST_LEAP seconds and then one more each.
+LEAP_DAYS = (
+    "1972-01-01 1972-07-01 1973-01-01 1974-01-01 1975-01-01 1976-01-01 1977-01-01 1978-01-01 1979-01-01 1980-01-01 1981-07-01 1982-07-01 1983-07-01 1985-07-01 "
+    "1988-01-01 1990-01-01 1991-01-01 1992-07-01 1993-07-01 1994-07-01 1996-01-01 1997-07-01 1999-01-01 2006-01-01 2009-01-01 2012-07-01 2015-07-01 2017-01-01"
+).split()
+FIRST_LEAP = 10
+
+
+def tai_minus_utc(utc: Column) -> Column:
+    """Leap seconds in force at a zone-less time; null before 1972. The table is a short literal, so that no join is needed."""
+    days = F.array(*(F.lit(d).cast("timestamp_ntz") for d in LEAP_DAYS))
+    passed = F.size(F.filter(days, lambda d: d <= utc))
+    return F.when(passed > 0, passed + (FIRST_LEAP - 1))
+
+
+def tt_micros(utc: Column) -> Column:
+    """Microseconds since 1970 of terrestrial time: UTC, then TAI by leap seconds, then TT by 32.184 s."""
+    return micros(utc) + tai_minus_utc(utc) * 1_000_000 + 32_184_000
+
+
 def tdb_minus_tt(jd_tt: Column) -> Column:
     """Seconds of the periodic terms between the two dynamical times."""
     t = (jd_tt - J2000) / 36525.0
