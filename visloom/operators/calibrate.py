@@ -7,19 +7,13 @@ from pyspark.sql import functions as F
 
 from visloom.functions.signal import rotate, rotate_by
 
-#: Rows of a calibration or delay table that may be broadcast: the largest array's full table has fewer.
-BROADCAST_ROWS = 2_000_000
-
-
-def small(side: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The side with a broadcast hint if it has at most so many rows, else as it is, for Spark to shuffle."""
-    return F.broadcast(side) if side.limit(rows + 1).count() <= rows else side
-
-
 def calibrate(vis: DataFrame, cal: DataFrame, keys: list[str]) -> DataFrame:
-    """vis (.., re, im) turned back by the phases of cal (keys, re, im); what has no calibration stays as it is."""
+    """vis (.., re, im) turned back by the phases of cal (keys, re, im); what has no calibration stays as it is.
+
+    Adaptive execution broadcasts the calibration where its measured size is below Spark's threshold.
+    """
     side = cal.select(*keys, F.col("re").alias("cal_re"), F.col("im").alias("cal_im"))
-    joined = vis.join(small(side), keys, "left")
+    joined = vis.join(side, keys, "left")
     re, im = rotate_by(F.col("re"), F.col("im"), F.col("cal_re"), F.col("cal_im"))
     known = F.col("cal_re").isNotNull()
     return joined.select(*(c for c in vis.columns if c not in ("re", "im")), F.when(known, re).otherwise(F.col("re")).alias("re"), F.when(known, im).otherwise(F.col("im")).alias("im"))

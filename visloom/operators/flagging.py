@@ -8,14 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from visloom.operators.calibrate import small
+from visloom.operators.vistable import fitted, polynomials
 
 
 def drop_bad_antennas(vis: DataFrame, bad: DataFrame) -> DataFrame:
-    """vis (ant1, ant2, ...) without baselines of a bad antenna (ant)."""
+    """vis (ant1, ant2, ...) without baselines of a bad antenna (ant); an array has a hundred antennas at most."""
     out = vis
     for side in ("ant1", "ant2"):
-        out = out.join(small(bad.select(F.col("ant").alias(side)).distinct()), side, "left_anti")
+        out = out.join(F.broadcast(bad.select(F.col("ant").alias(side)).distinct()), side, "left_anti")
     return out
 
 
@@ -61,12 +61,23 @@ def across(vis: DataFrame, keys: list[str]) -> DataFrame:
     return vis.join(any_flag, keys).withColumn("flag", F.col("_any")).drop("_any")
 
 
-def crop(vis: DataFrame, keys: list[str], along: str, value: str, cutoff: float) -> DataFrame:
-    """flag: values further than cutoff deviations from the line fitted to each group (keys) along an axis."""
-    fit = vis.groupBy(*keys).agg(F.regr_slope(value, along).alias("_b"), F.regr_intercept(value, along).alias("_a"))
-    rest = vis.join(fit, keys).withColumn("_rest", F.col(value) - (F.coalesce("_a", F.lit(0.0)) + F.coalesce("_b", F.lit(0.0)) * F.col(along)))
+def crop(vis: DataFrame, keys: list[str], along: str, value: str, cutoff: float, order: int = 1, pieces: int = 1) -> DataFrame:
+    """flag: values further than cutoff deviations from the curve fitted to each group (keys) along an axis.
+
+    The curve is a line, or polynomials of an order on so many pieces of equal length of the group's range.
+    """
+    span = vis.groupBy(*keys).agg(F.min(along).alias("_lo"), F.max(along).alias("_hi"))
+    n = F.when(F.col("_hi") > F.col("_lo"), F.least(F.floor((F.col(along) - F.col("_lo")) * pieces / (F.col("_hi") - F.col("_lo"))), F.lit(pieces - 1))).otherwise(0)
+    cut = vis.join(span, keys).withColumn("_piece", n).drop("_lo", "_hi")
+    rest = cut.join(polynomials(cut, [*keys, "_piece"], along, [value], order), [*keys, "_piece"]).withColumn("_rest", F.col(value) - fitted(along, value, order))
     spread = rest.groupBy(*keys).agg(F.stddev_pop("_rest").alias("_s"))
-    return rest.join(spread, keys).withColumn("flag", F.abs("_rest") > cutoff * F.col("_s")).drop("_a", "_b", "_rest", "_s")
+    return rest.join(spread, keys).withColumn("flag", F.abs("_rest") > cutoff * F.col("_s")).select(*(c for c in vis.columns if c != "flag"), "flag")
+
+
+def crop_sliding(vis: DataFrame, keys: list[str], along: str, value: str, cutoff: float, half: int) -> DataFrame:
+    """flag: values further than cutoff deviations from the mean of the window of `half` neighbours to either side."""
+    w = W.partitionBy(*keys).orderBy(along).rowsBetween(-half, half)
+    return vis.withColumn("flag", F.coalesce(F.abs(F.col(value) - F.avg(value).over(w)) > cutoff * F.stddev_pop(value).over(w), F.lit(False)))
 
 
 def summary(vis: DataFrame, sets: list[list[str]]) -> DataFrame:

@@ -16,10 +16,34 @@ from pyspark.sql import functions as F
 
 HALF_WIDTH = 3
 
+# Rational approximation of the spheroidal function of width 6 and exponent 1 (Schwab 1984), numerators
+# and denominators by rising powers of eta ** 2 - limit ** 2, for eta below 0.75 and above it.
+LIMIT = 0.75
+NUMERATORS = ((8.203343e-2, -3.644705e-1, 6.278660e-1, -5.335581e-1, 2.312756e-1), (4.028559e-3, -3.697768e-2, 1.021332e-1, -1.201436e-1, 6.412774e-2))
+DENOMINATORS = ((1.0, 8.212018e-1, 2.078043e-1), (1.0, 9.599102e-1, 2.918724e-1))
+#: Points of the kernel's table, and its places for 0, 1 and 2 whole cells.
+TABLE, PLACES = 24, (12, 16, 21)
+
+
+def spheroid(eta: np.ndarray | float) -> np.ndarray:
+    """The spheroidal function at places -1..1 of its width."""
+    eta = np.abs(np.asarray(eta, float))
+    value = lambda k, limit: np.polynomial.polynomial.polyval(eta**2 - limit**2, NUMERATORS[k]) / np.polynomial.polynomial.polyval(eta**2 - limit**2, DENOMINATORS[k])
+    return np.where(eta <= LIMIT, value(0, LIMIT), value(1, 1.0))
+
+
+def _kernel() -> tuple[float, ...]:
+    x = 2 * np.array(PLACES) / (TABLE - 1) - 1
+    return tuple(float(w) for w in (1 - x**2) * spheroid(x))
+
+
+#: Weights of grid cells 0, 1 and 2 whole cells away.
+KERNEL = _kernel()
+
 
 def kernel_weight(cells: Column) -> Column:
     """Tapering weight of a grid cell so many whole cells away."""
-    return F.exp(-0.5 * cells * cells)
+    return F.get(F.array(*map(F.lit, KERNEL)), cells)
 
 
 def grid(vis: DataFrame, cell: float) -> DataFrame:
@@ -45,10 +69,14 @@ def weigh(gridded: DataFrame, uniform: bool) -> DataFrame:
     return gridded.select("image_key", "iu", "iv", (F.col("re") / by).alias("re"), (F.col("im") / by).alias("im"), (F.col("beam") / by).alias("beam"))
 
 
-def direct_map(vis: DataFrame, pixels: DataFrame) -> DataFrame:
-    """Brightness at each of a fixed list of directions (x, y, l, m), by the sum over samples (exact)."""
+def direct_map(vis: DataFrame, pixels: list[tuple[int, int, float, float]]) -> DataFrame:
+    """Brightness at each of a short list of directions (x, y, l, m), by the sum over samples (exact).
+
+    The list is part of the question, and of the plan: every sample counts for every direction.
+    """
     phi = 2 * F.pi() * (F.col("u") * F.col("l") + F.col("v") * F.col("m"))
-    both = vis.crossJoin(F.broadcast(pixels))
+    at = F.array(*(F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.lit(float(l)).alias("l"), F.lit(float(m)).alias("m")) for x, y, l, m in pixels))
+    both = vis.select("*", F.inline(at))
     return both.groupBy("image_key", "x", "y").agg(F.avg(F.col("re") * F.cos(phi) + F.col("im") * F.sin(phi)).alias("value"))
 
 
@@ -79,6 +107,29 @@ def moments(pixels: DataFrame) -> DataFrame:
     return pixels.join(c, "image_key").groupBy("image_key", "height", (F.col("top") - F.col("height")).alias("amplitude"), "cx", "cy").agg(spread("x", "cx").alias("wx"), spread("y", "cy").alias("wy"))
 
 
+def spectrum_moments(series: DataFrame, keys: list[str], x: str, value: str) -> DataFrame:
+    """height (median), amplitude, centre and width of the peak of each group's series over a regular axis.
+
+    The peak is the one, upwards or downwards, whose side of the mean is the narrower; its width is half of the area
+    beyond the height, over the amplitude.
+    """
+    v, p = F.col(value), F.col(x)
+    s = series.groupBy(*keys).agg(
+        F.median(v).alias("height"), F.avg(v).alias("_mean"), F.min(v).alias("_low"), F.max(v).alias("_high"), F.sum(v).alias("_sum"), F.count("*").alias("_n"), ((F.max(p) - F.min(p)) / (F.count("*") - 1)).alias("_dx"),
+        (-F.max(F.struct(v.alias("v"), (-p).alias("x")))["x"]).alias("_at_high"), F.min(F.struct(v.alias("v"), p.alias("x")))["x"].alias("_at_low"),
+    )
+    j = series.join(s, keys)
+    up, down = v > F.col("height"), v < F.col("height")
+    t = j.groupBy(*keys, "height", "_low", "_high", "_sum", "_n", "_dx", "_at_high", "_at_low").agg(
+        F.stddev_pop(F.when(v > F.col("_mean"), p)).alias("_sh"), F.stddev_pop(F.when(v < F.col("_mean"), p)).alias("_sl"), F.sum(F.when(up, v).otherwise(0.0)).alias("_above"), F.sum(F.when(down, v).otherwise(0.0)).alias("_below"),
+    )
+    area = lambda rest: (F.col("_sum") - F.col("height") * F.col("_n") - F.col(rest)) * F.col("_dx")
+    is_up = F.col("_sh") < F.col("_sl")
+    amplitude = F.when(is_up, F.col("_high") - F.col("height")).otherwise(F.col("_low") - F.col("height"))
+    width = 0.5 * F.abs(F.when(is_up, area("_below")).otherwise(area("_above")) / F.when(amplitude != 0, amplitude))
+    return t.select(*keys, "height", amplitude.alias("amplitude"), F.when(is_up, F.col("_at_high")).otherwise(F.col("_at_low")).alias("centre"), width.alias("width"))
+
+
 def stretch(pixels: DataFrame, low: float) -> DataFrame:
     """Values cut at a low percentile and scaled to 0..1 by image."""
     p = pixels.groupBy("image_key").agg(F.percentile("value", low).alias("lo"), F.max("value").alias("hi"))
@@ -163,39 +214,65 @@ def box_smooth(pixels: DataFrame, width: int, divisor: float) -> DataFrame:
     return once.withColumn("value", F.sum("value").over(cols) / divisor)
 
 
-def hybrid(first: DataFrame, second: DataFrame, centre: float, radius: float) -> DataFrame:
-    """Mean of two images, each shifted to start at 0 and scaled to 1, without what lies beyond 1.2 radii."""
-    def unit(p: DataFrame, name: str) -> DataFrame:
-        span = p.groupBy("image_key").agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"))
-        v = (F.col("value") - F.col("_lo")) / F.when(F.col("_hi") > F.col("_lo"), F.col("_hi") - F.col("_lo")).otherwise(1)
-        return p.join(span, "image_key").select("image_key", "x", "y", v.alias(name))
+def hybrid(first: DataFrame, second: DataFrame, centre: float, radius: float, disk_share: float = 0.15) -> DataFrame:
+    """Mean of two CLEAN images of one sky, raised to 0 where they go below, each scaled to the first one's peak, upon a disk.
+
+    Inside 1.2 radii the disk of a share of that peak is added within the radius; what lies beyond the radius and is
+    fainter than nine tenths of the disk is taken for noise, and what lies beyond 1.2 radii is left out.
+    """
+
+    def raised(p: DataFrame, name: str) -> DataFrame:
+        span = p.groupBy("image_key").agg(F.least(F.min("value"), F.lit(0.0)).alias("_lo"), F.max("value").alias("_hi"))
+        up = p.join(span, "image_key").withColumn("_hi", F.col("_hi") - F.col("_lo"))
+        unit = (F.col("value") - F.col("_lo")) / F.when(F.col("_hi") > 0, F.col("_hi")).otherwise(1.0)
+        return up.select("image_key", "x", "y", unit.alias(name), F.col("_hi").alias(f"_peak_{name}"))
 
-    both = unit(first, "a").join(unit(second, "b"), ["image_key", "x", "y"])
-    inside = disk_mask(F.col("x"), F.col("y"), centre, 1.2 * radius)
-    return both.select("image_key", "x", "y", F.when(inside, (F.col("a") + F.col("b")) / 2).otherwise(0.0).alias("value"))
+    both = raised(first, "a").join(raised(second, "b").drop("_peak_b"), ["image_key", "x", "y"])
+    far = (F.col("x") - centre) ** 2 + (F.col("y") - centre) ** 2
+    back = F.col("_peak_a") * disk_share
+    mean = (F.col("a") + F.col("b")) / 2 * F.col("_peak_a") + F.when(far <= radius**2, back).otherwise(0.0)
+    trimmed = F.when((far > radius**2) & (mean < 0.9 * back), 0.0).otherwise(mean)
+    return both.select("image_key", "x", "y", F.when(far > 1.44 * radius**2, 0.0).otherwise(trimmed).alias("value"))
 
 
 # Whole images, one a group.
 
 
-def dirty_image(u: np.ndarray, v: np.ndarray, re: np.ndarray, im: np.ndarray, size: int, cell: float) -> tuple[np.ndarray, np.ndarray]:
+def dirty_image(u: np.ndarray, v: np.ndarray, re: np.ndarray, im: np.ndarray, size: int, cell: float, uniform: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Dirty image and beam (size x size, beam peak 1) of samples in wavelengths; cell is the pixel in radians.
 
-    Samples and their mirror images are added to the nearest cell of the Fourier plane of a map twice as
-    wide, transformed, and the middle is kept.
+    Samples are gridded as `grid` does it, onto the Fourier plane of a map twice as wide, with natural or uniform
+    weights; the half plane is mirrored, transformed, freed of the kernel's taper, and its middle is kept.
     """
     n = 2 * size
     du = 1.0 / (n * cell)
-    iu, iv = np.rint(u / du).astype(int), np.rint(v / du).astype(int)
-    inside = (np.abs(iu) < n // 2) & (np.abs(iv) < n // 2)
-    iu, iv, value = iu[inside], iv[inside], (re + 1j * im)[inside]
-    data, hits = np.zeros((n, n), complex), np.zeros((n, n))
-    for sign, x in ((1, value), (-1, value.conj())):
-        np.add.at(data, (sign * iv % n, sign * iu % n), x)
-        np.add.at(hits, (sign * iv % n, sign * iu % n), 1.0)
+    back = np.where(u < 0, -1.0, 1.0)
+    gu, gv, value = np.abs(u) / du, back * v / du, re + 1j * back * im
+    edge = gu < HALF_WIDTH
+    gu, gv, value = np.append(gu, -gu[edge]), np.append(gv, -gv[edge]), np.append(value, value[edge].conj())
+    data, beam, hits = np.zeros((n, n), complex), np.zeros((n, n)), np.zeros((n, n))
+    reach = np.arange(-HALF_WIDTH, HALF_WIDTH + 2)
+    iu, iv = np.floor(gu).astype(int)[:, None] + reach, np.floor(gv).astype(int)[:, None] + reach
+    weight = lambda cells: np.append(KERNEL, 0.0)[np.minimum(cells.astype(int), HALF_WIDTH)]
+    wu, wv = weight(np.abs(iu - gu[:, None])), weight(np.abs(iv - gv[:, None]))
+    wu = np.where((iu >= 0) & (iu < n // 2), wu, 0.0)
+    wv = np.where(np.abs(iv) < n // 2, wv, 0.0)
+    w = wv[:, :, None] * wu[:, None, :]
+    use = w > 0
+    where = (np.broadcast_to((iv % n)[:, :, None], w.shape)[use], np.broadcast_to((iu % n)[:, None, :], w.shape)[use])
+    np.add.at(data, where, (w * value[:, None, None])[use])
+    np.add.at(beam, where, w[use])
+    np.add.at(hits, where, 1.0)
+    if uniform:
+        data, beam = data / np.maximum(hits, 1), beam / np.maximum(hits, 1)
+    mirror = lambda f: np.roll(f[::-1, ::-1], 1, (0, 1))
+    half = np.zeros((n, n), bool)
+    half[:, 1 : n // 2] = True
+    data, beam = data + np.where(mirror(half), mirror(data).conj(), 0), beam + np.where(mirror(half), mirror(beam), 0)
     middle = slice(n // 2 - size // 2, n // 2 - size // 2 + size)
-    to_image = lambda f: np.fft.fftshift(np.fft.fft2(f)).real[middle, middle]
-    image, beam = to_image(data), to_image(hits)
+    taper = spheroid((np.arange(n) - n / 2)[middle] / (n / 2))
+    to_image = lambda f: np.fft.fftshift(np.fft.fft2(f)).real[middle, middle] / np.outer(taper, taper)
+    image, beam = to_image(data), to_image(beam)
     peak = beam.max() if len(value) else 1.0
     return image / peak, beam / peak
 
@@ -225,7 +302,8 @@ def hogbom(image: np.ndarray, beam: np.ndarray, gain: float = 0.1, threshold: fl
     rest, parts, n = image.copy(), [], len(image)
     by, bx = np.unravel_index(int(beam.argmax()), beam.shape)
     for _ in range(steps):
-        y, x = np.unravel_index(int(np.abs(rest).argmax()), rest.shape)
+        high, low = int(rest.argmax()), int(rest.argmin())
+        y, x = np.unravel_index(high if rest.flat[high] >= -rest.flat[low] else low, rest.shape)
         flux = gain * rest[y, x]
         if abs(rest[y, x]) <= threshold:
             break
@@ -278,6 +356,55 @@ def disk_offset(image: np.ndarray, radius: float) -> tuple[int, int]:
     return int(col) - n // 2, int(row) - n // 2
 
 
+def levels(bins: np.ndarray, counts: np.ndarray, parts: int = 3, rounds: int = 200) -> np.ndarray:
+    """Means, deviations and shares (parts x 3, by rising mean) of a mixture of Gaussians over a histogram, seeded by k-means."""
+    w, x = counts / counts.sum(), bins.astype(float)
+    apart = (x[:, None] - x) ** 2
+    seeds = [int(np.searchsorted(np.cumsum(w), 0.5))]
+    while len(seeds) < parts:  # each next seed is the value that lowers the spread about the nearest seed most
+        near = apart[seeds].min(0)
+        seeds.append(int((np.maximum(near - apart, 0) @ w).argmax()))
+    mean = x[seeds]
+    for _ in range(rounds):
+        near = np.abs(x[:, None] - mean).argmin(1)
+        new = np.array([np.average(x[near == k], weights=w[near == k]) if (near == k).any() else mean[k] for k in range(parts)])
+        if np.allclose(new, mean):
+            break
+        mean = new
+    share = np.maximum(np.array([w[near == k].sum() for k in range(parts)]), 1e-9)
+    least = 0.25 * max(float(np.diff(np.unique(x)).min(initial=1.0)), 1e-9) ** 2
+    var = np.maximum([np.average((x[near == k] - mean[k]) ** 2, weights=w[near == k]) if (near == k).any() else 1.0 for k in range(parts)], least)
+    for _ in range(rounds):
+        log = np.log(share) - 0.5 * np.log(var) - 0.5 * (x[:, None] - mean) ** 2 / var
+        own = np.exp(log - log.max(1, keepdims=True))
+        own = own / own.sum(1, keepdims=True) * w[:, None]
+        share = np.maximum(own.sum(0), 1e-12)
+        new = (own * x[:, None]).sum(0) / share
+        var = np.maximum((own * (x[:, None] - new) ** 2).sum(0) / share, least)
+        done, mean = np.allclose(new, mean, atol=1e-9), new
+        if done:
+            break
+    order = np.argsort(mean, kind="stable")
+    return np.stack([mean, np.sqrt(var), share / share.sum()], 1)[order]
+
+
+def sky_levels(pixels: DataFrame, bins: int, parts: int) -> DataFrame:
+    """image_key, k, level, deviation, share: levels of each image's values, darkest first, by a mixture over its histogram.
+
+    An image's histogram has at most `bins` rows, whatever the image's size.
+    """
+    span = pixels.groupBy("image_key").agg(F.floor(F.min("value")).alias("lo"), F.ceil(F.max("value")).alias("hi"))
+    kind = dict(pixels.dtypes)["image_key"]
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        lo, hi = float(pdf["lo"].iloc[0]), float(pdf["hi"].iloc[0])
+        found = levels(pdf["bin"].to_numpy(), pdf["n"].to_numpy(float), min(parts, len(pdf)))
+        step = (hi - lo) / (bins - 1)
+        return pd.DataFrame({"image_key": [pdf["image_key"].iloc[0]] * len(found), "k": np.arange(len(found)), "level": lo + found[:, 0] * step, "deviation": found[:, 1] * step, "share": found[:, 2]})
+
+    return histogram(pixels, bins).join(span, "image_key").groupBy("image_key").applyInPandas(run, f"image_key {kind}, k int, level double, deviation double, share double")
+
+
 def refine_peaks(series: np.ndarray, at: list[int], width: int = 10) -> list[float]:
     """Centres of peaks from a parabola through the logarithm of what lies around each."""
     out = []

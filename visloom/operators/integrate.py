@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -11,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from visloom.functions.signal import rotate
+
 CELL = ["sub_band", "pol", "bl", "chan"]
 
 
@@ -22,8 +23,15 @@ def integrate_frames(vis: DataFrame, cycle: int, cycles: int) -> DataFrame:
 
 
 def average_bins(vis: DataFrame, width_us: int) -> DataFrame:
-    """Mean of each time bin, and the frames in it."""
-    return vis.groupBy(F.floor(F.col("t_us") / width_us).alias("bin"), *CELL).agg(F.avg("re").alias("re"), F.avg("im").alias("im"), F.count_distinct("frame_id").alias("n_frames"))
+    """Means of each time bin, of u and v too where vis has them, and the frames in it."""
+    means = [F.avg(c).alias(c) for c in ("re", "im", "u", "v") if c in vis.columns]
+    return vis.groupBy(F.floor(F.col("t_us") / width_us).alias("bin"), *CELL).agg(*means, F.count_distinct("frame_id").alias("n_frames"))
+
+
+def shift_phases(vis: DataFrame, phi: Column) -> DataFrame:
+    """vis with its values turned back by phi, as for a source off the centre."""
+    re, im = rotate(F.col("re"), F.col("im"), phi)
+    return vis.select(*(c for c in vis.columns if c not in ("re", "im")), re.alias("re"), im.alias("im"))
 
 
 def sample_grid(frames: DataFrame, step_us: int) -> DataFrame:
@@ -32,39 +40,59 @@ def sample_grid(frames: DataFrame, step_us: int) -> DataFrame:
     return frames.groupBy("sub_band", "pol", slot).agg(F.min_by("frame_id", "t_us").alias("frame_id"), F.min("t_us").alias("t_us"))
 
 
-def sample_chain(frames: DataFrame, keys: list[str], step_us: int) -> DataFrame:
+def sample_chain(frames: DataFrame, keys: list[str], step_us: int, width: int = 60_000_000) -> DataFrame:
     """keys, t_us of a chain: each pick is the first frame at least step_us after the pick before.
 
-    A pick depends on all before it, so times of a key are walked in order; only picks are kept. Times are
-    read sorted, batch by batch, so a key of any length passes through one task as a stream of numbers.
+    A pick depends on all before it, but a chain that enters a time bucket does so at one of the frames of the bucket's
+    first step or the next one. Each bucket is walked by itself from all of these, which gives where each of its possible chains leaves
+    it; only these few rows a bucket are walked in order, and then each bucket is walked once more from its true entry.
+    A bucket holds `width` microseconds, however long a key's frames go on.
     """
-    headers = frames.select(*keys, "t_us").repartition(*keys).sortWithinPartitions(*keys, "t_us")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last: tuple | None = None
-        due = 0
-        for batch in batches:
-            picked = []
-            for key, t in batch.groupby(keys, sort=True)["t_us"]:
-                times = t.to_numpy()
-                if key != last:
-                    last, due = key, int(times[0])
-                i = int(np.searchsorted(times, due))
-                while i < len(times):
-                    picked.append((*key, int(times[i])))
-                    due = int(times[i]) + step_us
-                    i = int(np.searchsorted(times, due))
-            yield pd.DataFrame(picked, columns=[*keys, "t_us"])
-
-    return headers.mapInPandas(run, headers.schema)
+    f = frames.select(*keys, "t_us", F.floor(F.col("t_us") / width).alias("bucket"))
+    key = [*keys, "bucket"]
+
+    def walk(times: np.ndarray, due: int) -> list[int]:
+        picked = []
+        while (i := int(np.searchsorted(times, due))) < len(times):
+            picked.append(int(times[i]))
+            due = picked[-1] + step_us
+        return picked
+
+    def ways(pdf: pd.DataFrame) -> pd.DataFrame:
+        times = np.unique(pdf["t_us"].to_numpy())
+        entries = times[: int(np.searchsorted(times, int(pdf["bucket"].iloc[0]) * width + step_us)) + 1]
+        return pd.DataFrame({**{k: pdf[k].iloc[0] for k in key}, "entry": entries, "leaves": [walk(times, int(t))[-1] for t in entries]})
+
+    def thread(_: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        out, due = [], None
+        for bucket, some in pdf.sort_values(["bucket", "entry"]).groupby("bucket"):
+            entries = some["entry"].to_numpy()
+            i = 0 if due is None else int(np.searchsorted(entries, due))
+            if i == len(entries):  # the chain is past all that this bucket could be entered at
+                continue
+            out.append((*pdf[keys].iloc[0], bucket, int(entries[i])))
+            due = int(some["leaves"].iloc[i]) + step_us
+        return pd.DataFrame(out, columns=[*key, "entry"])
+
+    kinds = dict(f.dtypes)
+    schema = ", ".join(f"{k} {kinds[k]}" for k in key)
+    entered = f.groupBy(*key).applyInPandas(ways, f"{schema}, entry long, leaves long").groupBy(*keys).applyInPandas(thread, f"{schema}, entry long")
+
+    def follow(pdf: pd.DataFrame) -> pd.DataFrame:
+        picked = walk(np.unique(pdf["t_us"].to_numpy()), int(pdf["entry"].iloc[0]))
+        return pd.DataFrame({**{k: pdf[k].iloc[0] for k in keys}, "t_us": picked})
+
+    schema = ", ".join(f"{k} {kinds[k]}" for k in [*keys, "t_us"])
+    return f.join(entered, key).groupBy(*key).applyInPandas(follow, schema)
 
 
 def mixture(vis: DataFrame, frames: DataFrame, interval_us: int, average_us: int) -> DataFrame:
-    """Mean of the first frames of each interval; a frame counts for 3 ms of the time to average."""
+    """Means of the first frames of each interval, of u and v too where vis has them; a frame counts for 3 ms of the time to average."""
     slot = F.floor(F.col("t_us") / interval_us)
     k = F.row_number().over(W.partitionBy("sub_band", "pol", slot).orderBy("t_us"))
     first = frames.select("frame_id", slot.alias("slot"), k.alias("k")).where(F.col("k") <= -(-average_us // 3000))
-    return vis.join(first, "frame_id").groupBy("slot", *CELL).agg(F.avg("re").alias("re"), F.avg("im").alias("im"))
+    means = [F.avg(c).alias(c) for c in ("re", "im", "u", "v") if c in vis.columns]
+    return vis.join(first, "frame_id").groupBy("slot", *CELL).agg(*means)
 
 
 def gaps(frames: DataFrame, step_us: int) -> DataFrame:
@@ -106,8 +134,18 @@ def pair_polarizations(frames: DataFrame, step_us: int, jump_us: int) -> DataFra
     return p.join(carry, "minute").select("source_id", error.alias("error"))
 
 
-def number_frames(frames: DataFrame, keys: list[str], order: str) -> DataFrame:
-    return frames.withColumn("n", F.row_number().over(W.partitionBy(*keys).orderBy(order)))
+def number_frames(frames: DataFrame, keys: list[str], order: str, width: int = 60_000_000) -> DataFrame:
+    """n: the rank of a frame among those of its keys.
+
+    Frames are ranked within buckets of the order's values; a running sum of one count a bucket comes on top, so
+    no key is a window over all of its frames.
+    """
+    f = frames.withColumn("_bucket", F.floor(F.col(order) / width))
+    counts = f.groupBy(*keys, "_bucket").agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(W.partitionBy(*keys).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    ranked = f.withColumn("n", F.row_number().over(W.partitionBy(*keys, "_bucket").orderBy(order)))
+    joined = ranked.join(counts.select(*keys, "_bucket", before.alias("_before")), [*keys, "_bucket"])
+    return joined.withColumn("n", F.col("n") + F.col("_before")).select(*frames.columns, "n")
 
 
 def merge_chunks(chunks: list[DataFrame], order: str) -> DataFrame:
@@ -116,15 +154,28 @@ def merge_chunks(chunks: list[DataFrame], order: str) -> DataFrame:
     return both.withColumn("n", F.row_number().over(W.partitionBy(F.floor(F.col(order) / 60_000_000)).orderBy(order)))
 
 
-def flagged_by_ranges(vis: DataFrame, flags: DataFrame, width: int = 4, unit: str = "month") -> DataFrame:
-    """Rows of vis inside any range of flags (ant1, t0, t1, c0): an equi-join by antenna and time bucket, then the bounds."""
+def flagged_by_ranges(vis: DataFrame, flags: DataFrame, unit: str = "day") -> DataFrame:
+    """Rows of vis (source, ant1, ant2, band, chan, obs_ts) inside any row of a flag table.
+
+    flags (source, ant_a, ant_b, band, t0, t1, c0, c1): null in source, band or ant_b stands for any, and ant_b may be
+    the baseline's other antenna on either side; null in ant_a flags all antennas. Rows meet by antenna and time
+    bucket, those for all antennas by time bucket alone, and then the bounds are looked at.
+    """
     bucket = lambda c: F.date_trunc(unit, c)
-    step = F.expr("INTERVAL '1' MONTH")
-    wide = flags.select("ant1", "t0", "t1", "c0", F.explode(F.sequence(bucket("t0"), bucket("t1"), step)).alias("bucket"))
-    inside = _between("obs_ts", "t0", "t1") & F.col("chan").between(F.col("c0"), F.col("c0") + width)
+    step = F.expr(f"INTERVAL '1' {unit.upper()}")
+    wide = flags.select("*", F.explode(F.sequence(bucket("t0"), bucket("t1"), step)).alias("bucket"))
+    any_or = lambda f, v: F.col(f"f.{f}").isNull() | (F.col(f"f.{f}") == F.col(f"v.{v}"))
+    inside = _between("v.obs_ts", "f.t0", "f.t1") & F.col("v.chan").between(F.col("f.c0"), F.col("f.c1")) & any_or("source", "source") & any_or("band", "band")
     v = vis.withColumn("bucket", bucket("obs_ts")).alias("v")
-    w = wide.alias("w")
-    return v.join(w, (F.col("v.ant1") == F.col("w.ant1")) & (F.col("v.bucket") == F.col("w.bucket")) & inside, "left_semi").drop("bucket")
+    same = F.col("v.bucket") == F.col("f.bucket")
+    one, all_ = wide.where("ant_a IS NOT NULL").alias("f"), wide.where("ant_a IS NULL").alias("f")
+    first = (F.col("v.ant1") == F.col("f.ant_a")) & any_or("ant_b", "ant2")
+    second = (F.col("v.ant2") == F.col("f.ant_a")) & any_or("ant_b", "ant1")
+    hit = v.join(one, same & first & inside, "left_semi").select(*vis.columns)
+    rest = v.join(one, same & first & inside, "left_anti").alias("v")
+    hit2 = rest.join(one, same & second & inside, "left_semi").select(*vis.columns)
+    rest2 = rest.join(one, same & second & inside, "left_anti").alias("v")
+    return hit.union(hit2).union(rest2.join(all_, same & inside, "left_semi").select(*vis.columns))
 
 
 def _between(t: str, lo: str, hi: str) -> Column:

@@ -43,15 +43,27 @@ def as_of(probe: DataFrame, params: DataFrame, key: str, unit: str = "month") ->
     return a.union(b).withColumn("v", held).where("side = 1").select(*(F.col(f"row.{c}").alias(c) for c in cols), F.col("v.value").alias("value"))
 
 
-def bracket(probe: DataFrame, params: DataFrame, key: str) -> DataFrame:
-    """probe with the value in force at t and the next one at or after t."""
-    p = params.groupBy(key, "ref_time").agg(F.max_by("value", "id").alias("value"))
+def bracket(probe: DataFrame, params: DataFrame, key: str, unit: str = "month") -> DataFrame:
+    """probe with the value in force at t and the next one at or after t.
+
+    Within time buckets, as in `as_of`; each bucket carries in the last row before it and the first one after it.
+    """
+    p = params.groupBy(key, "ref_time").agg(F.max_by("value", "id").alias("value")).withColumn("bucket", F.date_trunc(unit, "ref_time"))
+    v = F.struct("ref_time", "value")
+    ends = p.groupBy(key, "bucket").agg(F.max(v).alias("last"), F.min(v).alias("first"))
+    seen = probe.select(key, F.date_trunc(unit, "t").alias("bucket")).distinct()
+    ends = seen.join(ends, [key, "bucket"], "full")
+    rows = W.partitionBy(key).orderBy("bucket")
+    before = F.last("last", ignorenulls=True).over(rows.rowsBetween(W.unboundedPreceding, -1))
+    after = F.first("first", ignorenulls=True).over(rows.rowsBetween(1, W.unboundedFollowing))
+    carry = ends.withColumn("c", F.array(before, after)).select(key, "bucket", F.explode("c").alias("c")).where("c IS NOT NULL").select(key, "bucket", "c.ref_time", "c.value")
     cols = probe.columns
-    a = probe.select(key, F.col("t").alias("at"), F.lit(1).alias("side"), F.struct(*cols).alias("row"), F.lit(None).cast(p.schema["value"].dataType).alias("value"))
-    b = p.select(key, F.col("ref_time").alias("at"), F.lit(0).alias("side"), F.lit(None).cast(a.schema["row"].dataType).alias("row"), "value")
-    order = W.partitionBy(key).orderBy("at", "side")
-    after = W.partitionBy(key).orderBy("at", F.desc("side")).rowsBetween(W.currentRow, W.unboundedFollowing)
-    both = a.union(b).withColumn("previous", F.last("value", ignorenulls=True).over(order)).withColumn("next", F.first("value", ignorenulls=True).over(after))
+    a = probe.select(key, F.date_trunc(unit, "t").alias("bucket"), F.col("t").alias("at"), F.lit(1).alias("side"), F.struct(*cols).alias("row"), F.lit(None).cast(p.schema["value"].dataType).alias("value"))
+    b = p.select(key, "bucket", "ref_time", "value").union(carry)
+    b = b.select(key, "bucket", F.col("ref_time").alias("at"), F.lit(0).alias("side"), F.lit(None).cast(a.schema["row"].dataType).alias("row"), "value")
+    order = W.partitionBy(key, "bucket").orderBy("at", "side")
+    later = W.partitionBy(key, "bucket").orderBy("at", F.desc("side")).rowsBetween(W.currentRow, W.unboundedFollowing)
+    both = a.union(b).withColumn("previous", F.last("value", ignorenulls=True).over(order)).withColumn("next", F.first("value", ignorenulls=True).over(later))
     return both.where("side = 1").select(*(F.col(f"row.{c}").alias(c) for c in cols), "previous", "next")
 
 
