@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -15,6 +17,8 @@ def new_dir(spark: SparkSession, name: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not _own:
-            _own.append("file://" + tempfile.mkdtemp(prefix="visloom-"))
+            own = tempfile.mkdtemp(prefix="visloom-")
+            atexit.register(shutil.rmtree, own, True)
+            _own.append("file://" + own)
         base = _own[0]
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -50,6 +50,8 @@ def calibrated(stream: DataFrame, cal: DataFrame, keys: list[str]) -> DataFrame:
     return joined.select(*(x for x in stream.columns if x not in ("re", "im")), re.alias("re"), im.alias("im"))
 
 
+#: The error of a frame that comes when a newer pair has begun; it belongs to no pair that is still open.
+LATE = 4
 PAIRS = "key long, source_id long, error int"
 _STATE = "source_id long, left boolean, right boolean"
 
@@ -74,6 +76,9 @@ def _pairs(step_us: int) -> Callable:
                     if held is not None:
                         tell(held)
                     held = (source, False, False)
+                elif source < held[0]:  # its pair has been told of
+                    out.append((key[0], source, LATE))
+                    continue
                 held = (held[0], held[1] or pol == 0, held[2] or pol == 1)
             state.update(held)
             state.setTimeoutTimestamp(int(rows["t"].max().timestamp() * 1000) + 60_000)
@@ -83,7 +88,7 @@ def _pairs(step_us: int) -> Callable:
 
 
 def pair_polarizations(stream: DataFrame, delay: str, step_us: int) -> DataFrame:
-    """key, source_id, error of pairs that lack their left (1) or right (2) frame, by minute of the stream.
+    """key, source_id, error of pairs that lack their left (1) or right (2) frame, and of frames that come too late for theirs (4), by minute of the stream.
 
     State is one pair a minute that still receives frames; a minute's last pair is told when its time is over.
     """
