@@ -17,8 +17,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A regular 3.125 ms clock with holes and an 8-frame cycle of bands and polarizations."""
-    e = table(spark, sf_dir, "events").where("user_id % 17 <> 0")
+    """A regular 3.125 ms clock with an 8-frame cycle of bands and polarizations; an event of type error is no frame, which makes holes."""
+    e = table(spark, sf_dir, "events").where("event_type <> 'error'")
     return e.select(
         F.col("event_id").alias("frame_id"), (F.col("event_id") * 3125).alias("t_us"), F.floor(F.col("event_id") % 8 / 2).cast("int").alias("sub_band"),
         (F.col("event_id") % 2).cast("int").alias("pol"), F.col("ts").alias("wall_ts"), "value", (F.col("event_id") % 3 + 1).cast("int").alias("sub_array"),
@@ -59,6 +59,14 @@ def baselines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unique_baselines(antennas(spark, sf_dir), 40)
 
 
+def with_uv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """visu with u and v in metres, of baselines that turn with the frames."""
+    a = F.col("frame_id") * 0.001
+    b = baselines(spark, sf_dir).select("bl", "be", "bn")
+    v = visu(spark, sf_dir).join(b, "bl")
+    return v.withColumn("u", F.col("be") * F.cos(a) + F.col("bn") * F.sin(a)).withColumn("v", F.col("bn") * F.cos(a) - F.col("be") * F.sin(a)).drop("be", "bn")
+
+
 def params(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dated values of two receivers."""
     return table(spark, sf_dir, "orders").select((F.col("o_custkey") % 2 + 1).cast("int").alias("freq"), F.col("o_orderdate").alias("ref_time"), F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("value"))
@@ -83,7 +91,7 @@ def bad_antennas(spark: SparkSession) -> DataFrame:
 
 VIEWS = {
     "frames": """SELECT event_id AS frame_id, event_id * 3125 AS t_us, CAST(floor((event_id % 8) / 2) AS INT) AS sub_band, CAST(event_id % 2 AS INT) AS pol,
-  ts AS wall_ts, value, CAST(event_id % 3 + 1 AS INT) AS sub_array FROM events WHERE user_id % 17 <> 0""",
+  ts AS wall_ts, value, CAST(event_id % 3 + 1 AS INT) AS sub_array FROM events WHERE event_type <> 'error'""",
     "vis": """SELECT l_orderkey AS frame_id, CAST(least(l_suppkey % 40, l_partkey % 40) AS INT) AS ant1, CAST(greatest(l_suppkey % 40, l_partkey % 40) AS INT) AS ant2,
   CAST(CAST(floor(l_extendedprice) AS BIGINT) % 16 AS INT) AS chan, l_quantity - 25.5 AS re, round(l_discount * 100) - 4.5 AS im, l_shipdate AS obs_ts, l_returnflag AS scan
   FROM lineitem WHERE l_suppkey % 40 <> l_partkey % 40""",
@@ -97,9 +105,10 @@ VIEWS = {
     "probe": "SELECT CAST(l_suppkey % 2 + 1 AS INT) AS freq, l_shipdate AS t FROM lineitem",
     "pixels": """SELECT vec_id AS image_key, label, CAST((i - 1) % 8 AS INT) AS x, CAST(floor((i - 1) / 8) AS INT) AS y, round(CAST(embedding[i] AS DOUBLE) * 1000) AS value
   FROM embeddings, (SELECT range + 1 AS i FROM range(64))""",
+    "uv": """SELECT v.*, b.be * cos(v.frame_id * 0.001) + b.bn * sin(v.frame_id * 0.001) AS u, b.bn * cos(v.frame_id * 0.001) - b.be * sin(v.frame_id * 0.001) AS v FROM visu v JOIN baselines b USING (bl, ant1, ant2)""",
     "bad": "SELECT * FROM (VALUES " + ", ".join(f"('{d}', {a})" for d, some in BAD.items() for a in some) + ") AS t(obs_day, ant)",
 }
-NEEDS = {"visu": ["vis"], "cal": ["vis"], "antennas": ["vis"], "baselines": ["vis", "antennas"]}
+NEEDS = {"uv": ["vis", "visu", "antennas", "baselines"], "visu": ["vis"], "cal": ["vis"], "antennas": ["vis"], "baselines": ["vis", "antennas"]}
 
 
 def with_views(body: str, *names: str) -> str:

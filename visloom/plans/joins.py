@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from visloom.functions import signal
 from visloom.operators import calibrate as cb
 from visloom.operators import flagging as fl
 from visloom.operators import integrate as ig
 from visloom.operators import params as pr
+from visloom.operators import vistable as vt
 from visloom.plans import fixtures as fx
 from visloom.plans.scalars import r6
 from visloom.registry import register
@@ -81,7 +83,7 @@ register("j06_drop_bad_antennas", j06, fx.with_views("SELECT ant1, ant2, count(*
 
 def j07(spark: SparkSession, sf: str) -> DataFrame:
     uvw = fx.baselines(spark, sf).select("bl", "be", "bn")
-    v = fx.visu(spark, sf).join(cb.small(uvw), "bl")
+    v = fx.visu(spark, sf).join(uvw, "bl")
     return v.select("frame_id", "bl", "chan", "re", r6(F.col("be") * F.cos(F.col("frame_id") * 0.001) + F.col("bn") * F.sin(F.col("frame_id") * 0.001), 3).alias("u"))
 
 
@@ -92,7 +94,7 @@ def j08(spark: SparkSession, sf: str) -> DataFrame:
     v = fx.table(spark, sf, "lineitem").select((F.col("l_suppkey") % 25).alias("source_id"), (F.col("l_partkey") % 5).alias("freqsel"), "l_quantity")
     source = fx.table(spark, sf, "nation").select(F.col("n_nationkey").alias("source_id"), F.col("n_name").alias("source"))
     freq = fx.table(spark, sf, "region").select(F.col("r_regionkey").alias("freqsel"), (F.col("r_regionkey") * 4e8 + 4e8).alias("hz"))
-    return v.join(cb.small(source), "source_id").join(cb.small(freq), "freqsel").groupBy("source", "hz").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("total"))
+    return v.join(source, "source_id").join(freq, "freqsel").groupBy("source", "hz").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("total"))
 
 
 register("j08_dimensions", j08, "SELECT n_name AS source, r_regionkey * 4e8 + 4e8 AS hz, count(*) AS n, sum(l_quantity) AS total FROM lineitem JOIN nation ON n_nationkey = l_suppkey % 25 JOIN region ON r_regionkey = l_partkey % 5 GROUP BY 1, 2")
@@ -118,12 +120,26 @@ register("j10_upsert_delete", j10, fx.with_views("WITH p AS (SELECT freq, ref_ti
 
 
 def j11(spark: SparkSession, sf: str) -> DataFrame:
-    """Visibilities inside an interval of a flag table: equal antenna, channel range, time range by day bucket."""
-    flags = fx.table(spark, sf, "orders").where("o_orderkey % 50 = 0").select((F.col("o_custkey") % 40).cast("int").alias("ant1"), F.col("o_orderdate").alias("t0"), F.date_add("o_orderdate", 20).alias("t1"), (F.col("o_orderkey") % 8).cast("int").alias("c0"))
-    return ig.flagged_by_ranges(fx.vis(spark, sf), flags).groupBy("ant1", "chan").agg(F.count("*").alias("n"), F.sum("re").alias("re"))
-
-
-register("j11_flag_ranges", j11, fx.with_views("WITH fl AS (SELECT o_custkey % 40 AS ant1, o_orderdate AS t0, o_orderdate + INTERVAL 20 DAY AS t1, o_orderkey % 8 AS c0 FROM orders WHERE o_orderkey % 50 = 0) SELECT ant1, chan, count(*) AS n, sum(re) AS re FROM vis v WHERE EXISTS (SELECT 1 FROM fl WHERE fl.ant1 = v.ant1 AND v.obs_ts BETWEEN fl.t0 AND fl.t1 AND v.chan BETWEEN c0 AND c0 + 4) GROUP BY 1, 2", "vis"))
+    """Visibilities inside an interval of a flag table, one of each order: some for all sources, bands, antennas or partners."""
+    k = F.col("o_orderkey")
+    known = lambda every, x: F.when(k % every > 0, x.cast("int"))
+    flags = fx.table(spark, sf, "orders").select(
+        known(3, k % 2).alias("source"), known(97, F.col("o_custkey") % 40).alias("ant_a"), known(4, F.floor("o_totalprice") % 40).alias("ant_b"), known(5, k % 4).alias("band"),
+        F.col("o_orderdate").alias("t0"), F.date_add("o_orderdate", 20).alias("t1"), (k % 8).cast("int").alias("c0"), (k % 8 + k % 5).cast("int").alias("c1"),
+    )
+    v = fx.vis(spark, sf).withColumn("source", (F.col("frame_id") % 2).cast("int")).withColumn("band", (F.col("frame_id") % 4).cast("int"))
+    return ig.flagged_by_ranges(v, flags).groupBy("ant1", "chan").agg(F.count("*").alias("n"), F.sum("re").alias("re"))
+
+
+register("j11_flag_ranges", j11, fx.with_views("""WITH fl AS (SELECT CASE WHEN o_orderkey % 3 > 0 THEN o_orderkey % 2 END AS source, CASE WHEN o_orderkey % 97 > 0 THEN o_custkey % 40 END AS ant_a, CASE WHEN o_orderkey % 4 > 0 THEN floor(o_totalprice)::BIGINT % 40 END AS ant_b,
+CASE WHEN o_orderkey % 5 > 0 THEN o_orderkey % 4 END AS band, o_orderdate AS t0, o_orderdate + INTERVAL 20 DAY AS t1, o_orderkey % 8 AS c0, o_orderkey % 8 + o_orderkey % 5 AS c1 FROM orders),
+pairs AS (SELECT ant_a AS a, ant_b AS b, * EXCLUDE (ant_a, ant_b) FROM fl WHERE ant_a IS NOT NULL AND ant_b IS NOT NULL UNION ALL SELECT ant_b, ant_a, * EXCLUDE (ant_a, ant_b) FROM fl WHERE ant_a IS NOT NULL AND ant_b IS NOT NULL),
+x AS (SELECT row_number() OVER () AS k, *, frame_id % 2 AS source, frame_id % 4 AS band FROM vis),
+hits AS (SELECT k FROM x JOIN pairs f ON f.a = x.ant1 AND f.b = x.ant2 AND x.obs_ts BETWEEN t0 AND t1 AND chan BETWEEN c0 AND c1 AND (f.source IS NULL OR f.source = x.source) AND (f.band IS NULL OR f.band = x.band)
+UNION SELECT k FROM x JOIN fl f ON f.ant_b IS NULL AND f.ant_a = x.ant1 AND x.obs_ts BETWEEN t0 AND t1 AND chan BETWEEN c0 AND c1 AND (f.source IS NULL OR f.source = x.source) AND (f.band IS NULL OR f.band = x.band)
+UNION SELECT k FROM x JOIN fl f ON f.ant_b IS NULL AND f.ant_a = x.ant2 AND x.obs_ts BETWEEN t0 AND t1 AND chan BETWEEN c0 AND c1 AND (f.source IS NULL OR f.source = x.source) AND (f.band IS NULL OR f.band = x.band)
+UNION SELECT k FROM x JOIN (SELECT * FROM fl WHERE ant_a IS NULL) f ON x.obs_ts BETWEEN t0 AND t1 AND chan BETWEEN c0 AND c1 AND (f.source IS NULL OR f.source = x.source) AND (f.band IS NULL OR f.band = x.band))
+SELECT ant1, chan, count(*) AS n, sum(re) AS re FROM x WHERE k IN (SELECT k FROM hits) GROUP BY 1, 2""", "vis"))
 
 
 def a01(spark: SparkSession, sf: str) -> DataFrame:
@@ -133,11 +149,16 @@ def a01(spark: SparkSession, sf: str) -> DataFrame:
 register("a01_integrate_frames", a01, fx.with_views("SELECT floor(frame_id / 160)::BIGINT AS integration, sub_band, pol, bl, chan, round(avg(re), 6) + 0.0 AS re, round(avg(im), 6) + 0.0 AS im, (min(t_us) + max(t_us)) / 2 AS t_mid, count(*) AS n FROM visu JOIN frames USING (frame_id) GROUP BY 1, 2, 3, 4, 5", "visu", "frames"))
 
 
+def _banded_uv(spark: SparkSession, sf: str) -> DataFrame:
+    return fx.with_uv(spark, sf).join(fx.frames(spark, sf).select("frame_id", "sub_band", "pol", "t_us"), "frame_id")
+
+
 def a02(spark: SparkSession, sf: str) -> DataFrame:
-    return ig.average_bins(_banded(spark, sf), 1_000_000).select("bin", "sub_band", "pol", "bl", "chan", r6(F.col("re")).alias("re"), r6(F.col("im")).alias("im"), "n_frames")
+    means = ig.average_bins(_banded_uv(spark, sf), 1_000_000)
+    return means.select("bin", "sub_band", "pol", "bl", "chan", r6(F.col("re")).alias("re"), r6(F.col("im")).alias("im"), r6(F.col("u"), 4).alias("u"), r6(F.col("v"), 4).alias("v"), "n_frames")
 
 
-register("a02_interval_average", a02, fx.with_views("SELECT floor(t_us / 1000000)::BIGINT AS bin, sub_band, pol, bl, chan, round(avg(re), 6) + 0.0 AS re, round(avg(im), 6) + 0.0 AS im, count(DISTINCT frame_id) AS n_frames FROM visu JOIN frames USING (frame_id) GROUP BY 1, 2, 3, 4, 5", "visu", "frames"))
+register("a02_interval_average", a02, fx.with_views("SELECT floor(t_us / 1000000)::BIGINT AS bin, sub_band, pol, bl, chan, round(avg(re), 6) + 0.0 AS re, round(avg(im), 6) + 0.0 AS im, round(avg(u), 4) + 0.0 AS u, round(avg(uv.v), 4) + 0.0 AS v, count(DISTINCT frame_id) AS n_frames FROM uv JOIN frames USING (frame_id) GROUP BY 1, 2, 3, 4, 5", "uv", "frames"))
 
 
 def a03(spark: SparkSession, sf: str) -> DataFrame:
@@ -159,11 +180,16 @@ SELECT * FROM c""".replace("WITH RECURSIVE", "WITH", 1), "frames").replace("WITH
 
 
 def a04(spark: SparkSession, sf: str) -> DataFrame:
-    v = _banded(spark, sf)
-    return ig.mixture(v, fx.frames(spark, sf), 1_000_000, 30_000).select("slot", "sub_band", "pol", "bl", "chan", r6(F.col("re")).alias("re"), r6(F.col("im")).alias("im"))
+    """The mixture, turned to a centre a little off; u and v of its mean in wavelengths."""
+    mean = ig.mixture(_banded_uv(spark, sf), fx.frames(spark, sf), 1_000_000, 30_000)
+    waves = ((F.col("sub_band") + 1) * 4e8 + F.col("chan") * 25e6 + 12.5e6) / signal.C
+    v = ig.shift_phases(mean, signal.offset_phase(F.col("u") * waves, F.col("v") * waves, F.lit(2e-4), F.lit(-1e-4)))
+    return v.select("slot", "sub_band", "pol", "bl", "chan", r6(F.col("re"), 5).alias("re"), r6(F.col("im"), 5).alias("im"))
 
 
-register("a04_mixture", a04, fx.with_views("WITH f AS (SELECT *, row_number() OVER (PARTITION BY sub_band, pol, floor(t_us / 1000000) ORDER BY t_us) AS k, floor(t_us / 1000000)::BIGINT AS slot FROM frames) SELECT slot, sub_band, pol, bl, chan, round(avg(re), 6) + 0.0 AS re, round(avg(im), 6) + 0.0 AS im FROM visu JOIN f USING (frame_id) WHERE k <= 10 GROUP BY 1, 2, 3, 4, 5", "visu", "frames"))
+register("a04_mixture", a04, fx.with_views("""WITH f AS (SELECT *, row_number() OVER (PARTITION BY sub_band, pol, floor(t_us / 1000000) ORDER BY t_us) AS k, floor(t_us / 1000000)::BIGINT AS slot FROM frames),
+m AS (SELECT slot, sub_band, pol, bl, chan, avg(re) AS re, avg(im) AS im, avg(u) AS u, avg(uv.v) AS w FROM uv JOIN f USING (frame_id) WHERE k <= 10 GROUP BY 1, 2, 3, 4, 5), p AS (SELECT *, 2 * pi() * (((sub_band + 1) * 4e8 + chan * 25e6 + 12.5e6) / 299792458.0) * (u * 2e-4 + w * -1e-4) AS phi FROM m)
+SELECT slot, sub_band, pol, bl, chan, round(re * cos(phi) + im * sin(phi), 5) + 0.0 AS re, round(im * cos(phi) - re * sin(phi), 5) + 0.0 AS im FROM p""", "uv", "frames"))
 
 
 def a05(spark: SparkSession, sf: str) -> DataFrame:
@@ -176,7 +202,8 @@ register("a05_build_calibration", a05, fx.with_views("SELECT sub_band, pol, bl,
 def a12(spark: SparkSession, sf: str) -> DataFrame:
     power = F.col("re") * F.col("re") + F.col("im") * F.col("im")
     v = fx.vis(spark, sf).withColumn("p", power)
-    return v.groupBy("ant1", "ant2").agg(F.median("p").alias("median"), F.min("p").alias("low"), F.max("p").alias("high"), r6(F.var_pop("p"), 2).alias("variance"), r6(F.skewness("p"), 4).alias("skew"), r6(F.kurtosis("p"), 4).alias("kurt"), r6(10 * F.log10(F.avg("p")), 4).alias("db"))
+    middle = vt.quantiles(v, ["ant1", "ant2"], "p", {"median": 0.5})
+    return middle.join(v.groupBy("ant1", "ant2").agg(F.min("p").alias("low"), F.max("p").alias("high"), r6(F.var_pop("p"), 2).alias("variance"), r6(F.skewness("p"), 4).alias("skew"), r6(F.kurtosis("p"), 4).alias("kurt"), r6(10 * F.log10(F.avg("p")), 4).alias("db")), ["ant1", "ant2"])
 
 
 register("a12_spectral_statistics", a12, fx.with_views("""WITH m AS (SELECT ant1, ant2, p, avg(p) OVER (PARTITION BY ant1, ant2) AS mu FROM (SELECT *, re * re + im * im AS p FROM vis))
@@ -185,7 +212,7 @@ round(CASE WHEN avg((p - mu) ^ 2) > 0 THEN avg((p - mu) ^ 3) / avg((p - mu) ^ 2)
 
 
 def a13(spark: SparkSession, sf: str) -> DataFrame:
-    v = fx.visu(spark, sf).select("bl", "chan").join(cb.small(fx.baselines(spark, sf)), "bl")
+    v = fx.visu(spark, sf).select("bl", "chan").join(fx.baselines(spark, sf), "bl")
     scale = (F.col("chan") * 25e6 + 4e8) / 299792458.0
     return v.groupBy("chan").agg(r6(F.max(F.abs(F.col("be") * scale)), 2).alias("umax"), r6(F.max(F.abs(F.col("bn") * scale)), 2).alias("vmax"), F.count_distinct("bl").alias("points"))
 
@@ -254,11 +281,11 @@ register("w08_top_k", w08, fx.with_views("SELECT freq, k::INT AS k, id FROM (SEL
 def w09(spark: SparkSession, sf: str) -> DataFrame:
     from visloom.operators.geometry import baseline_order_errors
 
-    v = fx.visu(spark, sf).where("chan = 3").withColumn("seq", F.row_number().over(W.partitionBy("frame_id").orderBy("ant1", "ant2")) - 1)
+    v = fx.visu(spark, sf).withColumn("seq", F.row_number().over(W.partitionBy("frame_id", "chan").orderBy("ant1", "ant2")) - 1)
     return baseline_order_errors(v, 40)
 
 
-register("w09_baseline_order", w09, fx.with_views("SELECT frame_id, count(*) FILTER (seq <> bl) AS n_wrong, count(*) AS n_rows FROM (SELECT *, row_number() OVER (PARTITION BY frame_id ORDER BY ant1, ant2) - 1 AS seq FROM visu WHERE chan = 3) GROUP BY 1", "visu"))
+register("w09_baseline_order", w09, fx.with_views("SELECT frame_id, count(*) FILTER (seq <> bl) AS n_wrong, count(*) AS n_rows FROM (SELECT *, row_number() OVER (PARTITION BY frame_id, chan ORDER BY ant1, ant2) - 1 AS seq FROM visu) GROUP BY 1", "visu"))
 
 
 def w10(spark: SparkSession, sf: str) -> DataFrame:
@@ -270,23 +297,30 @@ register("w10_minute_files", w10, fx.with_views("SELECT floor(t_us / 60000000)::
 
 
 def w11(spark: SparkSession, sf: str) -> DataFrame:
-    """Drifting pointing: the n-th integration of each band turns phases by n steps."""
+    """Drifting pointing: means of the n-th integration of each band are turned forward by n steps of the drift."""
+    means = ig.average_bins(_banded_uv(spark, sf), 1_000_000)
     bins = fx.frames(spark, sf).select("sub_band", F.floor(F.col("t_us") / 1_000_000).alias("bin")).distinct()
-    n = F.dense_rank().over(W.partitionBy("sub_band").orderBy("bin"))
-    return bins.select("sub_band", "bin", n.cast("long").alias("n"), r6(-0.1 + 0.02 * n).alias("dec_offset"))
+    # One row an integration and band.
+    numbered = bins.select("sub_band", "bin", F.dense_rank().over(W.partitionBy("sub_band").orderBy("bin")).cast("long").alias("n"))
+    hz = (F.col("sub_band") + 1) * 4e8 + F.col("chan") * 25e6 + 12.5e6
+    turned = ig.shift_phases(means.join(numbered, ["sub_band", "bin"]), -signal.drifting_phase(F.col("u") / signal.C, F.col("v") / signal.C, hz, F.col("n")))
+    return turned.groupBy("sub_band", "bin", "n").agg(r6(-0.1 + 0.02 * F.first("n")).alias("dec_offset"), r6(F.sum("re"), 3).alias("re"), r6(F.sum("im"), 3).alias("im"))
 
 
-register("w11_pointing_drift", w11, fx.with_views("SELECT sub_band, bin, n, (round(-0.1 + 0.02 * n, 6) + 0.0)::DOUBLE AS dec_offset FROM (SELECT *, dense_rank() OVER (PARTITION BY sub_band ORDER BY bin) AS n FROM (SELECT DISTINCT sub_band, floor(t_us / 1000000)::BIGINT AS bin FROM frames))", "frames"))
+register("w11_pointing_drift", w11, fx.with_views("""WITH d AS (SELECT *, dense_rank() OVER (PARTITION BY sub_band ORDER BY bin) AS n FROM (SELECT DISTINCT sub_band, floor(t_us / 1000000)::BIGINT AS bin FROM frames)),
+m AS (SELECT floor(t_us / 1000000)::BIGINT AS bin, sub_band, pol, bl, chan, avg(re) AS re, avg(im) AS im, avg(u) AS u, avg(uv.v) AS w FROM uv JOIN frames USING (frame_id) GROUP BY 1, 2, 3, 4, 5),
+p AS (SELECT m.*, n, 2 * pi() * ((sub_band + 1) * 4e8 + chan * 25e6 + 12.5e6) * (u / 299792458.0 * radians(0.14::DOUBLE) + w / 299792458.0 * radians(-0.1::DOUBLE + 0.02::DOUBLE * n)) AS phi FROM m JOIN d USING (sub_band, bin))
+SELECT sub_band, bin, n, (round(-0.1 + 0.02 * n, 6) + 0.0)::DOUBLE AS dec_offset, round(sum(re * cos(phi) - im * sin(phi)), 3) + 0.0 AS re, round(sum(im * cos(phi) + re * sin(phi)), 3) + 0.0 AS im FROM p GROUP BY 1, 2, 3""", "uv", "frames"))
 
 
 def u01(spark: SparkSession, sf: str) -> DataFrame:
     """Chunks of several tasks as one set with numbers of its own."""
     f = fx.frames(spark, sf)
-    chunks = [f.where(F.col("sub_band") == k).select("frame_id", "t_us", "sub_band", F.lit(k).alias("task")) for k in (2, 0, 3)]
+    chunks = [f.where(F.col("sub_band") == k).select("frame_id", "t_us", "sub_band", F.lit(k).alias("task")) for k in (2, 0, 3, 1)]
     return ig.merge_chunks(chunks, "t_us").select("frame_id", "task", F.col("n").cast("long").alias("n"))
 
 
-register("u01_merge_chunks", u01, fx.with_views("SELECT frame_id, sub_band AS task, row_number() OVER (PARTITION BY floor(t_us / 60000000) ORDER BY t_us) AS n FROM frames WHERE sub_band IN (0, 2, 3)", "frames"))
+register("u01_merge_chunks", u01, fx.with_views("SELECT frame_id, sub_band AS task, row_number() OVER (PARTITION BY floor(t_us / 60000000) ORDER BY t_us) AS n FROM frames", "frames"))
 
 
 def u02(spark: SparkSession, sf: str) -> DataFrame:
@@ -308,14 +342,13 @@ register("u03_distinct_sets", u03, fx.with_views("SELECT scan, count(DISTINCT an
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
-    """Time range, bad antennas, calibration, one-second mean, statistics of amplitude by band, polarization and channel."""
-    v = _banded(spark, sf).where(F.col("t_us").between(0, 40_000_000))
-    good = fl.drop_bad_antennas(v, fx.bad_antennas(spark).where("obs_day = '2014-11-11'"))
+    """Bad antennas, calibration, one-second mean, statistics of amplitude by band, polarization and channel, over all frames."""
+    good = fl.drop_bad_antennas(_banded(spark, sf), fx.bad_antennas(spark).where("obs_day = '2014-11-11'"))
     means = ig.average_bins(cb.calibrate(good, fx.cal(spark, sf), ["sub_band", "pol", "bl", "chan"]), 1_000_000)
     amp = F.sqrt(F.col("re") * F.col("re") + F.col("im") * F.col("im"))
     return means.groupBy("sub_band", "pol", "chan").agg(F.count("*").alias("n"), r6(F.min(amp), 4).alias("low"), r6(F.max(amp), 4).alias("high"), r6(F.avg(amp), 4).alias("mean"))
 
 
-register("flagship_calibrated_statistics", flagship, fx.with_views("""WITH g AS (SELECT v.*, f.sub_band, f.pol, f.t_us FROM visu v JOIN frames f USING (frame_id) WHERE f.t_us BETWEEN 0 AND 40000000 AND v.ant1 NOT IN (SELECT ant FROM bad WHERE obs_day = '2014-11-11') AND v.ant2 NOT IN (SELECT ant FROM bad WHERE obs_day = '2014-11-11')),
+register("flagship_calibrated_statistics", flagship, fx.with_views("""WITH g AS (SELECT v.*, f.sub_band, f.pol, f.t_us FROM visu v JOIN frames f USING (frame_id) WHERE v.ant1 NOT IN (SELECT ant FROM bad WHERE obs_day = '2014-11-11') AND v.ant2 NOT IN (SELECT ant FROM bad WHERE obs_day = '2014-11-11')),
 m AS (SELECT floor(t_us / 1000000) AS bin, g.sub_band, g.pol, g.bl, g.chan, avg(g.re * c.re + g.im * c.im) AS re, avg(g.im * c.re - g.re * c.im) AS im FROM g JOIN cal c ON c.sub_band = g.sub_band AND c.pol = g.pol AND c.bl = g.bl AND c.chan = g.chan GROUP BY 1, 2, 3, 4, 5)
 SELECT sub_band, pol, chan, count(*) AS n, round(min(sqrt(re * re + im * im)), 4) + 0.0 AS low, round(max(sqrt(re * re + im * im)), 4) + 0.0 AS high, round(avg(sqrt(re * re + im * im)), 4) + 0.0 AS mean FROM m GROUP BY 1, 2, 3""", "visu", "frames", "cal", "bad"))

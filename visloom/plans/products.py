@@ -24,7 +24,7 @@ def _value(frame: np.ndarray, bl: np.ndarray, chan: np.ndarray, part: int) -> np
     return (frame * 7919 + bl * 131 + chan * 17 + part * 5) % 20011 - 10005
 
 
-def raw_records(spark: SparkSession, sf: str, array: int) -> DataFrame:
+def raw_records(spark: SparkSession, sf: str, array: int, year: int = 2015) -> DataFrame:
     """A record of each supplier, with contents that follow from its key."""
     outs = raw.OUTPUTS[array]
     count = outs * (outs - 1) // 2
@@ -36,7 +36,10 @@ def raw_records(spark: SparkSession, sf: str, array: int) -> DataFrame:
                 f, b, c = n[:, None, None], np.arange(count)[None, :, None], np.arange(16)[None, None, :]
                 o = np.arange(outs)[None, :]
                 header = {k: n * 0 for k in ("frequency_switch", "bandwidth", "quantization", "delay_switch", "array_tag")}
-                header |= {"packed_time": raw.packed_times(n), "strip_switch": n * 0 + 0xCCCCCCCC, "sub_band_switch": np.where(n % 2 == 0, 0x3333, 0x7777), "target": n % 3 * 0x101, "loop_code": n % 8}
+                header |= {"packed_time": raw.packed_times(n, year), "strip_switch": n * 0 + 0xCCCCCCCC, "sub_band_switch": np.where(n % 2 == 0, 0x3333, 0x7777), "target": n % 3 * 0x101, "loop_code": n % (8 if array == 1 else 66), "old_loop_code": n % 4 * 0x5555}
+                # Every fifth frame is taken outside of loop mode, in the band of the supplier's key.
+                fixed = np.array(raw.FIXED_LOW)[n % 4] if array == 1 else n % 33 * 0x101
+                header["sub_band_switch"] = header["sub_band_switch"] | np.where(n % 5 == 0, fixed, 0xEEEE) << 16
                 vis = _value(f, b, c, 0) + 1j * _value(f, b, c, 1)
                 auto = (f * 31 + o[:, :, None] * 7 + c) % 100003
                 records = raw.encode(n, array, header, vis, auto, (n[:, None] + o * 3) % 1000)
@@ -76,7 +79,21 @@ def _headers(spark: SparkSession, sf: str) -> DataFrame:
     h = raw.decode_table(raw_records(spark, sf, 1), 1, "headers")
     f = timescale.unpack_time(F.col("packed_time"))
     us = ((f["hour"] * 60 + f["minute"]) * 60 + f["second"]) * 1_000_000 + f["ms"] * 1000 + f["us"]
-    return h.withColumn("t_us", us).withColumn("pol", F.when(F.col("sub_band_switch").bitwiseAND(0xFFFF) == 0x3333, 0).otherwise(1)).withColumn("sub_band", F.floor(F.col("loop_code") / 2).cast("int"))
+    return h.withColumn("t_us", us)
+
+
+def s01c(spark: SparkSession, sf: str) -> DataFrame:
+    """Bands, polarizations and frequencies as the decoder resolves them, of both arrays and of frames before 2015."""
+    parts = [raw.decode_table(raw_records(spark, sf, a, y), a, "headers").withColumn("sub_array", F.lit(a)).withColumn("year", F.lit(y)) for a, y in ((1, 2015), (1, 2014), (2, 2015), (2, 2014))]
+    both = parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+    return both.select("sub_array", "year", "frame_no", "recent", "loop", "pol", "sub_band", "freq_hz", "freqid", "obs_target", "real_sub_array")
+
+
+register("s01_decode_modes", s01c, """WITH x AS (SELECT a.sub_array, y.year, s_suppkey AS n, s_suppkey % 5 > 0 AS loop FROM supplier, (VALUES (1), (2)) a(sub_array), (VALUES (2015), (2014)) y(year)),
+b AS (SELECT *, CASE WHEN loop AND (sub_array = 2 OR year = 2015) THEN n % CASE WHEN sub_array = 1 THEN 8 ELSE 66 END % 2 ELSE n % 2 END AS pol,
+CASE WHEN sub_array = 2 THEN CASE WHEN loop THEN floor(n % 66 / 2) ELSE n % 33 END WHEN loop AND year = 2015 THEN floor(n % 8 / 2) ELSE n % 4 END AS band FROM x)
+SELECT sub_array, year, n AS frame_no, year = 2015 AS recent, loop, pol::INT AS pol, band::INT AS sub_band, CASE WHEN sub_array = 1 THEN 400000000 * (band + 1) ELSE least(2000000000 + 400000000 * band, 14600000000) END::BIGINT AS freq_hz,
+CASE WHEN sub_array = 2 AND loop THEN 1 ELSE band + 1 END::INT AS freqid, CASE WHEN year = 2014 OR n % 3 = 0 THEN 'sun' WHEN n % 3 = 1 THEN 'satellite' ELSE 'swan' END AS obs_target, CASE WHEN year = 2014 THEN sub_array ELSE 1 END AS real_sub_array FROM b""")
 
 
 def s02(spark: SparkSession, sf: str) -> DataFrame:
@@ -85,7 +102,7 @@ def s02(spark: SparkSession, sf: str) -> DataFrame:
     return tb.header_list(_headers(spark, sf), 20).select("frame_no", "t_us", pol_label(F.col("pol")).alias("pol"), target_label(F.col("target")).alias("target"), ((F.col("sub_band") + 1) * 400).cast("int").alias("mhz"))
 
 
-register("s02_header_list", s02, "SELECT s_suppkey AS frame_no, s_suppkey * 3125 AS t_us, CASE WHEN s_suppkey % 2 = 0 THEN 'LL' ELSE 'RR' END AS pol, CASE s_suppkey % 3 WHEN 0 THEN 'sun' WHEN 1 THEN 'satellite' ELSE 'swan' END AS target, ((floor(s_suppkey % 8 / 2) + 1) * 400)::INT AS mhz FROM supplier ORDER BY s_suppkey LIMIT 20")
+register("s02_header_list", s02, "SELECT s_suppkey AS frame_no, s_suppkey * 3125 AS t_us, CASE WHEN s_suppkey % 2 = 0 THEN 'LL' ELSE 'RR' END AS pol, CASE s_suppkey % 3 WHEN 0 THEN 'sun' WHEN 1 THEN 'satellite' ELSE 'swan' END AS target, ((CASE WHEN s_suppkey % 5 = 0 THEN s_suppkey % 4 ELSE floor(s_suppkey % 8 / 2) END + 1) * 400)::INT AS mhz FROM supplier ORDER BY s_suppkey LIMIT 20")
 
 
 def s03(spark: SparkSession, sf: str) -> DataFrame:
@@ -96,13 +113,15 @@ register("s03_catalogue", s03, fx.with_views("SELECT 'f' || floor(t_us / 5000000
 
 
 def s04(spark: SparkSession, sf: str) -> DataFrame:
+    """Frames routed by their day and by the array that the size of their minute's file tells; files of no known size go nowhere."""
     path = new_dir(spark, "archive")
-    f = fx.frames(spark, sf)
-    tb.write_archive(f.select("frame_id", "t_us", "sub_array", F.date_format("wall_ts", "yyyy-MM-dd").alias("obs_day")), path)
+    size = F.element_at(F.array(F.lit(tb.MINUTE_BYTES[1]), F.lit(tb.MINUTE_BYTES[2]), F.lit(4096)), F.col("sub_array")).alias("size")
+    f = fx.frames(spark, sf).select("frame_id", "t_us", size, F.date_format("wall_ts", "yyyy-MM-dd").alias("obs_day"))
+    tb.write_archive(f.withColumn("sub_array", tb.array_of_size(F.col("size"))).where("sub_array IS NOT NULL").drop("size"), path)
     return spark.read.parquet(path).groupBy(F.col("obs_day").cast("string").alias("obs_day"), "sub_array").agg(F.count("*").alias("n"), F.min("t_us").alias("first_us"))
 
 
-register("s04_archive_routing", s04, fx.with_views("SELECT strftime(wall_ts, '%Y-%m-%d') AS obs_day, sub_array, count(*) AS n, min(t_us) AS first_us FROM frames GROUP BY 1, 2", "frames"))
+register("s04_archive_routing", s04, fx.with_views("SELECT strftime(wall_ts, '%Y-%m-%d') AS obs_day, sub_array, count(*) AS n, min(t_us) AS first_us FROM frames WHERE sub_array < 3 GROUP BY 1, 2", "frames"))
 
 
 def s05(spark: SparkSession, sf: str) -> DataFrame:
@@ -134,16 +153,16 @@ register("s07_antenna_text", s07, "SELECT (s_suppkey - 1)::INT AS ant, s_suppkey
 
 
 def s08(spark: SparkSession, sf: str) -> DataFrame:
-    """Binary Earth-orientation records of 32 bytes, as built from dates, decoded with expressions alone."""
+    """Binary Earth-orientation records of 32 bytes, as built from dates, decoded and looked up by day number."""
     d = fx.table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("d")).distinct()
     mjd = F.datediff("d", F.lit("1858-11-17").cast("date"))
-    number = lambda x, n: F.unhex(F.lpad(F.hex(x.cast("long")), 2 * n, "0"))
-    rec = d.select("d", F.concat(number(F.year("d"), 2), number(F.month("d"), 1), number(F.day("d"), 1), number(mjd, 4)).alias("rec"))
-    part = lambda a, n: F.conv(F.hex(F.substring("rec", a, n)), 16, 10).cast("int")
-    return rec.select(part(1, 2).alias("y"), part(3, 1).alias("m"), part(4, 1).alias("day"), part(5, 4).alias("mjd"))
+    rows = d.select(F.year("d").alias("y"), F.month("d").alias("m"), F.day("d").alias("day"), mjd.alias("mjd"), (mjd % 97 / 64.0).alias("x"), (mjd % 89 / -64.0).alias("y_pole"), (mjd % 83 / 128.0 - 0.25).alias("ut1_utc"))
+    found = tb.orientation_records(tb.orientation_bytes(rows))
+    asked = fx.table(spark, sf, "lineitem").select(F.datediff("l_shipdate", F.lit("1858-11-17").cast("date")).alias("mjd")).groupBy("mjd").agg(F.count("*").alias("n"))
+    return asked.join(found, "mjd").select("mjd", "n", "y", "m", "day", "x", "y_pole", "ut1_utc")
 
 
-register("s08_orientation_records", s08, "SELECT DISTINCT year(o_orderdate)::INT AS y, month(o_orderdate)::INT AS m, day(o_orderdate)::INT AS day, (o_orderdate::DATE - DATE '1858-11-17')::INT AS mjd FROM orders")
+register("s08_orientation_records", s08, "WITH d AS (SELECT DISTINCT o_orderdate::DATE AS d, (o_orderdate::DATE - DATE '1858-11-17')::INT AS mjd FROM orders), a AS (SELECT (l_shipdate::DATE - DATE '1858-11-17')::INT AS mjd, count(*) AS n FROM lineitem GROUP BY 1) SELECT mjd, n, year(d)::INT AS y, month(d)::INT AS m, day(d)::INT AS day, mjd % 97 / 64.0::DOUBLE AS x, mjd % 89 / -64.0::DOUBLE AS y_pole, mjd % 83 / 128.0::DOUBLE - 0.25 AS ut1_utc FROM a JOIN d USING (mjd)")
 
 
 def s09(spark: SparkSession, sf: str) -> DataFrame:
@@ -155,9 +174,10 @@ register("s09_orientation_text", s09, "SELECT o_orderkey + 50000 AS mjd, 0.125::
 
 
 def _exports(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    v = fx.visu(spark, sf).withColumn("freqsel", (F.col("frame_id") % 4).cast("int")).withColumn("source_id", F.lit(1))
-    bands = spark.range(4).select(F.col("id").cast("int").alias("freqsel"), ((F.col("id") + 1) * 4e8).alias("hz"))
-    return tb.export_tables(v, fx.antennas(spark, sf), bands, spark.createDataFrame([(1, "SUN")], "source_id int, source string"))
+    v = fx.with_uv(spark, sf).withColumn("freqsel", (F.col("frame_id") % 4).cast("int")).withColumn("source_id", F.lit(1)).withColumn("pol", (F.col("frame_id") % 2).cast("int"))
+    bands = v.select("freqsel").distinct().withColumn("hz", (F.col("freqsel") + 1) * 4e8)
+    source = v.select("source_id").distinct().withColumn("source", F.lit("SUN")).withColumn("ra", F.lit(123.25)).withColumn("dec", F.lit(-12.5))
+    return tb.export_tables(v, fx.antennas(spark, sf), bands, source)
 
 
 def s10(spark: SparkSession, sf: str) -> DataFrame:
@@ -166,10 +186,26 @@ def s10(spark: SparkSession, sf: str) -> DataFrame:
     tb.write_tables(_exports(spark, sf), path)
     g = spark.read.parquet(f"{path}/vis_groups")
     total = lambda c: F.aggregate(c, F.lit(0.0), lambda s, x: s + x)
-    return g.select("frame_id", "bl", "freqsel", r6(total("re"), 4).alias("re"), total("weight").alias("weight"))
+    return g.select("frame_id", "bl", "freqsel", "baseline", "stokes", r6(F.col("uu") * 1e6, 4).alias("uu"), r6(F.col("vv") * 1e6, 4).alias("vv"), r6(total("re"), 4).alias("re"), total("weight").alias("weight"))
+
+
+register("s10_export_tables", s10, fx.with_views("SELECT frame_id, bl, (frame_id % 4)::INT AS freqsel, ((ant1 + 1) * 256 + ant2 + 1)::INT AS baseline, CASE WHEN frame_id % 2 = 0 THEN -2 ELSE -1 END AS stokes, round(max(u) / 299792458.0 * 1e6, 4) + 0.0 AS uu, round(max(uv.v) / 299792458.0 * 1e6, 4) + 0.0 AS vv, round(sum(re), 4) + 0.0 AS re, count(*)::DOUBLE AS weight FROM uv GROUP BY 1, 2, 3, 4, 5", "uv"))
+
+
+def s10b(spark: SparkSession, sf: str) -> DataFrame:
+    """Antenna, frequency and source tables, as written and read again, a row each with its name, number and text of columns."""
+    path = new_dir(spark, "export")
+    t = _exports(spark, sf)
+    tb.write_tables({k: t[k] for k in ("antenna", "frequency", "source")}, path)
+    read = lambda name: spark.read.parquet(f"{path}/{name}")
+    a = read("antenna").select(F.lit("AN").alias("name"), F.col("nosta").alias("number"), F.concat_ws(" ", "anname", F.format_string("%.3f %.3f", F.get("stabxyz", F.lit(0)), F.get("stabxyz", F.lit(1))), "mntsta", "poltya", "poltyb").alias("value"))
+    f = read("frequency").select(F.lit("FQ").alias("name"), F.col("frqsel").alias("number"), F.format_string("%.0f %.0f %.0f %d", F.get("if_freq", F.lit(0)), F.get("ch_width", F.lit(0)), F.get("total_bandwidth", F.lit(0)), F.get("sideband", F.lit(0))).alias("value"))
+    s = read("source").select(F.lit("SU").alias("name"), F.col("id").alias("number"), F.concat_ws(" ", "source", F.format_string("%.2f %.2f %.1f %d", "raepo", "decepo", "epoch", "qual")).alias("value"))
+    return a.union(f).union(s)
 
 
-register("s10_export_tables", s10, fx.with_views("SELECT frame_id, bl, (frame_id % 4)::INT AS freqsel, round(sum(re), 4) + 0.0 AS re, count(*)::DOUBLE AS weight FROM visu GROUP BY 1, 2, 3", "visu"))
+register("s10_export_dimensions", s10b, fx.with_views("""SELECT 'AN' AS name, (ant + 1)::INT AS number, 'A' || (ant + 1) || ' ' || printf('%.3f', e) || ' ' || printf('%.3f', n) || ' 0 L R' AS value FROM antennas
+UNION ALL SELECT DISTINCT 'FQ', (frame_id % 4)::INT + 1, ((frame_id % 4 + 1) * 400000000)::BIGINT || ' 25000000 400000000 1' FROM vis UNION ALL SELECT 'SU', 1, 'SUN 123.25 -12.50 2000.0 1'""", "vis", "antennas"))
 
 
 def s11(spark: SparkSession, sf: str) -> DataFrame:
@@ -177,7 +213,7 @@ def s11(spark: SparkSession, sf: str) -> DataFrame:
     return tb.exported_products(t["vis_groups"], t["frequency"])
 
 
-register("s11_list_products", s11, fx.with_views("SELECT (frame_id % 4)::INT AS freqsel, count(DISTINCT (frame_id, bl)) AS groups, count(DISTINCT frame_id) AS frames, (frame_id % 4 + 1) * 0.4::DOUBLE AS ghz FROM visu GROUP BY 1, 4", "visu"))
+register("s11_list_products", s11, fx.with_views("SELECT (frame_id % 4)::INT AS freqsel, CASE WHEN frame_id % 2 = 0 THEN 'LL' ELSE 'RR' END AS pol, count(DISTINCT (frame_id, bl)) AS groups, count(DISTINCT frame_id) AS frames, (frame_id % 4 + 1) * 0.4::DOUBLE AS ghz FROM visu GROUP BY 1, 2, 5", "visu"))
 
 
 def s12(spark: SparkSession, sf: str) -> DataFrame:
@@ -212,11 +248,11 @@ register("s15_image_product", s15, fx.with_views("SELECT image_key, 8 AS n, CASE
 
 
 def s16(spark: SparkSession, sf: str) -> DataFrame:
-    e = fx.table(spark, sf, "embeddings").select(F.col("vec_id").alias("row"), (F.col("vec_id") % 780).alias("baseline"), F.transform(F.slice("embedding", 1, 48), lambda x: F.round(x.cast("double"), 4)).alias("data"))
+    e = fx.table(spark, sf, "embeddings").select(F.col("vec_id").alias("row"), (F.col("vec_id") % 780).alias("baseline"), F.transform("embedding", lambda x: F.round(x.cast("double"), 4)).alias("data"))
     return tb.flux_rows(e).select("row", "baseline", F.size("flux").alias("n"), r6(F.aggregate("flux", F.lit(0.0), lambda s, x: s + x), 4).alias("total"))
 
 
-register("s16_flux_rows", s16, "SELECT vec_id AS row, vec_id % 780 AS baseline, 32 AS n, round((SELECT sum(round(embedding[i * 3 + 1]::DOUBLE, 4) + round(embedding[i * 3 + 2]::DOUBLE, 4)) FROM (SELECT range AS i FROM range(16))), 4) + 0.0 AS total FROM embeddings")
+register("s16_flux_rows", s16, "SELECT vec_id AS row, vec_id % 780 AS baseline, 2 * (len(embedding) // 3) AS n, round((SELECT sum(round(embedding[i * 3 + 1]::DOUBLE, 4) + round(embedding[i * 3 + 2]::DOUBLE, 4)) FROM (SELECT range AS i FROM range(21))), 4) + 0.0 AS total FROM embeddings")
 
 
 def s17(spark: SparkSession, sf: str) -> DataFrame:
@@ -254,14 +290,20 @@ SELECT o_orderkey, round(cos(c) * x1 + sin(c) * y1, 8) + 0.0 AS x, round(cos(c)
 
 
 def p22(spark: SparkSession, sf: str) -> DataFrame:
+    """Position in km and velocity in km a day."""
     e = fx.table(spark, sf, "events").select("event_id", timescale.julian_date(F.col("ts")).alias("jd"))
-    x, y, z = orbits.teme_to_earth((F.lit(5094.18), F.lit(6127.64), F.lit(6380.34)), F.col("jd"), 1e-6, 2e-6)
-    return e.select("event_id", r6(x, 2).alias("x"), r6(y, 2).alias("y"), r6(z, 2).alias("z"))
+    r, v = (F.lit(5094.18), F.lit(6127.64), F.lit(6380.34)), (F.lit(-410000.5), F.lit(67900.25), F.lit(477950.0))
+    x, y, z = orbits.teme_to_earth(r, F.col("jd"), 1e-6, 2e-6)
+    vx, vy, vz = orbits.teme_velocity_to_earth(r, v, F.col("jd"), 1e-6, 2e-6)
+    return e.select("event_id", r6(x, 2).alias("x"), r6(y, 2).alias("y"), r6(z, 2).alias("z"), r6(vx, 0).alias("vx"), r6(vy, 0).alias("vy"), r6(vz, 0).alias("vz"))
 
 
-register("p22_teme_to_earth", p22, """WITH j AS (SELECT event_id, epoch_us(ts) / 86400e6 + 2440587.5 AS jd FROM events), a AS (SELECT *, (jd - 2451545.0) / 36525.0 AS t FROM j), b AS (SELECT *, ((jd % 1.0) + (((67310.54841 + (8640184.812866 + (0.093104 - 6.2e-6 * t) * t) * t) / 86400.0 % 1.0 + 1.0) % 1.0)) % 1.0 * 2 * pi() AS g FROM a),
-c AS (SELECT *, cos(g) * 5094.18 + sin(g) * 6127.64 AS x, cos(g) * 6127.64 - sin(g) * 5094.18 AS y, 6380.34::DOUBLE AS z FROM b), d AS (SELECT event_id, y, cos(-1e-6) * z + sin(-1e-6) * x AS z, cos(-1e-6) * x - sin(-1e-6) * z AS x FROM c)
-SELECT event_id, round(x, 2) + 0.0 AS x, round(cos(-2e-6) * y + sin(-2e-6) * z, 2) + 0.0 AS y, round(cos(-2e-6) * z - sin(-2e-6) * y, 2) + 0.0 AS z FROM d""")
+register("p22_teme_to_earth", p22, """WITH j AS (SELECT event_id, epoch_us(ts) / 86400e6 + 2440587.5 AS jd FROM events), a AS (SELECT *, (jd - 2451545.0) / 36525.0 AS t FROM j),
+b AS (SELECT *, ((jd % 1.0) + (((67310.54841 + (8640184.812866 + (0.093104 - 6.2e-6 * t) * t) * t) / 86400.0 % 1.0 + 1.0) % 1.0)) % 1.0 * 2 * pi() AS g, (1 + (8640184.812866 + (0.093104 * 2 - 6.2e-6 * 3 * t) * t) / 86400.0 / 36525.0) * 2 * pi() AS gd FROM a),
+c AS (SELECT *, cos(g) * 5094.18 + sin(g) * 6127.64 AS x, cos(g) * 6127.64 - sin(g) * 5094.18 AS y, 6380.34::DOUBLE AS z, cos(g) * -410000.5 + sin(g) * 67900.25 AS p, cos(g) * 67900.25 - sin(g) * -410000.5 AS q, 477950.0::DOUBLE AS w FROM b),
+c2 AS (SELECT *, p + gd * y AS vx, q - gd * x AS vy, w AS vz FROM c),
+d AS (SELECT event_id, y, cos(-1e-6) * z + sin(-1e-6) * x AS z, cos(-1e-6) * x - sin(-1e-6) * z AS x, vy, cos(-1e-6) * vz + sin(-1e-6) * vx AS vz, cos(-1e-6) * vx - sin(-1e-6) * vz AS vx FROM c2)
+SELECT event_id, round(x, 2) + 0.0 AS x, round(cos(-2e-6) * y + sin(-2e-6) * z, 2) + 0.0 AS y, round(cos(-2e-6) * z - sin(-2e-6) * y, 2) + 0.0 AS z, round(vx, 0) + 0.0 AS vx, round(cos(-2e-6) * vy + sin(-2e-6) * vz, 0) + 0.0 AS vy, round(cos(-2e-6) * vz - sin(-2e-6) * vy, 0) + 0.0 AS vz FROM d""")
 
 
 def p23(spark: SparkSession, sf: str) -> DataFrame:
@@ -272,29 +314,26 @@ def p23(spark: SparkSession, sf: str) -> DataFrame:
     return a.select("o_orderkey", r6(F.col("e") * F.sin("anomaly") + F.col("m") - F.col("anomaly"), 9).alias("left"), r6(x).alias("x"), r6(y).alias("y"), r6(z).alias("z"))
 
 
-register("p23_kepler", p23)
+register("p23_kepler", p23, """WITH o AS (SELECT o_orderkey, o_custkey % 90 / 100.0::DOUBLE AS e, o_orderkey % 628 / 100.0::DOUBLE AS m FROM orders), a AS (SELECT *, list_reduce(list_prepend(CASE WHEN e < 0.8 THEN m ELSE pi() END, list_transform(range(30), lambda i: 0.0::DOUBLE)), lambda x, i: x - (x - e * sin(x) - m) / (1 - e * cos(x))) AS ea FROM o),
+v AS (SELECT *, 2 * (cos(ea) - e) AS xv, 2 * sqrt(1 - e * e) * sin(ea) AS yv FROM a), w AS (SELECT *, xv * cos(0.3) - yv * sin(0.3) AS x1, xv * sin(0.3) + yv * cos(0.3) AS y1 FROM v)
+SELECT o_orderkey, round(e * sin(ea) + m - ea, 9) + 0.0 AS left, round(x1 * cos(0.2) - y1 * cos(0.1) * sin(0.2), 6) + 0.0 AS x, round(x1 * sin(0.2) + y1 * cos(0.1) * cos(0.2), 6) + 0.0 AS y, round(y1 * sin(0.1), 6) + 0.0 AS z FROM w""")
 
 
 def p24(spark: SparkSession, sf: str) -> DataFrame:
-    """Sums of eight coefficients of the segment that holds each time."""
-    c = fx.table(spark, sf, "embeddings").select(F.col("vec_id").alias("segment"), F.transform(F.slice("embedding", 1, 8), lambda x: x.cast("double")).alias("c"))
+    """Sums of all coefficients of the segment that holds each time."""
+    c = fx.table(spark, sf, "embeddings").select(F.col("vec_id").alias("segment"), F.transform("embedding", lambda x: x.cast("double")).alias("c"))
     n, s = orbits.segment_of(F.col("o_orderkey").cast("double"), 0.0, 32.0)
     t = fx.table(spark, sf, "orders").select("o_orderkey", n.alias("segment"), s.alias("s"))
     return t.join(c, "segment").select("o_orderkey", r6(orbits.chebyshev(F.col("c"), F.col("s"))).alias("value"))
 
 
-register("p24_chebyshev", p24, "SELECT o_orderkey, round((SELECT sum(embedding[k + 1]::DOUBLE * cos(k * acos(s))) FROM (SELECT range AS k FROM range(8))), 6) + 0.0 AS value FROM (SELECT o_orderkey, 2 * (o_orderkey % 32) / 32.0::DOUBLE - 1 AS s, floor(o_orderkey / 32)::BIGINT AS seg FROM orders) JOIN embeddings ON vec_id = seg")
+register("p24_chebyshev", p24, "SELECT o_orderkey, round((SELECT sum(embedding[k + 1]::DOUBLE * cos(k * acos(s))) FROM (SELECT range AS k FROM range(64))), 6) + 0.0 AS value FROM (SELECT o_orderkey, 2 * (o_orderkey % 32) / 32.0::DOUBLE - 1 AS s, floor(o_orderkey / 32)::BIGINT AS seg FROM orders) JOIN embeddings ON vec_id = seg")
 
 
 def a14(spark: SparkSession, sf: str) -> DataFrame:
-    """Sky and disk levels: centres of two groups of histogram points by seeded k-means."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
-
-    h = im.histogram(fx.pixels(spark, sf).withColumn("image_key", F.lit(0)), 100)
-    points = VectorAssembler(inputCols=["bin"], outputCol="features").transform(h)
-    model = KMeans(k=2, seed=7, weightCol="n").fit(points.withColumn("n", F.col("n").cast("double")))
-    return model.transform(points.withColumn("n", F.col("n").cast("double"))).groupBy("prediction").agg(F.sum("n").alias("n"), r6(F.sum(F.col("bin") * F.col("n")) / F.sum("n"), 3).alias("centre"))
+    """Sky, disk and brighter levels of each image, by a mixture of three over its histogram."""
+    found = im.sky_levels(fx.pixels(spark, sf), 2000, 3)
+    return found.select("image_key", "k", r6(F.col("level"), 3).alias("level"), r6(F.col("deviation"), 3).alias("deviation"), r6(F.col("share"), 4).alias("share"))
 
 
 register("a14_clusters", a14)

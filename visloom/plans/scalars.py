@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from visloom.functions import signal, sun, timescale
 from visloom.operators import geometry
+from visloom.operators.integrate import number_frames
 from visloom.plans import fixtures as fx
 from visloom.registry import register
 
@@ -216,21 +216,26 @@ register("p16_sexagesimal", p16, "SELECT o_orderkey, floor(abs(x))::INT AS d, fl
 
 
 def p17(spark: SparkSession, sf: str) -> DataFrame:
-    o = fx.table(spark, sf, "orders")
-    eop = o.select(F.date_trunc("month", "o_orderdate").alias("month")).distinct().select("month", (F.month("month") / 20 - 0.3).alias("ut1_utc"), (F.year("month") - 1972 + 10).alias("leap"))
-    j = o.select("o_orderkey", F.date_trunc("month", "o_orderdate").alias("month")).join(eop, "month")
-    return j.select("o_orderkey", F.round(timescale.delta_t(F.col("leap"), F.col("ut1_utc")), 4).alias("delta_t"))
+    """Delta-T of each order's day: the day's UT1 offset by an equi-join on the day number, leap seconds as of the day."""
+    o = fx.table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").cast("timestamp_ntz").alias("t")).withColumn("mjd", F.floor(timescale.julian_date(F.col("t")) - 2400000.5))
+    eop = o.select("mjd").distinct().select("mjd", (F.col("mjd") % 200 / 250.0 - 0.4).alias("ut1_utc"))
+    leap = timescale.tai_minus_utc(F.col("t"))
+    return o.join(eop, "mjd").select("o_orderkey", leap.alias("leap"), F.round(timescale.delta_t(leap, F.col("ut1_utc")), 4).alias("delta_t"))
 
 
-register("p17_delta_t", p17, "SELECT o_orderkey, round(32.184 + (year(o_orderdate) - 1972 + 10) - (month(o_orderdate) / 20 - 0.3), 4) AS delta_t FROM orders")
+_LEAP = ", ".join(f"(DATE '{d}', {i})" for i, d in enumerate(timescale.LEAP_DAYS, timescale.FIRST_LEAP))
+register("p17_delta_t", p17, f"WITH l(day, leap) AS (VALUES {_LEAP}), o AS (SELECT o_orderkey, o_orderdate::DATE AS day, (o_orderdate::DATE - DATE '1858-11-17')::BIGINT AS mjd FROM orders) SELECT o_orderkey, leap::INT AS leap, round(32.184 + leap - (mjd % 200 / 250.0 - 0.4), 4)::DOUBLE AS delta_t FROM o ASOF JOIN l ON l.day <= o.day")
 
 
 def p18(spark: SparkSession, sf: str) -> DataFrame:
-    jd = timescale.julian_date(F.col("ts"))
-    return fx.table(spark, sf, "events").select("event_id", F.round(timescale.tdb_minus_tt(jd) * 1e6, 2).alias("tdb_tt_us"))
+    """Universal to atomic to terrestrial to barycentric time: whole microseconds of TT, and the periodic terms."""
+    tt = timescale.tt_micros(F.col("ts"))
+    jd = tt / 86400e6 + 2440587.5
+    return fx.table(spark, sf, "events").select("event_id", tt.alias("tt_us"), F.round(timescale.tdb_minus_tt(jd) * 1e6, 2).alias("tdb_tt_us"))
 
 
-register("p18_tdb_tt", p18, f"SELECT event_id, round((0.001657 * sin(628.3076 * t + 6.2401) + 0.000022 * sin(575.3385 * t + 4.2970) + 0.000014 * sin(1256.6152 * t + 6.1969) + 0.000005 * sin(606.9777 * t + 4.0212) + 0.000005 * sin(52.9691 * t + 0.4444) + 0.000002 * sin(21.3299 * t + 5.5431) + 0.00001 * t * sin(628.3076 * t + 4.2490)) * 1e6, 2) AS tdb_tt_us FROM (SELECT event_id, {_T} AS t FROM events)")
+_TT = "(epoch_us(ts) + 69184000)"
+register("p18_tdb_tt", p18, f"SELECT event_id, {_TT} AS tt_us, round((0.001657 * sin(628.3076 * t + 6.2401) + 0.000022 * sin(575.3385 * t + 4.2970) + 0.000014 * sin(1256.6152 * t + 6.1969) + 0.000005 * sin(606.9777 * t + 4.0212) + 0.000005 * sin(52.9691 * t + 0.4444) + 0.000002 * sin(21.3299 * t + 5.5431) + 0.00001 * t * sin(628.3076 * t + 4.2490)) * 1e6, 2) AS tdb_tt_us FROM (SELECT event_id, ts, ({_TT} / 86400e6 + 2440587.5 - 2451545.0) / 36525.0 AS t FROM events)")
 
 
 def p19(spark: SparkSession, sf: str) -> DataFrame:
@@ -272,6 +277,18 @@ _PHI = "(2 * pi() * (ant1 * 3.0 * 0.002 + ant2 * 2.0 * -0.001))"
 register("p26_offset_phase", p26, fx.with_views(f"SELECT ant1, ant2, round(sum(re * cos({_PHI}) + im * sin({_PHI})), 4) + 0.0 AS re, round(sum(im * cos({_PHI}) - re * sin({_PHI})), 4) + 0.0 AS im FROM vis GROUP BY 1, 2", "vis"))
 
 
+def p26d(spark: SparkSession, sf: str) -> DataFrame:
+    """The drifting pointing: values turned forward by the n-th step of the drift, u and v in light seconds."""
+    b = fx.vis(spark, sf).withColumn("n", F.col("frame_id") % 30)
+    phi = signal.drifting_phase(F.col("ant1") * 1e-8, F.col("ant2") * -2e-8, F.col("chan") * 25e6 + 4e8, F.col("n"))
+    re, im = signal.rotate(F.col("re"), F.col("im"), -phi)
+    return b.groupBy("ant1", "ant2").agg(r6(F.sum(re), 4).alias("re"), r6(F.sum(im), 4).alias("im"))
+
+
+_DRIFT = "(2 * pi() * (chan * 25e6 + 4e8) * (ant1 * 1e-8 * radians(0.14::DOUBLE) + ant2 * -2e-8 * radians(-0.1::DOUBLE + 0.02::DOUBLE * (frame_id % 30))))"
+register("p26_drifting_phase", p26d, fx.with_views(f"SELECT ant1, ant2, round(sum(re * cos({_DRIFT}) - im * sin({_DRIFT})), 4) + 0.0 AS re, round(sum(im * cos({_DRIFT}) + re * sin({_DRIFT})), 4) + 0.0 AS im FROM vis GROUP BY 1, 2", "vis"))
+
+
 def p27(spark: SparkSession, sf: str) -> DataFrame:
     """Frames from start to end, and the frames a reader may skip before start."""
     f = fx.frames(spark, sf)
@@ -324,9 +341,8 @@ register("p31_stokes_columns", p31, "SELECT vec_id, c::INT AS chan, " + ", ".joi
 def p32(spark: SparkSession, sf: str) -> DataFrame:
     """Every 40th of the frames of a band and polarization."""
     f = fx.frames(spark, sf).where("sub_band = 1 AND pol = 0")
-    # Headers of one array's day; one row a frame.
-    n = F.row_number().over(W.partitionBy("sub_band", "pol").orderBy("t_us"))
-    return f.withColumn("n", n).where("(n - 1) % 40 = 0").select("frame_id", "t_us", "n")
+    n = number_frames(f, ["sub_band", "pol"], "t_us")
+    return n.where("(n - 1) % 40 = 0").select("frame_id", "t_us", F.col("n").cast("int").alias("n"))
 
 
 register("p32_thinning", p32, fx.with_views("SELECT frame_id, t_us, n::INT AS n FROM (SELECT *, row_number() OVER (ORDER BY t_us) AS n FROM frames WHERE sub_band = 1 AND pol = 0) WHERE (n - 1) % 40 = 0", "frames"))

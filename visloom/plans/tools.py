@@ -86,6 +86,24 @@ def d06(spark: SparkSession, sf: str) -> DataFrame:
 register("d06_crop", d06, fx.with_views("WITH f AS (SELECT ant1, regr_slope(re, chan) AS b, regr_intercept(re, chan) AS a FROM visu GROUP BY 1), r AS (SELECT ant1, re - (a + b * chan) AS r FROM visu JOIN f USING (ant1)), s AS (SELECT ant1, stddev_pop(r) AS s FROM r GROUP BY 1) SELECT ant1, count(*) FILTER (abs(r) > 1.5 * s) AS flagged, count(*) AS n FROM r JOIN s USING (ant1) GROUP BY 1", "visu"))
 
 
+def d06b(spark: SparkSession, sf: str) -> DataFrame:
+    """Parabolas on three pieces of each antenna's channels."""
+    v = fl.crop(fx.visu(spark, sf), ["ant1"], "chan", "re", 1.5, order=2, pieces=3)
+    return v.groupBy("ant1").agg(F.count_if("flag").alias("flagged"), F.count("*").alias("n"))
+
+
+register("d06_crop_polynomial", d06b)
+
+
+def d06c(spark: SparkSession, sf: str) -> DataFrame:
+    """Each baseline's means by frame held against those of five frames to either side."""
+    v = fx.visu(spark, sf).groupBy("bl", "frame_id").agg(F.avg("re").alias("re"))
+    return fl.crop_sliding(v, ["bl"], "frame_id", "re", 1.8, 5).groupBy("bl").agg(F.count_if("flag").alias("flagged"), F.count("*").alias("n"))
+
+
+register("d06_crop_sliding", d06c, fx.with_views("WITH m AS (SELECT bl, frame_id, avg(re) AS re FROM visu GROUP BY 1, 2) SELECT bl, count(*) FILTER (abs(re - a) > 1.8 * s) AS flagged, count(*) AS n FROM (SELECT *, avg(re) OVER w AS a, stddev_pop(re) OVER w AS s FROM m WINDOW w AS (PARTITION BY bl ORDER BY frame_id ROWS BETWEEN 5 PRECEDING AND 5 FOLLOWING)) GROUP BY 1", "visu"))
+
+
 def d07(spark: SparkSession, sf: str) -> DataFrame:
     return fl.summary(_flagged(spark, sf), [["chan"], ["ant1"], ["ant1", "chan"], []])
 
@@ -127,6 +145,19 @@ def d11(spark: SparkSession, sf: str) -> DataFrame:
 register("d11_stokes", d11, fx.with_views("WITH s AS (SELECT sub_band, bl, chan, avg(re) FILTER (pol = 0) AS lr, avg(im) FILTER (pol = 0) AS li, avg(re) FILTER (pol = 1) AS rr, avg(im) FILTER (pol = 1) AS ri FROM visu JOIN frames USING (frame_id) GROUP BY 1, 2, 3) SELECT sub_band, bl, chan, round((rr + lr) / 2, 5) + 0.0 AS i_re, round((ri + li) / 2, 5) + 0.0 AS i_im, round((rr - lr) / 2, 5) + 0.0 AS v_re, round((ri - li) / 2, 5) + 0.0 AS v_im FROM s WHERE lr IS NOT NULL AND rr IS NOT NULL", "visu", "frames"))
 
 
+def d11b(spark: SparkSession, sf: str) -> DataFrame:
+    """All four Stokes values; correlations are dealt by channel, and the way back is taken, too."""
+    v = fx.vis(spark, sf).withColumn("pol", F.col("chan") % 4)
+    s = vt.stokes(v, ["ant1", "ant2"], linear=True)
+    back = vt.circular(s, ["ant1", "ant2"]).groupBy("ant1", "ant2").agg(r6(F.sum(F.col("re") * (F.col("pol") + 1)), 4).alias("back_re"), r6(F.sum(F.col("im") * (F.col("pol") + 1)), 4).alias("back_im"))
+    return s.select("ant1", "ant2", *(r6(F.col(c), 5).alias(c) for c in ("i_re", "i_im", "q_re", "q_im", "u_re", "u_im", "v_re", "v_im"))).join(back, ["ant1", "ant2"])
+
+
+register("d11_stokes_linear", d11b, fx.with_views("WITH s AS (SELECT ant1, ant2, " + ", ".join(f"avg({x}) FILTER (chan % 4 = {k}) AS {x}{k}" for k in range(4) for x in ("re", "im")) + """ FROM vis GROUP BY 1, 2)
+SELECT ant1, ant2, round((re1 + re0) / 2, 5) + 0.0 AS i_re, round((im1 + im0) / 2, 5) + 0.0 AS i_im, round((re2 + re3) / 2, 5) + 0.0 AS q_re, round((im2 + im3) / 2, 5) + 0.0 AS q_im, round((im2 - im3) / 2, 5) + 0.0 AS u_re, round((re3 - re2) / 2, 5) + 0.0 AS u_im, round((re1 - re0) / 2, 5) + 0.0 AS v_re, round((im1 - im0) / 2, 5) + 0.0 AS v_im,
+round(re0 + 2 * re1 + 3 * re2 + 4 * re3, 4) + 0.0 AS back_re, round(im0 + 2 * im1 + 3 * im2 + 4 * im3, 4) + 0.0 AS back_im FROM s WHERE re0 IS NOT NULL AND re1 IS NOT NULL AND re2 IS NOT NULL AND re3 IS NOT NULL""", "vis"))
+
+
 def d12(spark: SparkSession, sf: str) -> DataFrame:
     s = vt.statistics(fx.vis(spark, sf).withColumn("amp2", F.col("re") * F.col("re") + F.col("im") * F.col("im")), ["scan", "chan"], "amp2")
     return s.select("scan", "chan", "n", "low", "high", "total", *(r6(F.col(c), 3).alias(c) for c in ("mean", "std", "var", "median", "rms", "q1", "q3")))
@@ -177,6 +208,15 @@ def _dense(spark: SparkSession, sf: str) -> DataFrame:
 _DENSE = "WITH dn AS (SELECT *, abs(re) > 15 AS flag FROM (SELECT ant1, ant2, chan, avg(re) AS re, avg(im) AS im FROM vis GROUP BY 1, 2, 3))"
 
 
+def d16b(spark: SparkSession, sf: str) -> DataFrame:
+    """Order 0: less the mean of the line-free channels."""
+    v = vt.subtract_continuum(fx.vis(spark, sf), ["ant1", "ant2"], (F.col("chan") < 5) | (F.col("chan") > 10), order=0)
+    return v.groupBy("ant1", "chan").agg(r6(F.sum("re"), 3).alias("re"), r6(F.sum("im"), 3).alias("im"))
+
+
+register("d16_continuum_mean", d16b, fx.with_views("WITH f AS (SELECT ant1, ant2, avg(re) AS ar, avg(im) AS ai FROM vis WHERE chan < 5 OR chan > 10 GROUP BY 1, 2) SELECT ant1, chan, round(sum(re - coalesce(ar, 0)), 3) + 0.0 AS re, round(sum(im - coalesce(ai, 0)), 3) + 0.0 AS im FROM vis LEFT JOIN f USING (ant1, ant2) GROUP BY 1, 2", "vis"))
+
+
 def d17(spark: SparkSession, sf: str) -> DataFrame:
     return vt.hanning(_dense(spark, sf), ["ant1", "ant2"]).select("ant1", "ant2", "chan", r6(F.col("re"), 5).alias("re"), r6(F.col("im"), 5).alias("im"), "flag")
 
@@ -202,11 +242,11 @@ register("d19_sort", d19, fx.with_views("SELECT frame_id, t_us, pol FROM frames
 
 def d20(spark: SparkSession, sf: str) -> DataFrame:
     part = lambda s: fx.vis(spark, sf).where(F.col("scan") == s).withColumn("weight", F.lit(1.0))
-    both = vt.concatenate([(part("A"), 1.0), (part("N"), 0.5)], "weight")
+    both = vt.concatenate([(part("A"), 1.0), (part("N"), 0.5), (part("R"), 0.25)], "weight")
     return both.groupBy("ant1").agg(F.sum("weight").alias("weight"), F.count("*").alias("n"))
 
 
-register("d20_concatenate", d20, fx.with_views("SELECT ant1, sum(CASE scan WHEN 'A' THEN 1.0 ELSE 0.5 END)::DOUBLE AS weight, count(*) AS n FROM vis WHERE scan IN ('A', 'N') GROUP BY 1", "vis"))
+register("d20_concatenate", d20, fx.with_views("SELECT ant1, sum(CASE scan WHEN 'A' THEN 1.0 WHEN 'N' THEN 0.5 ELSE 0.25 END)::DOUBLE AS weight, count(*) AS n FROM vis GROUP BY 1", "vis"))
 
 
 def d20b(spark: SparkSession, sf: str) -> DataFrame:
@@ -234,10 +274,10 @@ register("d22_column_calculation", d22, "SELECT vec_id, round(list_avg(list_tran
 
 
 def d23(spark: SparkSession, sf: str) -> DataFrame:
-    return vt.cube(fx.vis(spark, sf).where("ant1 < 12"), [0, 1, 2, 3], "chan", "re").select("ant1", "ant2", *(r6(F.col(str(k)), 5).alias(f"t{k}") for k in range(4)))
+    return vt.cube(fx.vis(spark, sf), list(range(16)), "chan", "re").select("ant1", "ant2", *(r6(F.col(str(k)), 5).alias(f"t{k}") for k in range(16)))
 
 
-register("d23_cube", d23, fx.with_views("SELECT ant1, ant2, " + ", ".join(f"round(coalesce(avg(re) FILTER (chan = {k}), 0), 5) + 0.0 AS t{k}" for k in range(4)) + " FROM vis WHERE ant1 < 12 GROUP BY 1, 2", "vis"))
+register("d23_cube", d23, fx.with_views("SELECT ant1, ant2, " + ", ".join(f"round(coalesce(avg(re) FILTER (chan = {k}), 0), 5) + 0.0 AS t{k}" for k in range(16)) + " FROM vis GROUP BY 1, 2", "vis"))
 
 
 def d24(spark: SparkSession, sf: str) -> DataFrame:
@@ -308,8 +348,8 @@ _UV = f"WITH uv AS (SELECT chan AS image_key, be * ((chan * 25e6 + 4e8) / {SPEED
 _GRID = """, s AS (SELECT image_key, abs(u) / 20.0 AS gu, CASE WHEN u < 0 THEN -v ELSE v END / 20.0 AS gv, re, CASE WHEN u < 0 THEN -im ELSE im END AS im FROM uv),
 b AS (SELECT * FROM s UNION ALL SELECT image_key, -gu, -gv, re, -im FROM s WHERE gu < 3), o AS (SELECT range - 3 AS o FROM range(8)),
 c AS (SELECT image_key, floor(gu) + o1.o AS iu, floor(gv) + o2.o AS iv, gu, gv, re, im FROM b, o o1, o o2 WHERE floor(gu) + o1.o >= 0),
-w AS (SELECT *, exp(-0.5 * du * du) * exp(-0.5 * dv * dv) AS w FROM (SELECT *, trunc(abs(iu - gu)) AS du, trunc(abs(iv - gv)) AS dv FROM c) WHERE du < 3 AND dv < 3),
-g AS (SELECT image_key, iu::BIGINT AS iu, iv::BIGINT AS iv, sum(w * re) AS re, sum(w * im) AS im, sum(w) AS beam, count(*) AS n FROM w GROUP BY 1, 2, 3)"""
+w AS (SELECT *, {k}[du::INT + 1] * {k}[dv::INT + 1] AS w FROM (SELECT *, trunc(abs(iu - gu)) AS du, trunc(abs(iv - gv)) AS dv FROM c) WHERE du < 3 AND dv < 3),
+g AS (SELECT image_key, iu::BIGINT AS iu, iv::BIGINT AS iv, sum(w * re) AS re, sum(w * im) AS im, sum(w) AS beam, count(*) AS n FROM w GROUP BY 1, 2, 3)""".replace("{k}", "([" + ", ".join(map(repr, im.KERNEL)) + "]::DOUBLE[])")
 
 
 def a06(spark: SparkSession, sf: str) -> DataFrame:
@@ -355,6 +395,19 @@ def a11(spark: SparkSession, sf: str) -> DataFrame:
 register("a11_moments", a11, fx.with_views("WITH p AS (SELECT image_key, x, y, abs(value) + 1 AS v FROM pixels), c AS (SELECT image_key, median(v) AS h, max(v) AS t, sum(x * v) / sum(v) AS cx, sum(y * v) / sum(v) AS cy FROM p GROUP BY 1) SELECT image_key, round(h, 4) + 0.0 AS height, round(t - h, 4) + 0.0 AS amplitude, round(cx, 4) + 0.0 AS cx, round(cy, 4) + 0.0 AS cy, round(sqrt(sum((x - cx) ^ 2 * v) / sum(v)), 4) + 0.0 AS wx, round(sqrt(sum((y - cy) ^ 2 * v) / sum(v)), 4) + 0.0 AS wy FROM p JOIN c USING (image_key) GROUP BY image_key, h, t, cx, cy", "pixels"))
 
 
+def a11b(spark: SparkSession, sf: str) -> DataFrame:
+    """Peaks of each vector's series."""
+    m = im.spectrum_moments(_series(spark, sf), ["image_key"], "i", "value")
+    return m.select("image_key", *(r6(F.col(c).cast("double"), 4).alias(c) for c in ("height", "amplitude", "centre", "width")))
+
+
+_SERIES = "WITH se AS (SELECT image_key, y * 8 + x AS i, value FROM pixels)"
+register("a11_spectrum_moments", a11b, fx.with_views(_SERIES + """, s AS (SELECT image_key, median(value) AS h, avg(value) AS mu, min(value) AS lo, max(value) AS hi, sum(value) AS t, count(*) AS n, (max(i) - min(i)) / (count(*) - 1) AS dx, first(i ORDER BY value DESC, i) AS at_hi, first(i ORDER BY value, i) AS at_lo FROM se GROUP BY 1),
+m AS (SELECT image_key, h, lo, hi, t, n, dx, at_hi, at_lo, stddev_pop(i) FILTER (value > mu) AS sh, stddev_pop(i) FILTER (value < mu) AS sl, sum(CASE WHEN value > h THEN value ELSE 0 END) AS above, sum(CASE WHEN value < h THEN value ELSE 0 END) AS below FROM se JOIN s USING (image_key) GROUP BY ALL)
+SELECT image_key, round(h, 4) + 0.0 AS height, round(CASE WHEN sh < sl THEN hi - h ELSE lo - h END, 4) + 0.0 AS amplitude, round(CASE WHEN sh < sl THEN at_hi ELSE at_lo END::DOUBLE, 4) + 0.0 AS centre,
+round(0.5 * abs(CASE WHEN sh < sl THEN (t - h * n - below) * dx / (hi - h) ELSE (t - h * n - above) * dx / (lo - h) END), 4) + 0.0 AS width FROM m""", "pixels"))
+
+
 def a15(spark: SparkSession, sf: str) -> DataFrame:
     return im.stretch(fx.pixels(spark, sf), 0.01).select("image_key", "x", "y", r6(F.col("value"), 5).alias("value"))
 
@@ -366,7 +419,6 @@ def _series(spark: SparkSession, sf: str) -> DataFrame:
     return fx.pixels(spark, sf).select("image_key", (F.col("y") * 8 + F.col("x")).alias("i"), "value")
 
 
-_SERIES = "WITH se AS (SELECT image_key, y * 8 + x AS i, value FROM pixels)"
 
 
 def w05(spark: SparkSession, sf: str) -> DataFrame:
@@ -395,8 +447,7 @@ register("w07_rescale", w07, fx.with_views(_SERIES + " SELECT image_key, i, roun
 
 def i02(spark: SparkSession, sf: str) -> DataFrame:
     """Exact brightness on an 8 x 8 list of directions."""
-    side = spark.range(64).select((F.col("id") % 8).cast("int").alias("x"), F.floor(F.col("id") / 8).cast("int").alias("y"))
-    at = side.select("x", "y", ((F.col("x") - 4) * 0.0005).alias("l"), ((F.col("y") - 4) * 0.0005).alias("m"))
+    at = [(k % 8, k // 8, (k % 8 - 4) * 0.0005, (k // 8 - 4) * 0.0005) for k in range(64)]
     return im.direct_map(_uv(spark, sf), at).select("image_key", "x", "y", r6(F.col("value"), 4).alias("value"))
 
 
@@ -404,13 +455,16 @@ register("i02_direct_map", i02, fx.with_views(_UV + " SELECT image_key, x, y, ro
 
 
 def i06(spark: SparkSession, sf: str) -> DataFrame:
+    """The hybrid of two images of one sky: pixels and their smoothed form stand for the two CLEAN images of i06_hybrid_clean."""
     p = fx.pixels(spark, sf)
-    return im.hybrid(p, im.box_smooth(p, 3, 3.0), 3.5, 3.0).select("image_key", "x", "y", r6(F.col("value"), 4).alias("value"))
+    return im.hybrid(p, im.box_smooth(p, 3, 3.0), 3.5, 3.0).select("image_key", "x", "y", r6(F.col("value") * 0.7310585, 4).alias("value"))
 
 
 register("i06_hybrid", i06, fx.with_views("""WITH r AS (SELECT image_key, x, y, sum(value) OVER (PARTITION BY image_key, y ORDER BY x ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) / 3.0 AS v FROM pixels), b AS (SELECT image_key, x, y, sum(v) OVER (PARTITION BY image_key, x ORDER BY y ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) / 3.0 AS v FROM r),
-ua AS (SELECT image_key, x, y, (value - min(value) OVER k) / CASE WHEN max(value) OVER k > min(value) OVER k THEN max(value) OVER k - min(value) OVER k ELSE 1 END AS a FROM pixels WINDOW k AS (PARTITION BY image_key)), ub AS (SELECT image_key, x, y, (v - min(v) OVER k) / CASE WHEN max(v) OVER k > min(v) OVER k THEN max(v) OVER k - min(v) OVER k ELSE 1 END AS b FROM b WINDOW k AS (PARTITION BY image_key))
-SELECT image_key, x, y, round(CASE WHEN (x - 3.5) ^ 2 + (y - 3.5) ^ 2 <= 3.6 ^ 2 THEN (a + b) / 2 ELSE 0.0 END, 4) + 0.0 AS value FROM ua JOIN ub USING (image_key, x, y)""", "pixels"))
+ua AS (SELECT image_key, x, y, (value - lo) / CASE WHEN hi > 0 THEN hi ELSE 1 END AS a, hi AS peak FROM (SELECT *, least(min(value) OVER k, 0) AS lo, max(value) OVER k - least(min(value) OVER k, 0) AS hi FROM pixels WINDOW k AS (PARTITION BY image_key))),
+ub AS (SELECT image_key, x, y, (v - lo) / CASE WHEN hi > 0 THEN hi ELSE 1 END AS b FROM (SELECT *, least(min(v) OVER k, 0) AS lo, max(v) OVER k - least(min(v) OVER k, 0) AS hi FROM b WINDOW k AS (PARTITION BY image_key))),
+m AS (SELECT image_key, x, y, (x - 3.5) ^ 2 + (y - 3.5) ^ 2 AS far, peak * 0.15::DOUBLE AS back, (a + b) / 2 * peak + CASE WHEN (x - 3.5) ^ 2 + (y - 3.5) ^ 2 <= 9 THEN peak * 0.15::DOUBLE ELSE 0 END AS v FROM ua JOIN ub USING (image_key, x, y))
+SELECT image_key, x, y, round(CASE WHEN far > 12.96 THEN 0.0 WHEN far > 9 AND v < 0.9 * back THEN 0.0 ELSE v END * 0.7310585::DOUBLE, 4) + 0.0 AS value FROM m""", "pixels"))
 
 
 def i08(spark: SparkSession, sf: str) -> DataFrame:
@@ -464,9 +518,9 @@ def _geometry(pdf) -> tuple[int, float]:
     return 256 if hz < 800e6 else 512 if hz < 1200e6 else 1024, SPEED / hz / 3000.0 / 3
 
 
-def _image(pdf) -> tuple:
+def _image(pdf, uniform: bool = False) -> tuple:
     a = pdf[["u", "v", "re", "im"]].to_numpy()
-    return im.dirty_image(a[:, 0], a[:, 1], a[:, 2], a[:, 3], *_geometry(pdf))
+    return im.dirty_image(a[:, 0], a[:, 1], a[:, 2], a[:, 3], *_geometry(pdf), uniform=uniform)
 
 
 def i01(spark: SparkSession, sf: str) -> DataFrame:
@@ -494,8 +548,42 @@ def i05(spark: SparkSession, sf: str) -> DataFrame:
     return im.as_pixels(im.per_image(_uv(spark, sf), clean))
 
 
+def i06b(spark: SparkSession, sf: str) -> DataFrame:
+    """Hybrid of both CLEAN images of each channel: points from uniform weights, extended sources from natural ones."""
+    uv = _uv(spark, sf)
+
+    def points(pdf):
+        image, beam = _image(pdf, uniform=True)
+        return im.restore(*im.hogbom(image, beam), im.fit_beam(beam))
+
+    def extended(pdf):
+        image, beam = _image(pdf)
+        rest, model = im.steer(image, beam)
+        return rest + im.convolve(model, im.fit_beam(beam))
+
+    pixels = [im.as_pixels(im.per_image(uv, make)) for make in (points, extended)]
+    return im.hybrid(*pixels, 128.0, 60.0)
+
+
+def i01b(spark: SparkSession, sf: str) -> DataFrame:
+    """Places and depths: the four highest CLEAN components of each channel's image, as whole pixels and rounded flux."""
+
+    def parts(pdf):
+        import numpy as np
+
+        found: dict = {}
+        for y, x, flux in im.hogbom(*_image(pdf))[1]:
+            found[y, x] = found.get((y, x), 0.0) + flux
+        top = sorted(found.items(), key=lambda f: (-abs(f[1]), f[0]))[:4]
+        return np.array([[k, y, x, round(flux, 4)] for k, ((y, x), flux) in enumerate(top)])
+
+    d = im.per_image(_uv(spark, sf), parts).select("image_key", F.explode(F.sequence(F.lit(0), F.floor(F.size("data") / 4).cast("int") - 1)).alias("k"), "data")
+    at = lambda i: F.get("data", F.col("k") * 4 + i)
+    return d.select("image_key", "k", at(1).cast("int").alias("y"), at(2).cast("int").alias("x"), F.round(at(3).cast("double"), 4).alias("flux"))
+
+
 def i07(spark: SparkSession, sf: str) -> DataFrame:
-    """Offset of the disk in each cleaned image, as two numbers."""
+    """Offset of the disk in each dirty image, as two numbers."""
     return im.per_image(_uv(spark, sf), lambda pdf: _offset(pdf)).select("image_key", F.get("data", F.lit(0)).alias("dx"), F.get("data", F.lit(1)).alias("dy"))
 
 
@@ -517,7 +605,7 @@ def i13(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def i14(spark: SparkSession, sf: str) -> DataFrame:
-    """CLEAN images of every band, polarization and channel of the first integration, and their peaks."""
+    """CLEAN images of every band, polarization and channel, of the means over all frames, and their peaks."""
     b = fx.baselines(spark, sf).select("bl", "be", "bn")
     v = _banded(spark, sf).groupBy("sub_band", "pol", "chan", "bl").agg(F.avg("re").alias("re"), F.avg("im").alias("im")).join(F.broadcast(b), "bl")
     hz = (F.col("sub_band") + 1) * 4e8 + F.col("chan") * 25e6
@@ -538,5 +626,5 @@ def i14(spark: SparkSession, sf: str) -> DataFrame:
     return im.per_image(uv, peaks).select("image_key", d[0].cast("double").alias("high"), d[1].cast("double").alias("low"), d[2].cast("int").alias("x"), d[3].cast("int").alias("y"))
 
 
-for _name, _run in {"i01_dirty_image": i01, "i03_clean_beam": i03, "i04_hogbom": i04, "i05_steer": i05, "i07_disk_offset": i07, "i13_refine_peaks": i13, "i14_batch_clean": i14}.items():
+for _name, _run in {"i01_dirty_image": i01, "i03_clean_beam": i03, "i04_hogbom": i04, "i05_steer": i05, "i06_hybrid_clean": i06b, "i04_hogbom_components": i01b, "i07_disk_offset": i07, "i13_refine_peaks": i13, "i14_batch_clean": i14}.items():
     register(_name, _run)
