@@ -4,7 +4,7 @@ Loggers often store a conversation again after every turn, so that a conversatio
 ones. Turn i of a conversation gets a digest of its place, role and text, and the running sum of digests
 is the hash of the first i turns (four lanes of 31 bits, so equal hashes mean equal prefixes). Conversations
 whose whole hash is the hash of a proper prefix of another one, or the whole hash of another one of smaller
-id, are dropped by anti-joins; what stays is rendered.
+id, are dropped by anti-joins; what stays is rendered. The hashes are written once and read by both joins.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .shared import new_dir, store
+
 LANES = 4
 _MASK = (1 << 31) - 1
 START, END = "<|turn|>", "<|end|>"
@@ -37,9 +39,8 @@ def prefix_hashes(turns: DataFrame) -> DataFrame:
 def collapse(turns: DataFrame) -> DataFrame:
     """conv_id, n_turns of the maximal conversations: no other conversation continues or, with a smaller id, repeats them."""
     keys = ["place", *(f"p{i}" for i in range(LANES))]
-    prefixes = prefix_hashes(turns).select("conv_id", *keys)
-    size = W.partitionBy("conv_id")
-    prefixes = prefixes.withColumn("n", F.max("place").over(size))
+    prefixes = prefix_hashes(turns).withColumn("n", F.max("place").over(W.partitionBy("conv_id"))).select("conv_id", *keys, "n")
+    prefixes = store(prefixes, new_dir(turns.sparkSession, "chats"), "prefixes")
     whole = prefixes.where("place = n").drop("n")
     continued = prefixes.where("place < n").select(*keys).distinct()
     first = whole.groupBy(*keys).agg(F.min("conv_id").alias("conv_id"))
