@@ -163,6 +163,12 @@ _BLOCK_SCHEMA = pa.schema(
 )
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Blocks one at a time: they are large."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 def write_tokens(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """Encode docs (doc_id, text) and write the blocks; returns them as read from the file.
 
@@ -186,7 +192,7 @@ def read_documents(blocks: DataFrame, with_ids: bool = True) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 dac = Dac(*(row[x] for x in ("widths", "sizes", "chunks", "bitmaps", "ranks")))
                 ends = np.frombuffer(row["ends"], "<i8")
                 docs = np.frombuffer(row["doc_ids"], "<i8")
@@ -206,17 +212,19 @@ def read_documents(blocks: DataFrame, with_ids: bool = True) -> DataFrame:
 def tokens_at(spark: SparkSession, blocks: DataFrame, positions: DataFrame) -> DataFrame:
     """position, token: random access by place in the whole file, for positions (position long).
 
-    Each position finds its block by a range join and its id by look-ups in that block; positions outside
-    the file give no row, repeated positions repeated rows.
+    Each position finds its block by an equi-join over stretches of `BLOCK` ids, of which a block touches a few, and its
+    id by look-ups in that block; positions outside the file give no row, repeated positions repeated rows.
     """
     placed = blocks.join(_first_tokens(blocks), "part").withColumn("lo", F.col("first_token") + F.col("before"))
-    near = placed.select("lo", "n_tokens").join(positions.select("position"), (F.col("position") >= F.col("lo")) & (F.col("position") < F.col("lo") + F.col("n_tokens")))
+    last = F.col("lo") + F.col("n_tokens") - 1
+    touched = placed.select("lo", "n_tokens", F.explode(F.sequence(F.floor(F.col("lo") / BLOCK), F.floor(last / BLOCK))).alias("stretch"))
+    near = positions.select("position", F.floor(F.col("position") / BLOCK).alias("stretch")).join(touched, "stretch").where((F.col("position") >= F.col("lo")) & (F.col("position") <= last))
     asked = near.groupBy("lo", F.floor(F.rand(7) * 64).alias("salt")).agg(F.collect_list("position").alias("positions"))
     both = asked.join(placed, "lo").select("lo", "positions", "widths", "sizes", "chunks", "bitmaps", "ranks")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 dac = Dac(*(row[x] for x in ("widths", "sizes", "chunks", "bitmaps", "ranks")))
                 at = np.array(row["positions"], np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(dac.access(at - row["lo"]).astype(np.int64))], names=["position", "token"])
