@@ -26,8 +26,11 @@ LATIN = "\u024f"
 
 
 class Encoder:
-    """Ids as little-endian unsigned 32-bit integers, or 16-bit where the vocabulary allows it."""
+    """Ids as little-endian unsigned 32-bit integers, or 16-bit where the vocabulary allows it.
 
+    A tokenizer that joins words over white space, keeps case or reads letters otherwise is refused: it would give
+    whole texts other ids than their parts.
+    """
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
@@ -38,6 +41,9 @@ class Encoder:
         rest = (b for b in range(256) if chr(b) not in letters)
         self.letters = {b: chr(256 + i) for i, b in enumerate(rest)} | {b: chr(b) for b in kept}
         self.marks = {m: self._call([m.decode()])[0] for m in (b".", b",")}
+        probe = "Ab cd, EF. Gh\n\tij  12 k.l na\u00efve \u00dcnder, x. \u0160kola don't 3.5% the-end ("
+        if self.encode([probe.encode()])[0].tolist() != self.tokenizer.encode(probe, add_special_tokens=False).ids:
+            raise ValueError(f"the parts of a text don't have its ids by {path}")
 
     def _call(self, words: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch(words, add_special_tokens=False)
