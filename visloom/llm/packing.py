@@ -61,8 +61,8 @@ def cutting_stock(sizes: np.ndarray, demand: np.ndarray, room: int = UNITS, roun
     m = len(sizes)
     basis = np.diag(np.floor(room / sizes))
     cost = np.ones(m)
-    inverse = np.linalg.inv(basis)
-    for n in range(rounds):
+    inverse, age = np.linalg.inv(basis), 0
+    for _ in range(rounds):
         level, dual = inverse @ demand, cost @ inverse
         low = int(dual.argmin())
         if dual[low] < -1e-9:
@@ -71,19 +71,25 @@ def cutting_stock(sizes: np.ndarray, demand: np.ndarray, room: int = UNITS, roun
             worth, column = best_pattern(sizes, dual, room)
             c = 1.0
             if worth <= 1 + 1e-9:
-                break
+                if not age:
+                    break
+                inverse, age = np.linalg.inv(basis), 0  # rounding in the updates may feign the end
+                continue
         step = inverse @ column
-        ratio = np.where(step > 1e-10, np.maximum(level, 0) / np.where(step > 1e-10, step, 1), np.inf)
-        out = int(ratio.argmin())
-        if not np.isfinite(ratio[out]):
+        ratio = np.where(step > 1e-9, np.maximum(level, 0) / np.where(step > 1e-9, step, 1), np.inf)
+        least = ratio.min()
+        if not np.isfinite(least):
             break
+        # Of equal ratios the largest step keeps the basis far from singular.
+        out = int(np.where(ratio <= least + 1e-9, step, -np.inf).argmax())
         basis[:, out], cost[out] = column, c
-        if n % 50 == 49:
-            inverse = np.linalg.inv(basis)
+        if age == 49:
+            inverse, age = np.linalg.inv(basis), 0
         else:
             row = inverse[out] / step[out]
             inverse = inverse - np.outer(step, row)
             inverse[out] = row
+            age += 1
     level = np.linalg.inv(basis) @ demand
     return [(basis[:, i].copy(), float(level[i])) for i in range(m) if cost[i] and level[i] > 1e-9]
 
