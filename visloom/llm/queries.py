@@ -55,6 +55,7 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def packed_pieces(docs: DataFrame) -> DataFrame:
+    """A row a piece of each row of docs (doc_id, text), without the ids but with their crc32; nulls and repeats as in `pack`."""
     packed = pack(docs, TOKENIZER, end_id=2)
     digests = packed.pieces.select("part", "pos", F.crc32("ids").alias("ids_crc32"))
     return packed.placements.join(digests, ["part", "pos"]).drop("part", "pos")

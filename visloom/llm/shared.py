@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -28,7 +30,9 @@ def base_dir(spark: SparkSession) -> str:
     if named:
         return named.rstrip("/")
     if not _own:
-        _own.append("file://" + tempfile.mkdtemp(prefix="visloom-"))
+        own = tempfile.mkdtemp(prefix="visloom-")
+        atexit.register(shutil.rmtree, own, True)
+        _own.append("file://" + own)
     return _own[0]
 
 
