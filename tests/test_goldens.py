@@ -391,3 +391,23 @@ def test_spectrum_moments(spark):
         sign = 1 if r["k"] == 0 else -1
         assert (r["height"], r["amplitude"], r["centre"]) == pytest.approx((sign * 5, sign * 10, 22), abs=0.05)
         assert r["width"] == pytest.approx(0.5 * np.sqrt(2 * np.pi) * 3, rel=0.1)
+
+
+def test_visibility_files(spark, tmp_path):
+    """Groups come back from a file; old and wide baseline ids, files of another kind, one cut short."""
+    from visloom.sources import uvfiles
+
+    rng = np.random.default_rng(8)
+    data = rng.integers(-1000, 1000, (5, 6)) / 8.0
+    p = {"UU": np.arange(5) / 4, "VV": -np.arange(5) / 8, "WW": np.zeros(5), "BASELINE": np.array([258.0, 40 * 256 + 41, 65536 + 2048 * 3 + 300, 257.0, 513.0]), "DATE": 2457388.5 + np.arange(5) / 16, "FREQSEL": np.full(5, 3.0)}
+    whole = uvfiles.encode(p, data)
+    (tmp_path / "a.uvfits").write_bytes(whole)
+    (tmp_path / "b.txt").write_bytes(b"SIMPLE  = T")
+    (tmp_path / "c.cut").write_bytes(whole[: uvfiles.cards(whole)[1] + 4 * 13 * 2 + 7])
+    files = spark.read.format("binaryFile").load(str(tmp_path)).select(F.regexp_extract("path", "[^/]*$", 0).alias("path"), "content")
+    rows = uvfiles.read_groups(files).orderBy("path", "row").collect()
+    assert [(r["path"], r["row"]) for r in rows] == [("a.uvfits", i) for i in range(5)] + [("c.cut", i) for i in range(2)]
+    assert [(r["ant1"], r["ant2"]) for r in rows[:5]] == [(1, 2), (40, 41), (3, 300), (1, 1), (2, 1)]
+    assert [r["data"] for r in rows[:5]] == data.tolist()
+    assert [r["date"] for r in rows[:5]] == p["DATE"].tolist() and [r["uu"] for r in rows[:5]] == p["UU"].tolist()
+    assert (rows[0]["source"], rows[0]["freqid"], rows[0]["inttim"]) == (1, 3, 1.0)

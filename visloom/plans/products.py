@@ -16,6 +16,7 @@ from visloom.registry import register
 from visloom.scratch import new_dir
 from visloom.sources import rawframes as raw
 from visloom.sources import tables as tb
+from visloom.sources import uvfiles
 from visloom.streaming import frames as st
 
 
@@ -248,11 +249,28 @@ register("s15_image_product", s15, fx.with_views("SELECT image_key, 8 AS n, CASE
 
 
 def s16(spark: SparkSession, sf: str) -> DataFrame:
-    e = fx.table(spark, sf, "embeddings").select(F.col("vec_id").alias("row"), (F.col("vec_id") % 780).alias("baseline"), F.transform("embedding", lambda x: F.round(x.cast("double"), 4)).alias("data"))
-    return tb.flux_rows(e).select("row", "baseline", F.size("flux").alias("n"), r6(F.aggregate("flux", F.lit(0.0), lambda s, x: s + x), 4).alias("total"))
+    """Files of random groups, one of each hundred vectors, read again: a vector is a group's data, without what is no whole triple."""
 
+    def files(batches):
+        import numpy as np
 
-register("s16_flux_rows", s16, "SELECT vec_id AS row, vec_id % 780 AS baseline, 2 * (len(embedding) // 3) AS n, round((SELECT sum(round(embedding[i * 3 + 1]::DOUBLE, 4) + round(embedding[i * 3 + 2]::DOUBLE, 4)) FROM (SELECT range AS i FROM range(21))), 4) + 0.0 AS total FROM embeddings")
+        for batch in batches:
+            out = []
+            for key, some in batch.groupby("file"):
+                data = np.stack([np.round(np.asarray(x, float), 4)[: len(x) // 3 * 3] for x in some["embedding"]])
+                n = some["vec_id"].to_numpy()
+                p = {"UU": n * 0.5, "VV": n * -0.25, "WW": n * 0.0, "BASELINE": 256.0 * (n % 40 + 1) + n % 19 + 41, "SOURCE": n % 3 + 1.0, "DATE": 2457000.5 + n / 64.0}
+                out.append((f"file-{key}", uvfiles.encode(p, data)))
+            yield pd.DataFrame(out, columns=["path", "content"])
+
+    e = fx.table(spark, sf, "embeddings").select("vec_id", "embedding", F.floor(F.col("vec_id") / 100).alias("file"))
+    groups = uvfiles.read_groups(e.repartition("file").sortWithinPartitions("file", "vec_id").mapInPandas(files, "path string, content binary"))
+    rows = tb.flux_rows(groups.withColumn("row", F.concat_ws(" ", "path", F.col("baseline").cast("string"), F.col("date").cast("string"))), ["source", "freqid", "inttim", "date", "ant1", "ant2", "uu"])
+    total = r6(F.aggregate("flux", F.lit(0.0), lambda s, x: s + x), 4)
+    return rows.select("baseline", "ant1", "ant2", "source", "freqid", r6(F.col("date") - 2457000.5).alias("day"), "uu", F.size("flux").alias("n"), total.alias("total"))
+
+
+register("s16_flux_rows", s16, "SELECT (256 * (vec_id % 40 + 1) + vec_id % 19 + 41)::INT AS baseline, (vec_id % 40 + 1)::INT AS ant1, (vec_id % 19 + 41)::INT AS ant2, (vec_id % 3 + 1)::INT AS source, 1 AS freqid, round(vec_id / 64.0::DOUBLE, 6) + 0.0 AS day, vec_id * 0.5::DOUBLE AS uu, 2 * (len(embedding) // 3)::INT AS n, round((SELECT sum(round(embedding[i * 3 + 1]::DOUBLE, 4) + round(embedding[i * 3 + 2]::DOUBLE, 4)) FROM (SELECT range AS i FROM range(21))), 4) + 0.0 AS total FROM embeddings")
 
 
 def s17(spark: SparkSession, sf: str) -> DataFrame:

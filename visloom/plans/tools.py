@@ -477,15 +477,11 @@ register("i08_radial_model", i08, fx.with_views("WITH p AS (SELECT image_key, x,
 
 
 def i09(spark: SparkSession, sf: str) -> DataFrame:
-    return im.rotate_image(fx.pixels(spark, sf), 90.0, 8)
-
-
-def i09b(spark: SparkSession, sf: str) -> DataFrame:
     return im.rotate_image(fx.pixels(spark, sf), 30.0, 8)
 
 
 _ROT = "WITH t AS (SELECT image_key, x, y, floor({c}::DOUBLE * (x - 4.0::DOUBLE) - {s}::DOUBLE * (y - 4.0::DOUBLE) + 4.0::DOUBLE)::INT AS sx, floor({s}::DOUBLE * (x - 4.0::DOUBLE) + {c}::DOUBLE * (y - 4.0::DOUBLE) + 4.0::DOUBLE)::INT AS sy FROM pixels) SELECT t.image_key, t.x, t.y, coalesce(p.value, 0.0) AS value FROM t LEFT JOIN pixels p ON p.image_key = t.image_key AND p.x = sx AND p.y = sy"
-register("i09_rotate", i09b, fx.with_views(_ROT.format(c=repr(0.8660254037844387), s=repr(0.49999999999999994)), "pixels"))
+register("i09_rotate", i09, fx.with_views(_ROT.format(c=repr(0.8660254037844387), s=repr(0.49999999999999994)), "pixels"))
 
 
 def i10(spark: SparkSession, sf: str) -> DataFrame:

@@ -169,11 +169,15 @@ def image_product(images: DataFrame, keywords: dict[str, Column]) -> DataFrame:
     return images.select("*", F.struct(*(v.alias(k) for k, v in keywords.items())).alias("header"))
 
 
-def flux_rows(rows: DataFrame) -> DataFrame:
-    """Rows of a visibility file (baseline, data array of re, im, weight by channel) as FLUX arrays without weights."""
+def flux_rows(rows: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Rows of a visibility file (baseline, data array of re, im, weight by channel) as FLUX arrays without weights.
+
+    keep names columns of the file that stay; integration time, frequency and source are 1 unless they are among them.
+    """
     n = F.floor(F.size("data") / 3).cast("int")
     flux = F.flatten(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.slice("data", i * 3 + 1, 2)))
-    return rows.select("row", "baseline", flux.alias("flux"), F.lit(1.0).alias("inttim"), F.lit(1).alias("freqid"), F.lit(1).alias("source"))
+    same = {"inttim": F.lit(1.0), "freqid": F.lit(1), "source": F.lit(1)}
+    return rows.select("row", "baseline", flux.alias("flux"), *(keep or []), *(v.alias(k) for k, v in same.items() if k not in (keep or [])))
 
 
 def fixed_width_stars(lines: DataFrame) -> DataFrame:
