@@ -73,6 +73,36 @@ def test_leap_seconds(spark):
     assert one(spark, timescale.tt_micros(F.lit("2000-01-01 12:00:00").cast("timestamp_ntz")))[0] == 946728000_000_000 + 64_184_000
 
 
+def utc(spark, day, seconds, places):
+    """Text of seconds in a day, by way of atomic time."""
+    rows = spark.createDataFrame([(round(x * 1e6),) for x in seconds], "us long")
+    tai = timescale.tai_of_day(F.lit(day).cast("date"), F.col("us"))
+    return [r["t"] for r in rows.orderBy("us").select(timescale.utc_iso(tai, places).alias("t")).collect()]
+
+
+@pytest.mark.parametrize(
+    ("day", "second", "texts"),
+    [
+        ("1915-12-02", 3 * 3600 + 4 * 60 + 5.6786786, ("1915-12-02T03:04:06Z", "1915-12-02T03:04:05.7Z", "1915-12-02T03:04:05.68Z", "1915-12-02T03:04:05.679Z", "1915-12-02T03:04:05.6787Z")),
+        ("2014-12-21", 6 * 3600 + 3 * 60 + 1.234234, ("2014-12-21T06:03:01Z", "2014-12-21T06:03:01.2Z", "2014-12-21T06:03:01.23Z", "2014-12-21T06:03:01.234Z", "2014-12-21T06:03:01.2342Z")),
+        ("1973-12-31", 86400.12349, ("1973-12-31T23:59:60Z", "1973-12-31T23:59:60.1Z", "1973-12-31T23:59:60.12Z", "1973-12-31T23:59:60.123Z", "1973-12-31T23:59:60.1235Z")),
+    ],
+)
+def test_universal_time_as_text(spark, day, second, texts):
+    for places, text in enumerate(texts):
+        assert utc(spark, day, [second], places) == [text]
+
+
+def test_universal_time_over_a_leap_second(spark):
+    at = 86340 + np.arange(58.75, 63.1, 0.5)
+    whole = ["23:59:59", "23:59:59", "23:59:60", "23:59:60", "00:00:00", "00:00:00", "00:00:01", "00:00:01", "00:00:02"]
+    assert [x[11:19] for x in utc(spark, "1973-12-31", at, 0)] == whole
+    parts = ["23:59:58.75", "23:59:59.25", "23:59:59.75", "23:59:60.25", "23:59:60.75", "00:00:00.25", "00:00:00.75", "00:00:01.25", "00:00:01.75"]
+    assert [x[11:22] for x in utc(spark, "1973-12-31", at, 2)] == parts
+    # Atomic time reaches the first moment of 1974 twelve seconds before universal time does.
+    assert one(spark, timescale.tai_of_day(F.lit("1973-12-31").cast("date"), F.lit((86400 - 12) * 10**6)))[0] == 1461 * 86400 * 10**6
+
+
 def test_chebyshev_of_many_coefficients(spark):
     c = np.zeros(1501)
     c[1500] = 1.0

@@ -115,6 +115,29 @@ def tt_micros(utc: Column) -> Column:
     return micros(utc) + tai_minus_utc(utc) * 1_000_000 + 32_184_000
 
 
+def tai_of_day(day: Column, micros_of_day: Column) -> Column:
+    """Microseconds since 1970 of atomic time, of a date and microseconds in it; a leap second's are beyond 86400 s. Before 1972 ten seconds hold."""
+    leap = F.coalesce(tai_minus_utc(day.cast("timestamp_ntz")), F.lit(FIRST_LEAP))
+    return F.datediff(day, F.lit("1970-01-01").cast("date")).cast("long") * 86_400_000_000 + micros_of_day + leap * 1_000_000
+
+
+def utc_iso(tai: Column, places: int = 0) -> Column:
+    """ISO text of universal time at microseconds of atomic time, rounded to so many places of a second; a leap second is second 60."""
+    unit = 10 ** (6 - places)
+    t = F.floor((tai + unit // 2) / unit) * unit
+    # When each count of leap seconds begins.
+    starts = F.array(*((F.unix_date(F.lit(d).cast("date")).cast("long") * 86_400 + i) * 1_000_000 for i, d in enumerate(LEAP_DAYS, FIRST_LEAP)))
+    n = F.size(F.filter(starts, lambda s: s <= t))
+    leap = FIRST_LEAP - 1 + F.greatest(n, F.lit(1))
+    inserted = F.coalesce((n > 0) & (t >= F.get(starts, n) - 1_000_000), F.lit(False))
+    utc = t - (leap + inserted.cast("int")) * 1_000_000
+    s = F.pmod(F.floor(utc / 1_000_000), F.lit(86_400))
+    day = F.date_format(F.date_add(F.lit("1970-01-01").cast("date"), F.floor(utc / 86_400_000_000).cast("int")), "yyyy-MM-dd")
+    clock = F.format_string("T%02d:%02d:%02d", F.floor(s / 3600), F.floor(s / 60) % 60, s % 60 + inserted.cast("int"))
+    part = F.concat(F.lit("."), F.lpad((F.pmod(t, F.lit(1_000_000)) / unit).cast("long").cast("string"), places, "0")) if places else F.lit("")
+    return F.concat(day, clock, part, F.lit("Z"))
+
+
 def tdb_minus_tt(jd_tt: Column) -> Column:
     """Seconds of the periodic terms between the two dynamical times."""
     t = (jd_tt - J2000) / 36525.0
