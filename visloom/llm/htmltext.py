@@ -11,7 +11,8 @@ a wrapper is as large as its host's template, whatever the number of pages.
 
 The wrapper decides what is main text: the region is the smallest element around all slots that are in no
 article or main element; article and main elements are places of their own; constants in either are none (headings
-are, and articles that are the same on all pages), as long as slots hold `SLOTS` of the text. Elements of menus, footers, forms and the like are
+are, paragraphs of an article, and articles that are the same on all pages), as long as slots hold `SLOTS` of
+the text. Elements of menus, footers, forms and the like are
 out by name. Classes that say the same count unless the wrapper shows that hardly any text stands outside of
 them (`REST`), and never on html, body, main, article or the region. On a page with a main element, text
 outside its main and article elements does not count.
@@ -312,7 +313,9 @@ def _wrap(table: pa.Table) -> pa.Table:
         region = top["path"] if node["bits"] & PAGE else node["path"]
 
     def whole(r: dict) -> bool:
-        """Whether a node lies in an article or main element that is the same on all pages."""
+        """Whether a node is a paragraph or the like of an article or main element, or lies in one that is the same on all pages."""
+        if r["bits"] & INNER and r["up"] in rows and rows[r["up"]]["place"]:
+            return True
         while r["up"] in rows and not r["place"]:
             r = rows[r["up"]]
         return r["place"] > 0 and r["all_same"]
