@@ -9,11 +9,12 @@
    are confirmed on full sets.
 4. In buckets whose nodes are then still in several components, every node outside the largest one is
    compared with all others of the bucket by signature alone, tile by tile of at most `TILE` nodes a side.
-   A tile gives back, for each node, its most similar partners in other components: `FIRST` of them at
-   first, which are confirmed on full sets, and `GROW` times as many in each further round, for as long as
-   some were left out. So what a large group joins early is never compared again, every candidate of
-   what stays apart is confirmed in the end, and neither a bucket nor its pairs ever meet in one task.
-   There is no cap on buckets, partners or candidates.
+   A tile gives back a forest that spans the pairs in reach of the threshold, not the pairs. The forests
+   make clusters of texts that may be linked, and in a cluster every text outside its largest component is
+   compared with all others on full sets, block against block of about `MASS` shingles; a pair of blocks
+   gives back only links that join two components. So what the pivots joined is never compared again,
+   and neither the rows of a bucket or cluster nor their pairs ever meet in one task. There is no cap on
+   buckets, partners or candidates.
 5. Components of the confirmed links; copies take the component of their node.
 
 With 48 bands of 6 rows a pair of similarity 0.8 shares no band with probability 5e-7, one of similarity 0.3
@@ -36,12 +37,12 @@ from .shared import new_dir, store
 from .wordscan import SPACED, mixed, run_at, runs, scan, texts_of
 
 PERMS, BITS, BANDS, ROWS = 288, 4, 48, 6
-#: Six standard deviations of the estimate from `PERMS` four-bit minima at similarity 0.8.
-MARGIN = 0.15
+#: Five standard deviations of the estimate from `PERMS` four-bit minima at similarity 0.8.
+MARGIN = 0.1225
 #: Nodes of a tile's side, and rows of a task's tiles, on average.
 TILE, TASK = 1024, 8192
-#: Partners of a node that a first round confirms, and the factor of further rounds.
-FIRST, GROW = 4, 16
+#: Shingles of a block, and of a task's blocks, on average.
+MASS, LOAD = 1 << 20, 1 << 22
 #: Bits of the filter by which tasks pass over texts whose sets aren't wanted, at most (16 MB); a fuller
 #: filter lets more texts through and changes no result.
 FILTER_BITS = 1 << 27
@@ -190,68 +191,111 @@ def _confirm(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int)
 _ONES = np.uint64(int("1" * 16, 16))
 
 
-def _tiles(percent: int, most: int):
-    """For each node of the first side, its `most` likeliest partners of other components on the other side, and whether it has more."""
+def _split(table: pa.Table, *keys: str) -> Iterator[np.ndarray]:
+    """Rows of each group of equal keys."""
+    cols = np.stack([table.column(k).to_numpy() for k in keys])
+    order = np.lexsort(cols[::-1])
+    cuts = np.flatnonzero((cols[:, order[1:]] != cols[:, order[:-1]]).any(0)) + 1
+    return iter(np.split(order, cuts)) if len(order) else iter(())
+
+
+def _tiles(percent: int):
+    """Edges that span the pairs of nodes, of different components and of different sides of a tile, whose signatures reach the threshold."""
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        col = {x: table.column(x).to_numpy() for x in ("key", "i", "j", "node", "c", "n_shingles", "first")}
+        node, comp, size, first = (table.column(x).to_numpy() for x in ("node", "c", "n_shingles", "first"))
         sigs = np.stack(table.column("sig").to_numpy()).view(np.uint64)
-        order = np.lexsort((col["j"], col["i"], col["key"]))
-        tile = np.stack([col[x][order] for x in ("key", "i", "j")])
-        cuts = np.flatnonzero((tile[:, 1:] != tile[:, :-1]).any(0)) + 1
-        a, b, more = [], [], False
-        for rows in np.split(order, cuts):
-            first = col["first"][rows]
-            left, right = rows[first], rows[~first]
-            n, c, other = col["n_shingles"][right], col["c"][right], sigs[right]
-            for x in left:
-                mine = col["n_shingles"][x]
-                may = np.flatnonzero((c != col["c"][x]) & (np.minimum(n, mine) * 100 >= np.maximum(n, mine) * percent))
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for rows in _split(table, "key", "i", "j"):
+            left, right = rows[first[rows]], rows[~first[rows]]
+            _, label = np.unique(node[np.append(left, right)], return_inverse=True)
+            mine, theirs = label[: len(left)].copy(), label[len(left) :].copy()
+            n, c, other = size[right], comp[right], sigs[right]
+            for k, x in enumerate(left):
+                may = np.flatnonzero((c != comp[x]) & (theirs != mine[k]) & (np.minimum(n, size[x]) * 100 >= np.maximum(n, size[x]) * percent))
                 y = other[may] ^ sigs[x]
                 y |= y >> np.uint64(2)
                 y |= y >> np.uint64(1)
                 differ = np.bitwise_count(y & _ONES).sum(1)
-                near = 1 - differ / PERMS - 2.0**-BITS >= (percent / 100 - MARGIN) * (1 - 2.0**-BITS)
-                may, differ = may[near], differ[near]
-                if len(may) > most:
-                    more = True
-                    may = may[np.lexsort((col["node"][right[may]], differ))[:most]]
-                a.append(np.full(len(may), col["node"][x]))
-                b.append(col["node"][right[may]])
-        a, b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (a, b))
-        ends = np.append(np.stack([np.minimum(a, b), np.maximum(a, b)]), [[0], [0]], axis=1) if more else np.stack([np.minimum(a, b), np.maximum(a, b)])
-        return pa.table({"a": ends[0], "b": ends[1], "more": np.arange(ends.shape[1]) >= len(a)})
+                near = may[1 - differ / PERMS - 2.0**-BITS >= (percent / 100 - MARGIN) * (1 - 2.0**-BITS)]
+                if len(near):
+                    joined, at = np.unique(theirs[near], return_index=True)
+                    a.append(np.full(len(at), node[x]))
+                    b.append(node[right[near[at]]])
+                    theirs[np.isin(theirs, joined)] = mine[k]
+                    mine[np.isin(mine, joined)] = mine[k]
+        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
 
     return run
 
 
+def _blocks(percent: int):
+    """Links of the first block's texts with those of the second, on full sets, only such as join two components."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        node, comp, first = (table.column(x).to_numpy() for x in ("node", "c", "first"))
+        lists = table.column("shingles").chunk(0)
+        at, h = np.asarray(lists.offsets), lists.values.to_numpy()
+        n = np.diff(at)
+        a, b = [], []
+        for rows in _split(table, "cluster", "i", "j"):
+            second = rows[~first[rows]]
+            own = np.repeat(np.arange(len(second)), n[second])
+            posted = np.concatenate([h[:0], *(h[at[i] : at[i + 1]] for i in second)])
+            order = np.argsort(posted, kind="stable")
+            posted, own = posted[order], own[order]
+            parent = {int(c): int(c) for c in comp[rows]}
+
+            def top(c: int, parent: dict[int, int] = parent) -> int:
+                while parent[c] != c:
+                    parent[c] = c = parent[parent[c]]
+                return c
+
+            for i in rows[first[rows]]:
+                mine = h[at[i] : at[i + 1]]
+                lo, hi = np.searchsorted(posted, mine, "left"), np.searchsorted(posted, mine, "right")
+                size = hi - lo
+                where = np.repeat(lo - (np.cumsum(size) - size), size) + np.arange(size.sum())
+                both = np.bincount(own[where], minlength=len(second))
+                for j in second[100 * both >= percent * (n[i] + n[second] - both)]:
+                    x, y = top(int(comp[i])), top(int(comp[j]))
+                    if x != y:
+                        parent[max(x, y)] = min(x, y)
+                        a.append(int(node[i]))
+                        b.append(int(node[j]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
+def _pair_up(nodes: DataFrame, group: str, cols: list[str], size: Column, room: int) -> DataFrame:
+    """Rows of nodes (group, node, c) as first and second sides of pairs (i, j) of blocks of about `room` size: outside of each group's largest component, and all."""
+    sizes = nodes.groupBy(group, "c").agg(F.count("*").alias("m"), F.sum(size).alias("s"))
+    sizes = sizes.groupBy(group).agg(F.sum("m").alias("n"), F.sum("s").alias("all"), F.max(F.struct("m", "c", "s")).alias("x")).where("x.m < n")
+    blocks = sizes.select(group, F.col("x.c").alias("main"), F.ceil((F.col("all") - F.col("x.s")) / room).alias("nu"), F.ceil(F.col("all") / room).alias("nv"))
+    at = nodes.join(blocks, group)
+    block = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = at.where("c <> main").select(group, *cols, F.lit(True).alias("first"), block("nu").alias("i"), every("nv").alias("j"))
+    return left.unionByName(at.select(group, *cols, F.lit(False).alias("first"), block("nv").alias("j"), every("nu").alias("i")))
+
+
 def _rest(members: DataFrame, links: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, folder: str) -> DataFrame:
-    """links and those that the pivots didn't show, between nodes that share buckets."""
-    most, turn = FIRST, 0
-    while True:
-        comp = store(components(links, folder, f"comp{turn}"), folder, f"comp{turn}")
-        at = members.join(comp.withColumnRenamed("id", "node"), "node", "left").select("key", "node", F.coalesce("component_id", "node").alias("c"))
-        sizes = at.groupBy("key", "c").agg(F.count("*").alias("m"))
-        sizes = sizes.groupBy("key").agg(F.sum("m").alias("n"), F.max(F.struct("m", "c")).alias("x")).where("x.m < n")
-        sizes = sizes.select("key", F.col("x.c").alias("main"), F.ceil((F.col("n") - F.col("x.m")) / TILE).alias("nu"), F.ceil(F.col("n") / TILE).alias("nv"))
-        at = at.join(sizes, "key").join(nodes.select("node", "n_shingles", "sig"), "node")
-        block = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
-        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-        cols = ["key", "node", "c", "n_shingles", "sig"]
-        left = at.where("c <> main").select(*cols, F.lit(True).alias("first"), block("nu").alias("i"), every("nv").alias("j"))
-        right = at.select(*cols, F.lit(False).alias("first"), block("nv").alias("j"), every("nu").alias("i"))
-        tiles = store(left.unionByName(right), folder, f"tiles{turn}", "lz4")
-        rows = tiles.count()
-        if not rows:
-            return links
-        task = F.pmod(F.xxhash64("key", "i", "j"), F.lit(-(-rows // TASK)))
-        found = store(tiles.groupBy(task.alias("task")).applyInArrow(_tiles(percent, most), "a long, b long, more boolean"), folder, f"found{turn}")
-        pairs = found.where("NOT more").select("a", "b").distinct()
-        links = store(links.union(_confirm(pairs, nodes, sets, percent)), folder, f"links{turn}")
-        if not found.where("more").limit(1).count():
-            return links
-        most, turn = most * GROW, turn + 1
+    """Links that the pivots didn't show, between nodes that share buckets."""
+    comp = store(components(links, folder, "first"), folder, "first").withColumnRenamed("id", "node")
+    of = members.join(comp, "node", "left").select("key", "node", F.coalesce("component_id", "node").alias("c"))
+    sig = nodes.select("node", "n_shingles", "sig")
+    tiles = store(_pair_up(of, "key", ["node", "c"], F.lit(1), TILE).join(sig, "node"), folder, "tiles", "lz4")
+    task = F.pmod(F.xxhash64("key", "i", "j"), F.lit(max(1, -(-tiles.count() // TASK))))
+    forest = store(tiles.groupBy(task.alias("task")).applyInArrow(_tiles(percent), "a long, b long").distinct(), folder, "forest")
+    clusters = components(forest, folder, "clusters").withColumnRenamed("id", "node").withColumnRenamed("component_id", "cluster")
+    inside = clusters.join(comp, "node", "left").join(nodes.select("node", "n_shingles"), "node").select("cluster", "node", F.coalesce("component_id", "node").alias("c"), "n_shingles")
+    blocks = store(_pair_up(inside, "cluster", ["node", "c", "n_shingles"], F.col("n_shingles"), MASS), folder, "blocks")
+    mass = blocks.agg(F.coalesce(F.sum("n_shingles"), F.lit(0)).alias("n")).first()["n"]
+    task = F.pmod(F.xxhash64("cluster", "i", "j"), F.lit(-(-mass // LOAD) + 1))
+    return blocks.join(sets, "node").groupBy(task.alias("task")).applyInArrow(_blocks(percent), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -276,7 +320,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     sets = store(_wanted_sets(docs, wanted, k), folder, "sets", "lz4")
     pairs = members.select(F.col("pivot").alias("a"), F.col("node").alias("b")).where("a < b").distinct()
     links = store(_confirm(pairs, reps, sets, percent), folder, "links")
-    links = _rest(members, links, reps, sets, percent, folder)
+    links = links.union(_rest(members, links, reps, sets, percent, folder))
     # One document may have several texts under its id: they are linked, too.
     twice = with_set.groupBy("doc_id").agg(F.min("d1").alias("a"), F.max("d1").alias("b")).where("a < b").drop("b")
     links = links.union(with_set.join(twice, "doc_id").select("a", F.col("d1").alias("b")))
