@@ -52,6 +52,26 @@ def best_pattern(sizes: np.ndarray, worth: np.ndarray, room: int = UNITS) -> tup
     return float(value[room]), counts
 
 
+def inverted(a: np.ndarray) -> np.ndarray:
+    """The inverse by Gauss-Jordan steps of row operations.
+
+    Matrix products and `numpy.linalg` may use a library of threads, which in a driver don't outlive the start of its
+    JVM: a call then never returns. So everything here is element-wise.
+    """
+    n = len(a)
+    both = np.concatenate([a.astype(float), np.eye(n)], axis=1)
+    for k in range(n):
+        top = k + int(np.abs(both[k:, k]).argmax())
+        if top != k:
+            both[[k, top]] = both[[top, k]]
+        both[k] /= both[k, k]
+        by = both[:, k].copy()
+        by[k] = 0.0
+        some = np.flatnonzero(by)
+        both[some] -= by[some, None] * both[k]
+    return both[:, n:]
+
+
 def cutting_stock(sizes: np.ndarray, demand: np.ndarray, room: int = UNITS, rounds: int = 4000) -> list[tuple[np.ndarray, float]]:
     """(pattern, how often) of the linear program: least sequences that hold the demand of each size.
 
@@ -61,9 +81,9 @@ def cutting_stock(sizes: np.ndarray, demand: np.ndarray, room: int = UNITS, roun
     m = len(sizes)
     basis = np.diag(np.floor(room / sizes))
     cost = np.ones(m)
-    inverse, age = np.linalg.inv(basis), 0
+    inverse, age = np.diag(1 / np.diag(basis)), 0
     for _ in range(rounds):
-        level, dual = inverse @ demand, cost @ inverse
+        level, dual = (inverse * demand).sum(axis=1), (cost[:, None] * inverse).sum(axis=0)
         low = int(dual.argmin())
         if dual[low] < -1e-9:
             column, c = -np.eye(m)[low], 0.0
@@ -73,9 +93,9 @@ def cutting_stock(sizes: np.ndarray, demand: np.ndarray, room: int = UNITS, roun
             if worth <= 1 + 1e-9:
                 if not age:
                     break
-                inverse, age = np.linalg.inv(basis), 0  # rounding in the updates may feign the end
+                inverse, age = inverted(basis), 0  # rounding in the updates may feign the end
                 continue
-        step = inverse @ column
+        step = (inverse * column).sum(axis=1)
         ratio = np.where(step > 1e-9, np.maximum(level, 0) / np.where(step > 1e-9, step, 1), np.inf)
         least = ratio.min()
         if not np.isfinite(least):
@@ -84,13 +104,13 @@ def cutting_stock(sizes: np.ndarray, demand: np.ndarray, room: int = UNITS, roun
         out = int(np.where(ratio <= least + 1e-9, step, -np.inf).argmax())
         basis[:, out], cost[out] = column, c
         if age == 49:
-            inverse, age = np.linalg.inv(basis), 0
+            inverse, age = inverted(basis), 0
         else:
             row = inverse[out] / step[out]
-            inverse = inverse - np.outer(step, row)
+            inverse = inverse - step[:, None] * row
             inverse[out] = row
             age += 1
-    level = np.linalg.inv(basis) @ demand
+    level = (inverted(basis) * demand).sum(axis=1)
     return [(basis[:, i].copy(), float(level[i])) for i in range(m) if cost[i] and level[i] > 1e-9]
 
 
