@@ -415,6 +415,53 @@ register("t05_pairing", t05, fx.with_views("""WITH p AS (SELECT floor(t_us / 600
 SELECT key, source_id, CASE WHEN NOT l THEN 1 ELSE 2 END AS error FROM p WHERE NOT (l AND r) AND source_id < (SELECT max(source_id) FROM p q WHERE q.key = p.key)""", "frames"))
 
 
+def _grown(spark: SparkSession, sf: str, name: str, read) -> DataFrame:
+    """Raw files of the suppliers' frames, some of which are missing, read as they grow.
+
+    The stream runs over the first half, of which the last file breaks off in the middle, stops, and starts again from
+    its checkpoint when the files are whole.
+    """
+    records = raw_records(spark, sf, 1).where("frame_no % 7 <> 3")
+    folder = new_dir(spark, name)
+    half = fx.table(spark, sf, "supplier").agg(F.max("s_suppkey")).first()[0] // 2
+    for some in (records.where(F.col("frame_no") <= half), records):
+        raw.write_files(some, f"{folder}/files", 60).collect()
+        rows = st.catch_up(read(f"{folder}/files"), f"{folder}/out")
+    return rows
+
+
+def t01b(spark: SparkSession, sf: str) -> DataFrame:
+    """Visibilities of raw files, decoded as they arrive and integrated over a cycle of eight frames."""
+    read = lambda path: st.integrate(st.raw_stream(spark, path, 1, "samples", full=60), "10 milliseconds", "25 milliseconds", ["sub_band", "pol"])
+    return _grown(spark, sf, "t01", read).select("start_us", "sub_band", "pol", r6(F.col("re")).alias("re"), r6(F.col("im")).alias("im"), "n")
+
+
+_RAW = "WITH x AS (SELECT s_suppkey AS n, s_suppkey * 3125 AS t_us, (s_suppkey % 2)::INT AS pol, CASE WHEN s_suppkey % 5 = 0 THEN s_suppkey % 4 ELSE floor(s_suppkey % 8 / 2) END::INT AS sub_band FROM supplier WHERE s_suppkey % 7 <> 3), over AS (SELECT floor(max(t_us) / 1000) * 1000 - 10000 AS us FROM x)"
+
+register("t01_raw_stream", t01b, f"""{_RAW}, v AS (SELECT x.*, (n * 7919 + rb * 131 + chan * 17) % 20011 - 10005 AS re, (n * 7919 + rb * 131 + chan * 17 + 5) % 20011 - 10005 AS im FROM x, {_receiver_pairs(raw.OUTPUTS[1], raw.ANTENNAS[1])}, (SELECT range::INT AS chan FROM range(16)))
+SELECT (floor(t_us / 25000) * 25000)::BIGINT AS start_us, sub_band, pol, round(avg(re), 6) + 0.0 AS re, round(avg(im), 6) + 0.0 AS im, count(*) AS n FROM v WHERE floor(t_us / 25000) * 25000 + 25000 <= (SELECT us FROM over) GROUP BY 1, 2, 3""")
+
+_W03 = "p AS (SELECT floor(t_us / 3125 / 2)::BIGINT + 1 AS source_id, bool_or(pol = 0) AS l, bool_or(pol = 1) AS r, min(t_us) AS t FROM {0} GROUP BY 1), e AS (SELECT source_id, CASE WHEN NOT l THEN 1 WHEN NOT r THEN 2 WHEN t - lag(t) OVER (ORDER BY source_id) > 8000 THEN 3 ELSE 0 END AS error FROM p)"
+
+
+def t05b(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of polarizations from the headers of raw files as they arrive."""
+    read = lambda path: st.pair_by_array(st.raw_stream(spark, path, 1, "headers", full=60).withColumn("sub_array", F.lit(1)), "10 milliseconds", 3125, 8000, 25_000)
+    return _grown(spark, sf, "t05", read)
+
+
+register("t05_raw_pairing", t05b, f"{_RAW}, {_W03.format('x')} SELECT 1 AS sub_array, source_id, error FROM e WHERE (floor(source_id * 6250 / 25000) + 1) * 25000 <= (SELECT us FROM over)")
+
+
+def t05c(spark: SparkSession, sf: str) -> DataFrame:
+    """The same of a stream in which frames repeat, keyed by array: pairs that pass a minute's end are whole."""
+    stream = _stream(spark, sf, twice=True).withColumn("sub_array", F.lit(1))
+    return st.drain(st.pair_by_array(stream, "1 second", 3125, 8000), new_dir(spark, "t05"))
+
+
+register("t05_pairing_by_array", t05c, fx.with_views(f"WITH {_W03.format('frames')} SELECT 1 AS sub_array, source_id, error FROM e WHERE (floor(source_id * 6250 / 1000000) + 1) * 1000000 <= (SELECT floor(max(t_us) / 1000) * 1000 - 1000000 FROM frames)", "frames"))
+
+
 def t06(spark: SparkSession, sf: str) -> DataFrame:
     keys = ["sub_band", "pol", "bl", "chan"]
     out = st.drain(st.calibrated(_stream(spark, sf).drop("t"), fx.cal(spark, sf), keys), new_dir(spark, "t06"))

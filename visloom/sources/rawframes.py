@@ -15,9 +15,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from visloom.functions.timescale import PACKED, unpack_time
 
@@ -30,6 +31,8 @@ CHANNELS = 16
 TIME, SWITCHES, LOOP_CODE, TARGET = 32, 172, {1: 208, 2: 196}, 192
 
 OLD_LOOP_CODE, OLD_BODY = 99_264, 1_884
+#: Records of a full file: a minute.
+FULL = 19_200
 #: Bytes from a record's start that hold its header.
 HEAD = 212
 #: Codes of the first array's four bands: outside of loop mode, and in it before 2015.
@@ -44,6 +47,7 @@ HEADER = (
 VIS = "frame_no long, bl int, ant1 int, ant2 int, chan int, re double, im double"
 AUTO = "frame_no long, ant int, chan int, power double"
 DELAY = "frame_no long, ant int, delay_ns double"
+SAMPLES = "frame_no long, t_us long, sub_band int, pol int, bl int, ant1 int, ant2 int, chan int, re double, im double"
 
 
 def _words(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -67,6 +71,14 @@ def _field(packed: np.ndarray, name: str) -> np.ndarray:
     raise KeyError(name)
 
 
+def clock_us(packed: np.ndarray) -> np.ndarray:
+    """Microseconds of packed times since the start of 1970, on their own clock."""
+    part = lambda name: _field(packed, name)
+    months = (part("year") + 30) * 12 + part("month") - 1
+    days = months.astype("M8[M]").astype("M8[D]").astype(np.int64) + part("day") - 1
+    return ((((days * 24 + part("hour")) * 60 + part("minute")) * 60 + part("second")) * 1000 + part("ms")) * 1000 + part("us")
+
+
 def is_recent(packed: np.ndarray) -> np.ndarray:
     """Whether frames are of 2015 or later in universal time, eight hours behind their clock."""
     night = (_field(packed, "month") == 1) & (_field(packed, "day") == 1) & (_field(packed, "hour") < 8)
@@ -168,7 +180,7 @@ def delays(records: np.ndarray, array: int) -> np.ndarray:
     return (d >> 17) + (d & 0x1FFFF) * 1e-5
 
 
-SCHEMAS = {"headers": HEADER, "vis": VIS, "autocorr": AUTO, "delays": DELAY}
+SCHEMAS = {"headers": HEADER, "vis": VIS, "samples": SAMPLES, "autocorr": AUTO, "delays": DELAY}
 
 
 def decode(records: np.ndarray, numbers: np.ndarray, array: int, what: str) -> pa.RecordBatch:
@@ -179,12 +191,16 @@ def decode(records: np.ndarray, numbers: np.ndarray, array: int, what: str) -> p
     if what == "headers":
         old = records[:, OLD_LOOP_CODE : OLD_LOOP_CODE + 2].copy().view("<u2")[:, 0].astype(np.int64) if array == 1 else None
         cols = headers(records[:, :HEAD], old, numbers.astype(np.int64), array)
-    elif what == "vis":
+    elif what in ("vis", "samples"):
         a1, a2 = pairs(OUTPUTS[array])
         use = np.flatnonzero((a1 < ants) & (a2 < ants))
         vis = visibilities(records, array)[:, use]
         each = lambda x: small(np.tile(np.repeat(x, CHANNELS), n))
         cols = {"frame_no": pa.array(frame(len(use) * CHANNELS)), "bl": each(np.arange(len(use))), "ant1": each(a1[use]), "ant2": each(a2[use]), "chan": small(np.tile(np.arange(CHANNELS), n * len(use))), "re": pa.array(vis.real.reshape(-1)), "im": pa.array(vis.imag.reshape(-1))}
+        if what == "samples":
+            per, modes = len(use) * CHANNELS, decode(records, numbers, array, "headers")
+            times = clock_us(modes.column("packed_time").to_numpy())
+            cols |= {"t_us": pa.array(np.repeat(times, per))} | {c: modes.column(c).take(pa.array(np.repeat(np.arange(n), per))) for c in ("sub_band", "pol")}
     elif what == "autocorr":
         power = autocorrelations(records, array)[:, :ants]
         cols = {"frame_no": pa.array(frame(ants * CHANNELS)), "ant": small(np.tile(np.repeat(np.arange(ants), CHANNELS), n)), "chan": small(np.tile(np.arange(CHANNELS), n * ants)), "power": pa.array(power.reshape(-1))}
@@ -277,12 +293,21 @@ class _Range(InputPartition):
         self.path, self.first, self.count = path, first, count
 
 
+def _store(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path or address, and the path in it."""
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+
+
 class RawFrameSource(DataSource):
-    """spark.read.format("rawframes").option("path", files).option("array", 1).option("table", "vis").load()
+    """spark.read.format("rawframes").option("path", files).option("array", 1).option("table", "vis").load(), or spark.readStream
 
-    For files (several: with commas, or a folder) that every executor can open as files; partitions are runs of whole
-    records of one file, and frame_no counts the frames of a file. The table `headers` reads headers only. Use
-    `read_records` for stores that only Hadoop reads.
+    For files (several: with commas, or a folder) that every executor can open by path or address (`file://`, and
+    what else pyarrow knows); partitions are runs of whole records of one file, and frame_no counts the frames of a
+    file. The table `headers` reads headers only; `samples` are visibilities with their frame's time (microseconds
+    since 1970 on the frames' own clock), band and polarization. Use `read_records` for stores that only Hadoop reads.
+
+    As a stream, path is one folder, with folders below it or not, to which files are added and in which they grow; see
+    `_StreamReader` for what is read when.
     """
 
     @classmethod
@@ -295,22 +320,24 @@ class RawFrameSource(DataSource):
     def reader(self, schema) -> DataSourceReader:
         return _Reader(self.options)
 
+    def streamReader(self, schema) -> DataSourceStreamReader:
+        return _StreamReader(self.options)
+
+
+class _Records:
+    """Reads runs of records of one file."""
 
-class _Reader(DataSourceReader):
     def __init__(self, options: dict[str, str]) -> None:
         self.paths, self.array, self.table = options["path"].split(","), int(options.get("array", 1)), options.get("table", "headers")
         self.per = int(options.get("frames", 320))
 
-    def partitions(self) -> list[_Range]:
-        import os
-
-        files = [f for p in self.paths for f in (sorted(os.path.join(p, x) for x in os.listdir(p)) if os.path.isdir(p) else [p])]
-        counts = [(f, os.path.getsize(f) // LENGTH[self.array]) for f in files]
-        return [_Range(f, i, min(self.per, n - i)) for f, n in counts for i in range(0, n, self.per)]
+    def cut(self, path: str, first: int, end: int) -> list[_Range]:
+        return [_Range(path, i, min(self.per, end - i)) for i in range(first, end, self.per)]
 
     def read(self, partition: _Range) -> Iterator[pa.RecordBatch]:
         size = LENGTH[self.array]
-        with open(partition.path, "rb") as f:
+        store, path = _store(partition.path)
+        with store.open_input_file(path) as f:
             if self.table == "headers":
                 numbers = np.arange(partition.first, partition.first + partition.count)
                 head, old = [], []
@@ -332,6 +359,91 @@ class _Reader(DataSourceReader):
                 yield decode(raw, np.arange(partition.first + i, partition.first + i + k), self.array, self.table)
 
 
+class _Reader(_Records, DataSourceReader):
+    def partitions(self) -> list[_Range]:
+        found = []
+        for given in self.paths:
+            store, path = _store(given)
+            some = [store.get_file_info(path)]
+            if some[0].type == fs.FileType.Directory:
+                some = sorted(store.get_file_info(fs.FileSelector(path)), key=lambda x: x.path)
+            found += [(given[: len(given) - len(path)] + x.path, x.size) for x in some if x.type == fs.FileType.File]
+        return [r for f, n in found for r in self.cut(f, 0, n // LENGTH[self.array])]
+
+
+class _StreamReader(_Records, DataSourceStreamReader):
+    """Offsets say how far the files of a folder have been read: `{"done": name, "open": {name: records, ...}}`.
+
+    Files are written in the order of their names. Those up to `done` are closed: full (option `full`, 19200 records),
+    or followed by `behind` (2) files or more; they grow no more. Of the others the offset holds the whole records that
+    were there, so it stays small, a record that is still being written waits, and a query that starts again goes on
+    in the middle of a file, where its checkpoint says. A batch is planned from its two offsets alone, so one that runs
+    again reads the same records. Names that begin with a dot or underscore are no frames.
+    """
+
+    def __init__(self, options: dict[str, str]) -> None:
+        super().__init__(options)
+        self.full, self.behind = int(options.get("full", FULL)), int(options.get("behind", 2))
+
+    def _files(self) -> list[tuple[str, int]]:
+        """(name below the folder, whole records), by name."""
+        store, top = _store(self.paths[0])
+        some = store.get_file_info(fs.FileSelector(top, recursive=True, allow_not_found=True))
+        named = ((x.path[len(top.rstrip("/")) + 1 :], x.size // LENGTH[self.array]) for x in some if x.type == fs.FileType.File)
+        return sorted((n, k) for n, k in named if not any(part[0] in "._" for part in n.split("/")))
+
+    def initialOffset(self) -> dict:
+        return {"done": "", "open": {}}
+
+    def latestOffset(self) -> dict:
+        files = self._files()
+        closed = 0
+        while closed < len(files) and (files[closed][1] >= self.full or len(files) - closed > self.behind):
+            closed += 1
+        return {"done": files[closed - 1][0] if closed else "", "open": dict(files[closed:])}
+
+    def partitions(self, start: dict, end: dict) -> list[_Range]:
+        out = []
+        for name, there in self._files():
+            last = there if name <= end["done"] else end["open"].get(name, 0)
+            if name > start["done"]:
+                out += self.cut(f"{self.paths[0].rstrip('/')}/{name}", start["open"].get(name, 0), last)
+        return out
+
+
+def write_files(records: DataFrame, folder: str, per: int = FULL) -> DataFrame:
+    """Write records (frame_no, record) into files of `per` frame numbers each, named by the first; gives file, records.
+
+    Sorted by frame number in each file. A file appears under its name when it is whole, so a task that runs again
+    takes its own place.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, top = _store(folder)
+        store.create_dir(top, recursive=True)
+        held, out, n, made = None, None, 0, []
+
+        def end() -> None:
+            if out is not None:
+                out.close()
+                store.move(f"{top}/.{held:012d}", f"{top}/{held:012d}")
+                made.append((f"{held:012d}", n))
+
+        for batch in batches:
+            for file, record in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if file != held:
+                    end()
+                    held, n = file, 0
+                    out = store.open_output_stream(f"{top}/.{held:012d}")
+                out.write(record.as_buffer())
+                n += 1
+        end()
+        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in made], pa.string()), pa.array([x[1] for x in made], pa.int64())], names=["file", "records"])
+
+    rows = records.select((F.floor(F.col("frame_no") / per) * per).alias("file"), "frame_no", "record")
+    return rows.repartition("file").sortWithinPartitions("file", "frame_no").select("file", "record").mapInArrow(run, "file string, records long")
+
+
 def packed_times(frame_no: np.ndarray, year: int = 2015) -> np.ndarray:
     """Packed times of a clock that starts a frame's number of 3.125 ms steps after the start of the first of November."""
     us = frame_no.astype(np.int64) * 3125

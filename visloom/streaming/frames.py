@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from visloom.functions.signal import rotate_by
+from visloom.functions.timescale import unpack_time
+from visloom.sources.rawframes import RawFrameSource
 
 
 #: Start of the frames' clock: 2015-11-01, in microseconds.
@@ -24,6 +27,22 @@ def frame_stream(spark: SparkSession, path: str, schema, files_per_batch: int |
     return reader.parquet(path).withColumn("t", F.timestamp_micros(F.col("t_us") + DAY))
 
 
+def clock_us(packed: Column) -> Column:
+    """Microseconds of a packed time since the start of 1970, on its own clock."""
+    f = unpack_time(packed)
+    day = F.unix_date(F.make_date(f["year"].cast("int"), f["month"].cast("int"), f["day"].cast("int")))
+    return (((day * 24 + f["hour"]) * 60 + f["minute"]) * 60 + f["second"]).cast("long") * 1_000_000 + f["ms"] * 1000 + f["us"]
+
+
+def raw_stream(spark: SparkSession, path: str, array: int, table: str = "samples", **options) -> DataFrame:
+    """Frames of raw files as they are written to a folder (`headers` or `samples`), with event time t and t_us since the day's start of the frames' clock."""
+    spark.dataSource.register(RawFrameSource)
+    rows = spark.readStream.format("rawframes").option("path", path).option("array", array).option("table", table).options(**options).load()
+    if table == "headers":
+        rows = rows.withColumn("t_us", clock_us(F.col("packed_time")))
+    return rows.withColumn("t", F.timestamp_micros("t_us")).withColumn("t_us", F.col("t_us") - DAY)
+
+
 def integrate(stream: DataFrame, delay: str, length: str, keys: list[str], slide: str | None = None) -> DataFrame:
     """Mean of re and im by event-time window and keys; state is the open windows, late rows beyond the delay drop."""
     window = F.window("t", length, slide) if slide else F.window("t", length)
@@ -96,12 +115,93 @@ def pair_polarizations(stream: DataFrame, delay: str, step_us: int) -> DataFrame
     return keyed.groupBy("key").applyInPandasWithState(_pairs(step_us), PAIRS, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
+class ArrayPairs(StatefulProcessor):
+    """The pairs of one array that still receive frames, by number, and the start of the last pair that was told.
+
+    A pair holds the newest times of its left and right frame (-1 of one that hasn't come) and its first time; a frame
+    that comes again changes nothing. Pairs are told when the watermark has passed the bucket of time in which they end,
+    in the order of their numbers, so frames may come in any order within the delay; what comes later is dropped by
+    Spark, as its pair has been told.
+    """
+
+    def __init__(self, step_us: int, jump_us: int, bucket_us: int) -> None:
+        self.step_us, self.jump_us, self.bucket_us = step_us, jump_us, bucket_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getMapState("open", "source_id long", "left_us long, right_us long, first_us long")
+        self.before = handle.getValueState("before", "first_us long")
+
+    def _told_at(self, source: int) -> int:
+        """Milliseconds of event time from which on a pair is told."""
+        return -(-((source * 2 * self.step_us + DAY) // self.bucket_us + 1) * self.bucket_us // 1000)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        timers = set()
+        for some in rows:
+            some = some.assign(source=some["t_us"] // self.step_us // 2 + 1)
+            side = lambda pol, d=some: d["t_us"].where(d["pol"] == pol, -1)
+            met = some.assign(left=side(0), right=side(1)).groupby("source").agg(left=("left", "max"), right=("right", "max"), first=("t_us", "min"))
+            for source, left, right, first in met.itertuples():
+                held = (int(left), int(right), int(first))
+                if self.open.containsKey((source,)):
+                    old = self.open.getValue((source,))
+                    held = (max(held[0], old[0]), max(held[1], old[1]), min(held[2], old[2]))
+                self.open.updateValue((int(source),), held)
+                timers.add(self._told_at(int(source)))
+        for at in timers:
+            self.handle.registerTimer(at)
+        yield pd.DataFrame({"sub_array": [], "source_id": [], "error": []})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentWatermarkInMs()
+        over = sorted((k[0], tuple(v)) for k, v in self.open.iterator() if self._told_at(k[0]) <= now)
+        before = self.before.get()[0] if self.before.exists() else None
+        out = []
+        for source, (left, right, first) in over:
+            jump = before is not None and first - before > self.jump_us
+            out.append((key[0], source, 1 if left < 0 else 2 if right < 0 else 3 if jump else 0))
+            before = first
+            self.open.removeKey((source,))
+        if over:
+            self.before.update((before,))
+        yield pd.DataFrame(out, columns=["sub_array", "source_id", "error"])
+
+    def close(self) -> None:
+        pass
+
+
+def pair_by_array(stream: DataFrame, delay: str, step_us: int, jump_us: int, bucket_us: int = 1_000_000) -> DataFrame:
+    """sub_array, source_id, error of each pair of slots of an array, when it is over: 1 left missing, 2 right missing, 3 a jump since the pair before, else 0.
+
+    State is one key an array, so a pair across any bound of time is one pair; it holds the pairs of the delay and a
+    bucket of time or two. Needs the RocksDB state store (`drain` sets it).
+    """
+    rows = stream.select("sub_array", "t_us", "pol", "t").withWatermark("t", delay)
+    return rows.groupBy("sub_array").transformWithStateInPandas(ArrayPairs(step_us, jump_us, bucket_us), "sub_array int, source_id long, error int", "Append", "EventTime")
+
+
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def drain(stream: DataFrame, path: str) -> DataFrame:
-    """Run a stream over all that is there, in append mode, into a folder, and read what came of it."""
+    """Run a stream over all that is there, in append mode, into a folder, and read what came of it; run again, it goes on."""
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
     stream.writeStream.format("parquet").option("checkpointLocation", f"{path}/state").option("path", f"{path}/rows").outputMode("append").trigger(availableNow=True).start().awaitTermination()
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{path}/rows")
 
 
+def catch_up(stream: DataFrame, path: str) -> DataFrame:
+    """As `drain`, for sources that can't tell beforehand where to stop: micro-batches run until nothing is left, then the query stops; run again, it goes on."""
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    query = stream.writeStream.format("parquet").option("checkpointLocation", f"{path}/state").option("path", f"{path}/rows").outputMode("append").start()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{path}/rows")
+
+
 def each_batch(stream: DataFrame, path: str, make: Callable[[DataFrame], DataFrame], schema) -> DataFrame:
     """Run a stream over all that is there, `make` a product of each micro-batch and write it under the batch's number,
     so that a batch that runs again takes its own place."""
