@@ -46,8 +46,8 @@ def kernel_weight(cells: Column) -> Column:
     return F.get(F.array(*map(F.lit, KERNEL)), cells)
 
 
-def grid(vis: DataFrame, cell: float) -> DataFrame:
-    """Weighted sums by (image_key, iu, iv) of samples (image_key, u, v, re, im).
+def grid(vis: DataFrame, cell: float | Column) -> DataFrame:
+    """Weighted sums by (image_key, iu, iv) of samples (image_key, u, v, re, im); cell, the step of u and v, may be said by columns of theirs.
 
     Samples are turned to the half plane u >= 0. Each touches the cells that are less than three whole cells
     away on both axes; samples near u = 0 also touch those of the opposite half, mirrored.
@@ -242,7 +242,7 @@ def dirty_image(u: np.ndarray, v: np.ndarray, re: np.ndarray, im: np.ndarray, si
     """Dirty image and beam (size x size, beam peak 1) of samples in wavelengths; cell is the pixel in radians.
 
     Samples are gridded as `grid` does it, onto the Fourier plane of a map twice as wide, with natural or uniform
-    weights; the half plane is mirrored, transformed, freed of the kernel's taper, and its middle is kept.
+    weights; the half plane and its mirror are transformed, the middle is kept and freed of the kernel's taper.
     """
     n = 2 * size
     du = 1.0 / (n * cell)
@@ -250,7 +250,7 @@ def dirty_image(u: np.ndarray, v: np.ndarray, re: np.ndarray, im: np.ndarray, si
     gu, gv, value = np.abs(u) / du, back * v / du, re + 1j * back * im
     edge = gu < HALF_WIDTH
     gu, gv, value = np.append(gu, -gu[edge]), np.append(gv, -gv[edge]), np.append(value, value[edge].conj())
-    data, beam, hits = np.zeros((n, n), complex), np.zeros((n, n)), np.zeros((n, n))
+    data, beam, hits = np.zeros((size + 1, n), complex), np.zeros((size + 1, n)), np.zeros((size + 1, n))
     reach = np.arange(-HALF_WIDTH, HALF_WIDTH + 2)
     iu, iv = np.floor(gu).astype(int)[:, None] + reach, np.floor(gv).astype(int)[:, None] + reach
     weight = lambda cells: np.append(KERNEL, 0.0)[np.minimum(cells.astype(int), HALF_WIDTH)]
@@ -259,24 +259,30 @@ def dirty_image(u: np.ndarray, v: np.ndarray, re: np.ndarray, im: np.ndarray, si
     wv = np.where(np.abs(iv) < n // 2, wv, 0.0)
     w = wv[:, :, None] * wu[:, None, :]
     use = w > 0
-    where = (np.broadcast_to((iv % n)[:, :, None], w.shape)[use], np.broadcast_to((iu % n)[:, None, :], w.shape)[use])
+    where = (np.broadcast_to(iu[:, None, :], w.shape)[use], np.broadcast_to((iv % n)[:, :, None], w.shape)[use])
     np.add.at(data, where, (w * value[:, None, None])[use])
     np.add.at(beam, where, w[use])
     np.add.at(hits, where, 1.0)
     if uniform:
         data, beam = data / np.maximum(hits, 1), beam / np.maximum(hits, 1)
-    mirror = lambda f: np.roll(f[::-1, ::-1], 1, (0, 1))
-    half = np.zeros((n, n), bool)
-    half[:, 1 : n // 2] = True
-    data, beam = data + np.where(mirror(half), mirror(data).conj(), 0), beam + np.where(mirror(half), mirror(beam), 0)
-    middle = slice(n // 2 - size // 2, n // 2 - size // 2 + size)
-    taper = spheroid((np.arange(n) - n / 2)[middle] / (n / 2))
-    to_image = lambda f: np.fft.fftshift(np.fft.fft2(f)).real[middle, middle] / np.outer(taper, taper)
+    taper = spheroid(np.arange(-(size // 2), size - size // 2) / size)
+    to_image = lambda half: along_u(along_v(half, size).T, size) / (taper[:, None] * taper)
     image, beam = to_image(data), to_image(beam)
     peak = beam.max() if len(value) else 1.0
     return image / peak, beam / peak
 
 
+def along_v(half: np.ndarray, size: int) -> np.ndarray:
+    """Columns (u, v) transformed along v; the middle `size` places, from -size // 2 on, of twice as many."""
+    return np.fft.fft(half, axis=1)[:, np.arange(-(size // 2), size - size // 2)]
+
+
+def along_u(lines: np.ndarray, size: int) -> np.ndarray:
+    """Lines (y, u), u from 0 to `size` or less, transformed along u; what lies at -u is their mirror, so values are real."""
+    n = 2 * size
+    return np.fft.irfft(lines.conj(), n, axis=1)[:, np.arange(-(size // 2), size - size // 2)] * n
+
+
 def fit_beam(beam: np.ndarray, window: int = 10, steps: int = 30) -> np.ndarray:
     """Gaussian of peak 1 fitted to the middle of a beam by Gauss-Newton steps on its logarithm's quadratic form."""
     n = len(beam)
@@ -297,19 +303,34 @@ def fit_beam(beam: np.ndarray, window: int = 10, steps: int = 30) -> np.ndarray:
     return np.exp(-np.clip(p[0] * x**2 + 2 * p[1] * x * y + p[2] * y**2, 0, 700))
 
 
+#: Lines of an image that are subtracted and searched together, small enough for a processor's cache.
+STRIP = 64
+
+
 def hogbom(image: np.ndarray, beam: np.ndarray, gain: float = 0.1, threshold: float = 0.0, steps: int = 200) -> tuple[np.ndarray, list[tuple[int, int, float]]]:
-    """Residual and components (y, x, flux): the beam at the highest point is taken off again and again."""
-    rest, parts, n = image.copy(), [], len(image)
+    """Residual and components (y, x, flux): the beam at the highest point is taken off again and again.
+
+    The beam comes off strip by strip, and each strip's extrema are taken while it is at hand.
+    """
+    rest, parts, n = np.ascontiguousarray(image, float).copy(), [], len(image)
     by, bx = np.unravel_index(int(beam.argmax()), beam.shape)
+    strips = [(a, min(n, a + STRIP)) for a in range(0, n, STRIP)]
+    room, flat = np.empty((STRIP, n)), rest.reshape(-1)
+    high = [int(rest[a:b].argmax()) + a * n for a, b in strips]
+    low = [int(rest[a:b].argmin()) + a * n for a, b in strips]
     for _ in range(steps):
-        high, low = int(rest.argmax()), int(rest.argmin())
-        y, x = np.unravel_index(high if rest.flat[high] >= -rest.flat[low] else low, rest.shape)
-        flux = gain * rest[y, x]
+        top, bottom = high[int(flat[high].argmax())], low[int(flat[low].argmin())]
+        y, x = divmod(top if flat[top] >= -flat[bottom] else bottom, n)
+        flux = float(gain * rest[y, x])
         if abs(rest[y, x]) <= threshold:
             break
-        parts.append((int(y), int(x), float(flux)))
+        parts.append((y, x, flux))
         y0, y1, x0, x1 = max(0, y - by), min(n, y - by + n), max(0, x - bx), min(n, x - bx + n)
-        rest[y0:y1, x0:x1] -= flux * beam[y0 - y + by : y1 - y + by, x0 - x + bx : x1 - x + bx]
+        for k, (a, b) in enumerate(strips):
+            a0, b0 = max(a, y0), min(b, y1)
+            if a0 < b0:
+                rest[a0:b0, x0:x1] -= np.multiply(beam[a0 - y + by : b0 - y + by, x0 - x + bx : x1 - x + bx], flux, out=room[: b0 - a0, : x1 - x0])
+                high[k], low[k] = int(rest[a:b].argmax()) + a * n, int(rest[a:b].argmin()) + a * n
     return rest, parts
 
 
@@ -428,7 +449,13 @@ def per_image(samples: DataFrame, make: Callable[[pd.DataFrame], np.ndarray]) ->
         return pd.DataFrame({"image_key": [pdf["image_key"].iloc[0]], "n": [image.shape[-1]], "data": [image.astype(np.float32).reshape(-1)]})
 
     kind = dict(samples.dtypes)["image_key"]
-    return samples.groupBy("image_key").applyInPandas(run, f"image_key {kind}, n int, data array<float>")
+    return spread(samples, "image_key").groupBy("image_key").applyInPandas(run, f"image_key {kind}, n int, data array<float>")
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """df dealt by keys to a number of tasks that stays: what an image is made of is small, what is done with it is not, so partitions mustn't be joined by their bytes."""
+    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 4 * df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(n, *keys)
 
 
 def as_pixels(images: DataFrame) -> DataFrame:

@@ -9,6 +9,8 @@ from visloom.operators import cubes as cu
 from visloom.operators import flagging as fl
 from visloom.operators import imaging as im
 from visloom.operators import vistable as vt
+from visloom.functions.signal import image_geometry
+from visloom.operators.blockimages import image_blocks
 from visloom.operators.geometry import baseline_index
 from visloom.plans import fixtures as fx
 from visloom.plans.joins import _banded
@@ -562,7 +564,7 @@ def i06b(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def i01b(spark: SparkSession, sf: str) -> DataFrame:
-    """Places and depths: the four highest CLEAN components of each channel's image, as whole pixels and rounded flux."""
+    """Places and depths: all CLEAN components of each channel's image, strongest first, as whole pixels and rounded flux."""
 
     def parts(pdf):
         import numpy as np
@@ -570,7 +572,7 @@ def i01b(spark: SparkSession, sf: str) -> DataFrame:
         found: dict = {}
         for y, x, flux in im.hogbom(*_image(pdf))[1]:
             found[y, x] = found.get((y, x), 0.0) + flux
-        top = sorted(found.items(), key=lambda f: (-abs(f[1]), f[0]))[:4]
+        top = sorted(found.items(), key=lambda f: (-abs(f[1]), f[0]))
         return np.array([[k, y, x, round(flux, 4)] for k, ((y, x), flux) in enumerate(top)])
 
     d = im.per_image(_uv(spark, sf), parts).select("image_key", F.explode(F.sequence(F.lit(0), F.floor(F.size("data") / 4).cast("int") - 1)).alias("k"), "data")
@@ -622,5 +624,49 @@ def i14(spark: SparkSession, sf: str) -> DataFrame:
     return im.per_image(uv, peaks).select("image_key", d[0].cast("double").alias("high"), d[1].cast("double").alias("low"), d[2].cast("int").alias("x"), d[3].cast("int").alias("y"))
 
 
+#: Bands of the second array whose images have 1280, 2560 and 5120 pixels a side, and its antennas.
+_WIDE, _ANTS = (0, 5, 15), 60
+#: Places of pixels that the SQL sums up anew, as parts of an image's side.
+_PLACES = ((0.0, 0.0), (0.5, 0.5), (0.25, 0.75), (0.5, 0.125), (0.9, 0.3), (0.625, 0.5), (0.4921875, 0.5078125), (0.9984375, 0.9984375))
+
+
+def _wide_uv(spark: SparkSession, sf: str) -> DataFrame:
+    """Mean samples of three bands of the second array, an image a band."""
+    x = fx.table(spark, sf, "lineitem").select((F.col("l_suppkey") % _ANTS).cast("int").alias("a"), (F.col("l_partkey") % _ANTS).cast("int").alias("b"), (F.col("l_linenumber") % 3).cast("int").alias("k"), (F.col("l_quantity") - 25.5).alias("re"), (F.round(F.col("l_discount") * 100) - 4.5).alias("im"))
+    v = x.where("a <> b").groupBy(F.least("a", "b").alias("ant1"), F.greatest("a", "b").alias("ant2"), "k").agg(F.avg("re").alias("re"), F.avg("im").alias("im"))
+    hz = 2e9 + 4e8 * F.get(F.array(*map(F.lit, _WIDE)), F.col("k")) + 12.5e6
+    east = lambda ant: 20.0 * F.pow(F.lit(1.08), F.col(ant)) * F.cos(2.1 * F.col(ant))
+    north = lambda ant: 20.0 * F.pow(F.lit(1.08), F.col(ant)) * F.sin(2.1 * F.col(ant))
+    g = image_geometry(hz, F.lit(2))
+    u, w = (f("ant2") - f("ant1") for f in (east, north))
+    return v.select(F.col("k").alias("image_key"), (u * hz / SPEED).alias("u"), (w * hz / SPEED).alias("v"), "re", "im", g["imsize"].cast("int").alias("size"), F.radians(g["cell"] / 3600).alias("cell"))
+
+
+def i01c(spark: SparkSession, sf: str) -> DataFrame:
+    """Images of the second array in blocks: the pixels at given places of each image and beam."""
+    blocks = image_blocks(_wide_uv(spark, sf))
+    at = F.explode(F.array(*(F.struct(F.floor(x * F.col("size")).cast("int").alias("x"), F.floor(y * F.col("size")).cast("int").alias("y")) for x, y in _PLACES))).alias("p")
+    near = blocks.select("*", at).where((F.col("p.y") >= F.col("y0")) & (F.col("p.y") < F.col("y0") + F.size("data") / F.col("size")))
+    value = F.get("data", (F.col("p.y") - F.col("y0")) * F.col("size") + F.col("p.x"))
+    return near.select("image_key", "plane", "p.x", "p.y", F.round(value.cast("double"), 4).alias("value"))
+
+
+_TAPER = lambda e: "CASE WHEN {e} <= {l} THEN {a} ELSE {b} END".format(e=f"abs({e})", l=im.LIMIT, **{n: "(" + " + ".join(f"{c!r} * power({e} * {e} - {q!r}, {i})" for i, c in enumerate(im.NUMERATORS[k])) + ") / (" + " + ".join(f"{c!r} * power({e} * {e} - {q!r}, {i})" for i, c in enumerate(im.DENOMINATORS[k])) + ")" for n, k, q in (("a", 0, im.LIMIT**2), ("b", 1, 1.0))})
+_WIDE_UV = f"""WITH m AS (SELECT least(a, b) AS ant1, greatest(a, b) AS ant2, k, avg(re) AS re, avg(im) AS im FROM (SELECT l_suppkey % {_ANTS} AS a, l_partkey % {_ANTS} AS b, l_linenumber % 3 AS k, l_quantity - 25.5 AS re, round(l_discount * 100) - 4.5 AS im FROM lineitem) WHERE a <> b GROUP BY ALL),
+h AS (SELECT *, 2e9 + 4e8 * [{', '.join(map(str, _WIDE))}][k + 1] + 12.5e6 AS hz, [1280, 2560, 5120][k + 1] AS size FROM m),
+uv AS (SELECT k::INT AS image_key, size, {SPEED} / hz / 3000.0 / 3 AS cell, (20.0 * power(1.08, ant2) * cos(2.1 * ant2) - 20.0 * power(1.08, ant1) * cos(2.1 * ant1)) * hz / {SPEED} AS u, (20.0 * power(1.08, ant2) * sin(2.1 * ant2) - 20.0 * power(1.08, ant1) * sin(2.1 * ant1)) * hz / {SPEED} AS v, re, im FROM h)"""
+_WIDE_SQL = (
+    _WIDE_UV
+    + _GRID.replace("image_key, abs(u) / 20.0", "image_key, size, abs(u) * 2 * size * cell").replace("END / 20.0 AS gv", "END * 2 * size * cell AS gv").replace("SELECT image_key, -gu", "SELECT image_key, size, -gu").replace("SELECT image_key, floor(gu)", "SELECT image_key, size, floor(gu)").replace("SELECT image_key, iu::BIGINT", "SELECT image_key, any_value(size) AS size, iu::BIGINT").replace("WHERE du < 3", "WHERE iu < size AND abs(iv) < size AND du < 3").replace("GROUP BY 1, 2, 3)", "GROUP BY image_key, iu, iv)")
+    + f""", q AS (SELECT image_key, size, iu, iv, plane, CASE WHEN plane = 0 THEN re ELSE beam END * CASE WHEN iu = 0 THEN 1 ELSE 2 END AS re, CASE WHEN plane = 0 THEN im ELSE 0 END * CASE WHEN iu = 0 THEN 1 ELSE 2 END AS im FROM g, (VALUES (0), (1)) p(plane)),
+pl AS (SELECT unnest([{', '.join(f"{{'x': {x}, 'y': {y}}}" for x, y in _PLACES)}]) AS p),
+z AS (SELECT image_key, size, plane, floor(p.x * size)::INT AS x, floor(p.y * size)::INT AS y, sum(re * cos(pi() * (iu * (floor(p.x * size) - size // 2) + iv * (floor(p.y * size) - size // 2)) / size) + im * sin(pi() * (iu * (floor(p.x * size) - size // 2) + iv * (floor(p.y * size) - size // 2)) / size)) AS s FROM q, pl GROUP BY 1, 2, 3, 4, 5),
+t AS (SELECT *, s / ({_TAPER('((x - size // 2) / size)')}) / ({_TAPER('((y - size // 2) / size)')}) AS v FROM z),
+top AS (SELECT image_key, max(v) AS peak FROM t WHERE plane = 1 AND x = size // 2 AND y = size // 2 GROUP BY 1)
+SELECT image_key, plane, x, y, round((v / peak)::FLOAT::DOUBLE, 4) + 0.0 AS value FROM t JOIN top USING (image_key)"""
+)
+register("i01_block_image", i01c, _WIDE_SQL)
+
+
 for _name, _run in {"i01_dirty_image": i01, "i03_clean_beam": i03, "i04_hogbom": i04, "i05_steer": i05, "i06_hybrid_clean": i06b, "i04_hogbom_components": i01b, "i07_disk_offset": i07, "i13_refine_peaks": i13, "i14_batch_clean": i14}.items():
     register(_name, _run)

@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _own: list[str] = []
 
@@ -22,3 +22,10 @@ def new_dir(spark: SparkSession, name: str) -> str:
             _own.append("file://" + own)
         base = _own[0]
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Write a table into a new folder and read it again: what is read twice is made once, and lineage ends there."""
+    path = new_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
