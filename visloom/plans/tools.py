@@ -16,6 +16,8 @@ from visloom.plans import fixtures as fx
 from visloom.plans.joins import _banded
 from visloom.plans.scalars import r6
 from visloom.registry import register
+from visloom.scratch import new_dir
+from visloom.sources.flagversions import MERGES, FlagVersions
 
 SPEED = 299792458.0
 
@@ -124,6 +126,30 @@ def d08(spark: SparkSession, sf: str) -> DataFrame:
 register("d08_flag_versions", d08, fx.with_views(_FLAGGED + ", s AS (SELECT *, CASE WHEN chan % 2 = 0 THEN re > 10 END AS sv FROM fv) SELECT 'replace' AS how, count(*) FILTER (coalesce(sv, flag)) AS flagged FROM s UNION ALL SELECT 'and', count(*) FILTER (flag AND coalesce(sv, false)) FROM s UNION ALL SELECT 'or', count(*) FILTER (flag OR coalesce(sv, false)) FROM s", "visu"))
 
 
+def d08b(spark: SparkSession, sf: str) -> DataFrame:
+    """A life of versions: three saves, one of them merged into another, one deleted; then what is left, put back in three ways."""
+    banded = lambda flag: fx.visu(spark, sf).select("frame_id", (F.col("frame_id") % 4).cast("int").alias("sub_band"), "bl", "chan", flag.alias("flag"))
+    store = FlagVersions(spark, new_dir(spark, "flags"))
+    store.save(banded(F.col("re") > 10).where("chan % 2 = 0"), "first", "bright")
+    store.save(banded(F.col("im") < 0), "second", "below")
+    store.save(banded(F.col("re") < -15).where("chan % 4 = 0"), "first", "bright or dark", merge="or")
+    store.save(banded(F.lit(True)), "third", "all")
+    store.delete("third")
+    now = banded(F.col("re") * F.col("re") + F.col("im") * F.col("im") > 500)
+    parts = [store.restore(now, *names, merge=how).select(F.lit(how).alias("how"), F.lit("+".join(names)).alias("version"), "sub_band", "chan", "flag") for how in MERGES for names in (("first",), ("first", "second"))]
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.union(p)
+    listed = F.lit("; ".join(f"{n}: {c}" for n, c in store.versions())).alias("listed")
+    return rows.groupBy("how", "version", "sub_band", "chan").agg(F.count_if("flag").alias("flagged"), F.count("*").alias("n")).select("*", listed)
+
+
+register("d08_flag_store", d08b, fx.with_views(_FLAGGED + """, s AS (SELECT *, frame_id % 4 AS sub_band, CASE WHEN chan % 2 = 0 THEN re > 10 OR (chan % 4 = 0 AND re < -15) END AS a, im < 0 AS b FROM fv),
+r AS (SELECT *, coalesce(a, flag) AS x1, flag AND coalesce(a, false) AS x2, flag OR coalesce(a, false) AS x3 FROM s),
+u AS (SELECT how, version, sub_band, chan, f FROM (SELECT *, unnest([{'how': 'replace', 'version': 'first', 'f': x1}, {'how': 'and', 'version': 'first', 'f': x2}, {'how': 'or', 'version': 'first', 'f': x3}, {'how': 'replace', 'version': 'first+second', 'f': b}, {'how': 'and', 'version': 'first+second', 'f': x2 AND b}, {'how': 'or', 'version': 'first+second', 'f': x3 OR b}], recursive := true) FROM r))
+SELECT how, version, sub_band::INT AS sub_band, chan, count(*) FILTER (f) AS flagged, count(*) AS n, 'first: bright or dark; second: below' AS listed FROM u GROUP BY ALL""", "visu"))
+
+
 def d09(spark: SparkSession, sf: str) -> DataFrame:
     v = vt.select_rows(fx.vis(spark, sf), F.col("ant1").isin(1, 2, 3, 5, 8), F.col("chan").between(2, 12), F.col("obs_ts") >= "1994-01-01", F.abs("re") < 20)
     return v.groupBy("ant1", "scan").agg(F.count("*").alias("n"), F.sum("im").alias("im"))
