@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from visloom.operators.vistable import fitted, polynomials
+from visloom.operators.vistable import fitted, polynomials, quantiles
+from visloom.scratch import store
 
 
 def drop_bad_antennas(vis: DataFrame, bad: DataFrame) -> DataFrame:
@@ -74,6 +76,60 @@ def crop(vis: DataFrame, keys: list[str], along: str, value: str, cutoff: float,
     return rest.join(spread, keys).withColumn("flag", F.abs("_rest") > cutoff * F.col("_s")).select(*(c for c in vis.columns if c != "flag"), "flag")
 
 
+@dataclass(frozen=True)
+class Direction:
+    """An axis along which values are fitted in groups of rows: polynomials of an order on so many pieces, and how many deviations a value may lie off."""
+
+    keys: tuple[str, ...]
+    along: str
+    cutoff: float
+    order: int = 1
+    pieces: int = 1
+
+
+#: Deviation of normally distributed values over the median of their distances.
+SIGMA = 1.4826
+#: Distances that are rounding.
+TINY = 1e-6
+
+
+def crop_once(vis: DataFrame, d: Direction, value: str) -> DataFrame:
+    """flag: also what lies off the curve of its group; neither the curve nor the deviation sees flagged rows.
+
+    The deviation is that of the median distance, so what is to be flagged doesn't widen it. A group without an
+    unflagged row stays as it is.
+    """
+    keys, good = list(d.keys), ~F.col("flag")
+    cut, pieces = vis, keys
+    if d.pieces > 1:
+        span = vis.groupBy(*keys).agg(F.min(d.along).alias("_lo"), F.max(d.along).alias("_hi"))
+        n = F.when(F.col("_hi") > F.col("_lo"), F.least(F.floor((F.col(d.along) - F.col("_lo")) * d.pieces / (F.col("_hi") - F.col("_lo"))), F.lit(d.pieces - 1))).otherwise(0)
+        cut, pieces = vis.join(span, keys).withColumn("_piece", n).drop("_lo", "_hi"), [*keys, "_piece"]
+    rest = cut.join(polynomials(cut, pieces, d.along, [value], d.order, good), pieces)
+    rest = rest.withColumn("_rest", F.when(F.col(f"fit_{value}").isNotNull(), F.abs(F.col(value) - fitted(d.along, value, d.order))))
+    spread = quantiles(rest.where(good & F.col("_rest").isNotNull()), keys, "_rest", {"_s": 0.5})
+    far = F.coalesce(F.col("_rest") > d.cutoff * SIGMA * F.col("_s") + TINY, F.lit(False))
+    return rest.join(spread, keys, "left").withColumn("flag", F.col("flag") | far).select(*vis.columns)
+
+
+def crop_until_stable(vis: DataFrame, directions: list[Direction], value: str) -> DataFrame:
+    """vis with flag: directions take turns, each flagging by what the others have left, until none flags any more.
+
+    Flags are only ever added, so this ends; each turn's flags are written to the shared folder, which ends lineage. A
+    null flag is none, and vis without one begins with none. A null value is never flagged and never fitted.
+    """
+    now = vis.withColumn("flag", F.coalesce(F.col("flag"), F.lit(False)) if "flag" in vis.columns else F.lit(False))
+    quiet, turn, before = 0, 0, -1
+    while quiet < len(directions):
+        now = store(crop_once(now, directions[turn % len(directions)], value), "crop")
+        flagged = now.where("flag").count()
+        if turn == 0:
+            before = vis.where("flag").count() if "flag" in vis.columns else 0
+        quiet = 0 if flagged > before else quiet + 1
+        before, turn = flagged, turn + 1
+    return now
+
+
 def crop_sliding(vis: DataFrame, keys: list[str], along: str, value: str, cutoff: float, half: int) -> DataFrame:
     """flag: values further than cutoff deviations from the mean of the window of `half` neighbours to either side."""
     w = W.partitionBy(*keys).orderBy(along).rowsBetween(-half, half)

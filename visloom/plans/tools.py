@@ -108,6 +108,25 @@ def d06c(spark: SparkSession, sf: str) -> DataFrame:
 register("d06_crop_sliding", d06c, fx.with_views("WITH m AS (SELECT bl, frame_id, avg(re) AS re FROM visu GROUP BY 1, 2) SELECT bl, count(*) FILTER (abs(re - a) > 1.8 * s) AS flagged, count(*) AS n FROM (SELECT *, avg(re) OVER w AS a, stddev_pop(re) OVER w AS s FROM m WINDOW w AS (PARTITION BY bl ORDER BY frame_id ROWS BETWEEN 5 PRECEDING AND 5 FOLLOWING)) GROUP BY 1", "visu"))
 
 
+def d06d(spark: SparkSession, sf: str) -> DataFrame:
+    """Samples with interference of three strengths: lines over each antenna's channels and over each channel's frames take turns until nothing is flagged any more."""
+    off = F.when(F.col("frame_id") % 97 == 5, 900.0).when(F.col("frame_id") % 61 == 3, 120.0).when(F.col("chan") == 11, 60.0).otherwise(0.0)
+    v = fx.visu(spark, sf).withColumn("amp", F.col("re") + off * F.when(F.col("ant1") % 2 == 0, 1.0).otherwise(-1.0) + F.col("chan") * 3.0)
+    turns = [fl.Direction(("ant1",), "chan", 1.8), fl.Direction(("ant1", "chan"), "frame_id", 2.2)]
+    done = fl.crop_until_stable(v.select("frame_id", "bl", "ant1", "chan", "amp"), turns, "amp")
+    return done.groupBy("ant1", "chan").agg(F.count_if("flag").alias("flagged"), F.count("*").alias("n"))
+
+
+_TURNS = """WITH RECURSIVE x AS (SELECT frame_id, bl, ant1, chan, re + CASE WHEN frame_id % 97 = 5 THEN 900.0 WHEN frame_id % 61 = 3 THEN 120.0 WHEN chan = 11 THEN 60.0 ELSE 0.0 END * CASE WHEN ant1 % 2 = 0 THEN 1.0 ELSE -1.0 END + chan * 3.0 AS amp FROM visu),
+r AS (SELECT *, false AS flag, 0 AS turn, 0 AS quiet FROM x UNION ALL
+  SELECT frame_id, bl, ant1, chan, amp, flag OR new, turn + 1, CASE WHEN bool_or(new) OVER () THEN 0 ELSE quiet + 1 END FROM (
+    SELECT *, NOT flag AND coalesce(rest > cut * 1.4826 * median(CASE WHEN NOT flag THEN rest END) OVER (PARTITION BY g) + 1e-6, false) AS new FROM (
+      SELECT *, abs(amp - avg(CASE WHEN NOT flag THEN amp END) OVER (PARTITION BY g) - coalesce(regr_slope(CASE WHEN NOT flag THEN amp END, p) OVER (PARTITION BY g), 0) * (p - avg(CASE WHEN NOT flag THEN p END) OVER (PARTITION BY g))) AS rest FROM (
+        SELECT *, CASE WHEN turn % 2 = 0 THEN ant1 * 100 ELSE ant1 * 100 + chan + 1 END AS g, CASE WHEN turn % 2 = 0 THEN chan ELSE frame_id END::DOUBLE AS p, CASE WHEN turn % 2 = 0 THEN 1.8 ELSE 2.2 END AS cut FROM r WHERE quiet < 2))))
+SELECT ant1, chan, count(*) FILTER (flag) AS flagged, count(*) AS n FROM r WHERE turn = (SELECT max(turn) FROM r) GROUP BY 1, 2"""
+register("d06_crop_turns", d06d, fx.with_views(_TURNS, "visu").replace("WITH vis AS", "WITH RECURSIVE vis AS", 1).replace(",  RECURSIVE x AS", ", x AS", 1))
+
+
 def d07(spark: SparkSession, sf: str) -> DataFrame:
     return fl.summary(_flagged(spark, sf), [["chan"], ["ant1"], ["ant1", "chan"], []])
 
