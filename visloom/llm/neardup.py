@@ -148,9 +148,10 @@ def _bit_filter(ids: DataFrame) -> tuple[Broadcast, Column]:
     m = min(FILTER_BITS, max(1 << 16, 1 << (16 * ids.count()).bit_length()))
     slot = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(m))
     bits = np.zeros(m // 8, np.uint8)
-    words = ids.select(slot.alias("s")).groupBy(F.shiftright("s", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(s % 64 AS INT))")).alias("v"))
-    for r in words.toLocalIterator(prefetchPartitions=True):
-        bits[r["w"] * 8 : r["w"] * 8 + 8] = np.frombuffer(np.int64(r["v"]).tobytes(), np.uint8)
+    # One row of 4 KB for each 32768 bits: a few thousand rows at most, in one job.
+    parts = ids.select(slot.alias("s")).groupBy(F.shiftright("s", 15).alias("w")).agg(F.bitmap_construct_agg(F.col("s") % (1 << 15)).alias("v"))
+    for r in parts.collect():
+        bits[r["w"] << 12 : (r["w"] + 1) << 12] = np.frombuffer(r["v"], np.uint8)
     return ids.sparkSession.sparkContext.broadcast(bits.tobytes()), slot
 
 
