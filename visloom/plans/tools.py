@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from visloom.operators import cubes as cu
 from visloom.operators import flagging as fl
 from visloom.operators import imaging as im
+from visloom.operators import metadata as md
 from visloom.operators import vistable as vt
 from visloom.functions.signal import image_geometry
 from visloom.operators.blockimages import image_blocks
 from visloom.operators.geometry import baseline_index
+from visloom.operators.timecube import TimeCube
 from visloom.plans import fixtures as fx
 from visloom.plans.joins import _banded
 from visloom.plans.scalars import r6
@@ -22,6 +24,90 @@ from visloom.sources.flagversions import MERGES, FlagVersions
 SPEED = 299792458.0
 
 
+def _observed(spark: SparkSession, sf: str) -> DataFrame:
+    """Exposures of receivers: an order line is one of as many hours as its quantity, of a field in a spectral window."""
+    x = fx.table(spark, sf, "lineitem")
+    start = F.unix_seconds(F.col("l_shipdate").cast("timestamp")) + F.col("l_linenumber") * 1800
+    return x.select(
+        F.col("l_suppkey").cast("long").alias("receiver"), (F.col("l_partkey") % 5).cast("int").alias("field"), (F.col("l_orderkey") % 4).cast("int").alias("spw"), (F.floor("l_extendedprice").cast("long") % 16).cast("int").alias("chan"),
+        start.alias("start"), (start + F.col("l_quantity").cast("long") * 3600).alias("end"),
+    )
+
+
+_OBSERVED = "WITH o AS (SELECT l_suppkey::BIGINT AS receiver, (l_partkey % 5)::INT AS field, (l_orderkey % 4)::INT AS spw, (floor(l_extendedprice)::BIGINT % 16)::INT AS chan, epoch(l_shipdate::TIMESTAMP)::BIGINT + l_linenumber * 1800 AS s, epoch(l_shipdate::TIMESTAMP)::BIGINT + l_linenumber * 1800 + l_quantity::BIGINT * 3600 AS e FROM lineitem)"
+_SEEN = _OBSERVED + ", p AS (SELECT *, max(e) OVER (PARTITION BY receiver ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM o)"
+_SCANS = _SEEN + ", n AS (SELECT *, sum((seen IS NULL OR s > seen + 86400)::INT) OVER (PARTITION BY receiver ORDER BY s, e ROWS UNBOUNDED PRECEDING)::BIGINT AS scan FROM p)"
+_MONTH = 30 * 86400
+
+
+def d30b(spark: SparkSession, sf: str) -> DataFrame:
+    return md.exposure(_observed(spark, sf), ["receiver"], "start", "end", _MONTH)
+
+
+register("d30_exposure", d30b, _SEEN + " SELECT receiver, sum(greatest(e - greatest(s, coalesce(seen, s)), 0))::BIGINT AS covered, sum(e - s)::BIGINT AS total, min_by(e - s, {'s': s, 'e': e}) AS first, count(*) AS n FROM p GROUP BY 1")
+
+
+def _scanned(spark: SparkSession, sf: str) -> DataFrame:
+    return md.scans(_observed(spark, sf), ["receiver"], "start", "end", 86400, _MONTH)
+
+
+def d30c(spark: SparkSession, sf: str) -> DataFrame:
+    return md.scan_list(_scanned(spark, sf), ["receiver"], "start", "end", "start")
+
+
+register("d30_scans", d30c, _SCANS + " SELECT receiver, scan, min(s) AS first, max(e) AS last, count(*) AS rows, count(DISTINCT s) AS times FROM n GROUP BY 1, 2")
+
+
+def d30d(spark: SparkSession, sf: str) -> DataFrame:
+    """Nested lists, as text: receiver and its scans of each field."""
+    each = F.transform("scans", lambda x: F.concat(x["receiver"].cast("string"), F.lit(":"), F.array_join(x["scans"].cast("array<string>"), ",")))
+    return md.scans_by_field(_scanned(spark, sf), "field", ["receiver"]).select("field", F.size("scans").cast("long").alias("receivers"), F.sha2(F.array_join(each, ";"), 256).alias("scans"))
+
+
+register("d30_scans_by_field", d30d, _SCANS + ", f AS (SELECT field, receiver, string_agg(scan::VARCHAR, ',' ORDER BY scan) AS l FROM (SELECT DISTINCT field, receiver, scan FROM n) GROUP BY 1, 2) SELECT field, count(*) AS receivers, sha256(string_agg(receiver::VARCHAR || ':' || l, ';' ORDER BY receiver)) AS scans FROM f GROUP BY 1")
+
+
+def d30e(spark: SparkSession, sf: str) -> DataFrame:
+    """Times by scan and window, counted and summed by receiver and window."""
+    t = md.times_by_scan(_scanned(spark, sf), ["receiver"], "start", "spw")
+    return t.groupBy("receiver", "spw").agg(F.count("*").alias("times"), F.sum(F.col("start") * F.col("scan")).alias("weighted"))
+
+
+register("d30_times_by_scan", d30e, _SCANS + " SELECT receiver, spw, count(*) AS times, sum(s * scan)::BIGINT AS weighted FROM (SELECT DISTINCT receiver, scan, spw, s FROM n) GROUP BY 1, 2")
+
+
+def d30f(spark: SparkSession, sf: str) -> DataFrame:
+    w = md.spectral_windows(_observed(spark, sf), "spw", (F.col("spw") + 1) * 4e8 + F.col("chan") * 25e6 + 12.5e6, "field")
+    return w.select("spw", r6(F.col("mean_hz"), 3).alias("mean_hz"), "channels", F.array_join(F.col("fields").cast("array<string>"), ",").alias("fields"))
+
+
+register("d30_spectral_windows", d30f, _OBSERVED + " SELECT spw, round(avg(DISTINCT (spw + 1) * 4e8 + chan * 25e6 + 12.5e6), 3) + 0.0 AS mean_hz, count(DISTINCT chan) AS channels, array_to_string(list_sort(list(DISTINCT field)), ',') AS fields FROM o GROUP BY 1")
+
+
+def _with_auto(spark: SparkSession, sf: str) -> DataFrame:
+    """Samples of two antennas or of one with itself."""
+    a = [(F.col(c) % 40).cast("int") for c in ("l_suppkey", "l_partkey")]
+    return fx.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("frame_id"), F.least(*a).alias("ant1"), F.greatest(*a).alias("ant2"), (F.col("l_quantity") > 20).alias("flag"))
+
+
+_AUTO = "WITH a AS (SELECT l_orderkey AS frame_id, least(l_suppkey % 40, l_partkey % 40)::INT AS ant1, greatest(l_suppkey % 40, l_partkey % 40)::INT AS ant2, l_quantity > 20 AS flag FROM lineitem)"
+
+
+def d30g(spark: SparkSession, sf: str) -> DataFrame:
+    return md.row_counts(_with_auto(spark, sf), ["frame_id", "ant1", "ant2"], F.col("ant1") == F.col("ant2"), "flag")
+
+
+register("d30_rows", d30g, _AUTO + ", r AS (SELECT frame_id, ant1, ant2, bool_and(flag) AS bad FROM a GROUP BY 1, 2, 3) SELECT count(*) AS rows, count(*) FILTER (ant1 <> ant2) AS cross, count(*) FILTER (NOT bad) AS good, count(*) FILTER (NOT bad AND ant1 <> ant2) AS cross_good FROM r")
+
+
+def d30h(spark: SparkSession, sf: str) -> DataFrame:
+    m = md.baseline_matrix(_with_auto(spark, sf))
+    return m.select("ant1", F.array_join(F.col("partners").cast("array<string>"), ",").alias("partners"))
+
+
+register("d30_baselines", d30h, _AUTO + " SELECT ant1, string_agg(ant2::VARCHAR, ',' ORDER BY ant2) AS partners FROM (SELECT ant1, ant2 FROM a UNION SELECT ant2, ant1 FROM a) GROUP BY 1")
+
+
 def _flagged(spark: SparkSession, sf: str) -> DataFrame:
     return fx.visu(spark, sf).withColumn("flag", F.col("re") * F.col("re") + F.col("im") * F.col("im") > 500)
 
@@ -327,6 +413,22 @@ def d23(spark: SparkSession, sf: str) -> DataFrame:
 register("d23_cube", d23, fx.with_views("SELECT ant1, ant2, " + ", ".join(f"round(coalesce(avg(re) FILTER (chan = {k}), 0), 5) + 0.0 AS t{k}" for k in range(16)) + " FROM vis GROUP BY 1, 2", "vis"))
 
 
+def _weekly(spark: SparkSession, sf: str) -> DataFrame:
+    return fx.vis(spark, sf).withColumn("week", F.floor(F.unix_seconds(F.col("obs_ts").cast("timestamp")) / 604800)).where("ant1 % 7 <> week % 5")
+
+
+def d23b(spark: SparkSession, sf: str) -> DataFrame:
+    """The cube of all pairs and weeks, summed by pair with weights of the week, and averaged over time."""
+    cube = TimeCube(_weekly(spark, sf), "week", "re", default=-1.0, width=100)
+    c = cube.cells().groupBy("ant1", "ant2").agg(F.count("*").alias("times"), F.count_if(~F.col("known")).alias("missing"), r6(F.sum(F.col("value") * (F.col("week") % 11)), 4).alias("weighted"))
+    return c.join(cube.time_average(), ["ant1", "ant2"]).select("ant1", "ant2", "times", "missing", "weighted", "n", r6(F.col("mean"), 5).alias("mean"))
+
+
+register("d23_time_cube", d23b, fx.with_views("""WITH w AS (SELECT *, floor(epoch(obs_ts::TIMESTAMP) / 604800)::BIGINT AS week FROM vis), u AS (SELECT ant1, ant2, week, avg(re) AS re FROM w WHERE ant1 % 7 <> week % 5 GROUP BY 1, 2, 3),
+g AS (SELECT p.ant1, p.ant2, t.week, u.re FROM (SELECT DISTINCT ant1, ant2 FROM u) p CROSS JOIN (SELECT DISTINCT week FROM u) t LEFT JOIN u ON u.ant1 = p.ant1 AND u.ant2 = p.ant2 AND u.week = t.week)
+SELECT ant1, ant2, count(*) AS times, count(*) FILTER (re IS NULL) AS missing, round(sum(coalesce(re, -1.0) * (week % 11)), 4) + 0.0 AS weighted, count(re) AS n, round(avg(re), 5) + 0.0 AS mean FROM g GROUP BY 1, 2""", "vis"))
+
+
 def d24(spark: SparkSession, sf: str) -> DataFrame:
     c = cu.collapse(fx.pixels(spark, sf), ["x", "label"])
     return c.select("x", "label", "max", "min", "sum", *(r6(F.col(k), 3).alias(k) for k in ("mean", "median", "rms", "stdev", "variance")))
