@@ -41,7 +41,8 @@ def scans(rows: DataFrame, keys: list[str], start: str, end: str, gap: int, widt
     s = s.withColumn("_begins", begins)
     counts = s.groupBy(*keys, "_bucket").agg(F.sum("_begins").alias("_n"))
     before = counts.select(*keys, "_bucket", F.coalesce(F.sum("_n").over(W.partitionBy(*keys).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_scans"))
-    here = F.sum("_begins").over(W.partitionBy(*keys, "_bucket").orderBy(start, end).rowsBetween(W.unboundedPreceding, 0))
+    # Of intervals alike the one that begins a scan comes first.
+    here = F.sum("_begins").over(W.partitionBy(*keys, "_bucket").orderBy(start, end, F.desc("_begins")).rowsBetween(W.unboundedPreceding, 0))
     same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in [*keys, "_bucket"]]
     met = s.withColumn("_here", here).alias("a").join(before.alias("b"), same).select("a.*", "b._scans")
     return met.withColumn("scan", F.col("_here") + F.col("_scans")).select(*rows.columns, "scan")

@@ -36,7 +36,7 @@ def _observed(spark: SparkSession, sf: str) -> DataFrame:
 
 _OBSERVED = "WITH o AS (SELECT l_suppkey::BIGINT AS receiver, (l_partkey % 5)::INT AS field, (l_orderkey % 4)::INT AS spw, (floor(l_extendedprice)::BIGINT % 16)::INT AS chan, epoch(l_shipdate::TIMESTAMP)::BIGINT + l_linenumber * 1800 AS s, epoch(l_shipdate::TIMESTAMP)::BIGINT + l_linenumber * 1800 + l_quantity::BIGINT * 3600 AS e FROM lineitem)"
 _SEEN = _OBSERVED + ", p AS (SELECT *, max(e) OVER (PARTITION BY receiver ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM o)"
-_SCANS = _SEEN + ", n AS (SELECT *, sum((seen IS NULL OR s > seen + 86400)::INT) OVER (PARTITION BY receiver ORDER BY s, e ROWS UNBOUNDED PRECEDING)::BIGINT AS scan FROM p)"
+_SCANS = _SEEN + ", n AS (SELECT *, sum((seen IS NULL OR s > seen + 86400)::INT) OVER (PARTITION BY receiver ORDER BY s, e, (seen IS NULL OR s > seen + 86400) DESC ROWS UNBOUNDED PRECEDING)::BIGINT AS scan FROM p)"
 _MONTH = 30 * 86400
 
 
