@@ -40,6 +40,14 @@ def quack(vis: DataFrame, seconds: float, keys: list[str], time: str) -> DataFra
     return vis.join(first, keys).withColumn("flag", hit).drop("_first")
 
 
+def clip_averaged(vis: DataFrame, row: list[str], width: int, low: float, high: float) -> DataFrame:
+    """flag: all channels of a run of `width` whose mean visibility has an amplitude outside of [low, high]; row names what a sample is besides its channel."""
+    run = F.floor(F.col("chan") / width)
+    mean = vis.groupBy(*row, run.alias("_run")).agg(F.avg("re").alias("_re"), F.avg("im").alias("_im"))
+    amp = F.sqrt(F.col("_re") ** 2 + F.col("_im") ** 2)
+    return vis.withColumn("_run", run).join(mean, [*row, "_run"]).withColumn("flag", ~amp.between(low, high)).drop("_run", "_re", "_im")
+
+
 def flag_elevation(vis: DataFrame, altitude: Column, lower: float, upper: float) -> DataFrame:
     return vis.withColumn("flag", ~altitude.between(lower, upper))
 

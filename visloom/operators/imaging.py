@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from visloom.scratch import store
+
 HALF_WIDTH = 3
 
 # Rational approximation of the spheroidal function of width 6 and exponent 1 (Schwab 1984), numerators
@@ -153,17 +155,31 @@ def peaks(series: DataFrame, keys: list[str], order: str, value: str, threshold:
     return turned.join(span, keys).where(top).select(*keys, order, value)
 
 
-def suppress(found: DataFrame, keys: list[str], order: str, value: str, distance: int) -> DataFrame:
-    """Of peaks closer than a distance only the highest stays, taken greedily from the top of each series."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([value, order], ascending=[False, True])
-        at, keep = pdf[order].to_numpy(), np.zeros(len(pdf), bool)
-        for i in range(len(pdf)):
-            keep[i] = not np.any(np.abs(at[:i][keep[:i]] - at[i]) <= distance)
-        return pdf[keep]
+def suppress(found: DataFrame, keys: list[str], order: str, value: str, distance: float) -> DataFrame:
+    """Of peaks closer than a distance, or as far apart, only the highest stays, taken greedily from the top of each series; of equals the first.
 
-    return found.groupBy(*keys).applyInPandas(run, found.schema)
+    In rounds: a peak that no undecided one within the distance outranks stays, and its neighbours go; that is what the
+    greedy walk does, for many places of a series at once. Peaks meet their neighbours by cells of the distance's
+    width, so a series may be of any length. Rounds are as many as the longest chain of peaks each of which the next
+    one outranks. A peak without a value is none, and rows that repeat one count as one.
+    """
+    width = max(float(distance), 1e-9)
+    cell = F.floor(F.col(order) / width)
+    rank = lambda side: (F.col(f"{side}.{value}"), -F.col(f"{side}.{order}"))
+    same = lambda: [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+    # State 0 is undecided, 1 stays; those that go are left out.
+    state = store(found.where(F.col(value).isNotNull() & F.col(order).isNotNull()).select(*keys, order, value).distinct().withColumn("_state", F.lit(0)), "peaks")
+    while state.where("_state = 0").limit(1).count():
+        here = state.withColumn("_cell", cell)
+        around = here.select("*", F.explode(F.array(F.col("_cell") - 1, F.col("_cell"), F.col("_cell") + 1)).alias("_at")).drop("_cell")
+        near = F.abs(F.col(f"a.{order}") - F.col(f"b.{order}")) <= distance
+        met = here.where("_state = 0").alias("a").join(around.alias("b"), [*same(), F.col("a._cell") == F.col("b._at"), near, (F.col(f"a.{order}") != F.col(f"b.{order}")) | (F.col(f"a.{value}") != F.col(f"b.{value}"))], "left")
+        above = (F.col("b._state") == 0) & ((rank("b")[0] > rank("a")[0]) | ((rank("b")[0] == rank("a")[0]) & (rank("b")[1] > rank("a")[1])))
+        flags = met.groupBy(*(F.col(f"a.{k}").alias(k) for k in [*keys, order, value])).agg(F.coalesce(F.bool_or(F.col("b._state") == 1), F.lit(False)).alias("_gone"), F.coalesce(F.bool_or(above), F.lit(False)).alias("_below"))
+        kept = flags.where("NOT _gone").select(*keys, order, value, F.when(F.col("_below"), 0).otherwise(1).alias("_state"))
+        state = store(state.where("_state = 1").unionByName(kept), "peaks")
+    rows = [F.col(f"f.{k}").eqNullSafe(F.col(f"s.{k}")) for k in [*keys, order, value]]
+    return found.dropDuplicates([*keys, order, value]).alias("f").join(state.alias("s"), rows, "left_semi")
 
 
 def rescale(series: DataFrame, keys: list[str], value: str, low: float, high: float) -> DataFrame:

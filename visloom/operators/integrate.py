@@ -154,28 +154,58 @@ def merge_chunks(chunks: list[DataFrame], order: str) -> DataFrame:
     return both.withColumn("n", F.row_number().over(W.partitionBy(F.floor(F.col(order) / 60_000_000)).orderBy(order)))
 
 
-def flagged_by_ranges(vis: DataFrame, flags: DataFrame, unit: str = "day") -> DataFrame:
+#: Levels of dyadic cells: 2 ** 40 units of time.
+DEPTH = 40
+#: Ranges of one cell that meet in a task.
+RANGES = 512
+
+
+def _shift(x: Column, k: Column) -> Column:
+    return F.call_function("shiftright", x, k)
+
+
+def dyadic_cells(first: Column, last: Column) -> Column:
+    """The cells (level, at) that make up whole numbers first..last: of each level, 2 ** level wide, two at most."""
+
+    def of(k: Column) -> Column:
+        lo, hi = -_shift(-first, k), _shift(last + 1, k)
+        cell = lambda at, use: F.when((lo < hi) & (use.bitwiseAND(1) == 1), F.named_struct(F.lit("level"), k, F.lit("at"), at))
+        return F.array(cell(lo, lo), cell(hi - 1, hi))
+
+    return F.filter(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(DEPTH)), of)), lambda c: c.isNotNull())
+
+
+def flagged_by_ranges(vis: DataFrame, flags: DataFrame, unit_us: int = 86_400_000_000) -> DataFrame:
     """Rows of vis (source, ant1, ant2, band, chan, obs_ts) inside any row of a flag table.
 
     flags (source, ant_a, ant_b, band, t0, t1, c0, c1): null in source, band or ant_b stands for any, and ant_b may be
-    the baseline's other antenna on either side; null in ant_a flags all antennas. Rows meet by antenna and time
-    bucket, those for all antennas by time bucket alone, and then the bounds are looked at.
+    the baseline's other antenna on either side; null in ant_a flags all antennas. A range is cut into dyadic cells
+    of time, twice the logarithm of its length at most, so a range of a year costs little more than one of a day; a
+    sample asks for the one cell of each level that it lies in, for either antenna and for all of them. Cells that
+    hold many ranges are split into parts by their counts. Asked are the different keys of samples, once for all kinds
+    of ranges; rows then meet those that are flagged.
     """
-    bucket = lambda c: F.date_trunc(unit, c)
-    step = F.expr(f"INTERVAL '1' {unit.upper()}")
-    wide = flags.select("*", F.explode(F.sequence(bucket("t0"), bucket("t1"), step)).alias("bucket"))
-    any_or = lambda f, v: F.col(f"f.{f}").isNull() | (F.col(f"f.{f}") == F.col(f"v.{v}"))
-    inside = _between("v.obs_ts", "f.t0", "f.t1") & F.col("v.chan").between(F.col("f.c0"), F.col("f.c1")) & any_or("source", "source") & any_or("band", "band")
-    v = vis.withColumn("bucket", bucket("obs_ts")).alias("v")
-    same = F.col("v.bucket") == F.col("f.bucket")
-    one, all_ = wide.where("ant_a IS NOT NULL").alias("f"), wide.where("ant_a IS NULL").alias("f")
-    first = (F.col("v.ant1") == F.col("f.ant_a")) & any_or("ant_b", "ant2")
-    second = (F.col("v.ant2") == F.col("f.ant_a")) & any_or("ant_b", "ant1")
-    hit = v.join(one, same & first & inside, "left_semi").select(*vis.columns)
-    rest = v.join(one, same & first & inside, "left_anti").alias("v")
-    hit2 = rest.join(one, same & second & inside, "left_semi").select(*vis.columns)
-    rest2 = rest.join(one, same & second & inside, "left_anti").alias("v")
-    return hit.union(hit2).union(rest2.join(all_, same & inside, "left_semi").select(*vis.columns))
+    us = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    unit = lambda x: F.floor(x / unit_us).cast("long")
+    keys = ["source", "ant1", "ant2", "band", "chan", "obs_ts"]
+    named = flags.select(*(F.col(c).alias(f"f_{c}") for c in ("source", "ant_b", "band", "c0", "c1")), F.coalesce("ant_a", F.lit(-1)).cast("int").alias("ant"), us("t0").alias("f_t0"), us("t1").alias("f_t1"))
+    cells = named.where("f_t0 <= f_t1").select("*", F.explode(dyadic_cells(unit(F.col("f_t0")), unit(F.col("f_t1")))).alias("cell")).select("*", "cell.level", "cell.at").drop("cell")
+    held = cells.groupBy("ant", "level", "at").agg(F.ceil(F.count("*") / RANGES).cast("int").alias("parts"))
+    cells = cells.join(held, ["ant", "level", "at"]).withColumn("part", F.pmod(F.xxhash64(*named.columns), F.col("parts")).cast("int")).drop("parts")
+    levels = [r["level"] for r in held.select("level").distinct().collect()]  # DEPTH at most
+    if not levels:
+        return vis.limit(0)
+    asked = vis.select(*keys).distinct().withColumn("_t", us("obs_ts"))
+    at = F.explode(F.array(*(F.struct(F.lit(k).alias("level"), F.shiftright(unit(F.col("_t")), k).alias("at")) for k in sorted(levels)))).alias("cell")
+    asked = asked.select("*", F.explode(F.array(F.col("ant1").cast("int"), F.col("ant2").cast("int"), F.lit(-1))).alias("ant")).select("*", at).select(*keys, "_t", "ant", "cell.level", "cell.at")
+    asked = asked.join(held, ["ant", "level", "at"]).select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).drop("parts")
+    met = asked.join(cells, ["ant", "level", "at", "part"])
+    any_or = lambda f, v: F.col(f"f_{f}").isNull() | (F.col(f"f_{f}") == F.col(v))
+    other = F.when(F.col("ant") == F.col("ant1"), F.col("ant2")).otherwise(F.col("ant1"))
+    inside = _between("_t", "f_t0", "f_t1") & F.col("chan").between(F.col("f_c0"), F.col("f_c1")) & any_or("source", "source") & any_or("band", "band")
+    hit = met.where(inside & ((F.col("ant") == -1) | F.col("f_ant_b").isNull() | (F.col("f_ant_b") == other))).select(*keys).distinct()
+    same = [F.col(f"v.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys]
+    return vis.alias("v").join(hit.alias("h"), reduce(lambda a, b: a & b, same), "left_semi")
 
 
 def _between(t: str, lo: str, hi: str) -> Column:

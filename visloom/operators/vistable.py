@@ -74,7 +74,12 @@ def quantiles(rows: DataFrame, keys: list[str], value: str, shares: dict[str, fl
     return picked.join(span.select(*keys, "_all"), keys).select(*keys, *between)
 
 
-def statistics(vis: DataFrame, keys: list[str], value: str) -> DataFrame:
+def statistics(vis: DataFrame, keys: list[str], value: str, where: Column | None = None, flag: str | None = None) -> DataFrame:
+    """Count, extrema, sum, mean, deviation, rms and quartiles of a value by keys; of the rows that `where` selects, without those that `flag` flags."""
+    if where is not None:
+        vis = vis.where(where)
+    if flag is not None:
+        vis = vis.where(~F.coalesce(F.col(flag), F.lit(False)))
     v = F.col(value)
     plain = vis.groupBy(*keys).agg(
         F.count(v).alias("n"), F.min(v).alias("low"), F.max(v).alias("high"), F.sum(v).alias("total"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.var_samp(v).alias("var"), F.sqrt(F.avg(v * v)).alias("rms"),
@@ -82,19 +87,32 @@ def statistics(vis: DataFrame, keys: list[str], value: str) -> DataFrame:
     return plain.join(quantiles(vis, keys, value, {"median": 0.5, "q1": 0.25, "q3": 0.75}), keys, "left")
 
 
-def split_time(vis: DataFrame, seconds: float, keys: list[str], weight: str) -> DataFrame:
-    """Weighted means of time bins; keys say what is never averaged over, such as scans."""
+def split_time(vis: DataFrame, seconds: float, keys: list[str], weight: str, step: int = 0, combine: list[str] | None = None) -> DataFrame:
+    """Weighted means of time bins; keys say what is never averaged over, such as scans.
+
+    With a step, so many channels are averaged into one, `out_chan`. Of the keys named in `combine` all are averaged
+    together, and of each the smallest stays beside the mean.
+    """
     bin_ = F.floor(F.unix_micros(F.col("obs_ts").cast("timestamp")) / (seconds * 1e6)).alias("bin")
     w = F.col(weight)
     mean = lambda x: F.sum(F.col(x) * w) / F.sum(w)
-    return vis.groupBy(bin_, *keys).agg(mean("re").alias("re"), mean("im").alias("im"), F.sum(w).alias("weight"))
+    out = [F.floor(F.col("chan") / step).cast("int").alias("out_chan")] if step else []
+    over = [F.min(c).alias(c) for c in combine or []]
+    return vis.groupBy(bin_, *(k for k in keys if k not in (combine or [])), *out).agg(*over, mean("re").alias("re"), mean("im").alias("im"), F.sum(w).alias("weight"))
 
 
-def weights_from_scatter(vis: DataFrame, keys: list[str], least: int) -> DataFrame:
-    """weight: inverse variance of each group's real and imaginary parts; flag where too few samples or no scatter."""
-    s = vis.groupBy(*keys).agg(((F.var_samp("re") + F.var_samp("im")) / 2).alias("_v"), F.count("*").alias("_n"))
+def weights_from_scatter(vis: DataFrame, keys: list[str], least: int, seconds: float | None = None, rms: bool = False) -> DataFrame:
+    """weight: inverse variance of each group's real and imaginary parts; flag where too few samples or no scatter.
+
+    With seconds, groups are cut into bins of time. With rms, the scatter is about 0 and not about the mean.
+    """
+    groups = keys
+    if seconds:
+        vis, groups = vis.withColumn("_bin", F.floor(F.unix_micros(F.col("obs_ts").cast("timestamp")) / (seconds * 1e6))), [*keys, "_bin"]
+    scatter = (lambda c: F.avg(F.col(c) * F.col(c))) if rms else F.var_samp
+    s = vis.groupBy(*groups).agg(((scatter("re") + scatter("im")) / 2).alias("_v"), F.count("*").alias("_n"))
     good = (F.col("_n") >= least) & (F.col("_v") > 0)
-    return vis.join(s.select(*keys, F.when(good, 1 / F.col("_v")).alias("weight"), (~F.coalesce(good, F.lit(False))).alias("flag")), keys)
+    return vis.join(s.select(*groups, F.when(good, 1 / F.col("_v")).alias("weight"), (~F.coalesce(good, F.lit(False))).alias("flag")), groups).drop("_bin")
 
 
 def polynomials(rows: DataFrame, keys: list[str], x: str, values: list[str], order: int, use: Column | None = None) -> DataFrame:

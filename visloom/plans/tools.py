@@ -124,6 +124,15 @@ def d01(spark: SparkSession, sf: str) -> DataFrame:
 register("d01_clip", d01, fx.with_views("SELECT chan, count(*) FILTER (a < 3 OR a > 22 OR a = 0) AS flagged, count(*) AS n FROM (SELECT chan, sqrt(re * re + im * im) AS a FROM vis) GROUP BY 1", "vis"))
 
 
+def d01b(spark: SparkSession, sf: str) -> DataFrame:
+    """Clipped after an average over four channels."""
+    v = fl.clip_averaged(fx.visu(spark, sf), ["frame_id", "bl"], 4, 3.0, 22.0)
+    return v.groupBy("chan").agg(F.count_if("flag").alias("flagged"), F.count("*").alias("n"))
+
+
+register("d01_clip_averaged", d01b, fx.with_views("SELECT chan, count(*) FILTER (NOT sqrt(r * r + i * i) BETWEEN 3 AND 22) AS flagged, count(*) AS n FROM (SELECT chan, avg(re) OVER w AS r, avg(im) OVER w AS i FROM visu WINDOW w AS (PARTITION BY frame_id, bl, chan // 4)) GROUP BY 1", "visu"))
+
+
 def d02(spark: SparkSession, sf: str) -> DataFrame:
     v = fx.vis(spark, sf).withColumn("flag", F.col("re") < -20)
     v = v.withColumn("flag", fl.flag_where(F.col("flag"), (F.col("ant1") == 3) | (F.col("chan").between(4, 6) & (F.col("scan") == "A"))))
@@ -299,6 +308,16 @@ def d12(spark: SparkSession, sf: str) -> DataFrame:
 register("d12_statistics", d12, fx.with_views("SELECT scan, chan, count(a) AS n, min(a) AS low, max(a) AS high, sum(a) AS total, round(avg(a), 3) + 0.0 AS mean, round(stddev_samp(a), 3) + 0.0 AS std, round(var_samp(a), 3) + 0.0 AS var, round(median(a), 3) + 0.0 AS median, round(sqrt(avg(a * a)), 3) + 0.0 AS rms, round(quantile_cont(a, 0.25), 3) + 0.0 AS q1, round(quantile_cont(a, 0.75), 3) + 0.0 AS q3 FROM (SELECT *, re * re + im * im AS a FROM vis) GROUP BY 1, 2", "vis"))
 
 
+def d12b(spark: SparkSession, sf: str) -> DataFrame:
+    """Without flagged rows, under a selection."""
+    v = _flagged(spark, sf).withColumn("amp2", F.col("re") * F.col("re") + F.col("im") * F.col("im"))
+    s = vt.statistics(v, ["chan"], "amp2", where=F.col("ant1") < 20, flag="flag")
+    return s.select("chan", "n", *(r6(F.col(c), 3).alias(c) for c in ("low", "high", "total", "mean", "std", "median", "rms", "q1", "q3")))
+
+
+register("d12_statistics_unflagged", d12b, fx.with_views(_FLAGGED + " SELECT chan, count(a) AS n, " + ", ".join(f"round({x}, 3) + 0.0 AS {n}" for n, x in {"low": "min(a)", "high": "max(a)", "total": "sum(a)", "mean": "avg(a)", "std": "stddev_samp(a)", "median": "median(a)", "rms": "sqrt(avg(a * a))", "q1": "quantile_cont(a, 0.25)", "q3": "quantile_cont(a, 0.75)"}.items()) + " FROM (SELECT *, re * re + im * im AS a FROM fv WHERE ant1 < 20 AND NOT flag) GROUP BY 1", "visu"))
+
+
 def d13(spark: SparkSession, sf: str) -> DataFrame:
     v = fx.vis(spark, sf)
     ifr = F.col("ant1") * 1000 + F.col("ant2")
@@ -316,6 +335,15 @@ def d14(spark: SparkSession, sf: str) -> DataFrame:
 register("d14_split_time", d14, fx.with_views("SELECT floor(epoch_us(obs_ts::TIMESTAMP) / (30 * 86400.0 * 1e6))::BIGINT AS bin, scan, ant1, round(sum(re * (chan + 1.0)) / sum(chan + 1.0), 5) + 0.0 AS re, round(sum(im * (chan + 1.0)) / sum(chan + 1.0), 5) + 0.0 AS im, sum(chan + 1.0)::DOUBLE AS weight FROM vis GROUP BY 1, 2, 3", "vis"))
 
 
+def d14b(spark: SparkSession, sf: str) -> DataFrame:
+    """Four channels into one, over all scans."""
+    v = fx.vis(spark, sf).withColumn("weight", F.col("chan") + 1.0)
+    return vt.split_time(v, 30 * 86400.0, ["scan", "ant1"], "weight", step=4, combine=["scan"]).select("bin", "scan", "ant1", "out_chan", r6(F.col("re"), 5).alias("re"), r6(F.col("im"), 5).alias("im"), "weight")
+
+
+register("d14_split_channels", d14b, fx.with_views("SELECT floor(epoch_us(obs_ts::TIMESTAMP) / (30 * 86400.0 * 1e6))::BIGINT AS bin, min(scan) AS scan, ant1, (chan // 4)::INT AS out_chan, round(sum(re * (chan + 1.0)) / sum(chan + 1.0), 5) + 0.0 AS re, round(sum(im * (chan + 1.0)) / sum(chan + 1.0), 5) + 0.0 AS im, sum(chan + 1.0)::DOUBLE AS weight FROM vis GROUP BY 1, 3, 4", "vis"))
+
+
 def d15(spark: SparkSession, sf: str) -> DataFrame:
     v = vt.weights_from_scatter(fx.vis(spark, sf), ["ant1", "ant2", "scan"], 20)
     return v.groupBy("ant1", "scan").agg(r6(F.sum("weight"), 5).alias("weight"), F.count_if("flag").alias("flagged"))
@@ -324,6 +352,15 @@ def d15(spark: SparkSession, sf: str) -> DataFrame:
 register("d15_scatter_weights", d15, fx.with_views("WITH s AS (SELECT ant1, ant2, scan, (var_samp(re) + var_samp(im)) / 2 AS v, count(*) AS n FROM vis GROUP BY 1, 2, 3) SELECT ant1, scan, round(sum(CASE WHEN n >= 20 AND v > 0 THEN n / v END), 5) + 0.0 AS weight, coalesce(sum(n) FILTER (NOT coalesce(n >= 20 AND v > 0, false)), 0)::BIGINT AS flagged FROM s GROUP BY 1, 2", "vis"))
 
 
+def d15b(spark: SparkSession, sf: str) -> DataFrame:
+    """By antenna in bins of half a year, as rms about 0."""
+    v = vt.weights_from_scatter(fx.vis(spark, sf), ["ant1"], 20, seconds=183 * 86400.0, rms=True)
+    return v.groupBy("ant1").agg(r6(F.sum("weight"), 4).alias("weight"), F.count_if("flag").alias("flagged"))
+
+
+register("d15_scatter_bins", d15b, fx.with_views("WITH s AS (SELECT ant1, floor(epoch_us(obs_ts::TIMESTAMP) / (183 * 86400.0 * 1e6)) AS b, (avg(re * re) + avg(im * im)) / 2 AS v, count(*) AS n FROM vis GROUP BY 1, 2) SELECT ant1, round(sum(CASE WHEN n >= 20 AND v > 0 THEN n / v END), 4) + 0.0 AS weight, coalesce(sum(n) FILTER (NOT coalesce(n >= 20 AND v > 0, false)), 0)::BIGINT AS flagged FROM s GROUP BY 1", "vis"))
+
+
 def d16(spark: SparkSession, sf: str) -> DataFrame:
     v = vt.subtract_continuum(fx.vis(spark, sf), ["ant1", "ant2"], (F.col("chan") < 5) | (F.col("chan") > 10))
     return v.groupBy("ant1", "chan").agg(r6(F.sum("re"), 3).alias("re"), r6(F.sum("im"), 3).alias("im"))
@@ -440,11 +477,11 @@ register("d24_collapse", d24, fx.with_views("SELECT x, label, max(value) AS max,
 def d25(spark: SparkSession, sf: str) -> DataFrame:
     p = fx.pixels(spark, sf).withColumn("value", F.abs("value") + 1)
     m = cu.spectral_moments(p, "image_key")
-    return m.select("x", "y", "max", "max_at", "min", "min_at", *(r6(F.col(k), 3).alias(k) for k in ("mean", "integrated", "coordinate", "dispersion", "median", "std", "rms")))
+    return m.select("x", "y", "max", "max_at", "min", "min_at", *(r6(F.col(k), 3).alias(k) for k in ("mean", "integrated", "coordinate", "dispersion", "median", "std", "rms", "absdev")))
 
 
 register("d25_spectral_moments", d25, fx.with_views("""WITH p AS (SELECT image_key AS c, x, y, abs(value) + 1 AS v FROM pixels), m AS (SELECT x, y, max(v) AS max, min(v) AS min, avg(v) AS mean, sum(v) AS s, sum(v * c) / sum(v) AS coo, sum(v * c * c) AS s2, median(v) AS med, stddev_samp(v) AS std, sqrt(avg(v * v)) AS rms FROM p GROUP BY 1, 2)
-SELECT m.x, m.y, max, (SELECT min(c) FROM p WHERE p.x = m.x AND p.y = m.y AND p.v = m.max) AS max_at, min, (SELECT min(c) FROM p WHERE p.x = m.x AND p.y = m.y AND p.v = m.min) AS min_at, round(mean, 3) + 0.0 AS mean, round(s, 3) + 0.0 AS integrated, round(coo, 3) + 0.0 AS coordinate, round(sqrt(abs(s2 / s - coo ^ 2)), 3) + 0.0 AS dispersion, round(med, 3) + 0.0 AS median, round(std, 3) + 0.0 AS std, round(rms, 3) + 0.0 AS rms FROM m""", "pixels"))
+SELECT m.x, m.y, max, (SELECT min(c) FROM p WHERE p.x = m.x AND p.y = m.y AND p.v = m.max) AS max_at, min, (SELECT min(c) FROM p WHERE p.x = m.x AND p.y = m.y AND p.v = m.min) AS min_at, round(mean, 3) + 0.0 AS mean, round(s, 3) + 0.0 AS integrated, round(coo, 3) + 0.0 AS coordinate, round(sqrt(abs(s2 / s - coo ^ 2)), 3) + 0.0 AS dispersion, round(med, 3) + 0.0 AS median, round(std, 3) + 0.0 AS std, round(rms, 3) + 0.0 AS rms, (SELECT round(avg(abs(p.v - m.mean)), 3) + 0.0 FROM p WHERE p.x = m.x AND p.y = m.y) AS absdev FROM m""", "pixels"))
 
 
 def d26(spark: SparkSession, sf: str) -> DataFrame:
@@ -459,14 +496,21 @@ def d27(spark: SparkSession, sf: str) -> DataFrame:
     return cu.plane_histogram(fx.pixels(spark, sf), 20, -200.0, 200.0)
 
 
-register("d27_plane_histogram", d27, fx.with_views("SELECT image_key, bin, n, (sum(n) OVER (PARTITION BY image_key ORDER BY bin))::BIGINT AS cumulative FROM (SELECT image_key, floor((value + 200.0) * 20 / 400.0)::INT AS bin, count(*) AS n FROM pixels WHERE value >= -200 AND value < 200 GROUP BY 1, 2)", "pixels"))
+register("d27_plane_histogram", d27, fx.with_views("SELECT image_key, bin, n, (sum(n) OVER (PARTITION BY image_key ORDER BY bin))::BIGINT AS cumulative, log10(n) AS log_n FROM (SELECT image_key, least(greatest(floor((value + 200.0) * 20 / 400.0), -1), 20)::INT AS bin, count(*) AS n FROM pixels GROUP BY 1, 2)", "pixels"))
 
 
 def d28(spark: SparkSession, sf: str) -> DataFrame:
     return cu.structure_function(fx.pixels(spark, sf), 2).select("image_key", "dx", "dy", r6(F.col("s"), 3).alias("s"), "n")
 
 
-register("d28_structure_function", d28, fx.with_views("SELECT a.image_key, (b.x - a.x)::INT AS dx, (b.y - a.y)::INT AS dy, round(avg((b.value - a.value) ^ 2), 3) + 0.0 AS s, count(*) AS n FROM pixels a JOIN pixels b ON a.image_key = b.image_key AND b.x - a.x BETWEEN 0 AND 2 AND b.y - a.y BETWEEN 0 AND 2 AND (b.x <> a.x OR b.y <> a.y) GROUP BY 1, 2, 3", "pixels"))
+register("d28_structure_function", d28, fx.with_views("SELECT a.image_key, (b.x - a.x)::INT AS dx, (b.y - a.y)::INT AS dy, round(sum((b.value - a.value) ^ 2)) + 0.0 AS total, count(*) AS n FROM pixels a JOIN pixels b ON a.image_key = b.image_key AND b.x - a.x BETWEEN 0 AND 2 AND b.y - a.y BETWEEN 0 AND 2 AND (b.x <> a.x OR b.y <> a.y) GROUP BY 1, 2, 3", "pixels"))
+
+
+def d28b(spark: SparkSession, sf: str) -> DataFrame:
+    return cu.structure_all_lags(fx.pixels(spark, sf), 8).select("image_key", "dx", "dy", F.round(F.col("s") * F.col("n")).alias("total"), "n")
+
+
+register("d28_structure_all_lags", d28b, fx.with_views("SELECT a.image_key, (b.x - a.x)::INT AS dx, (b.y - a.y)::INT AS dy, round(sum((b.value - a.value) ^ 2)) + 0.0 AS total, count(*) AS n FROM pixels a JOIN pixels b ON a.image_key = b.image_key AND (b.y > a.y OR (b.y = a.y AND b.x > a.x)) GROUP BY 1, 2, 3", "pixels").replace("pixels AS (", "pixels AS MATERIALIZED (", 1))
 
 
 def d29(spark: SparkSession, sf: str) -> DataFrame:
@@ -630,7 +674,7 @@ def i09(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _ROT = "WITH t AS (SELECT image_key, x, y, floor({c}::DOUBLE * (x - 4.0::DOUBLE) - {s}::DOUBLE * (y - 4.0::DOUBLE) + 4.0::DOUBLE)::INT AS sx, floor({s}::DOUBLE * (x - 4.0::DOUBLE) + {c}::DOUBLE * (y - 4.0::DOUBLE) + 4.0::DOUBLE)::INT AS sy FROM pixels) SELECT t.image_key, t.x, t.y, coalesce(p.value, 0.0) AS value FROM t LEFT JOIN pixels p ON p.image_key = t.image_key AND p.x = sx AND p.y = sy"
-register("i09_rotate", i09, fx.with_views(_ROT.format(c=repr(0.8660254037844387), s=repr(0.49999999999999994)), "pixels"))
+register("i09_rotate", i09, fx.with_views(_ROT.format(c=repr(0.8660254037844387), s=repr(0.49999999999999994)), "pixels").replace("pixels AS (", "pixels AS MATERIALIZED (", 1))
 
 
 def i10(spark: SparkSession, sf: str) -> DataFrame:

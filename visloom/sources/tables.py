@@ -183,7 +183,7 @@ def flux_rows(rows: DataFrame, keep: list[str] | None = None) -> DataFrame:
 def fixed_width_stars(lines: DataFrame) -> DataFrame:
     """hip, ra_deg, dec_deg of catalogue lines, by their columns; lines without numbers there are left out."""
     field = lambda a, n: F.trim(F.substring("value", a, n)).try_cast("double")
-    return lines.select(field(9, 6).cast("long").alias("hip"), field(52, 12).alias("ra_deg"), field(65, 12).alias("dec_deg")).where("hip IS NOT NULL AND ra_deg IS NOT NULL AND dec_deg IS NOT NULL")
+    return lines.select(field(3, 12).cast("long").alias("hip"), field(52, 12).alias("ra_deg"), field(65, 12).alias("dec_deg")).where("hip IS NOT NULL AND ra_deg IS NOT NULL AND dec_deg IS NOT NULL")
 
 
 def orbital_elements(lines: DataFrame) -> DataFrame:
