@@ -17,6 +17,7 @@ from visloom.scratch import new_dir
 from visloom.sources import rawframes as raw
 from visloom.sources import tables as tb
 from visloom.sources import uvfiles
+from visloom.sources.exports import read_export, write_export
 from visloom.streaming import frames as st
 
 
@@ -193,6 +194,22 @@ def s10(spark: SparkSession, sf: str) -> DataFrame:
 register("s10_export_tables", s10, fx.with_views("SELECT frame_id, bl, (frame_id % 4)::INT AS freqsel, ((ant1 + 1) * 256 + ant2 + 1)::INT AS baseline, CASE WHEN frame_id % 2 = 0 THEN -2 ELSE -1 END AS stokes, round(max(u) / 299792458.0 * 1e6, 4) + 0.0 AS uu, round(max(uv.v) / 299792458.0 * 1e6, 4) + 0.0 AS vv, round(sum(re), 4) + 0.0 AS re, count(*)::DOUBLE AS weight FROM uv GROUP BY 1, 2, 3, 4, 5", "uv"))
 
 
+def s10c(spark: SparkSession, sf: str) -> DataFrame:
+    """The four tables as one commit, twice, and the groups with what the other tables say of them."""
+    path = new_dir(spark, "export")
+    tables = _exports(spark, sf)
+    write_export(tables | {"vis_groups": tables["vis_groups"].where("frame_id % 2 = 0")}, path)
+    write_export(tables, path)
+    t = read_export(spark, path)
+    a = t["antenna"].select(F.col("nosta").alias("a1"), F.col("anname").alias("first"))
+    f = t["frequency"].select((F.col("frqsel") - 1).alias("freqsel"), F.get("if_freq", F.lit(0)).alias("hz"))
+    g = t["vis_groups"].withColumn("a1", F.floor(F.col("baseline") / 256)).join(F.broadcast(a), "a1").join(F.broadcast(f), "freqsel").join(F.broadcast(t["source"].select(F.col("id").alias("source_id"), "source")), "source_id")
+    return g.groupBy("first", "freqsel", "source", F.round("hz").cast("long").alias("hz")).agg(F.count("*").alias("groups"), F.count_distinct("frame_id").alias("frames"))
+
+
+register("s10_export_commit", s10c, fx.with_views("SELECT 'A' || (ant1 + 1) AS first, (frame_id % 4)::INT AS freqsel, 'SUN' AS source, (frame_id % 4 + 1) * 400000000::BIGINT AS hz, count(DISTINCT (frame_id, bl)) AS groups, count(DISTINCT frame_id) AS frames FROM visu GROUP BY 1, 2, 3, 4", "visu"))
+
+
 def s10b(spark: SparkSession, sf: str) -> DataFrame:
     """Antenna, frequency and source tables, as written and read again, a row each with its name, number and text of columns."""
     path = new_dir(spark, "export")
