@@ -13,9 +13,11 @@ _own: list[str] = []
 
 
 def new_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below spark.checkpoint.dir, or below a temporary one where that is unset (local tests)."""
+    """A new folder below spark.checkpoint.dir, or below a temporary one where that is unset and the master is local."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         if not _own:
             own = tempfile.mkdtemp(prefix="visloom-")
             atexit.register(shutil.rmtree, own, True)
