@@ -25,10 +25,12 @@ def small_batches(spark: SparkSession) -> SparkSession:
 
 
 def base_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a temporary one where it is unset (local tests)."""
+    """The folder named in spark.checkpoint.dir; a temporary one where it is unset and the master is local."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
     if not _own:
         own = tempfile.mkdtemp(prefix="visloom-")
         atexit.register(shutil.rmtree, own, True)
