@@ -13,9 +13,12 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from compare import assert_same, duck
 from test_operators import brute_force_labels
+from visloom.llm import ngram_lm
 from visloom.llm import queries as q
 from visloom.llm.licenses import PHRASES
 from visloom.llm.ngram_lm import M, PAIRS, STEPS, WORDS, level_of, read_as, reserve
+from visloom.llm.shared import new_dir
+from visloom.llm.wordscan import SPACED, scan
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -75,22 +78,39 @@ def test_lm_scores(spark, sf, docs):
             words.update(texts[k])
             pairs.update(zip([0, *texts[k]], texts[k], strict=False))
     n, v = sum(words.values()), len(words)
-    score = base = tokens = 0
+    score = base = tokens = wrong = asked = 0
+    read = spark.read.parquet(f"{sf}/documents.parquet").where("crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 7 <> 2")
+    model = ngram_lm.train(read, new_dir(spark, "tight"))
+
+    def levels(kind, keys):
+        """What the filter says of each key, its false positives included: one probe a key."""
+        out = np.zeros(len(keys), np.int64)
+        for held, value in model.slices:
+            if held == kind:
+                ngram_lm._look(value.value, kind, model.bits, keys, out)
+        return out.tolist()
+
     for r in q.op3_lm_scores(spark, sf).collect():
         t = texts[r["doc_id"]]
         assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (zlib.crc32(str(r["doc_id"]).encode()) % 7 == 2, len(t), sum(words[x] > 0 for x in t), n)
         assert r["base_score"] == pytest.approx(sum(math.log10((words[x] + 1) / (n + v + 1)) for x in t), rel=1e-9)
         if r["held_out"]:
             score, base, tokens = score + r["score"], base + r["base_score"], tokens + len(t)
+        (scanned,) = scan([(docs[r["doc_id"]] or "").encode()], SPACED)
+        token, before, _ = ngram_lm.events(scanned)
+        own, both = levels(WORDS, ngram_lm._cut(token)), levels(PAIRS, ngram_lm._cut(ngram_lm.pair(before, token)))
         exact = 0.0
-        for a, x in zip([0, *t], t, strict=False):
-            c, before = pairs[a, x], words[None] if a == 0 else words[a]
-            context = STEPS[WORDS][level_of(before, WORDS)] - 1 if before else 0
-            p = (read_as(level_of(words[x], WORDS), WORDS) + 1) / (n + v + 1)
-            exact += math.log10((min(read_as(level_of(c, PAIRS), PAIRS), context) + M * p) / (context + M + reserve(context, v)))
-        # False positives of the filter raise a few of the counts.
-        assert r["score"] == pytest.approx(exact, abs=0.01 * len(t) + 0.5)
+        for i, (a, x) in enumerate(zip([0, *t], t, strict=False)):
+            true = [level_of(words[x], WORDS) if words[x] else 0, level_of(pairs[a, x], PAIRS) if pairs[a, x] else 0]
+            assert own[i] >= true[0] and both[i] >= true[1]
+            wrong, asked = wrong + (own[i] > true[0]) + (both[i] > true[1]), asked + 2
+            level = own[i - 1]  # of the token before; before the first stands the end
+            context = STEPS[WORDS][level] - 1 if level else 0
+            p = (read_as(own[i], WORDS) + 1) / (n + v + 1)
+            exact += math.log10((min(read_as(both[i], PAIRS), context) + M * p) / (context + M + reserve(context, v)))
+        assert r["score"] == pytest.approx(exact, rel=1e-9)
     assert score > base + 0.05 * tokens
+    assert wrong < 0.005 * asked
 
 
 def test_quality_counts(spark, sf, docs):
