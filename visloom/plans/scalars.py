@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from visloom.functions import signal, sun, timescale
 from visloom.operators import geometry
-from visloom.operators.integrate import number_frames
+from visloom.operators.integrate import number_frames, sample_chain
 from visloom.plans import fixtures as fx
 from visloom.registry import register
 
@@ -347,6 +347,19 @@ def p32(spark: SparkSession, sf: str) -> DataFrame:
 
 register("p32_thinning", p32, fx.with_views("SELECT frame_id, t_us, n::INT AS n FROM (SELECT *, row_number() OVER (ORDER BY t_us) AS n FROM frames WHERE sub_band = 1 AND pol = 0) WHERE (n - 1) % 40 = 0", "frames"))
 
+#: Frames that are jumped over after one is taken, and the clock's step.
+_JUMP, _STEP = 398, 3125
+
+
+def p32b(spark: SparkSession, sf: str) -> DataFrame:
+    """One frame of a band and polarization, then the first such frame after a jump over the next 398 slots of the clock."""
+    f = fx.frames(spark, sf).where("sub_band = 1 AND pol = 0")
+    return sample_chain(f, ["sub_band", "pol"], (_JUMP + 1) * _STEP)
+
+
+register("p32_thinning_jump", p32b, fx.with_views(f"""WITH w AS (SELECT * FROM frames WHERE sub_band = 1 AND pol = 0), c AS (SELECT sub_band, pol, min(t_us) AS t_us FROM w GROUP BY 1, 2
+UNION ALL SELECT c.sub_band, c.pol, (SELECT min(w.t_us) FROM w WHERE w.t_us >= c.t_us + {(_JUMP + 1) * _STEP}) FROM c WHERE EXISTS (SELECT 1 FROM w WHERE w.t_us >= c.t_us + {(_JUMP + 1) * _STEP})) SELECT * FROM c""", "frames").replace("WITH ", "WITH RECURSIVE ", 1))
+
 
 def p33(spark: SparkSession, sf: str) -> DataFrame:
     e = fx.table(spark, sf, "events")
