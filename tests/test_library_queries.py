@@ -87,8 +87,9 @@ def test_images(spark, sf):
             inside = np.ix_((ys >= 0) & (ys < size), (xs >= 0) & (xs < size))
             padded[inside] = beam[np.ix_(ys[(ys >= 0) & (ys < size)], xs[(xs >= 0) & (xs < size)])]
             rest -= f * padded
-        top = sorted(flux.items(), key=lambda z: (-abs(z[1]), z[0]))[:4]
-        assert [f for _, _, f in parts[key]] == pytest.approx([f for _, f in top], abs=2e-3)
+        assert len(parts[key]) == len(flux)
+        assert [f for _, _, f in parts[key]] == pytest.approx(sorted(flux.values(), key=lambda f: -abs(f)), abs=2e-3)
+        assert all(f == pytest.approx(flux[y, x], abs=2e-3) for y, x, f in parts[key])
 
 
 def test_levels_of_each_image(spark, sf):
