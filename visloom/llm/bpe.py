@@ -3,14 +3,15 @@
 The vocabulary used drops white space, lower-cases, and its pre-tokenizer never joins a word with what
 stands behind white space, or a letter with a punctuation mark. So a text's ids are those of its parts
 between ASCII white space, one after the other, and a part that ends in a letter and one full stop or
-comma has the ids of the two. Each worker keeps the ids of parts it has met (two generations of at most
-`KEEP`, which bounds its memory) and hands only new words to the library: plain Latin words straight to
-its BPE model, in the byte letters that the tokenizer's byte-level step would make, all else through the
+comma has the ids of the two. Each worker keeps the ids of parts it has met, by the parts' 64-bit hashes and in
+flat arrays (two generations of about `KEEP` parts and `KEEP_IDS` ids, which bounds its memory, some 30 MB), and hands
+only new words to the library: plain Latin words straight to its BPE model, in the byte letters that the tokenizer's byte-level step would make, all else through the
 full tokenizer. The ids equal those of the whole text; tests compare both.
 """
 
 from __future__ import annotations
 
+import os
 from array import array
 from collections.abc import Iterator
 
@@ -20,11 +21,43 @@ from tokenizers.pre_tokenizers import ByteLevel
 
 from .wordscan import SPACED, scan
 
-KEEP = 500_000
+KEEP, KEEP_IDS = 500_000, 4_000_000
 #: Letters up to here have one-letter lower cases and no special composition.
 LATIN = "\u024f"
 
 
+class Kept:
+    """Ids of parts: sorted hashes, and where each part's ids lie in one flat array."""
+
+    def __init__(self, dtype: np.dtype) -> None:
+        self.hashes, self.at, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.ids = np.zeros(0, dtype)
+
+    @property
+    def full(self) -> bool:
+        return len(self.hashes) > KEEP or len(self.ids) > KEEP_IDS
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The place of each hash, -1 where it isn't kept."""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1)
+        place = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[place] == hashes, place, -1)
+
+    def add(self, hashes: np.ndarray, size: np.ndarray, ids: np.ndarray) -> None:
+        """Keep parts of sorted hashes, none of which is kept, by the sizes of their runs of ids."""
+        place = np.searchsorted(self.hashes, hashes)
+        self.at = np.insert(self.at, place, len(self.ids) + np.cumsum(size) - size)
+        self.size = np.insert(self.size, place, size)
+        self.hashes, self.ids = np.insert(self.hashes, place, hashes), np.concatenate([self.ids, ids])
+
+
+def runs_of(at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Places of all members of runs, one run after the other."""
+    ends = np.cumsum(size)
+    return np.repeat(at - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+
+
 class Encoder:
     """Ids as little-endian unsigned 32-bit integers, or 16-bit where the vocabulary allows it.
 
@@ -32,10 +65,11 @@ class Encoder:
     whole texts other ids than their parts.
     """
     def __init__(self, path: str) -> None:
+        # A task has one core; a pool of threads a worker costs time and memory.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[bytes, bytes] = {}
-        self.before: dict[bytes, bytes] = {}
+        self.known, self.before = Kept(self.dtype), Kept(self.dtype)
         letters = ByteLevel.alphabet()
         kept = [b for b in range(256) if chr(b) in letters]
         rest = (b for b in range(256) if chr(b) not in letters)
@@ -61,48 +95,40 @@ class Encoder:
             return None
         return array(self.dtype.char, [t.id for t in self.tokenizer.model.tokenize(text)]).tobytes()
 
-    def _learn(self, parts: set[bytes]) -> None:
+    def _learn(self, parts: list[bytes]) -> list[bytes]:
+        """Ids of distinct parts."""
         cores: dict[bytes, tuple[bytes, bytes]] = {}
         for p in parts:
             mark = self.marks.get(p[-1:])
             if mark and len(p) > 1 and (97 <= p[-2] <= 122 or p[:-1].decode("utf-8", "replace")[-1].isalpha()):
                 cores[p] = p[:-1], mark
-        words = (parts - cores.keys()) | {c for c, _ in cores.values()}
-        new = []
-        for w in words:
-            if w not in self.known:
-                ids = self.before.get(w) or self._word(w)
-                if ids is None:
-                    new.append(w)
-                else:
-                    self.known[w] = ids
-        for i in range(0, len(new), 8192):
-            some = new[i : i + 8192]
-            self.known.update(zip(some, self._call([w.decode("utf-8", "replace") for w in some]), strict=True))
-        for p, (core, mark) in cores.items():
-            self.known[p] = self.known[core] + mark
+        found = {w: self._word(w) for w in {cores[p][0] if p in cores else p for p in parts}}
+        new = [w for w, ids in found.items() if ids is None]
+        for i in range(0, len(new), 1024):
+            some = new[i : i + 1024]
+            found.update(zip(some, self._call([w.decode("utf-8", "replace") for w in some]), strict=True))
+        return [found[cores[p][0]] + cores[p][1] if p in cores else found[p] for p in parts]
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        """Ids of each text. Parts are found and told apart in numpy; only distinct ones are looked up."""
+        """Ids of each text. Parts are found, told apart and looked up in numpy; only new ones are taken out."""
         out: list[np.ndarray] = []
         for w in scan(texts, SPACED, chunk=2 << 20, marks=b".,"):
-            raw = w.data.tobytes()
-            _, first, back = np.unique(w.hashes, return_index=True, return_inverse=True)
-            parts = [raw[a:b] for a, b in zip(w.starts[first].tolist(), w.ends[first].tolist(), strict=True)]
-            if len(self.known) > KEEP:
-                self.before, self.known = self.known, {}
-            found = list(map(self.known.get, parts))
-            lost = [i for i, ids in enumerate(found) if ids is None]
-            if lost:
-                met = {parts[i] for i in lost}
-                old = met & self.before.keys()
-                self.known.update((p, self.before[p]) for p in old)
-                self._learn(met - old)
-                for i in lost:
-                    found[i] = self.known[parts[i]]
-            ids = np.frombuffer(b"".join([*found, *self.marks.values()]), self.dtype)
-            size = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
-            at = (np.cumsum(size) - size)[back]
+            hashes, first, back = np.unique(w.hashes, return_index=True, return_inverse=True)
+            if self.known.full:
+                self.before, self.known = self.known, Kept(self.dtype)
+            lost = np.flatnonzero(self.known.find(hashes) < 0)
+            if len(lost):
+                place = self.before.find(hashes[lost])
+                old, new = lost[place >= 0], lost[place < 0]
+                place = place[place >= 0]
+                size = self.before.size[place]
+                self.known.add(hashes[old], size, self.before.ids[runs_of(self.before.at[place], size)])
+                learnt = self._learn([w.data[a:b].tobytes() for a, b in zip(w.starts[first[new]].tolist(), w.ends[first[new]].tolist(), strict=True)])
+                size = np.fromiter(map(len, learnt), np.int32, len(learnt)) // self.dtype.itemsize
+                self.known.add(hashes[new], size, np.frombuffer(b"".join(learnt), self.dtype))
+            place = self.known.find(hashes)
+            ids = np.concatenate([self.known.ids, np.frombuffer(b"".join(self.marks.values()), self.dtype)])
+            size, at = self.known.size[place], self.known.at[place][back]
             # Words and the marks behind them, as runs of ids: where each is found, and where it goes.
             marked = w.marks > 0
             place = np.arange(len(back)) + np.cumsum(marked) - marked
@@ -112,7 +138,7 @@ class Encoder:
             runs[place[marked] + 1] = 1
             source[place[marked] + 1] = len(ids) - 2 + (w.marks[marked] == 44)
             ends = np.cumsum(runs)
-            every = ids[np.repeat(source - (ends - runs), runs) + np.arange(ends[-1] if len(ends) else 0)]
+            every = ids[runs_of(source, runs)]
             cut = np.append(0, ends)[np.append(place, len(runs))[w.offsets]]
             out += [every[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
         return out
